@@ -58,3 +58,115 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "' ' || upper(event_type) AS action",
         "date_format(ts, 'MM-dd-yyyy HH:mm:ss') AS date",
     )
+
+
+def raw_orders_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders in which some amounts are no numbers and some dates have another format."""
+    return raw_orders(spark, sf_dir).selectExpr(
+        "id",
+        "user_id",
+        "CASE WHEN CAST(id AS BIGINT) % 13 = 0 THEN 'n/a' ELSE amount END AS amount",
+        "item_count",
+        "CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN '2024-01-01' ELSE transaction_date END AS transaction_date",
+    )
+
+
+def psi_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lines = read(spark, sf_dir, "lineitem")
+    border = F.lit("1998-06-01").cast("timestamp_ntz")
+    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+    before = lines.where(F.col("l_shipdate") < border).select(columns)
+    after = lines.where(F.col("l_shipdate") >= border).select([(F.col(c) * 1.1).alias(c) for c in columns])
+    return before, after
+
+
+def binary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    scored = read(spark, sf_dir, "labels").join(documents, "doc_id")
+    return scored.select(
+        F.col("quality").alias("label"), F.floor(F.col("n_chars") / 200).cast("double").alias("score")
+    )
+
+
+def scoring_rows(gold: DataFrame) -> DataFrame:
+    flipped = F.col("user_id").cast("long") % 10 == 3
+    return gold.withColumn(
+        "order_count", F.when(flipped, -F.col("order_count") - 1).otherwise(F.col("order_count"))
+    )
+
+
+def scored_pair(gold: DataFrame) -> tuple[DataFrame, DataFrame]:
+    number = F.col("user_id").cast("long")
+    first = ((number * 37) % 101) / F.lit(100.0)
+    second = F.when(number % 50 == 0, 1 - first).otherwise(first)
+
+    def scored(probability):
+        return gold.select(
+            "user_id",
+            probability.alias("churn_probability"),
+            (probability >= 0.5).cast("int").alias("prediction"),
+        )
+
+    return scored(first), scored(second)
+
+
+_STATUS = "CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'RUNNING' ELSE 'FAILED' END AS status"
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run table from orders; the run name depends on the priority and the status on the order status."""
+    multipliers = {"pr_auc": 7919, "accuracy": 7907, "precision": 7901, "recall": 7883, "f1": 7879, "roc_auc": 7877}
+    name = """CASE o_orderpriority WHEN '1-URGENT' THEN 'random_forest'
+                   WHEN '2-HIGH' THEN 'random_forest_tuned' ELSE 'dummy' END"""
+    return read(spark, sf_dir, "orders").selectExpr(
+        f"{name} AS run_name",
+        "o_orderkey AS run_id",
+        "CAST(o_orderdate AS TIMESTAMP) AS start_time",
+        _STATUS,
+        *[f"((o_orderkey * {m}) % 10000) / 10000.0D AS `metrics.{metric}`" for metric, m in multipliers.items()],
+        f"CASE WHEN {name} = 'random_forest_tuned' THEN ((o_orderkey * 7873) % 10000) / 10000.0D END"
+        " AS `metrics.cv_pr_auc`",
+        "CASE o_orderkey % 4 WHEN 0 THEN '200' WHEN 1 THEN '300' WHEN 2 THEN '500' END AS `params.n_estimators`",
+        "CASE o_orderkey % 3 WHEN 0 THEN '8' WHEN 1 THEN '12' END AS `params.max_depth`",
+        "CASE o_orderkey % 2 WHEN 0 THEN 'sqrt' END AS `params.max_features`",
+    )
+
+
+def selections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'model_selection' ELSE 'dummy' END AS run_name",
+        "o_orderkey AS run_id",
+        "CAST(o_orderdate AS TIMESTAMP) AS start_time",
+        _STATUS,
+        f"{_text('o_custkey')} AS `params.selected_run_id`",
+    )
+
+
+def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored models from line items: odd lines name their order as source run, even lines as run."""
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS model_id",
+        "CASE WHEN l_linenumber % 2 = 1 THEN l_orderkey END AS source_run_id",
+        "CASE WHEN l_linenumber % 2 = 0 THEN l_orderkey END AS run_id",
+        "CASE WHEN l_returnflag = 'A' THEN 'FAILED' ELSE 'READY' END AS status",
+        "CAST(l_shipdate AS TIMESTAMP) AS creation_time",
+    )
+
+
+EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def prediction_outcomes(events: DataFrame) -> DataFrame:
+    """Scoring requests from events, for a batch or a streaming frame of them."""
+    ok = F.col("event_type") != "error"
+    return events.select(
+        F.col("event_id").cast("string").alias("request_id"),
+        F.when(ok, "success").otherwise("failed").alias("status"),
+        F.col("value").alias("latency_ms"),
+        F.when(ok, F.col("value") / 500).alias("churn_probability"),
+        F.when(ok, (F.col("value") >= 250).cast("int")).alias("prediction"),
+        F.when(~ok, "RuntimeError").alias("error_type"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit("churn_model").alias("model_name"),
+        F.lit("1").alias("model_version"),
+    )
