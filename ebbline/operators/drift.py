@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.values import psi_status
 from ebbline.operators.preprocess import numeric_columns
-from ebbline.operators.quantiles import ValueHistogram, clean_double
+from ebbline.operators.quantiles import ValueHistogram, clean_double, count_buckets, with_buckets
 
 # Fixed values.
 DEFAULT_BINS = 10
@@ -33,21 +32,24 @@ def bin_edges(reference: DataFrame, features: list[str], bins: int = DEFAULT_BIN
     }
 
 
-def bin_number(value: Column, inner_edges: list[float]) -> Column:
-    """Number of inner edges below the value: bins are closed on the right and open at both ends."""
-    above = [(value > edge).cast("int") for edge in inner_edges]
-    return F.when(value.isNotNull(), reduce(add, above, F.lit(0)))
+def bin_splits(inner_edges: list[float]) -> list[float]:
+    """Splits for bins that are closed on the right and open at both ends.
+
+    Buckets are closed on the left, so each edge moves to the next larger number: ``x > edge`` and
+    ``x >= next number`` are the same.
+    """
+    return [-math.inf, *[math.nextafter(edge, math.inf) for edge in inner_edges], math.inf]
 
 
 def _bin_counts(df: DataFrame, edges: dict[str, list[float]], side: str) -> DataFrame:
-    numbered = df.select([bin_number(clean_double(name), inner).alias(name) for name, inner in edges.items()])
-    return (
-        numbered.unpivot([], list(edges), "feature", "bin")
-        .where("bin IS NOT NULL")
-        .groupBy("feature", "bin")
-        .agg(F.count(F.lit(1)).alias("entries"))
-        .withColumn("side", F.lit(side))
-    )
+    values = df.select([clean_double(name).alias(name) for name in edges])
+    # A feature with one bin needs a split all the same; both halves are counted as bin 0 below.
+    splits = {name: bin_splits(inner or [0.0]) for name, inner in edges.items()}
+    outputs = {name: f"bin of {name}" for name in edges}
+    counted = count_buckets(with_buckets(values, splits, outputs), outputs)
+    single = [name for name, inner in edges.items() if not inner]
+    number = F.when(F.col("feature").isin(single), F.lit(0)).otherwise(F.col("bucket")) if single else F.col("bucket")
+    return counted.select("feature", number.alias("bin"), "entries", F.lit(side).alias("side"))
 
 
 def psi_table(

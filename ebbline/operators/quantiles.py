@@ -1,9 +1,10 @@
 """Exact quantiles of many numeric columns without sorting them and without one big hash map.
 
-Three passes, none of which shuffles rows: approximate split points; a count per split bucket; and, for the
-few buckets that hold a wanted rank, a count per value.  Only the bucket counts and the wanted values reach
-the driver, and their number depends on columns, buckets and ranks, not on rows.  A value held by a third of
-all rows is combined before it is exchanged.
+Three passes, none of which shuffles rows: a sketch for split points; a count per split bucket; and, for the
+few buckets that hold a wanted rank, a count per value.  Only split points, bucket counts and the wanted values
+reach the driver, and their number depends on columns, buckets and ranks, not on rows.  The sketch decides how
+evenly work is spread, never the result.  A value held by a third of all rows is combined before it is
+exchanged.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from ebbline.functions.values import as_double
 
 DEFAULT_BUCKETS = 512
+SKETCH_SIZE = 1024
+SKETCH_GROUPS = 128
 
 
 def clean_double(column: str) -> Column:
@@ -29,17 +32,55 @@ def clean_double(column: str) -> Column:
 
 
 def split_points(df: DataFrame, columns: list[str], buckets: int = DEFAULT_BUCKETS) -> dict[str, list[float]]:
-    """Bucket borders that spread each column's rows about evenly; an empty list for a column without values."""
-    grid = [step / buckets for step in range(1, buckets)]
-    borders = df.approxQuantile(columns, grid, 1 / (4 * buckets))
-    inner = {
-        column: sorted({value for value in found if math.isfinite(value)})
-        for column, found in zip(columns, borders)
-    }
-    return {
-        column: [-math.inf, *(values or [0.0]), math.inf] if found else []
-        for (column, values), found in zip(inner.items(), borders)
-    }
+    """Bucket borders that spread each column's rows about evenly; an empty list for a column without values.
+
+    Sketches are merged in two steps, so no task has to take one from every input partition.
+    """
+    grid = F.array(*[F.lit(step / buckets) for step in range(1, buckets)])
+    size = F.lit(SKETCH_SIZE)
+    partial = (
+        df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group"))
+        .agg(*[F.kll_sketch_agg_double(F.col(f"`{name}`"), size).alias(name) for name in columns])
+    )
+    merged = partial.agg(*[F.kll_merge_agg_double(F.col(f"`{name}`"), size).alias(name) for name in columns])
+    filled = [F.kll_sketch_get_n_double(F.col(f"`{name}`")) > 0 for name in columns]
+    row = merged.select(
+        [
+            F.when(is_filled, F.kll_sketch_get_quantile_double(F.col(f"`{name}`"), grid)).alias(name)
+            for name, is_filled in zip(columns, filled)
+        ]
+    ).first()
+    splits: dict[str, list[float]] = {}
+    for name, found in zip(columns, row):
+        inner = sorted({value for value in found or [] if math.isfinite(value)})
+        splits[name] = [-math.inf, *(inner or [0.0]), math.inf] if found is not None else []
+    return splits
+
+
+def with_buckets(df: DataFrame, splits: dict[str, list[float]], outputs: dict[str, str]) -> DataFrame:
+    """Add per column the number of its bucket, found by binary search; null for null."""
+    bucketizer = Bucketizer(
+        splitsArray=[splits[name] for name in outputs],
+        inputCols=list(outputs),
+        outputCols=list(outputs.values()),
+        handleInvalid="keep",
+    )
+    return bucketizer.transform(df)
+
+
+def count_buckets(bucketed: DataFrame, outputs: dict[str, str]) -> DataFrame:
+    """``feature, bucket, entries`` of all bucket columns.  The key is one integer until the final rows."""
+    stride = 1 << 20
+    keys = [F.lit(at * stride) + F.col(f"`{name}`").cast("int") for at, name in enumerate(outputs.values())]
+    counted = (
+        bucketed.select(F.explode(F.array(*keys)).alias("key"))
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("entries"))
+        .where("key IS NOT NULL")
+    )
+    names = F.array(*[F.lit(name) for name in outputs])
+    feature = F.get(names, F.floor(F.col("key") / stride).cast("int"))
+    return counted.select(feature.alias("feature"), (F.col("key") % stride).alias("bucket"), "entries")
 
 
 class ValueHistogram:
@@ -57,23 +98,9 @@ class ValueHistogram:
         if not self._filled:
             return
         self._bucket_of = {column: f"bucket of {column}" for column in self._filled}
-        self._bucketed = Bucketizer(
-            splitsArray=[splits[column] for column in self._filled],
-            inputCols=self._filled,
-            outputCols=list(self._bucket_of.values()),
-            handleInvalid="keep",
-        ).transform(self._values)
-        buckets_only = self._bucketed.select(
-            [F.col(name).cast("int").alias(column) for column, name in self._bucket_of.items()]
-        )
-        counted = (
-            buckets_only.unpivot([], self._filled, "feature", "bucket")
-            .where("bucket IS NOT NULL")
-            .groupBy("feature", "bucket")
-            .count()
-        )
-        for row in counted.collect():
-            self._counts[row["feature"]][row["bucket"]] = row["count"]
+        self._bucketed = with_buckets(self._values, splits, self._bucket_of)
+        for row in count_buckets(self._bucketed, self._bucket_of).collect():
+            self._counts[row["feature"]][row["bucket"]] = row["entries"]
 
     def count(self, column: str) -> int:
         return sum(self._counts[column].values())
@@ -137,17 +164,18 @@ class ValueHistogram:
             return {}
         spark = self._values.sparkSession
         target_rows = spark.createDataFrame(targets, "feature string, bucket int, rank long, place long")
-        in_bucket = []
+        entries = []
         for column in ranks:
-            name = self._bucket_of[column]
-            hit = F.col(f"`{name}`").isin([float(bucket) for feature, bucket, *_ in targets if feature == column])
-            pair = F.struct(F.col(f"`{name}`").cast("int").alias("bucket"), F.col(f"`{column}`").alias("value"))
-            in_bucket.append(F.when(hit, pair).alias(column))
+            bucket = F.col(f"`{self._bucket_of[column]}`").cast("int")
+            hit = bucket.isin(sorted({at for feature, at, *_ in targets if feature == column}))
+            entry = F.struct(
+                F.lit(column).alias("feature"), bucket.alias("bucket"), F.col(f"`{column}`").alias("value")
+            )
+            entries.append(F.when(hit, entry))
         copies = (
-            self._bucketed.select(in_bucket)
-            .unpivot([], list(ranks), "feature", "entry")
+            self._bucketed.select(F.explode(F.array(*entries)).alias("entry"))
             .where("entry IS NOT NULL")
-            .groupBy("feature", "entry.bucket", "entry.value")
+            .groupBy("entry.feature", "entry.bucket", "entry.value")
             .agg(F.count(F.lit(1)).alias("copies"))
         )
         upto = F.sum("copies").over(W.partitionBy("feature", "bucket").orderBy("value"))
