@@ -163,6 +163,16 @@ def split_training_data(
     return split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
 
 
+def evaluate_once(scored: DataFrame, label: str = LABEL) -> dict[str, float]:
+    """The six metrics of scored rows.  The metrics need two passes, so the narrow result is kept meanwhile
+    rather than scored twice."""
+    kept = scored.select(label, "prediction", "churn_probability").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return evaluate(kept, label).first().asDict()
+    finally:
+        kept.unpersist()
+
+
 def train_models(
     gold: DataFrame,
     names: list[str] | None = None,
@@ -178,6 +188,7 @@ def train_models(
     shared, since it does not depend on the model.
     """
     train, test = split_training_data(gold, id_column, label, test_size, seed)
+    train.persist(StorageLevel.MEMORY_AND_DISK)
     preprocessor = build_preprocessor(train.select(FEATURE_COLUMNS)).fit(train)
     prepared = with_balanced_weight(preprocessor.transform(train)).select(LABEL, WEIGHT, "features")
     prepared.persist(StorageLevel.MEMORY_AND_DISK)
@@ -188,7 +199,7 @@ def train_models(
             started = dt.datetime.now()
             fitted = PipelineModel([*preprocessor.stages, candidates[name].fit(prepared)])
             result = score(fitted, test, keep=(id_column, LABEL), threshold=threshold)
-            metrics = evaluate(result, LABEL).first().asDict()
+            metrics = evaluate_once(result)
             params = {
                 "model": name,
                 "artifact_type": "spark_pipeline",
@@ -200,4 +211,5 @@ def train_models(
             rows.append(run_row(name, metrics, params, started))
     finally:
         prepared.unpersist()
+        train.unpersist()
     return TrainedModels(models, scored, runs_frame(gold.sparkSession, rows))
