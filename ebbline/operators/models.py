@@ -175,7 +175,7 @@ def evaluate_once(scored: DataFrame, label: str = LABEL) -> dict[str, float]:
 
 def train_models(
     gold: DataFrame,
-    names: list[str] | None = None,
+    only: list[str] | None = None,
     id_column: str = ID_COLUMN,
     label: str = TARGET_COLUMN,
     test_size: float = TEST_SIZE,
@@ -195,7 +195,7 @@ def train_models(
     try:
         candidates = candidate_models(prepared.count(), seed)
         models, scored, rows = {}, {}, []
-        for name in names or candidates:
+        for name in only or candidates:
             started = dt.datetime.now()
             fitted = PipelineModel([*preprocessor.stages, candidates[name].fit(prepared)])
             result = score(fitted, test, keep=(id_column, LABEL), threshold=threshold)

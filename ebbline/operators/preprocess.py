@@ -18,6 +18,7 @@ from pyspark.sql.types import BooleanType, NumericType
 from ebbline.operators.quantiles import ValueHistogram
 
 MAX_CATEGORIES = 100_000
+LABEL_MARK = "="  # keeps an empty text a valid label
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -126,7 +127,7 @@ class PreprocessorStatistics:
     def stages(self) -> list:
         projected = [f"{self.scaled_expression(name)} AS `scaled_{name}`" for name in self.numeric]
         projected += [
-            f"coalesce(CAST(`{name}` AS STRING), {_sql_text(mode)}) AS `filled_{name}`"
+            f"concat('{LABEL_MARK}', coalesce(CAST(`{name}` AS STRING), {_sql_text(mode)})) AS `filled_{name}`"
             for name, mode in self.modes.items()
         ]
         vector_parts = [f"scaled_{name}" for name in self.numeric]
@@ -135,7 +136,7 @@ class PreprocessorStatistics:
             names = list(self.categories)
             stages += [
                 StringIndexerModel.from_labels(
-                    labels, inputCol=f"filled_{name}", outputCol=f"index_{name}", handleInvalid="keep"
+                    [LABEL_MARK + label for label in labels], inputCol=f"filled_{name}", outputCol=f"index_{name}", handleInvalid="keep"
                 )
                 for name, labels in self.categories.items()
             ]

@@ -279,19 +279,19 @@ def model_runs(spark, sf_dir):
 
 
 def logistic_scores(spark, sf_dir):
-    trained = models.train_models(gold_table(spark, sf_dir), names=["logistic_regression"])
+    trained = models.train_models(gold_table(spark, sf_dir), only=["logistic_regression"])
     return scoring.score(trained.models["logistic_regression"], gold_table(spark, sf_dir))
 
 
 def forest_scores(spark, sf_dir):
-    trained = models.train_models(gold_table(spark, sf_dir), names=["random_forest"])
+    trained = models.train_models(gold_table(spark, sf_dir), only=["random_forest"])
     return scoring.score(trained.models["random_forest"], gold_table(spark, sf_dir))
 
 
 def batch_scores(spark, sf_dir):
     """Score accepted rows with a pipeline that was stored and loaded again."""
     table = gold_table(spark, sf_dir)
-    trained = models.train_models(table, names=["logistic_regression"])
+    trained = models.train_models(table, only=["logistic_regression"])
     path = scratch_path(spark, "model")
     trained.models["logistic_regression"].save(path)
     accepted, _ = quality.split_scoring_rows(given.scoring_rows(table))
@@ -301,7 +301,7 @@ def batch_scores(spark, sf_dir):
 
 def validated_sample(spark, sf_dir):
     table = gold_table(spark, sf_dir)
-    trained = models.train_models(table, names=["logistic_regression"])
+    trained = models.train_models(table, only=["logistic_regression"])
     model = trained.models["logistic_regression"]
     return jobs.validation_job(table, model, scratch_path(spark, "model"))[1]
 
