@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
@@ -100,21 +99,15 @@ class PreprocessorStatistics:
     @staticmethod
     def _categories(df: DataFrame, columns: list[str]) -> tuple[dict, dict]:
         """The encoder's dictionary lives in the model, so its size is checked before it is fetched."""
-        counts = category_counts(df, columns).withColumn("total", F.count(F.lit(1)).over(W.partitionBy("feature")))
-        limited = counts.select(
-            "feature",
-            "entries",
-            F.when(F.col("total") <= MAX_CATEGORIES, F.col("category"))
-            .otherwise(F.raise_error(F.concat("feature", F.lit(" has too many categories to encode"))).cast("string"))
-            .alias("category"),
-        ).collect()
-        categories: dict[str, list[str]] = {}
-        modes: dict[str, str] = {}
-        for name in columns:
-            rows = sorted((row["category"], row["entries"]) for row in limited if row["feature"] == name)
-            if rows:
-                categories[name] = [category for category, _ in rows]
-                modes[name] = max(rows, key=lambda row: row[1])[0]
+        counts = category_counts(df, columns)
+        for row in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("size")).collect():
+            if row["size"] > MAX_CATEGORIES:
+                raise ValueError(f"{row['feature']} has too many categories to encode: {row['size']}")
+        found: dict[str, dict[str, int]] = {}
+        for row in counts.collect():
+            found.setdefault(row["feature"], {})[row["category"]] = row["entries"]
+        categories = {name: sorted(found[name]) for name in columns if name in found}
+        modes = {name: max(sorted(found[name]), key=found[name].get) for name in categories}
         return categories, modes
 
     def scaled_expression(self, name: str) -> str:
@@ -136,7 +129,10 @@ class PreprocessorStatistics:
             names = list(self.categories)
             stages += [
                 StringIndexerModel.from_labels(
-                    [LABEL_MARK + label for label in labels], inputCol=f"filled_{name}", outputCol=f"index_{name}", handleInvalid="keep"
+                    [LABEL_MARK + label for label in labels],
+                    inputCol=f"filled_{name}",
+                    outputCol=f"index_{name}",
+                    handleInvalid="keep",
                 )
                 for name, labels in self.categories.items()
             ]

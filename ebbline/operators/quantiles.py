@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from ebbline.functions.values import as_double
 
 DEFAULT_BUCKETS = 512
-SKETCH_SIZE = 1024
 SKETCH_GROUPS = 128
 
 
@@ -36,11 +35,10 @@ def split_points(df: DataFrame, columns: list[str], buckets: int = DEFAULT_BUCKE
 
     Sketches are merged in two steps, so no task has to take one from every input partition.
     """
-    grid = F.array(*[F.lit(step / buckets) for step in range(1, buckets)])
-    size = F.lit(SKETCH_SIZE)
-    partial = (
-        df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group"))
-        .agg(*[F.kll_sketch_agg_double(F.col(f"`{name}`"), size).alias(name) for name in columns])
+    grid = F.expr(f"array({', '.join(f'{step / buckets!r}D' for step in range(1, buckets))})")
+    size = F.lit(max(2 * buckets, 64))
+    partial = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group")).agg(
+        *[F.kll_sketch_agg_double(F.col(f"`{name}`"), size).alias(name) for name in columns]
     )
     merged = partial.agg(*[F.kll_merge_agg_double(F.col(f"`{name}`"), size).alias(name) for name in columns])
     filled = [F.kll_sketch_get_n_double(F.col(f"`{name}`")) > 0 for name in columns]

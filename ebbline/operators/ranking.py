@@ -15,7 +15,7 @@ from ebbline.functions.values import share
 from ebbline.operators.quantiles import split_points
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
-SCORE_RANGES = 512
+SCORE_RANGES = 2048
 
 
 def _checked(condition: Column, value: Column, message: str) -> Column:

@@ -8,8 +8,8 @@ prefix alone are ranked, and every row is then compared with the cut keys in a n
 from __future__ import annotations
 
 import math
-from itertools import accumulate
 from bisect import bisect_left
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -49,11 +49,11 @@ class HashOrder:
     def class_sizes(self) -> dict[int, int]:
         return {label: sum(counts.values()) for label, counts in self._counts.items()}
 
-    def rows_after(self, cuts: dict[int, list[int]]) -> Column:
-        """Per row, how many of its class's cuts it lies behind.  A cut at ``k`` lies behind the k-th row."""
+    def with_cuts_passed(self, df: DataFrame, cuts: dict[int, list[int]], name: str) -> DataFrame:
+        """Add how many of its class's cuts each row lies behind.  A cut at ``k`` lies behind the k-th row."""
         keys = self._cut_keys(cuts)
-        key, row_id = hash_key(self.id_column, self.seed), F.col(self.id_column)
-        result = F.lit(None).cast("int")
+        key, row_id = F.col("hash of the id"), F.col(self.id_column)
+        passed = F.lit(None).cast("int")
         for label, ranks in cuts.items():
             behind = F.lit(0)
             for rank in ranks:
@@ -63,8 +63,10 @@ class HashOrder:
                     cut_hash, cut_id = keys[label, rank]
                     later = (key > cut_hash) | ((key == cut_hash) & (row_id > F.lit(cut_id)))
                     behind = behind + later.cast("int")
-            result = F.when(F.col(self.label_column) == label, behind).otherwise(result)
-        return result
+            passed = F.when(F.col(self.label_column) == label, behind).otherwise(passed)
+        # A column of its own, so each row is hashed once.
+        hashed = df.withColumn("hash of the id", hash_key(self.id_column, self.seed))
+        return hashed.withColumn(name, passed).drop("hash of the id")
 
     def _cut_keys(self, cuts: dict[int, list[int]]) -> dict[tuple[int, int], tuple]:
         sizes = self.class_sizes()
@@ -119,7 +121,7 @@ def stratified_split(
     """Add ``is_test``.  The same seed gives the same rows; class shares are kept."""
     order = HashOrder(df, label_column, id_column, seed)
     cuts = {label: [size] for label, size in split_sizes(order.class_sizes(), test_size).items()}
-    return df.withColumn("is_test", order.rows_after(cuts) == 0)
+    return order.with_cuts_passed(df, cuts, "is_test").withColumn("is_test", F.col("is_test") == 0)
 
 
 def stratified_folds(
@@ -135,4 +137,4 @@ def stratified_folds(
     for label, size in order.class_sizes().items():
         sizes = [size // folds + (fold < size % folds) for fold in range(folds)]
         cuts[label] = list(accumulate(sizes))[:-1]
-    return df.withColumn("fold", order.rows_after(cuts))
+    return order.with_cuts_passed(df, cuts, "fold")
