@@ -20,6 +20,37 @@ LOG_SCHEMA = (
 MODEL = ("model_name", "model_version")
 
 
+def successes(scored: DataFrame, latency_ms: Column) -> DataFrame:
+    """Outcome records of scored rows, stamped with a request id and the current time.
+
+    ``scored`` carries prediction, churn_probability, model_name and model_version; nothing else of it is kept.
+    """
+    return scored.select(
+        F.expr("uuid()").alias("request_id"),
+        F.lit(SUCCESS).alias("status"),
+        latency_ms.cast("double").alias("latency_ms"),
+        "churn_probability",
+        "prediction",
+        F.lit(None).cast("string").alias("error_type"),
+        F.current_timestamp().alias("timestamp"),
+        *MODEL,
+    )
+
+
+def failures(refused: DataFrame, latency_ms: Column, error_type: Column, model: dict[str, str]) -> DataFrame:
+    """Outcome records of requests that failed: no class and no probability."""
+    return refused.select(
+        F.expr("uuid()").alias("request_id"),
+        F.lit(FAILED).alias("status"),
+        latency_ms.cast("double").alias("latency_ms"),
+        F.lit(None).cast("double").alias("churn_probability"),
+        F.lit(None).cast("int").alias("prediction"),
+        error_type.alias("error_type"),
+        F.current_timestamp().alias("timestamp"),
+        *[F.lit(model[name]).alias(name) for name in MODEL],
+    )
+
+
 def to_log_records(outcomes: DataFrame) -> DataFrame:
     """Rounded log records.  A failure keeps its error type and latency, a success its class and probability."""
     ok = F.col("status") == SUCCESS

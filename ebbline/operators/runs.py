@@ -121,6 +121,23 @@ def select_model(
     )
 
 
+def selection_run(decision: DataFrame) -> DataFrame:
+    """The decision as a finished run, to be stored beside the runs it chose from."""
+    params = ["selected_model", "selected_run_id", "baseline_run_id", "tuned_run_id"]
+    taken = {"primary_metric", "cv_pr_auc", *params}
+    metrics = [name for name in decision.columns if name not in taken]
+    return decision.select(
+        F.lit(SELECTION).alias("run_name"),
+        F.expr("uuid()").alias("run_id"),
+        F.current_timestamp().alias("start_time"),
+        F.lit(FINISHED).alias("status"),
+        *[F.col(name).cast("string").alias(f"params.{name}") for name in params],
+        F.col("primary_metric").alias("params.selection_metric"),
+        *[F.col(name).cast("double").alias(f"metrics.{name}") for name in metrics],
+        F.col("cv_pr_auc").alias("metrics.tuned_cv_pr_auc"),
+    )
+
+
 def latest_selection(selections: DataFrame) -> DataFrame:
     """The newest finished selection as one row; only that row leaves each task."""
     finished = selections.where((F.col("status") == FINISHED) & (F.col("run_name") == SELECTION))

@@ -20,10 +20,33 @@ from ebbline.operators.drift import drift_report
 from ebbline.operators.features import build_customer_features
 from ebbline.operators.models import train_models
 from ebbline.operators.quality import direct_identifiers, training_data_rules
-from ebbline.operators.runs import build_comparison, get_latest_successful_runs, get_metrics, select_model
-from ebbline.operators.scoring import agreement, score, score_summary, top_sample, validate_predictions
+from ebbline.operators.runs import (
+    READY,
+    build_comparison,
+    get_latest_successful_runs,
+    get_logged_model,
+    get_metrics,
+    get_selected_run_id,
+    select_model,
+    selection_run,
+)
+from ebbline.operators.scoring import (
+    SAMPLE_SIZE,
+    agreement,
+    score,
+    score_summary,
+    top_sample,
+    validate_predictions,
+)
 from ebbline.operators.tuning import search_forest
-from ebbline.sources import create_snapshot_once, ensure_schema, load_raw_data, write_report_csv, write_tables
+from ebbline.sources import (
+    create_snapshot_once,
+    ensure_schema,
+    load_raw_data,
+    write_report_csv,
+    write_report_json,
+    write_tables,
+)
 
 
 @dataclass(frozen=True)
@@ -37,7 +60,7 @@ class Names:
     events: str = "silver_events"
     gold: str = "gold_customer_features"
     runs: str = "model_runs"
-    selections: str = "model_selections"
+    artifacts: str = "model_artifacts"
 
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.schema}.{name}"
@@ -86,7 +109,7 @@ def training_job(spark: SparkSession, names: Names, model_path: str, **options)
     trained = train_models(spark.table(names.table(names.gold)), **options)
     for name, model in trained.models.items():
         model.write().overwrite().save(f"{model_path}/{name}")
-    _append_runs(trained.runs, names)
+    _record(trained.runs, names, model_path)
     return trained.runs
 
 
@@ -95,41 +118,67 @@ def tuning_job(spark: SparkSession, names: Names, model_path: str, **options) ->
     tuned = search_forest(spark.table(names.table(names.gold)), **options)
     tuned.model.write().overwrite().save(f"{model_path}/random_forest_tuned")
     write_report_csv(tuned.cv_results, f"{model_path}/cv_results")
-    _append_runs(tuned.runs, names)
+    _record(tuned.runs, names, model_path)
     return tuned.cv_results
 
 
-def _append_runs(rows: DataFrame, names: Names) -> None:
-    """Runs of different jobs have different parameter columns, so the small table is stored one folder per job."""
-    rows.write.mode("append").option("mergeSchema", True).parquet(runs_path(rows.sparkSession, names))
+def _record(runs: DataFrame, names: Names, model_path: str) -> None:
+    """Add run rows, and one artifact row per stored pipeline."""
+    _append(runs, names, names.runs)
+    stored = runs.select(
+        F.concat(F.lit(f"{model_path}/"), "run_name").alias("model_id"),
+        F.col("run_id").alias("source_run_id"),
+        F.col("run_id").alias("run_id"),
+        F.lit(READY).alias("status"),
+        F.current_timestamp().alias("creation_time"),
+    )
+    _append(stored, names, names.artifacts)
 
 
-def runs_path(spark: SparkSession, names: Names) -> str:
+def _folder(spark: SparkSession, names: Names, name: str) -> str:
     described = spark.sql(f"DESCRIBE SCHEMA {names.catalog}.{names.schema}")
     location = described.where(F.col("info_name") == "Location").first()["info_value"]
-    return f"{location}/{names.runs}_files"
+    return f"{location}/{name}_files"
+
+
+def _append(rows: DataFrame, names: Names, name: str) -> None:
+    """Runs of different jobs have different parameter columns, so these rows are files read with merged schemas."""
+    rows.write.mode("append").parquet(_folder(rows.sparkSession, names, name))
 
 
-def read_runs(spark: SparkSession, names: Names) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(runs_path(spark, names))
+def read_records(spark: SparkSession, names: Names, name: str) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(_folder(spark, names, name))
 
 
 def selection_job(spark: SparkSession, names: Names, report_path: str, metric: str = "pr_auc") -> DataFrame:
-    """Compare the latest runs, store the comparison and the decision."""
-    latest = get_latest_successful_runs(read_runs(spark, names))
+    """Compare the latest runs; store the comparison, the decision and a selection run."""
+    latest = get_latest_successful_runs(read_records(spark, names, names.runs))
     get_metrics(latest)
     write_report_csv(build_comparison(latest), f"{report_path}/model_comparison")
     decision = select_model(latest, metric)
-    write_tables(spark, {names.table(names.selections): decision})
-    return spark.table(names.table(names.selections))
+    write_report_json(decision, f"{report_path}/selection_summary")
+    stored = spark.read.schema(decision.schema).json(f"{report_path}/selection_summary")
+    _append(selection_run(stored), names, names.runs)
+    return stored
+
+
+def load_selected_model(spark: SparkSession, names: Names) -> PipelineModel:
+    """The stored pipeline of the run the latest selection chose."""
+    run_id = get_selected_run_id(read_records(spark, names, names.runs))
+    artifact = get_logged_model(read_records(spark, names, names.artifacts), run_id)
+    return PipelineModel.load(artifact.first()["model_id"])
 
 
 def validation_job(
-    gold: DataFrame, fitted: PipelineModel, model_path: str, sample_size: int = 100
+    gold: DataFrame,
+    fitted: PipelineModel,
+    model_path: str,
+    sample_size: int = SAMPLE_SIZE,
+    report_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Store and reload a pipeline, score the same sample with both, and require equal classes.
 
-    Returns the scored sample and its summary.
+    Returns the scored sample and its summary, and writes both when given a report folder.
     """
     fitted.write().overwrite().save(model_path)
     loaded = PipelineModel.load(model_path)
@@ -143,7 +192,13 @@ def validation_job(
     if agreed["prediction_agreement"] != 1.0 or agreed["unmatched_rows"] or agreed["repeated_ids"]:
         raise ValueError("the fitted and the loaded pipeline disagree")
     summary = score_summary(first).withColumn("prediction_agreement", F.lit(agreed["prediction_agreement"]))
-    return first.orderBy("sample_row"), summary
+    rows = first.orderBy("sample_row")
+    if report_path:
+        write_report_csv(
+            rows.select("sample_row", "prediction", "churn_probability"), f"{report_path}/predictions"
+        )
+        write_report_json(summary, f"{report_path}/summary")
+    return rows, summary
 
 
 def drift_job(current: DataFrame, snapshot_path: str, report_path: str | None = None) -> DataFrame:

@@ -272,8 +272,6 @@ cells AS (
     count(*) FILTER (WHERE label = 0 AND score >= 5) AS fp, count(*) FILTER (WHERE label = 1 AND score < 5) AS fn,
     count(*) FILTER (WHERE label = 0 AND score < 5) AS tn FROM scored)"""
 
-FILLED = ", ".join(f"coalesce({name}, median({name}) OVER ()) AS {name}" for name in NUMERIC_FEATURES)
-
 STATISTICS = _union(
     [
         f"SELECT '{name}' AS feature, round(m, 4) AS median, round(avg(coalesce(x, m)), 4) AS mean,"
@@ -308,7 +306,7 @@ def _one_hot() -> str:
     filled = ", ".join(f"coalesce(CAST({n} AS DOUBLE), median_{n}) AS {n}" for n in NUMERIC_FEATURES)
     texts = ", ".join(f"coalesce({name}, mode_{name}) AS {name}" for name in STRING_FEATURES)
     scaled = ", ".join(
-        f"round(({n} - avg({n}) OVER ()) / coalesce(nullif(stddev_pop({n}) OVER (), 0), 1), 4) AS {n}"
+        f"round(({n} - avg({n}) OVER ()) / coalesce(nullif(stddev_pop({n}) OVER (), 0), 1), 4) + 0.0 AS {n}"
         for n in NUMERIC_FEATURES
     )
     one_hot = ", ".join(

@@ -254,7 +254,8 @@ def one_hot_features(spark, sf_dir):
     statistics = preprocess.PreprocessorStatistics.of(table, NUMERIC_FEATURES, STRING_FEATURES)
     fitted = preprocess.Pipeline(stages=statistics.stages()).fit(table)
     values = fitted.transform(table).select("user_id", vector_to_array("features").alias("f"))
-    named = [F.round(F.col("f")[at], 4).alias(name) for at, name in enumerate(statistics.feature_names())]
+    # Adding zero turns a rounded negative zero into zero.
+    named = [(F.round(F.col("f")[at], 4) + 0.0).alias(name) for at, name in enumerate(statistics.feature_names())]
     return values.select("user_id", *named)
 
 

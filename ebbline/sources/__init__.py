@@ -3,8 +3,11 @@ from ebbline.sources.shared import scratch_path
 from ebbline.sources.tables import (
     create_snapshot_once,
     ensure_schema,
+    list_schemas,
     list_tables,
+    session_info,
     write_report_csv,
+    write_report_json,
     write_table,
     write_tables,
 )
@@ -13,10 +16,13 @@ __all__ = [
     "RawSchemas",
     "create_snapshot_once",
     "ensure_schema",
+    "list_schemas",
     "list_tables",
     "load_raw_data",
     "scratch_path",
+    "session_info",
     "write_report_csv",
+    "write_report_json",
     "write_table",
     "write_tables",
 ]

@@ -11,6 +11,14 @@ def ensure_schema(spark: SparkSession, catalog: str, schema: str, location: str
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{catalog}`.`{schema}`{place}")
 
 
+def session_info(spark: SparkSession) -> DataFrame:
+    return spark.sql("SELECT current_user() AS user, current_catalog() AS catalog, current_schema() AS schema")
+
+
+def list_schemas(spark: SparkSession, catalog: str) -> DataFrame:
+    return spark.sql(f"SHOW SCHEMAS IN `{catalog}`")
+
+
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {schema}").where(~F.col("isTemporary")).select("tableName")
 
@@ -54,3 +62,7 @@ def create_snapshot_once(df: DataFrame, path: str) -> None:
 def write_report_csv(report: DataFrame, path: str) -> None:
     """One CSV file with a header.  Reports have a handful of rows, so one task writes them."""
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_report_json(report: DataFrame, path: str) -> None:
+    report.coalesce(1).write.mode("overwrite").json(path)

@@ -5,8 +5,17 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from ebbline.operators import models
+from ebbline.operators.runs import get_selected_run_id
 from ebbline.plans import driver_tables, jobs
-from ebbline.sources import RawSchemas, create_snapshot_once, load_raw_data, write_table
+from ebbline.sources import (
+    RawSchemas,
+    create_snapshot_once,
+    list_schemas,
+    list_tables,
+    load_raw_data,
+    session_info,
+    write_table,
+)
 
 AS_OF = dt.date(2024, 2, 1)
 
@@ -30,16 +39,23 @@ def test_from_raw_files_to_a_decision_and_a_drift_report(spark, tmp_path):
     models_path = str(tmp_path / "models")
     runs = jobs.training_job(spark, names, models_path, only=["dummy", "logistic_regression"])
     assert runs.count() == 2
-    as_runs = jobs.read_runs(spark, names)
-    assert as_runs.count() == 2
+    assert jobs.read_records(spark, names, names.runs).count() == 2
 
-    # The decision needs the two forest runs; the recorded rows are relabelled instead of fitting forests.
+    # The decision needs the two forest runs; the recorded rows are renamed instead of fitting forests.
     renamed = runs.withColumn(
         "run_name", F.when(F.col("run_name") == "dummy", "random_forest").otherwise("random_forest_tuned")
     )
-    jobs._append_runs(renamed.withColumn("params.extra", F.lit("x")), names)
+    jobs._append(renamed.withColumn("params.extra", F.lit("x")), names, names.runs)
     decision = jobs.selection_job(spark, names, str(tmp_path / "reports")).first()
     assert decision["selected_model"] in ("random_forest", "random_forest_tuned")
+    chosen = get_selected_run_id(jobs.read_records(spark, names, names.runs))
+    assert chosen == decision["selected_run_id"]
+    model = jobs.load_selected_model(spark, names)
+    rows, _ = jobs.validation_job(gold, model, str(tmp_path / "reloaded"), 10, str(tmp_path / "validation"))
+    assert rows.count() == 10
+    assert spark.read.json(str(tmp_path / "validation" / "summary")).first()["prediction_agreement"] == 1.0
+    predictions = spark.read.option("header", True).csv(str(tmp_path / "validation" / "predictions"))
+    assert predictions.columns == ["sample_row", "prediction", "churn_probability"] and predictions.count() == 10
     comparison = spark.read.option("header", True).csv(str(tmp_path / "reports" / "model_comparison"))
     assert comparison.count() == 2
 
@@ -80,6 +96,13 @@ def test_overwrite_replaces_the_schema_and_buckets_avoid_a_shuffle(spark):
     assert "Exchange" not in plan
 
 
+def test_the_catalog_can_be_listed(spark):
+    write_table(spark.range(2), "default.t_listed")
+    assert session_info(spark).first()["catalog"] == "spark_catalog"
+    assert "default" in [row[0] for row in list_schemas(spark, "spark_catalog").collect()]
+    assert list_tables(spark, "default").where("tableName = 't_listed'").count() == 1
+
+
 def test_snapshot_is_written_once(spark, tmp_path):
     path = str(tmp_path / "snapshot")
     create_snapshot_once(spark.range(3), path)

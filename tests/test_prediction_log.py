@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from ebbline.operators import prediction_log
 from ebbline.streaming import run_available, stream_prediction_metrics
 
@@ -71,6 +73,23 @@ def test_lines_are_sorted_json_and_read_back(spark):
     assert (metrics["total_requests"], metrics["last_request_at"]) == (2, T0)
 
 
+def test_scored_and_refused_rows_become_outcomes(spark):
+    scored = spark.createDataFrame(
+        [("u1", 1, 0.75, "churn", "3"), ("u2", 0, 0.25, "churn", "3")],
+        "user_id string, prediction int, churn_probability double, model_name string, model_version string",
+    )
+    good = prediction_log.successes(scored, F.lit(12.0))
+    bad = prediction_log.failures(
+        scored.limit(1), F.lit(24.0), F.lit("RuntimeError"), {"model_name": "churn", "model_version": "3"}
+    )
+    outcomes = good.unionByName(bad)
+    assert "user_id" not in outcomes.columns
+    assert outcomes.select("request_id").distinct().count() == 3
+    row = prediction_log.prediction_metrics(outcomes).first()
+    assert (row["total_requests"], row["failed_predictions"], row["predicted_churn_rate"]) == (3, 1, 0.5)
+    assert (row["average_churn_probability"], row["average_latency_ms"]) == (0.5, 16.0)
+
+
 def test_stream_equals_batch_and_goes_on_after_a_stop(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / name) for name in ("log", "totals", "checkpoint"))
 
