@@ -23,22 +23,37 @@ def aggregate_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def aggregate_events(events: DataFrame, treat_unknown_as_null: bool = False) -> DataFrame:
-    """Event measures per user; ``platform`` is that of the earliest event that has one.
+def event_parts(events: DataFrame, treat_unknown_as_null: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Event measures and session counts, each one row per user.
 
-    The distinct session count makes Spark group by (user, session) first, so the events of one very
-    active user are spread over many tasks before they meet.
+    Sessions are counted apart.  Counting distinct values makes Spark group by (user, session) first, which
+    spreads the events of one very active user over many tasks but would carry the platform texts through
+    that grouping too.  Each part reads its own columns and ends up partitioned by user.
     """
     platform = F.col("platform")
     if treat_unknown_as_null:
         platform = F.nullif(platform, F.lit(UNKNOWN))
     position = F.when(platform.isNotNull(), F.struct("event_time", "event_id"))
-    return events.groupBy("user_id").agg(
+    by_user = events.groupBy("user_id")
+    measures = by_user.agg(
         F.count("event_id").alias("event_count"),
-        F.count_distinct("session_id").alias("session_count"),
         F.min_by(platform, position).alias("platform"),
         F.max("event_time").alias("last_event"),
     )
+    return measures, by_user.agg(F.count_distinct("session_id").alias("session_count"))
+
+
+def aggregate_events(events: DataFrame, treat_unknown_as_null: bool = False) -> DataFrame:
+    """Event measures per user; ``platform`` is that of the earliest event that has one.
+
+    Events without a user, which cleaning drops, are a group of their own here.
+    """
+    measures, sessions = event_parts(events, treat_unknown_as_null)
+    sessions = sessions.withColumnRenamed("user_id", "session_user")
+    same_user = F.col("user_id").eqNullSafe(F.col("session_user"))
+    return measures.join(sessions, same_user).select(
+        "user_id", "event_count", "session_count", "platform", "last_event"
+    )
 
 
 def build_customer_features(
@@ -54,13 +69,12 @@ def build_customer_features(
     without orders or events: null means "never".
     """
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    # Only rows with a user can meet a user.  The three aggregates are partitioned alike, so these joins need
+    # no further exchange.
+    measures, sessions = event_parts(events.where("user_id IS NOT NULL"), treat_unknown_as_null)
     activity = (
         aggregate_orders(orders.where("user_id IS NOT NULL"))
-        .join(
-            aggregate_events(events.where("user_id IS NOT NULL"), treat_unknown_as_null),
-            "user_id",
-            "full",
-        )
+        .join(measures.join(sessions, "user_id"), "user_id", "full")
         .withColumn("user_hash", F.xxhash64("user_id"))
     )
     # The hash in the join key makes Spark exchange both sides right below this join.  Only there can

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PREFIX_DIGITS = 4  # 65,536 prefixes: the counts that reach the driver are bounded by twice that
+PREFIX_DIGITS = 3  # 4,096 prefixes: the counts that reach the driver are bounded by twice that
 CLASSES = (0, 1)
 
 
