@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession

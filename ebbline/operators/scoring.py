@@ -97,8 +97,9 @@ def agreement(
     Both sides are stacked and grouped by id rather than joined: a null or repeated id then costs one combined
     row instead of pairs.  Such ids cannot be paired row by row and are counted apart.
     """
-    sides = first.select(F.col(id_column).alias("id"), F.col(prediction).alias("a"), F.lit(None).cast("int").alias("b"))
-    other = second.select(F.col(id_column).alias("id"), F.lit(None).cast("int").alias("a"), F.col(prediction).alias("b"))
+    row_id, guess, nothing = F.col(id_column).alias("id"), F.col(prediction), F.lit(None).cast("int")
+    sides = first.select(row_id, guess.alias("a"), nothing.alias("b"))
+    other = second.select(row_id, nothing.alias("a"), guess.alias("b"))
     per_id = (
         sides.withColumn("in_a", F.lit(1))
         .withColumn("in_b", F.lit(0))

@@ -406,7 +406,8 @@ log AS (
 LOG_RECORDS = """
 SELECT round(churn_probability, 6) AS churn_probability, CASE WHEN NOT ok THEN 'RuntimeError' END AS error_type,
   'prediction' AS event, round(latency_ms, 2) AS latency_ms, 'churn_model' AS model_name, '1' AS model_version,
-  prediction, request_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, date_trunc('millisecond', ts) AS timestamp
+  prediction, request_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status,
+  date_trunc('millisecond', ts) AS timestamp
 FROM log"""
 
 METRICS = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -252,7 +252,7 @@ def category_modes(spark, sf_dir):
 def one_hot_features(spark, sf_dir):
     table = gold_table(spark, sf_dir)
     statistics = preprocess.PreprocessorStatistics.of(table, NUMERIC_FEATURES, STRING_FEATURES)
-    fitted = preprocess.Pipeline(stages=statistics.stages()).fit(table)
+    fitted = Pipeline(stages=statistics.stages()).fit(table)
     values = fitted.transform(table).select("user_id", vector_to_array("features").alias("f"))
     # Adding zero turns a rounded negative zero into zero.
     named = [(F.round(F.col("f")[at], 4) + 0.0).alias(name) for at, name in enumerate(statistics.feature_names())]
