@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import quality
+from ebbline.llm import decontaminate, packing, quality, simhash
 from ebbline.llm.common import table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rows.select(
@@ -17,8 +23,23 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return packed.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op5_quality": op5_quality,
+    "op6_decontaminate": op6_decontaminate,
+    "op10_packing": op10_packing,
 }
 
 #: SQL for the queries that it can express.
