@@ -105,6 +105,3 @@ def row_struct(df: DataFrame, *more) -> DataFrame:
     """``df`` as one column ``row``, so that further columns cannot clash with those it has."""
     return df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("row"), *more)
 
-
-def unpacked(df: DataFrame) -> DataFrame:
-    return df.select("row.*")

@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import per_text
+from ebbline.llm.common import per_text, row_struct
 
 CHARS_PER_EDIT = 12
 BLOCK_CHARS = 4_000_000
@@ -193,7 +193,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """The rows of ``docs`` in which no item is found, in the columns of ``docs``."""
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     columns = [column.alias(f"found_{at}") for at, (_, column) in enumerate(leak_columns(benchmark, F.col("text"), chars_per_edit))]
     clean = " AND ".join(f"size(found_{at}) = 0" for at in range(len(columns)))
-    return docs.select(row, *columns).where(clean).select("row.*")
+    return row_struct(docs, *columns).where(clean).select("row.*")

@@ -35,7 +35,7 @@ LENGTH = 1024
 END_ID = 0
 SENTENCE = 1
 INSIDE = 8
-EACH = 2
+EACH = 16
 #: Encoded words kept in a Python worker; the cache is emptied when it is full.
 CACHED_WORDS = 400_000
 #: Where the two regex libraries' Unicode versions differ in what is a letter or number (found by trying every code point), widened

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbline.llm.common import WordBlock, blocks, codes_of, collected, per_text
+from ebbline.llm.common import WordBlock, blocks, codes_of, collected, per_text, row_struct
 
 BUCKET_BITS = 18
 #: At most so many labelled rows fit the target, those with the smallest hash of the id.  The raw side has no bound.
@@ -161,3 +161,10 @@ def judge_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame
     """``doc_id`` and the signals of every row of ``docs``."""
     model = fit_quality(docs, labels, **settings)
     return docs.select(F.col("doc_id"), model.signals(F.col("text")).alias("s")).select("doc_id", "s.*")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that are kept, in the columns of ``docs``."""
+    model = fit_quality(docs, labels, **settings)
+    rows = row_struct(docs, model.signals(F.col("text")).alias("signals"))
+    return rows.where("signals.kept").select("row.*")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import per_text, stored
+from ebbline.llm.common import per_text, row_struct, stored
 from ebbline.llm.graph import components
 
 SEED = 42
@@ -188,6 +188,6 @@ def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFr
     classes = component_of_fingerprints(rows, bits)
     first = classes.where("component_id IS NOT NULL").select(F.col("component_id").alias("kept_id")).distinct()
     named = docs.join(first, docs["doc_id"] == first["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    bare = docs.where("doc_id IS NULL").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), fingerprint(F.col("text"), words).alias("fp"))
+    bare = row_struct(docs.where("doc_id IS NULL"), fingerprint(F.col("text"), words).alias("fp"))
     alone = bare.join(classes.where("component_id IS NULL"), "fp").dropDuplicates(["fp_root"]).select("row.*")
     return named.unionByName(alone)

@@ -91,7 +91,8 @@ def build_level(keys: DataFrame, level: int) -> Level:
     if not sizes:
         return out
     bits = F.element_at(F.create_map(*[F.lit(x) for pair in out.bits.items() for x in pair]), F.col("shard"))
-    at = keys.select("shard", F.pmod(F.explode(_hashes(F.col("key"), level)), bits.cast("long")).alias("at"))
+    at = keys.select("shard", F.explode(_hashes(F.col("key"), level)).alias("hash"))
+    at = at.select("shard", F.pmod("hash", bits.cast("long")).alias("at"))
     words = at.groupBy("shard", F.shiftright("at", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("value")
     )
