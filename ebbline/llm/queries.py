@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import chat, decontaminate, htmltext, licences, packing, quality, simhash, urlfilter, warc
+from ebbline.llm import chat, decontaminate, htmltext, licences, mixing, packing, quality, simhash, urlfilter, warc
 from ebbline.llm.common import stored, table
 from ebbline.sources import scratch_path
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
@@ -74,6 +78,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op4_urls": op4_urls,
