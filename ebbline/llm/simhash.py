@@ -144,11 +144,12 @@ def links(distinct: DataFrame, bits: int = BITS, chunk: int = CHUNK) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     entered = distinct.select("fp").mapInArrow(enter, "cell long, fp long")
-    crowd = entered.groupBy("cell").count().where("count > 1").withColumn("chunks", F.ceil(F.col("count") / chunk))
-    mine = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    crowd = entered.groupBy("cell").count().where(F.col("count") > chunk)
+    chunks = crowd.select("cell", F.ceil(F.col("count") / chunk).alias("chunks"))
+    mine = F.coalesce(F.pmod(F.xxhash64("fp"), F.col("chunks")), F.lit(0))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1))
     grouped = (
-        entered.join(crowd, "cell")
+        entered.join(chunks, "cell", "left")
         .select("cell", "fp", mine.alias("mine"), other.alias("other"))
         .groupBy("cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
         .agg(F.collect_list("fp").alias("fps"))
