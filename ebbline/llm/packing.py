@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import blocks, codes_of
+from ebbline.llm.common import blocks
 
 LENGTH = 1024
 END_ID = 0
@@ -76,9 +76,9 @@ class Encoder:
             words += own
             words.append("")
             sizes.append(len(own) + 1)
-        flat = np.empty(len(words), object)
-        flat[:] = words
-        codes, distinct = codes_of(flat)
+        place: dict[str, int] = {}
+        codes = np.fromiter((place.setdefault(word, len(place)) for word in words), np.int64, len(words))
+        distinct = list(place)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         new = [word for word in distinct if word and word not in self.known and len(word) < 64]

@@ -1,0 +1,51 @@
+import __spark_entry__ as entry
+import corpus_pipeline as pipeline
+import pytest
+
+from cases import odd_documents, same_columns
+from conftest import SMALL
+from ebbline.llm import decontaminate, quality, simhash
+from ebbline.llm.common import stored
+from test_llm_simhash import brute_rows
+
+
+def test_stages_and_registration():
+    assert [name for name, _ in pipeline.STAGES] == ["quality_rules", "near_duplicates", "benchmark_decontamination", "packing"]
+    assert entry.queries()["pipeline"] is pipeline.run
+    numbers = {name.split("_")[0] for name in entry.queries() if name.startswith("op")}
+    assert numbers == {f"op{n}" for n in range(1, 11)}
+
+
+def test_run_equals_brute_force(spark):
+    """Each stage against the operator's verdicts, which have brute-force tests of their own."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = {row.doc_id: row.text for row in docs.collect()}
+    kept = {row.doc_id for row in quality.judge_documents(docs, spark.read.parquet(f"{SMALL}/labels.parquet")).collect() if row.kept}
+    first = {doc_id for doc_id, _, component in brute_rows([(i, texts[i]) for i in kept]) if doc_id == component}
+    items = [decontaminate.plain(row.text) for row in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    clean = {i for i in first if not any(item in decontaminate.plain(texts[i]) for item in items)}
+    pieces = pipeline.run(spark, SMALL).collect()
+    found = {piece.doc_id for piece in pieces}
+    assert found <= clean and len(clean - found) <= 2  # the rest would be passages with edits
+    sizes = {}
+    for piece in pieces:
+        sizes[piece.doc_id] = sizes.get(piece.doc_id, 0) + piece.length
+    assert all(sizes[piece.doc_id] == piece.doc_tokens for piece in pieces)
+
+
+@pytest.mark.parametrize("rows", [None, []])
+def test_stages_take_odd_and_empty_tables(spark, rows):
+    docs = odd_documents(spark, rows)
+    given = docs
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stored(stage(spark, docs, SMALL), name)
+        assert same_columns(out, given)
+        assert out.count() <= docs.count()
+        docs = out
+    assert pipeline.STAGES[-1][1](spark, docs, SMALL).select("doc_id").distinct().count() == docs.count()
+
+
+def test_near_duplicates_in_the_pipeline_keep_one(spark):
+    docs = odd_documents(spark, [(5, "one two three four five six"), (3, "One two three four five six"), (9, "something else entirely here now then")])
+    kept = pipeline.near_duplicates(spark, docs, SMALL).collect()
+    assert sorted(row.doc_id for row in kept) == [3, 9] and simhash.BITS == 4
