@@ -1,10 +1,11 @@
 """Order-preserving packing by dynamic programming.
 
 Documents become token ids, each followed by an end id, and form one stream in the order in which a partition holds
-them.  The stream is cut into sequences of at most ``length`` ids.  Cuts are allowed at document ends, at sentence
-ends, ``length`` ids behind either of these, and every ``length`` ids inside a run without any.  A cut costs nothing at
-a document end, ``SENTENCE`` at a sentence end and ``INSIDE`` elsewhere; a sequence costs its padding, none where its
-size is a power of two, and ``EACH`` so that short sequences do not pay off by themselves.  The cheapest cuts follow from
+them.  The stream is cut into sequences of at most ``length`` ids.  Cuts are allowed at document ends, at the first sentence
+end in each ``length / SENTENCES`` ids, ``length`` ids behind either of these, and every ``length`` ids inside a run without any.  A cut
+costs nothing at a document end, ``SENTENCE`` at a sentence end and ``INSIDE`` elsewhere; a sequence costs its padding, none where its
+size is a power of two from ``length / FEWEST`` on, and ``EACH`` so that short sequences do not pay off by themselves.  The cheapest cuts
+follow from
 
     f(j) = cut(j) + EACH + min( min over j - length <= i < j of f(i) + length - (j - i),  min over powers p of f(j - p) )
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,12 @@ from ebbline.llm.common import blocks
 LENGTH = 1024
 END_ID = 0
 SENTENCE = 1
-INSIDE = 8
-EACH = 16
+INSIDE = 6
+EACH = 8
+#: Sentence ends that may be cuts in a full sequence's length: the first in each such part of it.
+SENTENCES = 64
+#: A full sequence's length divided by the smallest power of two that is sought as a sequence's size.
+FEWEST = 16
 #: Encoded words kept in a Python worker; the cache is emptied when it is full.
 CACHED_WORDS = 400_000
 #: Where the two regex libraries' Unicode versions differ in what is a letter or number (found by trying every code point), widened
@@ -57,19 +63,37 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.split = regex.compile(pattern).findall
-        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = regex.compile("|".join([*map(regex.escape, special), NEWER_LETTERS])).search
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = regex.compile("|".join([*map(regex.escape, self.special), NEWER_LETTERS])).search
+        self.known: dict[str, list[int]] = {}
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def learn(self, words: list[str]):
+        """Add the ids of words.  Many are encoded as one text, set apart by line breaks, which are words of their own."""
+        solid = [word for word in words if not word.isspace()]
+        groups = [solid[at : at + 1000] for at in range(0, len(solid), 1000)]
+        for group, ids in zip(groups, self.ids(["\n".join(group) for group in groups])):
+            ids = np.array(ids, np.int64)
+            ends = np.append(np.flatnonzero(ids == self.line_break), len(ids))
+            if len(ends) != len(group):
+                self.known.update(zip(group, self.ids(group)))
+                continue
+            flat, start = ids.tolist(), 0
+            for word, end in zip(group, ends.tolist()):
+                self.known[word] = flat[start:end]
+                start = end + 1
+        spaces = [word for word in words if word.isspace()]
+        self.known.update(zip(spaces, self.ids(spaces)))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts with their end ids, the number of ids of each text, and the places behind sentence ends."""
         words: list[str] = []
         sizes = []
         for text in texts:
-            if self.whole(text):
+            if not (text.isascii() and not any(mark in text for mark in self.special)) and self.whole(text):
                 own = [text] if text else []
             else:
                 own = self.split(text)
@@ -77,15 +101,17 @@ class Encoder:
             words.append("")
             sizes.append(len(own) + 1)
         place: dict[str, int] = {}
-        codes = np.fromiter((place.setdefault(word, len(place)) for word in words), np.int64, len(words))
+        firsts = np.fromiter(map(place.setdefault, words, count()), np.int64, len(words))
         distinct = list(place)
+        number = np.zeros(len(words), np.int64)
+        number[list(place.values())] = np.arange(len(place))
+        codes = number[firsts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = [word for word in distinct if word and word not in self.known and len(word) < 64]
-        self.known.update(zip(new, self.ids(new)))
+        self.learn([word for word in distinct if word and word not in self.known and len(word) < 64])
         coded = [self.known[word] if word in self.known else self.ids([word])[0] if word else [END_ID] for word in distinct]
         lengths = np.array([len(own) for own in coded], np.int64)
-        pool = np.fromiter((one for own in coded for one in own), np.uint32, int(lengths.sum()))
+        pool = np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum()))
         starts = np.cumsum(lengths) - lengths
         per_word = lengths[codes]
         ends = np.cumsum(per_word)
@@ -96,10 +122,27 @@ class Encoder:
         return ids, totals, ends[stops[codes]] if len(codes) else ends
 
 
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(path: str, pattern: str) -> Encoder:
+    """The encoder of a Python worker, kept with its cache from task to task."""
+    if (path, pattern) not in _encoders:
+        _encoders[path, pattern] = Encoder(path, pattern)
+    return _encoders[path, pattern]
+
+
+def spaced_out(places: np.ndarray, gap: int) -> np.ndarray:
+    """The first of the places in every ``gap`` ids."""
+    cells = places // max(1, gap)
+    return places[np.flatnonzero(np.diff(cells, prepend=-1))] if len(places) else places
+
+
 def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Allowed cuts in order, the start included, and what each costs."""
     total = int(doc_ends[-1])
-    natural = np.union1d(np.concatenate([[0], doc_ends]), sentence_ends)
+    sentence_ends = spaced_out(sentence_ends, length // SENTENCES)
+    natural = np.unique(np.concatenate([[0], doc_ends, sentence_ends]))
     gaps = np.diff(natural)
     wide = np.flatnonzero(gaps > length)
     forced = [natural[at] + length * np.arange(1, gaps[at] // length + 1) for at in wide]
@@ -111,17 +154,19 @@ def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, length: int) ->
     return places, cost
 
 
+def places_before(places: np.ndarray, gap: int) -> np.ndarray:
+    """For each place the number of the place exactly ``gap`` ids before it, -1 if that is none."""
+    known = np.full(int(places[-1]) + 1, -1, np.int64)
+    known[places] = np.arange(len(places))
+    want = places - gap
+    return np.where(want >= 0, known[np.maximum(want, 0)], -1)
+
+
 def best_cuts(places: np.ndarray, cost: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """The cuts of least total cost, the last place included."""
     n = len(places)
-    exact: dict[int, list[int]] = {}
-    power = 1
-    while power <= length:
-        want = places - power
-        at = np.searchsorted(places, want)
-        for j in np.flatnonzero((want >= 0) & (places[np.minimum(at, n - 1)] == want)):
-            exact.setdefault(int(j), []).append(int(at[j]))
-        power *= 2
+    powers = [1 << bit for bit in range(length.bit_length()) if length // FEWEST <= 1 << bit <= length]
+    back = [places_before(places, power).tolist() for power in powers]
     at, price = places.tolist(), cost.tolist()
     best, key, came = [0] * n, [0] * n, [0] * n
     queue, head = [0], 0
@@ -132,8 +177,9 @@ def best_cuts(places: np.ndarray, cost: np.ndarray, length: int = LENGTH) -> np.
             head += 1
         i = queue[head]
         least = key[i] + length - place
-        for other in exact.get(j, ()):
-            if best[other] < least:
+        for before in back:
+            other = before[j]
+            if other >= 0 and best[other] < least:
                 least, i = best[other], other
         least += price[j] + EACH
         best[j], came[j] = least, i
@@ -158,7 +204,7 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGT
     ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence, and the ids themselves as ``ids``."""
 
     def solve(batches):
-        encoder = Encoder(tokenizer_path, pattern)
+        encoder = encoder_of(tokenizer_path, pattern)
         sequence = TaskContext.get().partitionId() << 33
         for batch, raw in blocks(batches, "text"):
             ids, totals, stops = encoder.encode([text.decode() for text in raw])
