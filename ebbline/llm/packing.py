@@ -21,8 +21,9 @@ gives no rows; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +44,25 @@ SENTENCES = 64
 #: A full sequence's length divided by the smallest power of two that is sought as a sequence's size.
 FEWEST = 16
 #: Encoded words kept in a Python worker; the cache is emptied when it is full.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+#: Letters beyond ASCII that lie in unbroken ranges.
+PLAIN_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 #: Where the two regex libraries' Unicode versions differ in what is a letter or number (found by trying every code point), widened
 #: to whole ranges.
 NEWER_LETTERS = r"[\u0530-\u058f\u0880-\u088f\u0c5c\u0cdc\u2080-\u209f\ua7c0-\ua7ff\uab60-\uab6f\U00010000-\U0010ffff]"
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+def plain_pattern(pattern: str) -> str:
+    """The splitting rule for texts of ASCII and ``PLAIN_LETTERS`` alone, without Unicode classes: twice as fast."""
+    letters, digits = (r"\p{L}", PLAIN_LETTERS + "A-Za-z"), (r"\p{N}", "0-9")
+    inside = re.sub(r"\[[^\]]*\]", lambda found: found[0].replace(*letters).replace(*digits), pattern)
+    return inside.replace(letters[0], f"[{letters[1]}]").replace(digits[0], f"[{digits[1]}]")
+
+
 class Encoder:
     """Ids of texts as ``tokenizers`` gives them, found once per distinct word of a block.
 
@@ -63,9 +77,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.split = regex.compile(pattern).findall
+        self.split_plain = re.compile(plain_pattern(pattern)).findall
+        self.not_plain = re.compile(rf"[^\x00-\x1b\x20-\x7f{PLAIN_LETTERS}]").search
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = regex.compile("|".join([*map(regex.escape, self.special), NEWER_LETTERS])).search
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def ids(self, texts: list[str]) -> list[list[int]]:
@@ -79,21 +95,25 @@ class Encoder:
             ids = np.array(ids, np.int64)
             ends = np.append(np.flatnonzero(ids == self.line_break), len(ids))
             if len(ends) != len(group):
-                self.known.update(zip(group, self.ids(group)))
+                self.learn_each(group)
                 continue
-            flat, start = ids.tolist(), 0
-            for word, end in zip(group, ends.tolist()):
+            flat, start = ids.astype("<u4").tobytes(), 0
+            for word, end in zip(group, (4 * ends).tolist()):
                 self.known[word] = flat[start:end]
-                start = end + 1
-        spaces = [word for word in words if word.isspace()]
-        self.known.update(zip(spaces, self.ids(spaces)))
+                start = end + 4
+        self.learn_each([word for word in words if word.isspace()])
+
+    def learn_each(self, words: list[str]):
+        self.known.update((word, packed(ids)) for word, ids in zip(words, self.ids(words)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts with their end ids, the number of ids of each text, and the places behind sentence ends."""
         words: list[str] = []
         sizes = []
         for text in texts:
-            if not (text.isascii() and not any(mark in text for mark in self.special)) and self.whole(text):
+            if not any(mark in text for mark in self.special) and not self.not_plain(text):
+                own = self.split_plain(text)
+            elif self.whole(text):
                 own = [text] if text else []
             else:
                 own = self.split(text)
@@ -109,9 +129,10 @@ class Encoder:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         self.learn([word for word in distinct if word and word not in self.known and len(word) < 64])
-        coded = [self.known[word] if word in self.known else self.ids([word])[0] if word else [END_ID] for word in distinct]
-        lengths = np.array([len(own) for own in coded], np.int64)
-        pool = np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum()))
+        end_id = packed([END_ID])
+        coded = [self.known.get(word) or (packed(self.ids([word])[0]) if word else end_id) for word in distinct]
+        lengths = np.array([len(own) >> 2 for own in coded], np.int64)
+        pool = np.frombuffer(b"".join(coded), "<u4")
         starts = np.cumsum(lengths) - lengths
         per_word = lengths[codes]
         ends = np.cumsum(per_word)
