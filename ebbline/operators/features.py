@@ -23,36 +23,31 @@ def aggregate_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def event_parts(events: DataFrame, treat_unknown_as_null: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Event measures and session counts, each one row per user.
+def aggregate_events(events: DataFrame, treat_unknown_as_null: bool = False) -> DataFrame:
+    """Event measures per user; ``platform`` is that of the earliest event that has one, the smallest of equally early.
 
-    Sessions are counted apart.  Counting distinct values makes Spark group by (user, session) first, which
-    spreads the events of one very active user over many tasks but would carry the platform texts through
-    that grouping too.  Each part reads its own columns and ends up partitioned by user.
+    Raw events are read once and meet only fixed-width buffers, so each task combines them by hashing, never by sorting; as
+    the session is part of that first key, the events of one very active user spread over many tasks.  What is
+    left is a row per session and platform, then one per session, then one per user.  Events without a user,
+    which cleaning drops, are a group of their own here.
     """
     platform = F.col("platform")
     if treat_unknown_as_null:
         platform = F.nullif(platform, F.lit(UNKNOWN))
-    position = F.when(platform.isNotNull(), F.struct("event_time", "event_id"))
-    by_user = events.groupBy("user_id")
-    measures = by_user.agg(
+    earliest = F.min_by("platform", F.when(F.col("platform").isNotNull(), F.struct("first_event", "platform")))
+    first = F.min(F.when(F.col("platform").isNotNull(), F.col("first_event")))
+    counted = F.sum("event_count").alias("event_count")
+    last = F.max("last_event").alias("last_event")
+    by_platform = events.groupBy("user_id", "session_id", platform.alias("platform")).agg(
         F.count("event_id").alias("event_count"),
-        F.min_by(platform, position).alias("platform"),
+        F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
     )
-    return measures, by_user.agg(F.count_distinct("session_id").alias("session_count"))
-
-
-def aggregate_events(events: DataFrame, treat_unknown_as_null: bool = False) -> DataFrame:
-    """Event measures per user; ``platform`` is that of the earliest event that has one.
-
-    Events without a user, which cleaning drops, are a group of their own here.
-    """
-    measures, sessions = event_parts(events, treat_unknown_as_null)
-    sessions = sessions.withColumnRenamed("user_id", "session_user")
-    same_user = F.col("user_id").eqNullSafe(F.col("session_user"))
-    return measures.join(sessions, same_user).select(
-        "user_id", "event_count", "session_count", "platform", "last_event"
+    by_session = by_platform.groupBy("user_id", "session_id").agg(
+        counted, earliest.alias("platform"), first.alias("first_event"), last
+    )
+    return by_session.groupBy("user_id").agg(
+        counted, F.count("session_id").alias("session_count"), earliest.alias("platform"), last
     )
 
 
@@ -69,12 +64,11 @@ def build_customer_features(
     without orders or events: null means "never".
     """
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    # Only rows with a user can meet a user.  The three aggregates are partitioned alike, so these joins need
-    # no further exchange.
-    measures, sessions = event_parts(events.where("user_id IS NOT NULL"), treat_unknown_as_null)
+    # Only rows with a user can meet a user.  Both aggregates are partitioned alike, so this join needs no
+    # further exchange.
     activity = (
         aggregate_orders(orders.where("user_id IS NOT NULL"))
-        .join(measures.join(sessions, "user_id"), "user_id", "full")
+        .join(aggregate_events(events.where("user_id IS NOT NULL"), treat_unknown_as_null), "user_id", "full")
         .withColumn("user_hash", F.xxhash64("user_id"))
     )
     # The hash in the join key makes Spark exchange both sides right below this join.  Only there can

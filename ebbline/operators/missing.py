@@ -24,7 +24,7 @@ def get_missing_values(df: DataFrame, only_missing: bool = False) -> DataFrame:
         ).alias("profile"),
     )
     rows = F.when(F.col("row_total") > 0, F.col("row_total")).otherwise(
-        F.raise_error(F.lit("The DataFrame contains no rows.")).cast("long")
+        F.raise_error(F.lit("no rows to profile")).cast("long")
     )
     profile = (
         totals.select(rows.alias("row_total"), F.inline("profile"))

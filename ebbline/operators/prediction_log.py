@@ -17,6 +17,8 @@ LOG_SCHEMA = (
 )
 # End of fixed values.
 
+#: Spark's JSON functions cut times to milliseconds unless told otherwise.
+FULL_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 MODEL = ("model_name", "model_version")
 
 
@@ -70,13 +72,13 @@ def to_log_records(outcomes: DataFrame) -> DataFrame:
 
 def to_log_lines(outcomes: DataFrame, prefix: str = LOG_PREFIX) -> DataFrame:
     """One text line per record: a JSON object with sorted keys and without null fields."""
-    records = to_log_records(outcomes)
-    return records.select(F.concat(F.lit(prefix), F.to_json(F.struct(*sorted(records.columns)))).alias("value"))
+    records = to_log_records(outcomes).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return records.select(F.concat(F.lit(prefix), F.to_json(F.struct(*sorted(records.columns)), FULL_TIMES)).alias("value"))
 
 
 def from_log_lines(lines: DataFrame, prefix: str = LOG_PREFIX) -> DataFrame:
     """Records of the lines that carry the prefix."""
-    record = F.from_json(F.substring("value", len(prefix) + 1, 2**31 - 1), LOG_SCHEMA)
+    record = F.from_json(F.substring("value", len(prefix) + 1, 2**31 - 1), LOG_SCHEMA, FULL_TIMES)
     return lines.where(F.col("value").startswith(prefix)).select(record.alias("record")).select("record.*")
 
 

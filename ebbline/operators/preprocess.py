@@ -6,17 +6,16 @@ assembler, so it can be saved, loaded and applied in one narrow pass.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from ebbline.operators.quantiles import ValueHistogram
 
-MAX_CATEGORIES = 100_000
 LABEL_MARK = "="  # keeps an empty text a valid label
 
 
@@ -88,21 +87,36 @@ class PreprocessorStatistics:
     numeric: dict[str, tuple[float, float, float]]
     categories: dict[str, list[str]]
     modes: dict[str, str]
+    hashed: dict[str, int] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, df: DataFrame, numeric: list[str], categorical: list[str]) -> PreprocessorStatistics:
+    def of(
+        cls,
+        df: DataFrame,
+        numeric: list[str],
+        categorical: list[str],
+        hashed: dict[str, int] | None = None,
+        max_categories: int | None = None,
+    ) -> PreprocessorStatistics:
+        hashed = hashed or {}
         found = numeric_statistics(df, numeric).collect() if numeric else []
         by_name = {row["feature"]: (row["median"], row["mean"], row["std"]) for row in found}
-        categories, modes = cls._categories(df, categorical) if categorical else ({}, {})
-        return cls({name: by_name[name] for name in numeric if name in by_name}, categories, modes)
+        listed = [name for name in categorical if name not in hashed]
+        categories, modes = cls._categories(df, listed, max_categories) if listed else ({}, {})
+        if hashed:
+            found = category_modes(df, list(hashed)).collect()
+            modes |= {row["feature"]: row["mode"] for row in found if row["mode"] is not None}
+        widths = {name: width for name, width in hashed.items() if name in modes}
+        return cls({name: by_name[name] for name in numeric if name in by_name}, categories, modes, widths)
 
     @staticmethod
-    def _categories(df: DataFrame, columns: list[str]) -> tuple[dict, dict]:
-        """The encoder's dictionary lives in the model, so its size is checked before it is fetched."""
+    def _categories(df: DataFrame, columns: list[str], max_categories: int | None) -> tuple[dict, dict]:
+        """The encoder's dictionary lives in the model; a bound that the caller states is checked before it is fetched."""
         counts = category_counts(df, columns)
-        for row in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("size")).collect():
-            if row["size"] > MAX_CATEGORIES:
-                raise ValueError(f"{row['feature']} has too many categories to encode: {row['size']}")
+        if max_categories is not None:
+            for row in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("size")).collect():
+                if row["size"] > max_categories:
+                    raise ValueError(f"{row['feature']} has {row['size']} categories, more than the stated {max_categories}")
         found: dict[str, dict[str, int]] = {}
         for row in counts.collect():
             found.setdefault(row["feature"], {})[row["category"]] = row["entries"]
@@ -145,26 +159,45 @@ class PreprocessorStatistics:
                 )
             )
             vector_parts += [f"one_hot_{name}" for name in names]
+        for name, width in self.hashed.items():
+            stages.append(FeatureHasher(inputCols=[f"filled_{name}"], outputCol=f"hashed_{name}", numFeatures=width))
+            vector_parts.append(f"hashed_{name}")
         stages.append(VectorAssembler(inputCols=vector_parts, outputCol="features"))
         return stages
 
     def feature_names(self) -> list[str]:
         one_hot = [f"{name}={category}" for name, found in self.categories.items() for category in found]
-        return list(self.numeric) + one_hot
+        hashed = [f"{name}#{at}" for name, width in self.hashed.items() for at in range(width)]
+        return list(self.numeric) + one_hot + hashed
 
 
 class Preprocessor(Estimator):
-    """Numeric columns: median, then standard score.  Other columns: mode, then one-hot."""
-
-    def __init__(self, numeric: list[str], categorical: list[str]) -> None:
+    """Numeric columns: median, then standard score.  Other columns: mode, then one-hot, or hashing where it is chosen."""
+
+    def __init__(
+        self,
+        numeric: list[str],
+        categorical: list[str],
+        hashed: dict[str, int] | None = None,
+        max_categories: int | None = None,
+    ) -> None:
         super().__init__()
         self.numeric, self.categorical = numeric, categorical
+        self.hashed, self.max_categories = hashed, max_categories
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        statistics = PreprocessorStatistics.of(dataset, self.numeric, self.categorical)
+        statistics = PreprocessorStatistics.of(
+            dataset, self.numeric, self.categorical, self.hashed, self.max_categories
+        )
         return Pipeline(stages=statistics.stages()).fit(dataset)
 
 
-def build_preprocessor(features: DataFrame) -> Preprocessor:
-    """Columns are assigned by type: numbers and booleans are scaled, everything else is encoded."""
-    return Preprocessor(numeric_columns(features), category_columns(features))
+def build_preprocessor(
+    features: DataFrame, hashed: dict[str, int] | None = None, max_categories: int | None = None
+) -> Preprocessor:
+    """Columns are assigned by type: numbers and booleans are scaled, everything else is encoded.
+
+    ``hashed`` names text columns, with a width each, that are hashed instead of listed in a dictionary; the choice is the caller's and
+    never depends on the data.  ``max_categories`` refuses longer dictionaries; without it there is no bound.
+    """
+    return Preprocessor(numeric_columns(features), category_columns(features), hashed, max_categories)

@@ -16,8 +16,11 @@ def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False
         counted = df.agg(*[F.approx_count_distinct(name).alias(name) for name in columns])
         return counted.unpivot([], columns, "column", "distinct_values")
     texts = df.select([F.col(name).cast("string").alias(name) for name in columns])
+    # A null for each column gives one without any row its line, and is not counted.
+    always = df.sparkSession.createDataFrame([(name, None) for name in columns], "column string, value string")
     return (
         texts.unpivot([], columns, "column", "value")
+        .unionByName(always)
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
         .groupBy("column")

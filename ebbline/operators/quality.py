@@ -46,18 +46,21 @@ def validate_training_data(
     """Raise on the first broken rule.  ``require_labels`` also refuses null labels, as training does."""
     absent = sorted({id_column, target_column} - set(df.columns))
     if absent:
-        raise ValueError(f"Missing required columns: {absent}")
+        raise ValueError(f"the table lacks the columns {absent}")
     found = {row["rule"]: row["violations"] for row in training_data_rules(df, id_column, target_column).collect()}
     if found["table_not_empty"]:
-        raise ValueError("Training data is empty.")
+        raise ValueError("there is no row to train on")
     if found["id_not_null"] or found["id_unique"]:
-        raise ValueError(f"{id_column} must be non-null and unique.")
+        raise ValueError(
+            f"{id_column} is not unique: {found['id_not_null']} rows without a value, {found['id_unique']} that repeat one"
+        )
     if found["label_present"] or found["label_binary"]:
-        examples = df.select(target_column).where(F.col(target_column).isNotNull()).distinct()
-        shown = [row[0] for row in examples.orderBy(target_column).limit(10).collect()]
-        raise ValueError(f"{target_column} must be binary, got {shown}")
+        raise ValueError(
+            f"{target_column} is not binary: {found['label_binary']} rows hold something other than 0 and 1"
+            + (", no row holds a label" if found["label_present"] else "")
+        )
     if require_labels and found["label_not_null"]:
-        raise ValueError(f"{target_column} must not be null in training data.")
+        raise ValueError(f"{found['label_not_null']} rows have no {target_column}")
 
 
 def with_rejection_reasons(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

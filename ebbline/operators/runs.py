@@ -39,13 +39,12 @@ def get_latest_successful_runs(runs: DataFrame, run_names: tuple[str, ...] = (BA
     """The latest finished run of each name, in the order of the names; the greater run id breaks a tie."""
     finished = runs.where((F.col("status") == FINISHED) & F.col("run_name").isin(*run_names))
     latest = latest_per_key(finished, "run_name", ["start_time", "run_id"])
-    # One row per asked name.
-    present = {row["run_name"] for row in latest.select("run_name").collect()}
-    absent = sorted(set(run_names) - present)
+    # One row per asked name: these are fetched once, and whatever reads them later does not read the runs again.
+    found = {row["run_name"]: row for row in latest.collect()}
+    absent = sorted(set(run_names) - set(found))
     if absent:
         raise ValueError(f"no finished run with the name: {absent}")
-    wanted_order = F.array(*[F.lit(name) for name in run_names])
-    return latest.orderBy(F.array_position(wanted_order, F.col("run_name")))
+    return runs.sparkSession.createDataFrame([found[name] for name in run_names], latest.schema)
 
 
 def build_comparison(latest: DataFrame) -> DataFrame:
@@ -68,7 +67,7 @@ def missing_metrics(runs: DataFrame) -> DataFrame:
 
 def get_metrics(run: DataFrame) -> DataFrame:
     """``run_name, metric, value`` of complete runs; fails if one of the model metrics is absent or null."""
-    absent = [row["metric"] for row in missing_metrics(run).distinct().limit(len(METRICS)).collect()]
+    absent = [row["metric"] for row in missing_metrics(run).select("metric").distinct().collect()]
     if absent:
         raise ValueError(f"metrics missing in the run: {[name for name in METRICS if name in absent]}")
     wide = run.select("run_name", *[_metric(name).alias(name) for name in METRICS])

@@ -95,7 +95,7 @@ def agreement(
     """How often two scorings of the same ids agree.
 
     Both sides are stacked and grouped by id rather than joined: a null or repeated id then costs one combined
-    row instead of pairs.  Such ids cannot be paired row by row and are counted apart.
+    row instead of pairs.  Such ids cannot be paired row by row and are counted apart.  A missing class agrees with nothing.
     """
     row_id, guess, nothing = F.col(id_column).alias("id"), F.col(prediction), F.lit(None).cast("int")
     sides = first.select(row_id, guess.alias("a"), nothing.alias("b"))
@@ -118,7 +118,7 @@ def agreement(
         F.count_if(paired).alias("paired_ids"),
         F.coalesce(F.sum(F.when(unmatched, F.col("in_a") + F.col("in_b"))), F.lit(0)).alias("unmatched_rows"),
         F.count_if(~unmatched & ~paired).alias("repeated_ids"),
-        F.avg(F.when(paired, F.col("a").eqNullSafe(F.col("b")).cast("double"))).alias("prediction_agreement"),
+        F.avg(F.when(paired, F.coalesce(F.col("a") == F.col("b"), F.lit(False)).cast("double"))).alias("prediction_agreement"),
     )
 
 

@@ -20,7 +20,9 @@ CLASSES = (0, 1)
 
 
 def hash_key(id_column: str, seed: int) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_column).cast("string")))
+    """The hash of an id; an id that is null has no place in the order and is refused."""
+    refused = F.raise_error(F.lit(f"{id_column} must not be null")).cast("string")
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_column).cast("string"), refused)))
 
 
 def _checked_label(label_column: str) -> Column:

@@ -39,10 +39,10 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    orders = read(spark, sf_dir, "orders").where("o_custkey % 10 <> 0")
+    orders = read(spark, sf_dir, "orders")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").selectExpr(
         f"{_text('o_orderkey')} AS id",
-        f"{_text('o_custkey')} AS user_id",
+        f"CASE WHEN o_custkey % 10 = 0 THEN 'x' ELSE '' END || {_text('o_custkey')} AS user_id",
         f"{_text('CAST(o_totalprice AS INT)')} AS amount",
         f"{_text('n')} AS item_count",
         "date_format(date_add(CAST(o_orderdate AS DATE), 8035), 'MM-dd-yyyy') || ' 12:00:00' AS transaction_date",
@@ -71,6 +71,26 @@ def raw_orders_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders as JSON lines, of which some end too early."""
+    line = F.to_json(F.struct("id", "user_id", "amount", "item_count", "transaction_date"))
+    cut = F.col("id").cast("long") % 17 == 0
+    return raw_orders(spark, sf_dir).select(
+        F.when(cut, F.substring(line, 1, 20)).otherwise(line).alias("value")
+    )
+
+
+def broken_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as CSV lines below a header of other order, of which some lack columns.  The header is the column's name."""
+    names = ["date", "user_id", "url", "session_id", "event_id", "action", "platform"]
+    short = F.col("event_id") % 19 == 0
+    texts = read(spark, sf_dir, "events").selectExpr(
+        "event_id", "CAST(user_id AS STRING) AS user_id", "date_format(ts, 'MM-dd-yyyy HH:mm:ss') AS date", "event_type AS action"
+    )
+    line = F.concat_ws(",", "date", "user_id", F.lit("x"), F.lit("s"), F.col("event_id").cast("string"), "action", F.lit("ios"))
+    return texts.select(F.when(short, F.concat_ws(",", "date", "user_id")).otherwise(line).alias(",".join(names)))
+
+
 def psi_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = read(spark, sf_dir, "lineitem")
     border = F.lit("1998-06-01").cast("timestamp_ntz")

@@ -19,14 +19,18 @@ from ebbline.operators.clean import clean_events, clean_orders, clean_users
 from ebbline.operators.drift import drift_report
 from ebbline.operators.features import build_customer_features
 from ebbline.operators.models import train_models
-from ebbline.operators.quality import direct_identifiers, training_data_rules
+from ebbline.operators.prediction_log import failures, from_log_lines, successes, to_log_lines
+from ebbline.operators.quality import direct_identifiers, split_scoring_rows, training_data_rules
 from ebbline.operators.runs import (
     READY,
+    TUNED,
+    TUNING_PARAMETERS,
     build_comparison,
     get_latest_successful_runs,
     get_logged_model,
     get_metrics,
     get_selected_run_id,
+    get_tuning_parameters,
     select_model,
     selection_run,
 )
@@ -43,6 +47,7 @@ from ebbline.sources import (
     create_snapshot_once,
     ensure_schema,
     load_raw_data,
+    read_snapshot,
     write_report_csv,
     write_report_json,
     write_tables,
@@ -61,6 +66,9 @@ class Names:
     gold: str = "gold_customer_features"
     runs: str = "model_runs"
     artifacts: str = "model_artifacts"
+    scored: str = "scored_customers"
+    refused: str = "refused_customers"
+    log: str = "prediction_log"
 
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.schema}.{name}"
@@ -75,16 +83,20 @@ def silver_job(
     mode: str = STRICT,
     fmt: str = "parquet",
     location: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Raw files to the three silver tables; returns the written row counts."""
+    """Raw files to the three silver tables; returns the written row counts.
+
+    With ``buckets`` the tables are laid out by user, so that the gold job joins users and orders without a shuffle.
+    """
     ensure_schema(spark, names.catalog, names.schema, location)
-    users, orders, events = load_raw_data(spark, users_path, orders_path, events_path)
+    users, orders, events = load_raw_data(spark, users_path, orders_path, events_path, mode=mode)
     silver = {
         names.table(names.users): clean_users(users, mode),
         names.table(names.orders): clean_orders(orders, mode),
         names.table(names.events): clean_events(events, mode),
     }
-    return write_tables(spark, silver, fmt)
+    return write_tables(spark, silver, fmt, (buckets, ID_COLUMN) if buckets else None)
 
 
 def gold_job(
@@ -95,7 +107,7 @@ def gold_job(
     if check_ids:
         found = {row["rule"]: row["violations"] for row in training_data_rules(users).collect()}
         if found["id_not_null"] or found["id_unique"]:
-            raise ValueError(f"{ID_COLUMN} must be non-null and unique.")
+            raise ValueError(f"{ID_COLUMN} of the users is not unique: {found['id_not_null']} null, {found['id_unique']} repeated")
     gold = build_customer_features(
         users, spark.table(names.table(names.orders)), spark.table(names.table(names.events)), as_of
     )
@@ -151,12 +163,15 @@ def read_records(spark: SparkSession, names: Names, name: str) -> DataFrame:
 
 
 def selection_job(spark: SparkSession, names: Names, report_path: str, metric: str = "pr_auc") -> DataFrame:
-    """Compare the latest runs; store the comparison, the decision and a selection run."""
+    """Compare the latest runs; store the comparison, the decision with the tuned run's parameters and a selection run."""
     latest = get_latest_successful_runs(read_records(spark, names, names.runs))
     get_metrics(latest)
     write_report_csv(build_comparison(latest), f"{report_path}/model_comparison")
     decision = select_model(latest, metric)
-    write_report_json(decision, f"{report_path}/selection_summary")
+    tuned = get_tuning_parameters(latest).where(F.col("run_name") == TUNED)
+    parameters = {row["parameter"]: row["value"] for row in tuned.collect()}  # one run's
+    summary = decision.withColumns({f"tuned_{name}": F.lit(parameters.get(name)) for name in TUNING_PARAMETERS})
+    write_report_json(summary, f"{report_path}/selection_summary")
     stored = spark.read.schema(decision.schema).json(f"{report_path}/selection_summary")
     _append(selection_run(stored), names, names.runs)
     return stored
@@ -169,6 +184,38 @@ def load_selected_model(spark: SparkSession, names: Names) -> PipelineModel:
     return PipelineModel.load(artifact.first()["model_id"])
 
 
+def scoring_job(
+    spark: SparkSession, names: Names, model_name: str = "churn_model", fmt: str = "parquet"
+) -> DataFrame:
+    """Score the gold table with the selected model.
+
+    Rows with negative measures are set aside with their reasons; the others are scored and checked.  Scored and refused rows
+    are tables, and each row adds a line to the prediction log.  Returns the written row counts.
+    """
+    run_id = get_selected_run_id(read_records(spark, names, names.runs))
+    model = load_selected_model(spark, names)
+    info = {"model_name": model_name, "model_version": run_id}
+    accepted, refused = split_scoring_rows(spark.table(names.table(names.gold)))
+    written = {
+        names.table(names.scored): score(model, accepted, model_info=info),
+        names.table(names.refused): refused.select(ID_COLUMN, "reasons"),
+    }
+    counts = write_tables(spark, written, fmt)
+    scored = spark.table(names.table(names.scored))
+    validate_predictions(scored)
+    # A batch has no time per row.
+    no_time = F.lit(None).cast("double")
+    done = successes(scored, no_time)
+    failed = failures(spark.table(names.table(names.refused)), no_time, F.lit("ValueError"), info)
+    lines = to_log_lines(done.unionByName(failed))
+    lines.write.mode("append").text(_folder(spark, names, names.log))
+    return counts
+
+
+def read_prediction_log(spark: SparkSession, names: Names) -> DataFrame:
+    return from_log_lines(spark.read.text(_folder(spark, names, names.log)))
+
+
 def validation_job(
     gold: DataFrame,
     fitted: PipelineModel,
@@ -182,7 +229,9 @@ def validation_job(
     """
     fitted.write().overwrite().save(model_path)
     loaded = PipelineModel.load(model_path)
+    # Everything below reads the sample, which is at most ``sample_size`` rows: it is looked up once.
     sample = top_sample(gold.select(ID_COLUMN, *FEATURE_COLUMNS), ID_COLUMN, sample_size)
+    sample = gold.sparkSession.createDataFrame(sample.collect(), sample.schema)
     keep = (ID_COLUMN, "sample_row")
     first, second = score(fitted, sample, keep), score(loaded, sample, keep)
     if first.isEmpty():
@@ -201,14 +250,14 @@ def validation_job(
     return rows, summary
 
 
-def drift_job(current: DataFrame, snapshot_path: str, report_path: str | None = None) -> DataFrame:
-    """Compare the numeric features with the stored snapshot; the first run stores it.
+def drift_job(current: DataFrame, snapshot_path: str, report_path: str | None = None) -> DataFrame | None:
+    """Compare the numeric features with the stored snapshot.
 
-    Without an earlier snapshot the report compares the table with itself.
+    The first run stores the snapshot and has nothing to compare it with: it returns None and writes no report.
     """
-    spark = current.sparkSession
-    create_snapshot_once(current.select(FEATURE_COLUMNS), snapshot_path)
-    report = drift_report(spark.read.parquet(snapshot_path), current, NUMERIC_FEATURES)
+    if create_snapshot_once(current.select(FEATURE_COLUMNS), snapshot_path):
+        return None
+    report = drift_report(read_snapshot(current.sparkSession, snapshot_path), current, NUMERIC_FEATURES)
     if report_path:
         write_report_csv(report, report_path)
     return report

@@ -24,12 +24,12 @@ raw_users AS (
          THEN '1' ELSE '0' END AS churn
   FROM customer),
 raw_orders AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+  SELECT CAST(o_orderkey AS VARCHAR) AS id,
+    CASE WHEN o_custkey % 10 = 0 THEN 'x' ELSE '' END || CAST(o_custkey AS VARCHAR) AS user_id,
     CAST(CAST(trunc(o_totalprice) AS INT) AS VARCHAR) AS amount, CAST(l.n AS VARCHAR) AS item_count,
     strftime(CAST(o_orderdate AS DATE) + CAST(8035 AS INT), '%m-%d-%Y') || ' 12:00:00' AS transaction_date
   FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) l
-    ON l_orderkey = o_orderkey
-  WHERE o_custkey % 10 <> 0),
+    ON l_orderkey = o_orderkey),
 raw_events AS (
   SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
     CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
@@ -64,7 +64,7 @@ per_orders AS (
   FROM silver_orders GROUP BY user_id),
 per_events AS (
   SELECT user_id, count(event_id) AS event_count, count(DISTINCT session_id) AS session_count,
-    first(platform ORDER BY event_time, event_id) AS platform, max(event_time) AS last_event
+    first(platform ORDER BY event_time, platform) AS platform, max(event_time) AS last_event
   FROM silver_events GROUP BY user_id)"""
 
 GOLD = f"""{AGGREGATES},
@@ -116,7 +116,7 @@ PARSE_LOSSES = _union(
 
 PER_EVENTS_KNOWN = """
 SELECT user_id, count(event_id) AS event_count, count(DISTINCT session_id) AS session_count,
-  first(platform ORDER BY event_time, event_id) FILTER (WHERE platform <> 'unknown') AS platform,
+  first(platform ORDER BY event_time, platform) FILTER (WHERE platform <> 'unknown') AS platform,
   max(event_time) AS last_event
 FROM silver_events GROUP BY user_id"""
 
@@ -407,7 +407,7 @@ LOG_RECORDS = """
 SELECT round(churn_probability, 6) AS churn_probability, CASE WHEN NOT ok THEN 'RuntimeError' END AS error_type,
   'prediction' AS event, round(latency_ms, 2) AS latency_ms, 'churn_model' AS model_name, '1' AS model_version,
   prediction, request_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status,
-  date_trunc('millisecond', ts) AS timestamp
+  ts AS timestamp
 FROM log"""
 
 METRICS = """
@@ -434,6 +434,40 @@ ORACLES: dict[str, str] = {
     "events_per_user": _query(AGGREGATES, "SELECT * FROM per_events"),
     "events_per_user_known_platform": _query(SILVER, PER_EVENTS_KNOWN),
     "raw_round_trip": _query(RAW, _union([_row_texts(name) for name in RAW_COLUMNS])),
+    "raw_parse_losses": (
+        "SELECT 'users' AS dataset, CAST(0 AS BIGINT) AS lost_lines"
+        " UNION ALL SELECT 'orders', count(*) FILTER (WHERE o_orderkey % 17 = 0) FROM orders"
+        " UNION ALL SELECT 'events', count(*) FILTER (WHERE event_id % 19 = 0) FROM events"
+    ),
+    "batch_scores_check": _query(
+        GOLD,
+        "SELECT count(*) AS scored_rows, CAST(sum(CAST(user_id AS BIGINT)) AS BIGINT) AS id_sum,"
+        " CAST(0 AS BIGINT) AS violations FROM checked WHERE reasons = ''",
+        SCORING_ROWS,
+    ),
+    "validated_sample_check": _query(
+        GOLD, "SELECT least(100, count(*)) AS sample_size, CAST(1 AS DOUBLE) AS prediction_agreement FROM gold"
+    ),
+    "logistic_optimality": _query(
+        GOLD,
+        "SELECT count(*) AS train_rows, CAST(sum(churn) AS BIGINT) AS positives, CAST(0 AS DOUBLE) AS largest_mean_gradient"
+        " FROM placed JOIN sizes USING (churn) WHERE place > test_n",
+        HASH_ORDER,
+        SPLIT_SIZES,
+    ),
+    "scoring_outcomes": _query(
+        GOLD,
+        "SELECT CASE WHEN reasons = '' THEN 'success' ELSE 'failed' END AS status,"
+        " CASE WHEN reasons <> '' THEN 'ValueError' END AS error_type, 'logistic_regression' AS model_name,"
+        " count(*) AS requests, count(*) FILTER (WHERE reasons = '') AS probabilities FROM checked GROUP BY 1, 2",
+        SCORING_ROWS,
+    ),
+    "ranked_settings": (
+        "WITH scores AS (SELECT o_orderkey % 20 AS setting,"
+        " CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) % 7 / 10.0 AS mean_test_score FROM orders GROUP BY 1)"
+        " SELECT setting, CAST(mean_test_score AS DOUBLE) AS mean_test_score,"
+        " CAST(rank() OVER (ORDER BY mean_test_score DESC) AS INT) AS rank_test_score FROM scores"
+    ),
     "table_round_trip": _query(
         SILVER,
         _union(

@@ -16,9 +16,10 @@ from ebbline.operators import clean, drift, features, missing, models, predictio
 from ebbline.operators import preprocess, ranking, runs, scoring, splits, tuning
 from ebbline.plans import driver_tables as given
 from ebbline.plans import jobs
-from ebbline.sources import list_tables, load_raw_data, scratch_path
+from ebbline.sources import list_tables, load_raw_data, read_snapshot, scratch_path
+from ebbline.sources import raw_parse_losses as count_lost_lines
 from ebbline.sources.tables import create_snapshot_once, ensure_schema, write_report_csv, write_tables
-from ebbline.streaming import run_available, stream_prediction_metrics
+from ebbline.streaming import read_totals, run_available, stream_prediction_metrics
 
 AS_OF = dt.date(2024, 2, 1)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,7 +107,9 @@ def raw_round_trip(spark, sf_dir):
     given.raw_users(spark, sf_dir).write.json(f"{root}/users")
     given.raw_orders(spark, sf_dir).write.json(f"{root}/orders")
     keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    given.raw_events(spark, sf_dir).write.options(header=True, **keep_blanks).csv(f"{root}/events")
+    # Another order of columns than the reader's, and one that it does not ask for.
+    events = given.raw_events(spark, sf_dir).select("date", "user_id", F.lit("x").alias("url"), "session_id", "event_id", "action", "platform")
+    events.write.options(header=True, **keep_blanks).csv(f"{root}/events")
     users, orders, events = load_raw_data(spark, f"{root}/users", f"{root}/orders", f"{root}/events")
     return (
         _row_texts(users, "users", "id")
@@ -115,6 +118,17 @@ def raw_round_trip(spark, sf_dir):
     )
 
 
+def raw_parse_losses(spark, sf_dir):
+    """Lines that are no records: orders cut in the middle, events without their last columns."""
+    root = scratch_path(spark, "raw-errors")
+    given.raw_users(spark, sf_dir).write.json(f"{root}/users")
+    given.broken_order_lines(spark, sf_dir).write.text(f"{root}/orders")
+    # A separator that no line holds keeps Spark from quoting lines that hold commas; the header is the column's name.
+    given.broken_event_lines(spark, sf_dir).write.options(header=True, sep="\u0001").csv(f"{root}/events")
+    paths = [f"{root}/{name}" for name in ("users", "orders", "events")]
+    return count_lost_lines(dict(zip(("users", "orders", "events"), load_raw_data(spark, *paths, mode=PERMISSIVE))))
+
+
 def table_round_trip(spark, sf_dir):
     location = scratch_path(spark, "tables")
     schema = "ebbline_" + location.rsplit("-", 1)[1]
@@ -204,7 +218,7 @@ def drift_report(spark, sf_dir):
     reference, current = _gold_halves(spark, sf_dir)
     root = scratch_path(spark, "drift")
     create_snapshot_once(reference.select(FEATURE_COLUMNS), f"{root}/snapshot")
-    stored = spark.read.parquet(f"{root}/snapshot")
+    stored = read_snapshot(spark, f"{root}/snapshot")
     report = drift.drift_report(stored, current.select(FEATURE_COLUMNS))
     write_report_csv(report, f"{root}/report")
     written = spark.read.schema(report.schema).option("header", True).csv(f"{root}/report")
@@ -300,6 +314,16 @@ def batch_scores(spark, sf_dir):
     return scoring.score(PipelineModel.load(path), accepted, model_info=info)
 
 
+def batch_scores_check(spark, sf_dir):
+    """Every accepted row is scored once, with a class and a probability."""
+    valid = F.col("churn_probability").between(0, 1) & F.col("prediction").isin(0, 1)
+    return batch_scores(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.sum(F.col("user_id").cast("long")).alias("id_sum"),
+        F.count_if(~F.coalesce(valid, F.lit(False))).alias("violations"),
+    )
+
+
 def validated_sample(spark, sf_dir):
     table = gold_table(spark, sf_dir)
     trained = models.train_models(table, only=["logistic_regression"])
@@ -307,9 +331,58 @@ def validated_sample(spark, sf_dir):
     return jobs.validation_job(table, model, scratch_path(spark, "model"))[1]
 
 
+def validated_sample_check(spark, sf_dir):
+    return validated_sample(spark, sf_dir).select("sample_size", "prediction_agreement")
+
+
+def logistic_optimality(spark, sf_dir):
+    """Rows and labels of the train part, and whether the penalised gradient vanishes in every feature."""
+    table = gold_table(spark, sf_dir)
+    model = models.train_models(table, only=["logistic_regression"]).models["logistic_regression"]
+    train, _ = models.split_training_data(table)
+    pulled = models.with_balanced_weight(model.transform(train)).select(
+        models.LABEL,
+        (F.col(models.WEIGHT) * (vector_to_array("probability")[1] - F.col(models.LABEL))).alias("pull"),
+        vector_to_array("features").alias("x"),
+    )
+    coefficients = model.stages[-1].coefficients.toArray().tolist()
+    gradients = [F.sum(F.col("pull") * F.col("x")[at]) + own for at, own in enumerate(coefficients)] + [F.sum("pull")]
+    largest = F.greatest(*[F.abs(gradient) for gradient in gradients]) / F.count(F.lit(1))
+    return pulled.agg(
+        F.count(F.lit(1)).alias("train_rows"),
+        F.sum(models.LABEL).cast("long").alias("positives"),
+        F.round(largest, 3).alias("largest_mean_gradient"),
+    )
+
+
+def scoring_outcomes(spark, sf_dir):
+    """Requests by status, read back from the log lines of a batch of which some rows are refused."""
+    table = gold_table(spark, sf_dir)
+    model = models.train_models(table, only=["logistic_regression"]).models["logistic_regression"]
+    info = {"model_name": "logistic_regression", "model_version": "1"}
+    accepted, refused = quality.split_scoring_rows(given.scoring_rows(table))
+    no_time = F.lit(None).cast("double")
+    outcomes = prediction_log.successes(scoring.score(model, accepted, model_info=info), no_time).unionByName(
+        prediction_log.failures(refused, no_time, F.lit("ValueError"), info)
+    )
+    path = scratch_path(spark, "log")
+    prediction_log.to_log_lines(outcomes).write.text(path)
+    records = prediction_log.from_log_lines(spark.read.text(path))
+    return records.groupBy("status", "error_type", "model_name").agg(
+        F.count(F.lit(1)).alias("requests"), F.count("churn_probability").alias("probabilities")
+    )
+
+
+def ranked_settings(spark, sf_dir):
+    """Twenty settings with scores from the orders, in which some tie."""
+    scores = given.read(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 20).alias("setting")).agg(
+        (F.sum(F.floor("o_totalprice").cast("long")) % 7 / 10.0).alias("mean_test_score")
+    )
+    return tuning.rank_results(scores)
+
+
 def tuning_results(spark, sf_dir):
-    """Two settings of the full space on all rows and folds; the job's own default is twenty."""
-    return tuning.search_forest(gold_table(spark, sf_dir), iterations=2).cv_results
+    return tuning.search_forest(gold_table(spark, sf_dir)).cv_results
 
 
 # Runs
@@ -390,7 +463,7 @@ def prediction_metrics_stream(spark, sf_dir):
     root = scratch_path(spark, "stream")
     log = given.prediction_outcomes(events)
     run_available(stream_prediction_metrics(log, f"{root}/totals", f"{root}/checkpoint"))
-    return spark.read.parquet(f"{root}/totals")
+    return read_totals(spark, f"{root}/totals")
 
 
 QUERIES: dict[str, Query] = {
@@ -407,6 +480,7 @@ QUERIES: dict[str, Query] = {
             events_per_user,
             events_per_user_known_platform,
             raw_round_trip,
+            raw_parse_losses,
             table_round_trip,
             profile_users,
             profile_orders,
@@ -435,8 +509,13 @@ QUERIES: dict[str, Query] = {
             logistic_scores,
             forest_scores,
             batch_scores,
+            batch_scores_check,
             validated_sample,
+            validated_sample_check,
+            logistic_optimality,
+            scoring_outcomes,
             tuning_results,
+            ranked_settings,
             latest_runs,
             run_comparison,
             run_metrics,

@@ -1,10 +1,11 @@
-from ebbline.sources.raw import RawSchemas, load_raw_data
+from ebbline.sources.raw import RawSchemas, load_raw_data, raw_parse_losses
 from ebbline.sources.shared import scratch_path
 from ebbline.sources.tables import (
     create_snapshot_once,
     ensure_schema,
     list_schemas,
     list_tables,
+    read_snapshot,
     session_info,
     write_report_csv,
     write_report_json,
@@ -19,6 +20,8 @@ __all__ = [
     "list_schemas",
     "list_tables",
     "load_raw_data",
+    "raw_parse_losses",
+    "read_snapshot",
     "scratch_path",
     "session_info",
     "write_report_csv",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +38,18 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", bucket_by: tupl
     writer.saveAsTable(table)
 
 
-def write_tables(spark: SparkSession, frames: dict[str, DataFrame], fmt: str = "parquet") -> DataFrame:
+def write_tables(
+    spark: SparkSession,
+    frames: dict[str, DataFrame],
+    fmt: str = "parquet",
+    bucket_by: tuple[int, str] | None = None,
+) -> DataFrame:
     """Write each frame and report the row counts of the written tables.
 
     Counting the table reads file footers; counting the frame would run its plan a second time.
     """
     for table, df in frames.items():
-        write_table(df, table, fmt)
+        write_table(df, table, fmt, bucket_by)
     counts = [
         spark.table(table).agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         for table in frames
@@ -54,9 +60,32 @@ def write_tables(spark: SparkSession, frames: dict[str, DataFrame], fmt: str = "
     return report
 
 
-def create_snapshot_once(df: DataFrame, path: str) -> None:
-    """Write a Parquet snapshot unless there is one already."""
-    df.write.mode("ignore").parquet(path)
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    try:
+        return not spark.read.schema("complete boolean").parquet(f"{path}/complete").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def create_snapshot_once(df: DataFrame, path: str) -> bool:
+    """Write a Parquet snapshot unless there is a complete one already; says whether it did.
+
+    A mark is written behind the rows.  Rows without it come from a write that was lost, and are written again.
+    """
+    spark = df.sparkSession
+    if _is_complete(spark, path):
+        return False
+    df.write.mode("overwrite").parquet(f"{path}/rows")
+    spark.range(1).selectExpr("true AS complete").coalesce(1).write.mode("overwrite").parquet(f"{path}/complete")
+    return True
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    if not _is_complete(spark, path):
+        raise ValueError(f"no complete snapshot at {path}")
+    return spark.read.parquet(f"{path}/rows")
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:

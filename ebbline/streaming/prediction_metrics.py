@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ebbline.operators.prediction_log import MODEL, prediction_metrics
@@ -13,12 +14,13 @@ def stream_prediction_metrics(
 ) -> DataStreamWriter:
     """Write the current totals to ``target`` after every batch.
 
-    Totals have no end, so there is no watermark; state is one row per model.  Each batch replaces the whole
-    small result, so a batch that is repeated after a failure writes the same rows again.
+    Totals have no end, so there is no watermark; state is one row per model.  Each batch writes the whole small
+    result to a folder of its own, which readers see when it is complete; a batch repeated after a failure writes the same
+    rows to the same folder.  ``read_totals`` gives the latest.
     """
 
-    def replace(totals: DataFrame, _batch: int) -> None:
-        totals.coalesce(1).write.mode("overwrite").parquet(target)
+    def replace(totals: DataFrame, batch: int) -> None:
+        totals.repartition(1).write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
     return (
         prediction_metrics(log, by)
@@ -28,6 +30,13 @@ def stream_prediction_metrics(
     )
 
 
+def read_totals(spark: SparkSession, target: str) -> DataFrame:
+    """The totals after the last complete batch."""
+    totals = spark.read.parquet(target)
+    last = totals.agg(F.max("batch")).first()[0]
+    return totals.where(F.col("batch") == last).drop("batch")
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Process what is there and stop; the checkpoint lets the next call go on from here."""
     writer.trigger(availableNow=True).start().awaitTermination()

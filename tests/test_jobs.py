@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -13,6 +14,8 @@ from ebbline.sources import (
     list_schemas,
     list_tables,
     load_raw_data,
+    raw_parse_losses,
+    read_snapshot,
     session_info,
     write_table,
 )
@@ -58,10 +61,26 @@ def test_from_raw_files_to_a_decision_and_a_drift_report(spark, tmp_path):
     assert predictions.columns == ["sample_row", "prediction", "churn_probability"] and predictions.count() == 10
     comparison = spark.read.option("header", True).csv(str(tmp_path / "reports" / "model_comparison"))
     assert comparison.count() == 2
+    summary = spark.read.json(str(tmp_path / "reports" / "selection_summary")).first()
+    assert all(f"tuned_{name}" in summary.asDict() for name in ("n_estimators", "max_depth", "class_weight"))
+
+    counts = {row["table_name"].rsplit(".", 1)[1]: row["row_count"] for row in jobs.scoring_job(spark, names).collect()}
+    assert counts == {"scored_customers": gold.count(), "refused_customers": 0}
+    log = jobs.read_prediction_log(spark, names)
+    assert log.where("status = 'success' AND churn_probability BETWEEN 0 AND 1").count() == gold.count()
+    moved = gold.withColumn("order_count", F.when(F.col("user_id") < "2", -1).otherwise(F.col("order_count")))
+    negative = moved.where("order_count < 0").count()
+    write_table(moved, names.table("gold_with_negatives"))
+    other = dataclasses.replace(names, gold="gold_with_negatives", log="second_log")
+    counts = {row["table_name"].rsplit(".", 1)[1]: row["row_count"] for row in jobs.scoring_job(spark, other).collect()}
+    assert counts == {"scored_customers": gold.count() - negative, "refused_customers": negative} and negative > 0
+    failed = jobs.read_prediction_log(spark, other).where("status = 'failed'")
+    assert failed.count() == negative and failed.where("error_type = 'ValueError' AND prediction IS NULL").count() == negative
 
     snapshot, report = str(tmp_path / "snapshot"), str(tmp_path / "report")
-    first = jobs.drift_job(gold, snapshot, report)
-    assert {row["status"] for row in first.collect()} <= {"stable", "not_evaluable"}
+    assert jobs.drift_job(gold, snapshot, report) is None and not (tmp_path / "report").exists()
+    again = jobs.drift_job(gold, snapshot, report)
+    assert {row["status"] for row in again.collect()} <= {"stable", "not_evaluable"}
     moved = gold.withColumn("days_since_creation", F.col("days_since_creation") + 900)
     later = {row["feature"]: row["status"] for row in jobs.drift_job(moved, snapshot).collect()}
     assert later["days_since_creation"] == "drift" and later["total_items"] == "stable"
@@ -105,9 +124,51 @@ def test_the_catalog_can_be_listed(spark):
 
 def test_snapshot_is_written_once(spark, tmp_path):
     path = str(tmp_path / "snapshot")
-    create_snapshot_once(spark.range(3), path)
-    create_snapshot_once(spark.range(9), path)
-    assert spark.read.parquet(path).count() == 3
+    assert create_snapshot_once(spark.range(3), path)
+    assert not create_snapshot_once(spark.range(9), path)
+    assert read_snapshot(spark, path).count() == 3
+
+
+def test_a_half_written_snapshot_is_written_again(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    (tmp_path / "snapshot" / "rows" / "_temporary").mkdir(parents=True)
+    with pytest.raises(ValueError, match="no complete snapshot"):
+        read_snapshot(spark, path)
+    spark.range(2).write.mode("overwrite").parquet(f"{path}/rows")
+    assert create_snapshot_once(spark.range(3), path)
+    assert read_snapshot(spark, path).count() == 3
+
+
+def write_events(folder, *lines):
+    folder.mkdir()
+    (folder / "part.csv").write_text("\n".join(lines) + "\n")
+
+
+def test_events_are_read_by_the_names_in_the_header(spark, tmp_path):
+    paths = write_raw(spark, str(tmp_path / "raw"))
+    write_events(tmp_path / "e", "user_id,session_id,event_id,date,platform,action,url", "u1,s1,e1,01-02-2023 03:04:05,ios,view,x")
+    row = load_raw_data(spark, paths[0], paths[1], str(tmp_path / "e"))[2].first().asDict()
+    assert row == {
+        "event_id": "e1", "user_id": "u1", "session_id": "s1", "platform": "ios", "action": "view", "date": "01-02-2023 03:04:05",
+    }
+    write_events(tmp_path / "m", "user_id,session_id,event_id,date,platform", "u1,s1,e1,x,ios")
+    with pytest.raises(ValueError, match="action"):
+        load_raw_data(spark, paths[0], paths[1], str(tmp_path / "m"))
+
+
+def test_broken_lines_fail_or_are_counted(spark, tmp_path):
+    paths = write_raw(spark, str(tmp_path / "raw"))
+    write_events(tmp_path / "e", "date,event_id,user_id,session_id,platform,action,url", "d,e1,u1,s1,ios,view,x", "d,e2", "d,e3,u1,s1,ios,view,x")
+    (tmp_path / "o").mkdir()
+    (tmp_path / "o" / "part.json").write_text('{"id": "1", "amount": "3"}\n{"id": "2", "amo\n')
+    _, orders, events = load_raw_data(spark, paths[0], str(tmp_path / "o"), str(tmp_path / "e"))
+    for frame in (orders, events):
+        with pytest.raises(Exception):
+            frame.collect()
+    _, orders, events = load_raw_data(spark, paths[0], str(tmp_path / "o"), str(tmp_path / "e"), mode="permissive")
+    assert orders.count() == 2 and events.count() == 3
+    lost = {row["dataset"]: row["lost_lines"] for row in raw_parse_losses({"orders": orders, "events": events}).collect()}
+    assert lost == {"orders": 1, "events": 1}
 
 
 def test_run_frames_may_have_different_parameters(spark):

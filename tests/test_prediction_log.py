@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from ebbline.operators import prediction_log
-from ebbline.streaming import run_available, stream_prediction_metrics
+from ebbline.streaming import read_totals, run_available, stream_prediction_metrics
 
 SCHEMA = (
     "request_id string, status string, latency_ms double, churn_probability double, prediction int,"
@@ -96,7 +96,7 @@ def test_stream_equals_batch_and_goes_on_after_a_stop(spark, tmp_path):
     def stream():
         lines = spark.readStream.text(source)
         run_available(stream_prediction_metrics(prediction_log.from_log_lines(lines), target, checkpoint))
-        return spark.read.parquet(target).collect()
+        return read_totals(spark, target).collect()
 
     first = log(spark, *[ok(f"a{n}", n / 20, n) for n in range(20)])
     second = log(spark, *[failed(f"b{n}", 30 + n) for n in range(5)], ok("c", 0.7, 99, "2"))
@@ -107,3 +107,9 @@ def test_stream_equals_batch_and_goes_on_after_a_stop(spark, tmp_path):
     batch = prediction_log.from_log_lines(spark.read.text(source))
     assert totals == sorted(prediction_log.prediction_metrics(batch).collect())
     assert sum(row["total_requests"] for row in totals) == 26
+
+
+def test_log_lines_keep_microseconds(spark):
+    row = ("a", "success", 1.0, 0.5, 1, None, dt.datetime(2024, 1, 1, 12, 0, 0, 123456), "churn", "1")
+    lines = prediction_log.to_log_lines(log(spark, row))
+    assert prediction_log.from_log_lines(lines).first()["timestamp"] == row[6]

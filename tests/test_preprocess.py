@@ -60,11 +60,19 @@ def test_categories_with_quotes_and_backslashes(spark):
     assert (rows[6] == rows[0]).all()
 
 
-def test_too_many_categories_fail_before_they_are_fetched(spark, monkeypatch):
-    monkeypatch.setattr(preprocess, "MAX_CATEGORIES", 5)
+def test_a_stated_bound_on_categories_is_checked_before_they_are_fetched(spark):
     df = spark.range(6).select(F.col("id").cast("string").alias("t"))
-    with pytest.raises(Exception, match="too many categories"):
-        preprocess.build_preprocessor(df).fit(df)
+    with pytest.raises(Exception, match="6 categories"):
+        preprocess.build_preprocessor(df, max_categories=5).fit(df)
+    assert vectors(preprocess.build_preprocessor(df).fit(df), df).shape == (6, 6)
+
+
+def test_a_wide_column_may_be_hashed(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), ("a", None), (None, "x")], "t string, u string")
+    model = preprocess.build_preprocessor(df, hashed={"t": 16}).fit(df)
+    rows = vectors(model, df)
+    assert rows.shape == (4, 18) and (rows.sum(axis=1) == 2).all()
+    assert (rows[0] == rows[2])[2:].all() and (rows[0] == rows[3]).all()
 
 
 def test_input_is_aligned_to_the_model(spark):

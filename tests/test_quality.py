@@ -19,9 +19,9 @@ def test_valid_contract_passes(spark):
     [
         ([("a", 0), ("a", 1)], "unique"),
         ([(None, 0), ("a", 1)], "unique"),
-        ([("a", 0), ("b", 2)], "binary, got \\[0, 2\\]"),
+        ([("a", 0), ("b", 2)], "not binary: 1 rows"),
         ([("a", None)], "binary"),
-        ([], "empty"),
+        ([], "no row"),
     ],
 )
 def test_broken_contracts_are_named(spark, rows, message):
@@ -37,7 +37,7 @@ def test_missing_columns_are_named(spark):
 def test_null_label_is_refused_for_training_only(spark):
     df = contract(spark, ("a", 0), ("b", 1), ("c", None))
     quality.validate_training_data(df)
-    with pytest.raises(ValueError, match="null"):
+    with pytest.raises(ValueError, match="1 rows have no"):
         quality.validate_training_data(df, require_labels=True)
 
 

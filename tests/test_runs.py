@@ -125,3 +125,10 @@ def test_artifact_matches_by_source_run_or_run(spark):
     assert [row["model_id"] for row in runs.get_logged_model(df, "r1").collect()] == ["m3"]
     with pytest.raises(ValueError, match="r9"):
         runs.get_logged_model(df, "r9")
+
+
+def test_every_absent_metric_is_named_however_many_runs(spark):
+    rows = [run(f"r{n}", str(n), 0, None if n == 12 else 0.5) for n in range(13)]
+    df = table(spark, *rows).drop("metrics.accuracy")
+    with pytest.raises(ValueError, match="accuracy.*pr_auc"):
+        runs.get_metrics(df)

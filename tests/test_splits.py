@@ -68,3 +68,10 @@ def test_labels_other_than_zero_and_one_fail(spark):
 def test_numeric_ids(spark):
     df = spark.range(50).select(F.col("id").alias("user_id"), (F.col("id") % 2).alias("churn"))
     assert splits.stratified_split(df, "churn", "user_id").where("is_test").count() == 10
+
+
+@pytest.mark.parametrize("split", [splits.stratified_split, splits.stratified_folds])
+def test_null_ids_are_refused(spark, split):
+    df = spark.createDataFrame([("a", 0), (None, 0), ("b", 1)], "id string, label int")
+    with pytest.raises(Exception, match="id must not be null"):
+        split(df, "label", "id").collect()
