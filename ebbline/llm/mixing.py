@@ -11,7 +11,7 @@ step after each; tasks merge by precision.  Last, an adaptive probability map co
 length and predicted odds from what happened in training.  In learning, an occurrence is left out of the counts that predict it.
 
 What is gathered: the distinct runs of six symbols of all training texts with their counts (Spark combines them in each
-task, then by a shuffle), and from these the tables.  The tables have fixed sizes (``SLOT_BITS``), about 6 million
+task, then by a shuffle), and from these the tables.  The tables have fixed sizes (``SLOT_BITS``), about 12 million
 slots of three bytes; they alone are broadcast.  Scoring evaluates each distinct run of a block once.
 
 The base score is a unigram model with add-one smoothing over words.  Counts of the ``HOT_WORDS`` most frequent words
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ebbline.llm.common import WordBlock, blocks, codes_of, collected, stored
 
 ORDERS = 6
-SLOT_BITS = (9, 17, 20, 20, 21, 21)
+SLOT_BITS = (9, 17, 20, 21, 22, 22)
 OFFSETS = np.concatenate([[0], np.cumsum([1 << bits for bits in SLOT_BITS])])
 SLOTS = int(OFFSETS[-1])
 SYMBOLS = 257
@@ -50,11 +50,12 @@ PRIOR = 0.4
 MAP_PRIOR = 30.0
 ROUNDS = 2
 HOT_WORDS = 200_000
-TEXT_BYTES = 6 << 20
+TEXT_BYTES = 5 << 20
 #: Distinct runs a task holds before it passes them on.
 HELD_RUNS = 3_000_000
 MODULUS, HELD_OUT = 7, 2
-_MOST = 65_535
+_MOST = 32_767
+FETCHES = 6
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -66,7 +67,7 @@ def held_out(doc_id: Column | str) -> Column:
 def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """For every symbol of every text the symbol and the five before it in one number, and the number of symbols of each text."""
     sizes = np.array([len(text) + 1 for text in texts], np.int64)
-    symbols = np.full(int(sizes.sum()) + (ORDERS - 1) * len(texts), END, np.uint64)
+    symbols = np.full(int(sizes.sum()) + (ORDERS - 1) * len(texts), END, np.uint16)
     real = np.ones(len(symbols), bool)
     at = 0
     for text in texts:
@@ -74,10 +75,10 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         at += ORDERS - 1
         symbols[at : at + len(text)] = np.frombuffer(text, np.uint8)
         at += len(text) + 1
-    runs = symbols.copy()
+    runs = symbols.astype(np.int64)
     for back in range(1, ORDERS):
-        runs[back:] |= symbols[:-back] << np.uint64(SYMBOL_BITS * back)
-    return runs[real].view(np.int64), sizes
+        runs[back:] |= np.left_shift(symbols[:-back], SYMBOL_BITS * back, dtype=np.int64)
+    return runs[real], sizes
 
 
 def count_runs(texts: DataFrame) -> DataFrame:
@@ -163,7 +164,7 @@ def slots_of(runs: np.ndarray, run: np.ndarray, node: np.ndarray) -> np.ndarray:
 
 
 def count_slots(runs: DataFrame, code: Code) -> np.ndarray:
-    """How often each slot's decision went either way, as two 16-bit numbers in one; both are halved until they fit."""
+    """How often each slot's decision went either way, as two numbers in the halves of one; both are halved until they fit."""
 
     def count(batches):
         for batch in batches:
@@ -183,9 +184,12 @@ def count_slots(runs: DataFrame, code: Code) -> np.ndarray:
     sums = together.mapInArrow(count, "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     scale = F.greatest(F.lit(1.0), F.greatest("n0", "n1") / F.lit(float(_MOST)))
     part = lambda name: F.ceil(F.col(name) / scale).cast("int")
-    got = collected(sums.select("slot", part("n0").alias("n0"), part("n1").alias("n1")))
+    both = part("n0") + F.shiftleft(part("n1"), 16)
+    sums = stored(sums.select("slot", both.alias("both")), "slots")
     table = np.zeros(SLOTS, np.uint32)
-    table[got["slot"]] = got["n0"].astype(np.uint32) | (got["n1"].astype(np.uint32) << np.uint32(16))
+    for start in range(0, SLOTS, SLOTS // FETCHES + 1):  # so that the driver never holds more than a part besides the table
+        got = collected(sums.where(F.col("slot").between(start, start + SLOTS // FETCHES)))
+        table[got["slot"]] = got["both"].view(np.uint32)
     return table
 
 
@@ -381,7 +385,8 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
     training = rows.where("NOT held_out")
     words = stored(count_words(training), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    hot = {bytes(row["word"]): row["n"] for row in words.orderBy(F.desc("n"), "word").limit(hot_words).collect()}
+    most = collected(words.orderBy(F.desc("n"), "word").limit(hot_words))
+    hot = dict(zip(most["word"].tolist(), most["n"].tolist()))
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(fit(training))
     known = context.broadcast(hot)
