@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -30,17 +31,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def blocks(
+    batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Runs of rows with at most ``limit`` bytes of text (one row at least), with the texts as UTF-8; null is empty."""
     for batch in batches:
         texts = batch.column(column)
-        sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1 + texts.offset)[texts.offset :]) if len(texts) else []
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
         start, total = 0, 0
         for at, size in enumerate(sizes):
             if total and total + size > limit:
                 yield batch.slice(start, at - start), _utf8(texts.slice(start, at - start))
                 start, total = at, 0
-            total += int(size)
+            total += size
         if len(texts) > start:
             yield batch.slice(start), _utf8(texts.slice(start))
 

@@ -17,6 +17,7 @@ other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -24,10 +25,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import per_text, row_struct
+from ebbline.llm.common import per_text, row_struct, stored
 
 CHARS_PER_EDIT = 12
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 _MATCH = "array<struct<item:int,edits:int,start:int,end:int>>"
 _ARROW = pa.list_(pa.struct([(name, pa.int32()) for name in ("item", "edits", "start", "end")]))
 
@@ -141,8 +142,9 @@ _matchers: dict[int, Matcher] = {}
 
 
 def _matcher(shared: Broadcast, key: int) -> Matcher:
-    """The matcher of a block, built once in a Python worker."""
+    """The matcher of a block, built once in a Python worker, which holds one at a time."""
     if key not in _matchers:
+        _matchers.clear()
         _matchers[key] = Matcher(*shared.value)
     return _matchers[key]
 
@@ -161,9 +163,8 @@ def item_blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS) -> Iterator[tupl
     yield ids, texts
 
 
-def leak_columns(benchmark: DataFrame, text: Column | str, chars_per_edit: int = CHARS_PER_EDIT) -> list[tuple[list, Column]]:
+def leak_columns(benchmark: DataFrame, text: Column | str, chars_per_edit: int = CHARS_PER_EDIT) -> Iterator[tuple[list, Column]]:
     """For each block of items its ids and a column of the matches of a text, ``item`` being a place in the ids."""
-    out = []
     for ids, texts in item_blocks(benchmark):
         shared = benchmark.sparkSession.sparkContext.broadcast((texts, chars_per_edit))
         key = hash((tuple(texts), chars_per_edit))
@@ -172,27 +173,28 @@ def leak_columns(benchmark: DataFrame, text: Column | str, chars_per_edit: int =
             matcher = _matcher(shared, key)
             return pa.array([matcher.matches(text) for text in raw], _ARROW)
 
-        out.append((ids, per_text(judge, _MATCH)(text)))
-    return out
+        yield ids, per_text(judge, _MATCH)(text)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
-    """One row per row of ``docs`` and item found in it: ``doc_id``, ``item_id``, ``edits``, and where the passage starts and ends
-    in the plain text (characters, end exclusive)."""
-    kind = benchmark.schema["item_id"].dataType
+    """One row per row of ``docs`` and item found in it: ``doc_id``, ``item_id``, ``edits``, and where the passage
+    starts and ends in the plain text (characters, end exclusive)."""
+    kind = f"array<{benchmark.schema['item_id'].dataType.simpleString()}>"
+    places = (F.col("m.start").alias("start_char"), F.col("m.end").alias("end_char"))
     parts = []
     for ids, column in leak_columns(benchmark, "text", chars_per_edit):
-        named = F.lit(ids).cast(f"array<{kind.simpleString()}>") if any(i is not None for i in ids) else F.lit(None).cast(f"array<{kind.simpleString()}>")
+        named = F.array(*[F.lit(item_id) for item_id in ids]).cast(kind)
         found = docs.select("doc_id", F.explode(column).alias("m"))
-        parts.append(found.select("doc_id", F.get(named, F.col("m.item")).alias("item_id"), "m.edits", F.col("m.start").alias("start_char"), F.col("m.end").alias("end_char")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        parts.append(found.select("doc_id", F.get(named, F.col("m.item")).alias("item_id"), "m.edits", *places))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, in the columns of ``docs``."""
-    columns = [column.alias(f"found_{at}") for at, (_, column) in enumerate(leak_columns(benchmark, F.col("text"), chars_per_edit))]
-    clean = " AND ".join(f"size(found_{at}) = 0" for at in range(len(columns)))
-    return row_struct(docs, *columns).where(clean).select("row.*")
+    """The rows of ``docs`` in which no item is found, in the columns of ``docs``.
+
+    Each block of items is a pass of its own over what the pass before kept.
+    """
+    for number, (_, column) in enumerate(leak_columns(benchmark, F.col("text"), chars_per_edit)):
+        docs = stored(docs, "clean") if number else docs
+        docs = row_struct(docs, column.alias("found")).where("size(found) = 0").select("row.*")
+    return docs

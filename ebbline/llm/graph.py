@@ -12,10 +12,11 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` for every end of ``edges`` (columns ``a`` and ``b``, long): equal roots are connected.
 
     Each round every node joins the one of its neighbours (itself included) that a hash of the round ranks first;
-    edges between joined nodes go, the others move to the joined ones.  The hash makes the number of nodes shrink by a constant
-    factor whatever their order, so a long chain takes as few rounds as a star.  Rounds are written to the shared
-    folder.  Minima are combined before the shuffle and joins have one row per node on one side, so that a node with
-    many links is no hot spot.  No edges give no rows; repeated, reversed and looping edges change nothing.
+    edges between joined nodes go, the others move to the joined ones.  The hash makes the number of nodes shrink by
+    a constant factor whatever their order, so a long chain takes as few rounds as a star.  Rounds are written to
+    the shared folder.  Minima are combined before the shuffle and joins have one row per node on one side, so that
+    a node with many links is no hot spot.  No edges give no rows; repeated, reversed and looping edges change
+    nothing.
     """
     edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = stored(edges, "edges")
@@ -25,11 +26,13 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         turn += 1
         rank = lambda name: F.struct(F.xxhash64(F.col(name), F.lit(turn)), F.col(name).alias("at"))
-        both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = F.least(F.min(rank("b")), F.min(rank("a")))
-        joined = stored(both.groupBy("a").agg(first.alias("first")).select(F.col("a").alias("old"), F.col("first.at").alias("new")), "joined")
+        chosen = both.groupBy("a").agg(first.alias("first"))
+        joined = stored(chosen.select(F.col("a").alias("old"), F.col("first.at").alias("new")), "joined")
         found = stored(
-            found.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")),
+            found.join(joined, F.col("root") == F.col("old"), "left")
+            .select("node", F.coalesce("new", "root").alias("root")),
             "found",
         )
         left = joined.select(F.col("old").alias("a"), F.col("new").alias("na"))

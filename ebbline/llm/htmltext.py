@@ -1,11 +1,12 @@
 """HTML extraction by layout-aware rendering.
 
-``tree_events`` reads a page as a browser's tree builder would, in short: elements that HTML closes by implication (paragraphs,
-list items, table parts, options) are closed, void elements have no content, end tags without an open element are ignored, raw
-text is not read as markup, and whatever is open at the end is closed.  ``Renderer`` turns the elements into text: all that is visible and nothing
-else.  Blocks start on new lines, paragraphs, headings, lists and tables are set off by a blank line, list items
-carry a dash or their number and are indented by depth, preformatted text keeps its spaces, table columns are padded to the same
-width (cells wider than ``PAD_TO`` are not padded to, so that a long cell does not blow up its column).
+``tree_events`` reads a page as a browser's tree builder would, in short: elements that HTML closes by implication
+(paragraphs, list items, table parts, options) are closed, void elements have no content, end tags without an open
+element are ignored, raw text is not read as markup, and whatever is open at the end is closed.  ``Renderer`` turns
+the elements into text: all that is visible and nothing else.  Blocks start on new lines, paragraphs, headings,
+lists and tables are set off by a blank line, list items carry a dash or their number and are indented by depth,
+preformatted text keeps its spaces, table columns are padded to the same width (cells wider than ``PAD_TO`` are not
+padded to, so that a long cell does not blow up its column).
 
 Not visible: head, script, style, template, noscript, comments, elements with ``hidden``, ``display:none`` or
 ``visibility:hidden``, hidden inputs, closed details but for their summary, closed dialogs, and fallback content of

@@ -1,18 +1,21 @@
 """Licence scans with a positional rare-token index.
 
-Words are maximal runs of ASCII letters and digits and of any non-ASCII characters, lower-cased (A-Z).  Every licence template is a short
-notice with key phrases that must occur.  How many documents hold each template word is counted over the whole
-corpus; a template's ``ANCHORS`` words of highest inverse document frequency enter the index as (template, position).
-A file's words are looked up there: each hit says at which word the notice would start.  Hits of one
-template whose starts agree within ``SLACK`` words are intersected; where at least two different anchors agree (one, if the template has one),
-the words around are compared with the template and the key phrases are searched, word by word.  A notice
-counts if all its key phrases stand there and at least ``COVERAGE`` of its words do.
+Words are maximal runs of ASCII letters and digits and of any non-ASCII characters, lower-cased (A-Z).  Every
+licence template is a short notice with key phrases that must occur.  How many documents hold each template word is
+counted over the whole corpus; a template's ``ANCHORS`` words of highest inverse document frequency enter the index
+as (template, position). A file's words are looked up there: each hit says at which word the notice would start.
+Hits of one template whose starts agree within ``SLACK`` words are intersected; where at least two different anchors
+agree (one, if the template has one), the words around are compared with the template and the key phrases are
+searched, word by word.  A notice counts if all its key phrases stand there and at least ``COVERAGE`` of its words
+do.
 
 Base labels are independent of this: every place where the words of a base phrase stand one after another.  A file's
-score is the best share of template words found in a notice that counts, at least ``BASE_SCORE`` where a base phrase stands, else 0.
+score is the best share of template words found in a notice that counts, at least ``BASE_SCORE`` where a base phrase
+stands, else 0.
 
-Defined results: a null or empty text has no words and no labels (empty strings, null places, score 0); repeated rows are judged
-alike; equal frequencies are ranked by word; an empty table gives no rows; other columns are not read.
+Defined results: a null or empty text has no words and no labels (empty strings, null places, score 0); repeated
+rows are judged alike; equal frequencies are ranked by word; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations

@@ -1,25 +1,27 @@
 """LM scoring by online logistic context mixing.
 
-A lower-cased text is a sequence of bytes and one end symbol.  Each symbol is coded as the path to its leaf in a Huffman tree of the
-training symbols, so that a symbol takes about four binary decisions; the probabilities of all symbols sum to one.
-For every decision six predictors, one for each context of the last 0 to 5 symbols, look up how often the training texts
-went either way, in tables addressed by a hash of context and tree node.  A counter that moves by 1/n at its n-th update holds just that
-share, whatever the order of updates; this is why its updates may be summed over a cluster.  The predictions,
-as log-odds, are combined by weights; a gate chooses the set of weights by the longest context seen before, how often, and the place in the word.
-Weights learn online: every task passes over its share block by block and moves the weights by an online Newton
-step after each; tasks merge by precision.  Last, an adaptive probability map corrects the result by node, context
-length and predicted odds from what happened in training.  In learning, an occurrence is left out of the counts that predict it.
-
-What is gathered: the distinct runs of six symbols of all training texts with their counts (Spark combines them in each
-task, then by a shuffle), and from these the tables.  The tables have fixed sizes (``SLOT_BITS``), about 12 million
-slots of three bytes; they alone are broadcast.  Scoring evaluates each distinct run of a block once.
-
-The base score is a unigram model with add-one smoothing over words.  Counts of the ``HOT_WORDS`` most frequent words
-are broadcast, other words are looked up by a join on the words of each text, so that no vocabulary has to fit anywhere.
-
-Defined results: a null or empty text is the end alone; a null id counts as the empty text for the choice of held-out rows;
-repeated rows count again and are scored alike; without training texts every decision has even odds; an empty table
-gives no rows; other columns are not read.
+A lower-cased text is a sequence of bytes and one end symbol.  Each symbol is coded as the path to its leaf in a
+Huffman tree of the training symbols, so that a symbol takes about four binary decisions; the probabilities of all
+symbols sum to one. For every decision six predictors, one for each context of the last 0 to 5 symbols, look up how
+often the training texts went either way, in tables addressed by a hash of context and tree node.  A counter that
+moves by 1/n at its n-th update holds just that share, whatever the order of updates; this is why its updates may be
+summed over a cluster.  The predictions, as log-odds, are combined by weights; a gate chooses the set of weights by
+the longest context seen before, how often, and the place in the word. Weights learn online: every task passes over
+its share block by block and moves the weights by an online Newton step after each; tasks merge by precision.  Last,
+an adaptive probability map corrects the result by node, context length and predicted odds from what happened in
+training.  In learning, an occurrence is left out of the counts that predict it.
+
+What is gathered: the distinct runs of six symbols of all training texts with their counts (Spark combines them in
+each task, then by a shuffle), and from these the tables.  The tables have fixed sizes (``SLOT_BITS``), about 12
+million slots of three bytes; they alone are broadcast.  Scoring evaluates each distinct run of a block once.
+
+The base score is a unigram model with add-one smoothing over words.  Counts of the ``HOT_WORDS`` most frequent
+words are broadcast, other words are looked up by a join on the words of each text, so that no vocabulary has to fit
+anywhere.
+
+Defined results: a null or empty text is the end alone; a null id counts as the empty text for the choice of
+held-out rows; repeated rows count again and are scored alike; without training texts every decision has even odds;
+an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -65,7 +67,8 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For every symbol of every text the symbol and the five before it in one number, and the number of symbols of each text."""
+    """For every symbol of every text the symbol and the five before it in one number, and the number of symbols of
+    each text."""
     sizes = np.array([len(text) + 1 for text in texts], np.int64)
     symbols = np.full(int(sizes.sum()) + (ORDERS - 1) * len(texts), END, np.uint16)
     real = np.ones(len(symbols), bool)
@@ -164,7 +167,8 @@ def slots_of(runs: np.ndarray, run: np.ndarray, node: np.ndarray) -> np.ndarray:
 
 
 def count_slots(runs: DataFrame, code: Code) -> np.ndarray:
-    """How often each slot's decision went either way, as two numbers in the halves of one; both are halved until they fit."""
+    """How often each slot's decision went either way, as two numbers in the halves of one; both are halved until
+    they fit."""
 
     def count(batches):
         for batch in batches:
@@ -181,7 +185,8 @@ def count_slots(runs: DataFrame, code: Code) -> np.ndarray:
 
     # Runs with the same last three symbols meet in a task, so that most slots leave it as one row.
     together = runs.repartition(F.expr(f"shiftright(run, {SYMBOL_BITS}) & {(1 << 3 * SYMBOL_BITS) - 1}"))
-    sums = together.mapInArrow(count, "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = together.mapInArrow(count, "slot int, n0 long, n1 long")
+    sums = counted.groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     scale = F.greatest(F.lit(1.0), F.greatest("n0", "n1") / F.lit(float(_MOST)))
     part = lambda name: F.ceil(F.col(name) / scale).cast("int")
     both = part("n0") + F.shiftleft(part("n1"), 16)
@@ -221,12 +226,13 @@ def gates_of(seen: np.ndarray, place: np.ndarray) -> np.ndarray:
     return gate + place * (ORDERS * 4)
 
 
-def even(odds: np.ndarray) -> np.ndarray:
+def logistic(odds: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-odds))
 
 
 def map_cells(odds: np.ndarray, node: np.ndarray, gate: np.ndarray) -> np.ndarray:
-    step = np.rint((np.clip(odds, -ODDS_LIMIT, ODDS_LIMIT) + ODDS_LIMIT) * ((ODDS_STEPS - 1) / (2 * ODDS_LIMIT))).astype(np.int64)
+    per_step = 2 * ODDS_LIMIT / (ODDS_STEPS - 1)
+    step = np.rint((np.clip(odds, -ODDS_LIMIT, ODDS_LIMIT) + ODDS_LIMIT) / per_step).astype(np.int64)
     return (((gate >> 2) % ORDERS) * 256 + node) * ODDS_STEPS + step
 
 
@@ -268,7 +274,7 @@ def learn_weights(runs: DataFrame, code: Code, table: np.ndarray, rounds: int =
                 for at in range(0, len(order), block):
                     pick = order[at : at + block]
                     seen = Learner(own_code, own_table, all_runs[pick], all_n[pick])
-                    p = even(np.einsum("kd,dk->d", seen.odds, w[seen.gate]))
+                    p = logistic(np.einsum("kd,dk->d", seen.odds, w[seen.gate]))
                     for gate in np.unique(seen.gate):
                         mine = seen.gate == gate
                         x, n = seen.odds[:, mine].astype(np.float64), seen.n[mine]
@@ -303,7 +309,7 @@ def learn_map(runs: DataFrame, code: Code, table: np.ndarray, weights: np.ndarra
                 seen = Learner(own_code, own_table, part.column("run").to_numpy(), part.column("n").to_numpy())
                 odds = np.einsum("kd,dk->d", seen.odds, w[seen.gate])
                 cells = map_cells(odds, seen.node, seen.gate)
-                for row, value in enumerate((seen.n, seen.n * seen.way, seen.n * even(odds))):
+                for row, value in enumerate((seen.n, seen.n * seen.way, seen.n * logistic(odds))):
                     sums[row] += np.bincount(cells, weights=value, minlength=MAP_CELLS)
         hit = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), *(pa.array(own[hit]) for own in sums)], ["cell", "n", "ones", "expected"])
@@ -313,7 +319,7 @@ def learn_map(runs: DataFrame, code: Code, table: np.ndarray, weights: np.ndarra
         runs.mapInArrow(learn, "cell int, n double, ones double, expected double").groupBy("cell").agg(*[F.sum(x).alias(x) for x in names])
     )
     steps = np.tile(np.linspace(-ODDS_LIMIT, ODDS_LIMIT, ODDS_STEPS), MAP_CELLS // ODDS_STEPS)
-    corrected = even(steps)
+    corrected = logistic(steps)
     n, ones, expected = (got[name] for name in names)
     corrected[got["cell"]] = (ones + MAP_PRIOR * expected / n) / (n + MAP_PRIOR)
     return corrected
@@ -339,7 +345,7 @@ class Model:
             odds = np.zeros(len(run), np.float32)
             for order in range(ORDERS):
                 odds += self.odds[slots[order]] * w[:, order]
-            p = (even(odds) + self.corrected[map_cells(odds, node, gate)]) / 2
+            p = (logistic(odds) + self.corrected[map_cells(odds, node, gate)]) / 2
             taken = np.clip(np.where(way == 1, p, 1 - p), 1e-7, 1.0)
             out[start : start + len(own)] = -np.bincount(run, weights=np.log2(taken), minlength=len(own))
         return out
@@ -352,7 +358,8 @@ class Model:
 
 def fit(texts: DataFrame) -> Model:
     """Learn from all rows of column ``text``."""
-    runs = stored(count_runs(texts.select("text")), "runs")
+    # In order, so that learning takes the same steps whenever it is repeated.
+    runs = stored(count_runs(texts.select("text")).sortWithinPartitions("run"), "runs")
     got = collected(runs.groupBy((F.col("run") % 512).alias("symbol")).agg(F.sum("n").alias("n")))
     counts = np.zeros(SYMBOLS, np.int64)
     counts[got["symbol"]] = got["n"]
@@ -361,7 +368,8 @@ def fit(texts: DataFrame) -> Model:
     weights = learn_weights(runs, code, table)
     corrected = learn_map(runs, code, table, weights)
     n0, n1 = (table & 0xFFFF).astype(np.float32), (table >> 16).astype(np.float32)
-    return Model(code, log_odds(n0, n1).astype(np.float16), seen_class(n0 + n1), weights.astype(np.float32), corrected.astype(np.float32))
+    odds, seen = log_odds(n0, n1).astype(np.float16), seen_class(n0 + n1)
+    return Model(code, odds, seen, weights.astype(np.float32), corrected.astype(np.float32))
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -378,9 +386,19 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def words_where(block: WordBlock, chosen: np.ndarray) -> pa.ListArray:
+    """For each text the distinct chosen words with how often they occur in it."""
+    kinds = max(1, len(block.distinct))
+    keys, times = np.unique(block.doc[chosen] * kinds + block.codes[chosen], return_counts=True)
+    words = block.distinct[keys % kinds].tolist() if len(keys) else []
+    offsets = np.searchsorted(keys // kinds, np.arange(len(block.counts) + 1))
+    entries = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times.astype(np.int64))], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), entries)
+
+
 def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
-    """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10), ``n_bytes`` and
-    ``bits_per_byte`` of every row, learning from the rows that are not held out."""
+    """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10),
+    ``n_bytes`` and ``bits_per_byte`` of every row, learning from the rows that are not held out."""
     rows = docs.select("doc_id", "text", held_out("doc_id").alias("held_out"))
     training = rows.where("NOT held_out")
     words = stored(count_words(training), "words")
@@ -399,37 +417,26 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
             end = known.value.get(b"", 0)
             counts = np.array([known.value.get(word, -1) for word in block.distinct], np.int64)
             found = counts[block.codes] if len(block.codes) else np.zeros(0, np.int64)
-            rare = np.flatnonzero(found < 0)
-            pair, pairs = codes_of(block.doc[rare] * max(1, len(block.distinct)) + block.codes[rare])
-            pairs = np.sort(pairs)
-            times = np.bincount(np.searchsorted(pairs, block.doc[rare] * max(1, len(block.distinct)) + block.codes[rare]), minlength=len(pairs))
-            owner, code = pairs // max(1, len(block.distinct)), pairs % max(1, len(block.distinct))
-            offsets = np.searchsorted(owner, np.arange(len(texts) + 1))
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets.astype(np.int32)),
-                pa.StructArray.from_arrays(
-                    [pa.array(list(block.distinct[code]) if len(code) else [], pa.binary()), pa.array(times.astype(np.int64))], ["word", "n"]
-                ),
-            )
-            is_known = found > 0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key + np.arange(len(texts))),
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(block.counts + 1),
-                    pa.array(block.sums(is_known, np.int64) + int(end > 0)),
-                    pa.array(block.sums(np.where(is_known, np.log10(np.maximum(found, 0) + 1.0), 0.0)) + np.log10(end + 1.0)),
-                    lists,
-                    pa.array(shared.value.text_bits(texts)),
-                    pa.array(np.array([len(text) for text in raw], np.int64)),
-                ],
-                ["row_key", "doc_id", "held_out", "n_tokens", "hot_known", "hot_sum", "rare", "bits", "n_bytes"],
-            )
+            logs = np.log10(np.maximum(found, 0) + 1.0)
+            columns = {
+                "row_key": pa.array(key + np.arange(len(texts))),
+                "doc_id": batch.column("doc_id"),
+                "held_out": batch.column("held_out"),
+                "n_tokens": pa.array(block.counts + 1),
+                "hot_known": pa.array(block.sums(found > 0, np.int64) + int(end > 0)),
+                "hot_sum": pa.array(block.sums(logs) + np.log10(end + 1.0)),
+                "rare": words_where(block, found < 0),
+                "bits": pa.array(shared.value.text_bits(texts)),
+                "n_bytes": pa.array(np.array([len(text) for text in raw], np.int64)),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
             key += len(texts)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    fields = f"row_key long, doc_id {kind}, held_out boolean, n_tokens long, hot_known long, hot_sum double, rare array<struct<word:binary,n:long>>, bits double, n_bytes long"
+    fields = (
+        f"row_key long, doc_id {kind}, held_out boolean, n_tokens long, hot_known long, hot_sum double,"
+        " rare array<struct<word:binary,n:long>>, bits double, n_bytes long"
+    )
     judged = stored(rows.mapInArrow(judge, fields), "scored")
     asked = judged.select("row_key", F.explode("rare").alias("r")).select("row_key", "r.word", F.col("r.n").alias("times"))
     rare = (

@@ -1,21 +1,21 @@
 """Order-preserving packing by dynamic programming.
 
 Documents become token ids, each followed by an end id, and form one stream in the order in which a partition holds
-them.  The stream is cut into sequences of at most ``length`` ids.  Cuts are allowed at document ends, at the first sentence
-end in each ``length / SENTENCES`` ids, ``length`` ids behind either of these, and every ``length`` ids inside a run without any.  A cut
-costs nothing at a document end, ``SENTENCE`` at a sentence end and ``INSIDE`` elsewhere; a sequence costs its padding, none where its
-size is a power of two from ``length / FEWEST`` on, and ``EACH`` so that short sequences do not pay off by themselves.  The cheapest cuts
-follow from
+them.  The stream is cut into sequences of at most ``length`` ids.  Cuts are allowed at document ends, at the first
+sentence end in each ``length / SENTENCES`` ids, ``length`` ids behind either of these, and every ``length`` ids
+inside a run without any.  A cut costs nothing at a document end, ``SENTENCE`` at a sentence end and ``INSIDE``
+elsewhere; a sequence costs its padding, none where its size is a power of two from ``length / FEWEST`` on, and
+``EACH`` so that short sequences do not pay off by themselves.  The cheapest cuts follow from
 
     f(j) = cut(j) + EACH + min( min over j - length <= i < j of f(i) + length - (j - i),  min over powers p of f(j - p) )
 
 whose inner minimum is a sliding one over f(i) + i, kept by a monotone queue: linear time.
 
-The stream is solved in runs of documents of about ``BLOCK_BYTES`` of text, which bounds a task's memory; the run's end is a
-document's end, so only its last sequence can be short.  Nothing is shuffled.
+The stream is solved in runs of documents of about ``BLOCK_BYTES`` of text, which bounds a task's memory; the run's
+end is a document's end, so only its last sequence can be short.  Nothing is shuffled.
 
-Defined results: a null or empty text is the end id alone; repeated rows are packed again; null ids stay null; an empty table
-gives no rows; other columns are not read.
+Defined results: a null or empty text is the end id alone; repeated rows are packed again; null ids stay null; an
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -66,9 +66,9 @@ def plain_pattern(pattern: str) -> str:
 class Encoder:
     """Ids of texts as ``tokenizers`` gives them, found once per distinct word of a block.
 
-    The words are those of the tokenizer's own splitting rule; byte-pair merges never cross them, so the ids of a text
-    are those of its words one after another.  Texts that hold a special token or a character which the two regex libraries class
-    differently are encoded whole.
+    The words are those of the tokenizer's own splitting rule; byte-pair merges never cross them, so the ids of a
+    text are those of its words one after another.  Texts that hold a special token or a character which the two
+    regex libraries class differently are encoded whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -88,7 +88,8 @@ class Encoder:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]):
-        """Add the ids of words.  Many are encoded as one text, set apart by line breaks, which are words of their own."""
+        """Add the ids of words.  Many are encoded as one text, set apart by line breaks, which are words of their
+        own."""
         solid = [word for word in words if not word.isspace()]
         groups = [solid[at : at + 1000] for at in range(0, len(solid), 1000)]
         for group, ids in zip(groups, self.ids(["\n".join(group) for group in groups])):
@@ -221,8 +222,8 @@ PIECES = "doc_row long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGTH) -> DataFrame:
-    """One row per piece of a document in a sequence: ``doc_id``, ``start`` and ``length`` among the document's ids, their CRC-32,
-    ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence, and the ids themselves as ``ids``."""
+    """One row per piece of a document in a sequence: ``doc_id``, ``start`` and ``length`` among the document's ids,
+    their CRC-32, ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence, and the ids themselves as ``ids``."""
 
     def solve(batches):
         encoder = encoder_of(tokenizer_path, pattern)

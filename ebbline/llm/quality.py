@@ -1,17 +1,18 @@
 """Quality rules: a hashed n-gram log-likelihood ratio of trusted target against raw corpus.
 
 Words are maximal runs other than space and 0x09-0x0D, case kept.  Single words and pairs of neighbouring words are
-hashed into a fixed number of buckets.  Two multinomials over the buckets are counted: one over *every* text (raw), one over the texts
-trusted by their labels (target).  A text's score is the mean over its n-grams of
+hashed into a fixed number of buckets.  Two multinomials over the buckets are counted: one over *every* text (raw),
+one over the texts trusted by their labels (target).  A text's score is the mean over its n-grams of
 
     log((target + a) / (raw * target_total / raw_total + a))
 
-that is, both multinomials with ``a`` added at the size of the target, so that n-grams hardly seen say nothing.  A text is
-kept where the score reaches ``min_score``; this decision is a function of the text and the counted model alone.
+that is, both multinomials with ``a`` added at the size of the target, so that n-grams hardly seen say nothing.  A
+text is kept where the score reaches ``min_score``; this decision is a function of the text and the counted model
+alone.
 
 Defined results: a null text counts as empty; an empty text has score 0 and fails the base rules; repeated rows are
-judged alike; labels with nulls are not trusted, and an id with several label rows is trusted only if all agree; without trusted
-texts every score is 0; other columns are never read.
+judged alike; labels with nulls are not trusted, and an id with several label rows is trusted only if all agree;
+without trusted texts every score is 0; other columns are never read.
 """
 
 from __future__ import annotations
@@ -130,10 +131,15 @@ def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.Struc
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, bits: int = BUCKET_BITS, smoothing: float = SMOOTHING, trusted_rows: int = TRUSTED_ROWS,
+    docs: DataFrame,
+    labels: DataFrame,
+    bits: int = BUCKET_BITS,
+    smoothing: float = SMOOTHING,
+    trusted_rows: int = TRUSTED_ROWS,
     min_score: float = MIN_SCORE,
 ) -> QualityModel:
-    """Count both multinomials.  Each task sums its buckets before they are shuffled; the driver gets ``2**bits`` rows."""
+    """Count both multinomials.  Each task sums its buckets before they are shuffled; the driver gets ``2**bits``
+    rows."""
     ids = F.broadcast(trusted_ids(labels, trusted_rows))
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
     rows = rows.join(ids, F.col("id") == F.col("trusted_id"), "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
@@ -149,12 +155,14 @@ def fit_quality(
         hit = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(raw[hit]), pa.array(target[hit])], ["bucket", "raw", "target"])
 
-    sums = rows.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    counted = rows.mapInArrow(count, "bucket int, raw long, target long")
+    sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     got = collected(sums)
     raw, target = np.zeros(1 << bits), np.zeros(1 << bits)
     raw[got["bucket"]], target[got["bucket"]] = got["raw"], got["target"]
     share = target.sum() / max(raw.sum(), 1)
-    return QualityModel(np.log((target + smoothing) / (raw * share + smoothing)).astype(np.float32) if target.any() else np.zeros(1 << bits, np.float32), min_score)
+    ratios = np.log((target + smoothing) / (raw * share + smoothing)) if target.any() else np.zeros(1 << bits)
+    return QualityModel(ratios.astype(np.float32), min_score)
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:

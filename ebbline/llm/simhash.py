@@ -1,21 +1,24 @@
 """SimHash near-duplicates by segment popcounts.
 
-A text is lower-cased (A-Z) and cut into words (runs other than space and 0x09-0x0D); its shingles are the runs of ``words``
-consecutive words, repeats included, joined by a space; a shorter text is one shingle, a text without words has
-fingerprint zero.  A bit of the fingerprint is set if it is set in over half of the shingles' XXH64 (seed 42).
-
-Fingerprints that differ in at most ``bits`` bits are linked.  Each distinct fingerprint is mapped to the popcounts of its 32 segments
-of two bits.  A flipped bit changes one popcount by one, so the Manhattan distance of popcounts never exceeds the Hamming
-distance.  Of the two halves of a linked pair one differs in at most ``bits // 2`` bits; in the grid of that half's
-popcounts the two lie within that Manhattan distance, and some grid cell lies within half of it from both.  Every fingerprint therefore
-enters the cells around it, cells with two or more are the candidates, and those are verified exactly.
+A text is lower-cased (A-Z) and cut into words (runs other than space and 0x09-0x0D); its shingles are the runs of
+``words`` consecutive words, repeats included, joined by a space; a shorter text is one shingle, a text without
+words has fingerprint zero.  A bit of the fingerprint is set if it is set in over half of the shingles' XXH64 (seed
+42).
+
+Fingerprints that differ in at most ``bits`` bits are linked.  Each distinct fingerprint is mapped to the popcounts
+of its 32 segments of two bits.  A flipped bit changes one popcount by one, so the Manhattan distance of popcounts
+never exceeds the Hamming distance.  Of the two halves of a linked pair one differs in at most ``bits // 2`` bits;
+in the grid of that half's popcounts the two lie within that Manhattan distance, and some grid cell lies within half
+of it from both.  Every fingerprint therefore enters the cells around it, cells with two or more are the candidates,
+and those are verified exactly.
 
 Only distinct fingerprints enter the grid, so exact copies cost one row.  A cell returns links that connect what is
-connected in it, never all its pairs; a crowded cell is cut into chunks and each pair of chunks is a group of its own.
+connected in it, never all its pairs; a crowded cell is cut into chunks and each pair of chunks is a group of its
+own.
 
-Defined results: null and empty texts have fingerprint zero and are linked to each other like any others; an id that occurs in
-several rows takes part once per row; null ids never become a ``component_id`` unless a component has no other, then
-it is null; an empty table gives no rows; further columns are not read.
+Defined results: null and empty texts have fingerprint zero and are linked to each other like any others; an id that
+occurs in several rows takes part once per row; null ids never become a ``component_id`` unless a component has no
+other, then it is null; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -173,7 +176,9 @@ def component_of_fingerprints(rows: DataFrame, bits: int = BITS) -> DataFrame:
     inside = known.join(lowest, "root").select("fp", F.col("root").alias("fp_root"), "component_id")
     return stored(
         distinct.join(inside, "fp", "left").select(
-            "fp", F.coalesce("fp_root", "fp").alias("fp_root"), F.when(F.col("fp_root").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id")
+            "fp",
+            F.coalesce("fp_root", "fp").alias("fp_root"),
+            F.when(F.col("fp_root").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id"),
         ),
         "components",
     )
@@ -182,8 +187,8 @@ def component_of_fingerprints(rows: DataFrame, bits: int = BITS) -> DataFrame:
 def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """The documents with the smallest id of each component, in the columns of ``docs``.
 
-    An id names one document: of rows that repeat it one stays.  Rows without an id stay only where their component has no id at all, one
-    of each such component.
+    An id names one document: of rows that repeat it one stays.  Rows without an id stay only where their component
+    has no id at all, one of each such component.
     """
     rows = stored(docs.select(F.col("doc_id"), fingerprint(F.col("text"), words).alias("fp")), "fingerprints")
     classes = component_of_fingerprints(rows, bits)

@@ -1,17 +1,19 @@
 """URL filters: path rules, then a Bloom filter cascade over hosts.
 
 A cascade answers membership exactly for every key of a known universe.  Level 1 encodes the listed keys; the other
-keys of the universe that pass it are its false positives, which level 2 encodes; the listed keys that pass level 2 are encoded by level 3,
-and so on until a level passes nothing wrong.  A key belongs to the list if the first level that it fails is an
-even one, or if it fails none and their number is odd.  No join is needed to ask, only the filters.
+keys of the universe that pass it are its false positives, which level 2 encodes; the listed keys that pass level 2
+are encoded by level 3, and so on until a level passes nothing wrong.  A key belongs to the list if the first level
+that it fails is an even one, or if it fails none and their number is odd.  No join is needed to ask, only the
+filters.
 
 Levels hash with seeds of their own, so that keys which collide in one level part in the next.  Keys are dealt into
-shards of about ``SHARD_KEYS`` listed keys; filters are built by ``bit_or`` per 64-bit word and come to the driver shard group
-by shard group, at most ``GROUP_KEYS`` listed keys or about ``GROUP_KEYS * BITS_PER_KEY / 8`` bytes at once.  Every group is broadcast by itself and
-asked in one narrow pass, so a list of any length is answered exactly.
+shards of about ``SHARD_KEYS`` listed keys; filters are built by ``bit_or`` per 64-bit word and come to the driver
+shard group by shard group, at most ``GROUP_KEYS`` listed keys or about ``GROUP_KEYS * BITS_PER_KEY / 8`` bytes at
+once.  Every group is broadcast by itself and asked in one narrow pass, so a list of any length is answered exactly.
 
-Defined results: a null key or one outside the universe may be answered either way, as a Bloom filter does; no listed
-keys block nothing; repeated keys count once.  A null url, or one without ``://``, has an empty host and path.
+Defined results: a null key or one outside the universe may be answered either way, as a Bloom filter does; no
+listed keys block nothing; repeated keys count once.  A null url, or one without ``://``, has an empty host and
+path.
 """
 
 from __future__ import annotations
@@ -165,8 +167,8 @@ def tracking_hosts(pages: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, universe: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
-    """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` and ``listed`` of every row: the rule's verdict, else block for
-    listed hosts and allow for others."""
+    """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` and ``listed`` of every row: the rule's verdict, else
+    block for listed hosts and allow for others."""
     cascade = Cascade(stored(universe, "universe"))
     parts = pages.select("page_id", host_of("url").alias("host"), path_of("url").alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)

@@ -1,21 +1,22 @@
 """WARC archives compressed frame by frame with Zstandard and a dictionary of their own.
 
-An archive starts with a skippable frame (magic 0x184D2A5D) that holds its dictionary, itself compressed; then comes one
-Zstandard frame per record.  The writer trains a dictionary on the archive's first payloads, at most ``SAMPLES`` of
-``SAMPLE_BYTES`` each; too few to train on become the dictionary as they are.  Archives are written by Spark's text
-sink, a file each, so that they can go to any file system and a lost task leaves nothing half written; what the sink puts
-behind every value is an empty skippable frame, which readers pass over.
+An archive starts with a skippable frame (magic 0x184D2A5D) that holds its dictionary, itself compressed; then comes
+one Zstandard frame per record.  The writer trains a dictionary on the archive's first payloads, at most ``SAMPLES``
+of ``SAMPLE_BYTES`` each; too few to train on become the dictionary as they are.  Archives are written by Spark's
+text sink, a file each, so that they can go to any file system and a lost task leaves nothing half written; what the
+sink puts behind every value is an empty skippable frame, which readers pass over.
 
-The reader takes an archive as one binary row, loads the dictionary, walks the frames by their block headers, decodes each and
-checks: version line, header syntax, the headers every record needs, that ``Content-Length`` and the record's end agree,
-that a frame holds one record and no more, block and payload digests, and what a revisit refers to.
+The reader takes an archive as one binary row, loads the dictionary, walks the frames by their block headers,
+decodes each and checks: version line, header syntax, the headers every record needs, that ``Content-Length`` and
+the record's end agree, that a frame holds one record and no more, block and payload digests, and what a revisit
+refers to.
 
 Of pages with equal payloads of ``least_bytes`` or more the one with the largest id is a response, the others are
 revisits of it without payload.  Payloads are compared by SHA-1 and length.
 
-Defined results: a null html is an empty payload; rows that repeat the largest id of a payload are responses each; a null id
-is below all others, and payloads that only rows without id have are all responses; a null url is left out; an empty table
-writes no archive and gives no rows; other columns are not read.
+Defined results: a null html is an empty payload; rows that repeat the largest id of a payload are responses each; a
+null id is below all others, and payloads that only rows without id have are all responses; a null url is left out;
+an empty table writes no archive and gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -248,7 +249,8 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES):
-    """Write a record per row of ``pages`` to archives below ``folder``, each of about ``archive_bytes`` before compression."""
+    """Write a record per row of ``pages`` to archives below ``folder``, each of about ``archive_bytes`` before
+    compression."""
 
     def archives(batches):
         writer = None
