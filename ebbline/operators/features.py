@@ -24,11 +24,12 @@ def aggregate_orders(orders: DataFrame) -> DataFrame:
 
 
 def aggregate_events(events: DataFrame, treat_unknown_as_null: bool = False) -> DataFrame:
-    """Event measures per user; ``platform`` is that of the earliest event that has one, the smallest of equally early.
+    """Event measures per user; ``platform`` is that of the earliest event that has one, the smallest of equally
+    early.
 
-    Raw events are read once and meet only fixed-width buffers, so each task combines them by hashing, never by sorting; as
-    the session is part of that first key, the events of one very active user spread over many tasks.  What is
-    left is a row per session and platform, then one per session, then one per user.  Events without a user,
+    Raw events are read once and meet only fixed-width buffers, so each task combines them by hashing, never by
+    sorting; as the session is part of that first key, the events of one very active user spread over many tasks.
+    What is left is a row per session and platform, then one per session, then one per user.  Events without a user,
     which cleaning drops, are a group of their own here.
     """
     platform = F.col("platform")

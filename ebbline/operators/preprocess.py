@@ -111,7 +111,8 @@ class PreprocessorStatistics:
 
     @staticmethod
     def _categories(df: DataFrame, columns: list[str], max_categories: int | None) -> tuple[dict, dict]:
-        """The encoder's dictionary lives in the model; a bound that the caller states is checked before it is fetched."""
+        """The encoder's dictionary lives in the model; a bound that the caller states is checked before it is
+        fetched."""
         counts = category_counts(df, columns)
         if max_categories is not None:
             for row in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("size")).collect():
@@ -172,7 +173,8 @@ class PreprocessorStatistics:
 
 
 class Preprocessor(Estimator):
-    """Numeric columns: median, then standard score.  Other columns: mode, then one-hot, or hashing where it is chosen."""
+    """Numeric columns: median, then standard score.  Other columns: mode, then one-hot, or hashing where it is
+    chosen."""
 
     def __init__(
         self,
@@ -197,7 +199,8 @@ def build_preprocessor(
 ) -> Preprocessor:
     """Columns are assigned by type: numbers and booleans are scaled, everything else is encoded.
 
-    ``hashed`` names text columns, with a width each, that are hashed instead of listed in a dictionary; the choice is the caller's and
-    never depends on the data.  ``max_categories`` refuses longer dictionaries; without it there is no bound.
+    ``hashed`` names text columns, with a width each, that are hashed instead of listed in a dictionary; the choice
+    is the caller's and never depends on the data.  ``max_categories`` refuses longer dictionaries; without it there
+    is no bound.
     """
     return Preprocessor(numeric_columns(features), category_columns(features), hashed, max_categories)

@@ -94,8 +94,9 @@ def agreement(
 ) -> DataFrame:
     """How often two scorings of the same ids agree.
 
-    Both sides are stacked and grouped by id rather than joined: a null or repeated id then costs one combined
-    row instead of pairs.  Such ids cannot be paired row by row and are counted apart.  A missing class agrees with nothing.
+    Both sides are stacked and grouped by id rather than joined: a null or repeated id then costs one combined row
+    instead of pairs.  Such ids cannot be paired row by row and are counted apart.  A missing class agrees with
+    nothing.
     """
     row_id, guess, nothing = F.col(id_column).alias("id"), F.col(prediction), F.lit(None).cast("int")
     sides = first.select(row_id, guess.alias("a"), nothing.alias("b"))

@@ -163,7 +163,8 @@ def read_records(spark: SparkSession, names: Names, name: str) -> DataFrame:
 
 
 def selection_job(spark: SparkSession, names: Names, report_path: str, metric: str = "pr_auc") -> DataFrame:
-    """Compare the latest runs; store the comparison, the decision with the tuned run's parameters and a selection run."""
+    """Compare the latest runs; store the comparison, the decision with the tuned run's parameters and a selection
+    run."""
     latest = get_latest_successful_runs(read_records(spark, names, names.runs))
     get_metrics(latest)
     write_report_csv(build_comparison(latest), f"{report_path}/model_comparison")
@@ -189,8 +190,8 @@ def scoring_job(
 ) -> DataFrame:
     """Score the gold table with the selected model.
 
-    Rows with negative measures are set aside with their reasons; the others are scored and checked.  Scored and refused rows
-    are tables, and each row adds a line to the prediction log.  Returns the written row counts.
+    Rows with negative measures are set aside with their reasons; the others are scored and checked.  Scored and
+    refused rows are tables, and each row adds a line to the prediction log.  Returns the written row counts.
     """
     run_id = get_selected_run_id(read_records(spark, names, names.runs))
     model = load_selected_model(spark, names)

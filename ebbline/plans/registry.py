@@ -108,7 +108,9 @@ def raw_round_trip(spark, sf_dir):
     given.raw_orders(spark, sf_dir).write.json(f"{root}/orders")
     keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     # Another order of columns than the reader's, and one that it does not ask for.
-    events = given.raw_events(spark, sf_dir).select("date", "user_id", F.lit("x").alias("url"), "session_id", "event_id", "action", "platform")
+    url = F.lit("x").alias("url")
+    events = given.raw_events(spark, sf_dir)
+    events = events.select("date", "user_id", url, "session_id", "event_id", "action", "platform")
     events.write.options(header=True, **keep_blanks).csv(f"{root}/events")
     users, orders, events = load_raw_data(spark, f"{root}/users", f"{root}/orders", f"{root}/events")
     return (

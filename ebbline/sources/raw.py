@@ -42,10 +42,10 @@ def load_raw_data(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Users and orders from JSON lines, events from CSV with a header.
 
-    Events are taken by the names in the header, whatever their order; further columns are left out and a missing one is an
-    error, as are files whose headers differ.  In strict mode a line that is no record fails the job.  In permissive mode it
-    becomes a row of nulls whose text stands in ``corrupt_record``, which ``raw_parse_losses`` counts.
-    ``schemas=None`` lets Spark infer the types, which reads every file once more.
+    Events are taken by the names in the header, whatever their order; further columns are left out and a missing
+    one is an error, as are files whose headers differ.  In strict mode a line that is no record fails the job.  In
+    permissive mode it becomes a row of nulls whose text stands in ``corrupt_record``, which ``raw_parse_losses``
+    counts. ``schemas=None`` lets Spark infer the types, which reads every file once more.
     """
     csv = spark.read.option("header", True)
     if schemas is None:

@@ -15,8 +15,8 @@ def stream_prediction_metrics(
     """Write the current totals to ``target`` after every batch.
 
     Totals have no end, so there is no watermark; state is one row per model.  Each batch writes the whole small
-    result to a folder of its own, which readers see when it is complete; a batch repeated after a failure writes the same
-    rows to the same folder.  ``read_totals`` gives the latest.
+    result to a folder of its own, which readers see when it is complete; a batch repeated after a failure writes
+    the same rows to the same folder.  ``read_totals`` gives the latest.
     """
 
     def replace(totals: DataFrame, batch: int) -> None:
