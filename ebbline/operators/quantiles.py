@@ -125,21 +125,24 @@ class ValueHistogram:
 
     def quantiles(self, probabilities: dict[str, list[float]]) -> dict[str, list[float | None]]:
         """Quantiles with linear interpolation between neighbouring values, None for an empty column."""
+        return {column: [value for value, _ in pairs] for column, pairs in self.ranked(probabilities).items()}
+
+    def ranked(self, probabilities: dict[str, list[float]]) -> dict[str, list[tuple[float | None, int]]]:
+        """Quantiles, each with the number of values that do not exceed it."""
         wanted = {column: self._positions(column, probabilities[column]) for column in probabilities}
         ranks = {
             column: sorted({rank for low, high, _ in positions for rank in (low, high)})
             for column, positions in wanted.items()
         }
         found = self._order_statistics({column: places for column, places in ranks.items() if places})
-        result: dict[str, list[float | None]] = {}
+        result: dict[str, list[tuple[float | None, int]]] = {}
         for column, positions in wanted.items():
-            values: list[float | None] = [
-                found[column, low]
-                if found[column, low] == found[column, high]
-                else found[column, low] + (found[column, high] - found[column, low]) * weight
-                for low, high, weight in positions
-            ]
-            result[column] = values or [None] * len(probabilities[column])
+            pairs: list[tuple[float | None, int]] = []
+            for low, high, weight in positions:
+                (below, upto_below), (above, upto_above) = found[column, low], found[column, high]
+                value = below if below == above else below + (above - below) * weight
+                pairs.append((value, upto_above if value >= above else upto_below))
+            result[column] = pairs or [(None, 0)] * len(probabilities[column])
         return result
 
     def _positions(self, column: str, probabilities: list[float]) -> list[tuple[int, int, float]]:
@@ -149,7 +152,8 @@ class ValueHistogram:
         exact = [probability * last for probability in probabilities]
         return [(math.floor(place), math.ceil(place), place - math.floor(place)) for place in exact]
 
-    def _order_statistics(self, ranks: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    def _order_statistics(self, ranks: dict[str, list[int]]) -> dict[tuple[str, int], tuple[float, int]]:
+        """The value at each rank and the number of values up to it."""
         targets = []
         for column, places in ranks.items():
             buckets = sorted(self._counts[column])
@@ -157,11 +161,11 @@ class ValueHistogram:
             for rank in places:
                 at = bisect_right(upto, rank)
                 before = upto[at - 1] if at else 0
-                targets.append((column, buckets[at], rank, rank - before))
+                targets.append((column, buckets[at], rank, rank - before, before))
         if not targets:
             return {}
         spark = self._values.sparkSession
-        target_rows = spark.createDataFrame(targets, "feature string, bucket int, rank long, place long")
+        target_rows = spark.createDataFrame(targets, "feature string, bucket int, rank long, place long, before long")
         entries = []
         for column in ranks:
             bucket = F.col(f"`{self._bucket_of[column]}`").cast("int")
@@ -181,7 +185,9 @@ class ValueHistogram:
         matched = spans.join(F.broadcast(target_rows), ["feature", "bucket"]).where(
             "place < upto AND place >= upto - copies"
         )
-        return {(row["feature"], row["rank"]): row["value"] for row in matched.collect()}
+        return {
+            (row["feature"], row["rank"]): (row["value"], row["before"] + row["upto"]) for row in matched.collect()
+        }
 
 
 def exact_quantiles(

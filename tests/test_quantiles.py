@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ebbline.operators import drift
 from ebbline.operators.drift import drift_report, population_stability_index, psi_table
 from ebbline.operators.quantiles import ValueHistogram, exact_quantiles
 
@@ -109,3 +110,20 @@ def test_report_is_ordered_and_classified(spark):
     current = reference.withColumn("far", F.col("far") + 300)
     report = [(row["feature"], row["status"]) for row in drift_report(reference, current).collect()]
     assert report == [("far", "drift"), ("same", "stable"), ("constant", "not_evaluable")]
+
+
+def test_reference_bins_are_counted_without_another_reading(spark):
+    df = spark.range(5000).selectExpr("double(id % 37) AS a", "double(pow(id % 101, 2)) AS b", "double(id) AS c")
+    found = drift.reference_bins(df, ["a", "b", "c"])
+    for name, (edges, counts) in found.items():
+        values = [row[0] for row in df.select(name).collect()]
+        upto = [sum(value <= edge for value in values) for edge in edges]
+        assert counts == [high - low for low, high in zip([0, *upto], [*upto, len(values)])]
+
+
+def test_approximate_edges_are_near_the_exact_ones(spark):
+    reference = spark.range(20_000).selectExpr("double(id * 7919 % 20011) AS a", "1.0D AS one")
+    current = reference.selectExpr("a * 1.2 AS a", "one")
+    exact = {row["feature"]: row["psi"] for row in drift.psi_table(reference, current).collect()}
+    near = {row["feature"]: row["psi"] for row in drift.psi_table(reference, current, approximate=True).collect()}
+    assert near["a"] == pytest.approx(exact["a"], rel=0.1) and near["one"] in (None, 0.0)
