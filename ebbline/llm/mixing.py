@@ -31,7 +31,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import zstandard
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +112,26 @@ def count_runs(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
 
 
+class Compressed:
+    """Fields that are large arrays are compressed on their way to the executors: tables that are hardly filled cost
+    next to nothing."""
+
+    def __getstate__(self) -> dict:
+        return {
+            name: (zstandard.compress(value.tobytes(), 1), value.dtype.str, value.shape)
+            if isinstance(value, np.ndarray) and value.nbytes > 1 << 16
+            else value
+            for name, value in vars(self).items()
+        }
+
+    def __setstate__(self, state: dict):
+        for name, value in state.items():
+            if isinstance(value, tuple):
+                raw, kind, shape = value
+                value = np.frombuffer(zstandard.decompress(raw), kind).reshape(shape)
+            setattr(self, name, value)
+
+
 @dataclass
 class Code:
     """The tree: for each symbol the nodes on its path, the way taken at each, and the path's length."""
@@ -253,19 +274,24 @@ class Learner:
         self.n = n[run].astype(np.float64)
 
 
-def learn_weights(runs: DataFrame, code: Code, table: np.ndarray, rounds: int = ROUNDS, block: int = 512) -> np.ndarray:
+@dataclass
+class Counts(Compressed):
+    code: Code
+    table: np.ndarray
+
+
+def learn_weights(runs: DataFrame, shared: Broadcast, rounds: int = ROUNDS, block: int = 512) -> np.ndarray:
     """Weights by gate.  Tasks step online from the merged weights of the round before; merging weighs by precision."""
     weights = np.full((GATES, ORDERS), 0.3)
     precision = np.tile(np.eye(ORDERS) * 50.0, (GATES, 1, 1))
     context = runs.sparkSession.sparkContext
-    shared = context.broadcast((code, table))
     parts = max(1, runs.select(F.spark_partition_id()).distinct().count())
 
     for _ in range(rounds):
         start = context.broadcast((weights, precision))
 
         def learn(batches):
-            own_code, own_table = shared.value
+            code, table = shared.value.code, shared.value.table
             w, a = (part.copy() for part in start.value)
             moved = np.zeros_like(a)
             for batch in batches:
@@ -273,7 +299,7 @@ def learn_weights(runs: DataFrame, code: Code, table: np.ndarray, rounds: int =
                 order = np.random.default_rng(batch.num_rows).permutation(len(all_runs))
                 for at in range(0, len(order), block):
                     pick = order[at : at + block]
-                    seen = Learner(own_code, own_table, all_runs[pick], all_n[pick])
+                    seen = Learner(code, table, all_runs[pick], all_n[pick])
                     p = logistic(np.einsum("kd,dk->d", seen.odds, w[seen.gate]))
                     for gate in np.unique(seen.gate):
                         mine = seen.gate == gate
@@ -296,17 +322,16 @@ def learn_weights(runs: DataFrame, code: Code, table: np.ndarray, rounds: int =
     return weights
 
 
-def learn_map(runs: DataFrame, code: Code, table: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The corrected probability of each cell of the adaptive map."""
-    shared = runs.sparkSession.sparkContext.broadcast((code, table, weights))
+def learn_map(runs: DataFrame, shared: Broadcast, w: np.ndarray) -> np.ndarray:
+    """The corrected probability of each cell of the adaptive map, given the weights."""
 
     def learn(batches):
-        own_code, own_table, w = shared.value
+        code, table = shared.value.code, shared.value.table
         sums = np.zeros((3, MAP_CELLS))
         for batch in batches:
             for start in range(0, batch.num_rows, 20_000):
                 part = batch.slice(start, 20_000)
-                seen = Learner(own_code, own_table, part.column("run").to_numpy(), part.column("n").to_numpy())
+                seen = Learner(code, table, part.column("run").to_numpy(), part.column("n").to_numpy())
                 odds = np.einsum("kd,dk->d", seen.odds, w[seen.gate])
                 cells = map_cells(odds, seen.node, seen.gate)
                 for row, value in enumerate((seen.n, seen.n * seen.way, seen.n * logistic(odds))):
@@ -326,7 +351,7 @@ def learn_map(runs: DataFrame, code: Code, table: np.ndarray, weights: np.ndarra
 
 
 @dataclass
-class Model:
+class Model(Compressed):
     code: Code
     odds: np.ndarray
     seen: np.ndarray
@@ -365,8 +390,10 @@ def fit(texts: DataFrame) -> Model:
     counts[got["symbol"]] = got["n"]
     code = Code.of(counts)
     table = count_slots(runs, code)
-    weights = learn_weights(runs, code, table)
-    corrected = learn_map(runs, code, table, weights)
+    shared = texts.sparkSession.sparkContext.broadcast(Counts(code, table))
+    weights = learn_weights(runs, shared)
+    corrected = learn_map(runs, shared, weights)
+    shared.destroy()
     n0, n1 = (table & 0xFFFF).astype(np.float32), (table >> 16).astype(np.float32)
     odds, seen = log_odds(n0, n1).astype(np.float16), seen_class(n0 + n1)
     return Model(code, odds, seen, weights.astype(np.float32), corrected.astype(np.float32))
