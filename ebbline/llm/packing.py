@@ -23,7 +23,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +43,10 @@ EACH = 8
 SENTENCES = 64
 #: A full sequence's length divided by the smallest power of two that is sought as a sequence's size.
 FEWEST = 16
-#: Encoded words kept in a Python worker; the cache is emptied when it is full.
-CACHED_WORDS = 1_000_000
+#: Encoded words held during a task, and those left when there are more or when the task ends: the first ones met, among
+#: which are the frequent ones.
+CACHED_WORDS = 500_000
+KEPT_WORDS = 100_000
 #: Letters beyond ASCII that lie in unbroken ranges.
 PLAIN_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 #: Where the two regex libraries' Unicode versions differ in what is a letter or number (found by trying every code point), widened
@@ -107,6 +109,10 @@ class Encoder:
     def learn_each(self, words: list[str]):
         self.known.update((word, packed(ids)) for word, ids in zip(words, self.ids(words)))
 
+    def trim(self):
+        if len(self.known) > KEPT_WORDS:
+            self.known = dict(islice(self.known.items(), KEPT_WORDS))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts with their end ids, the number of ids of each text, and the places behind sentence ends."""
         words: list[str] = []
@@ -128,7 +134,7 @@ class Encoder:
         number[list(place.values())] = np.arange(len(place))
         codes = number[firsts]
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+            self.trim()
         self.learn([word for word in distinct if word and word not in self.known and len(word) < 64])
         end_id = packed([END_ID])
         coded = [self.known.get(word) or (packed(self.ids([word])[0]) if word else end_id) for word in distinct]
@@ -254,6 +260,7 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGT
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
             )
             sequence += len(cuts)
+        encoder.trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = PIECES.replace("doc_row long", f"doc_id {kind}") + ", ids array<int>"
