@@ -45,8 +45,8 @@ SENTENCES = 64
 FEWEST = 16
 #: Encoded words held during a task, and those left when there are more or when the task ends: the first ones met, among
 #: which are the frequent ones.
-CACHED_WORDS = 500_000
-KEPT_WORDS = 100_000
+CACHED_WORDS = 700_000
+KEPT_WORDS = 400_000
 #: Letters beyond ASCII that lie in unbroken ranges.
 PLAIN_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 #: Where the two regex libraries' Unicode versions differ in what is a letter or number (found by trying every code point), widened
