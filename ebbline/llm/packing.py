@@ -1,11 +1,11 @@
 """Order-preserving packing by dynamic programming.
 
 Documents become token ids, each followed by an end id, and form one stream in the order in which a partition holds
-them.  The stream is cut into sequences of at most ``length`` ids.  Cuts are allowed at document ends, at the first
-sentence end in each ``length / SENTENCES`` ids, ``length`` ids behind either of these, and every ``length`` ids
-inside a run without any.  A cut costs nothing at a document end, ``SENTENCE`` at a sentence end and ``INSIDE``
-elsewhere; a sequence costs its padding, none where its size is a power of two from ``length / FEWEST`` on, and
-``EACH`` so that short sequences do not pay off by themselves.  The cheapest cuts follow from
+them.  The stream is cut into sequences of at most ``length`` ids.  Cuts are allowed at document ends, at sentence
+ends, ``length`` ids behind either of these, and every ``length`` ids inside a run without any.  A cut costs nothing at
+a document end, ``SENTENCE`` at a sentence end and ``INSIDE`` elsewhere; a sequence costs its padding, none where its
+size is a power of two, and ``EACH`` so that short sequences do not pay off by themselves.  The cheapest cuts follow
+from
 
     f(j) = cut(j) + EACH + min( min over j - length <= i < j of f(i) + length - (j - i),  min over powers p of f(j - p) )
 
@@ -39,10 +39,9 @@ END_ID = 0
 SENTENCE = 1
 INSIDE = 6
 EACH = 8
-#: Sentence ends that may be cuts in a full sequence's length: the first in each such part of it.
-SENTENCES = 64
-#: A full sequence's length divided by the smallest power of two that is sought as a sequence's size.
-FEWEST = 16
+#: A full sequence's length divided by the smallest power of two that is sought as a sequence's size; beyond any length,
+#: so that every power is.
+FEWEST = 1 << 62
 #: Encoded words held during a task, and those left when there are more or when the task ends: the first ones met, among
 #: which are the frequent ones.
 CACHED_WORDS = 700_000
@@ -160,61 +159,74 @@ def encoder_of(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
-def spaced_out(places: np.ndarray, gap: int) -> np.ndarray:
-    """The first of the places in every ``gap`` ids."""
-    cells = places // max(1, gap)
-    return places[np.flatnonzero(np.diff(cells, prepend=-1))] if len(places) else places
-
-
 def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Allowed cuts in order, the start included, and what each costs."""
     total = int(doc_ends[-1])
-    sentence_ends = spaced_out(sentence_ends, length // SENTENCES)
-    natural = np.unique(np.concatenate([[0], doc_ends, sentence_ends]))
+    price = np.full(total + 1, INSIDE, np.int64)
+    price[sentence_ends] = SENTENCE
+    price[doc_ends] = 0
+    allowed = price < INSIDE
+    allowed[0] = True
+    natural = np.flatnonzero(allowed)
     gaps = np.diff(natural)
     wide = np.flatnonzero(gaps > length)
     forced = [natural[at] + length * np.arange(1, gaps[at] // length + 1) for at in wide]
-    places = np.unique(np.concatenate([natural, natural + length, *forced]))
-    places = places[places <= total]
-    cost = np.full(len(places), INSIDE, np.int64)
-    cost[np.isin(places, sentence_ends)] = SENTENCE
-    cost[np.isin(places, doc_ends)] = 0
-    return places, cost
-
-
-def places_before(places: np.ndarray, gap: int) -> np.ndarray:
-    """For each place the number of the place exactly ``gap`` ids before it, -1 if that is none."""
-    known = np.full(int(places[-1]) + 1, -1, np.int64)
-    known[places] = np.arange(len(places))
-    want = places - gap
-    return np.where(want >= 0, known[np.maximum(want, 0)], -1)
+    behind = np.concatenate([natural + length, *forced])
+    allowed[behind[behind <= total]] = True
+    places = np.flatnonzero(allowed)
+    return places, price[places]
+
+
+def exact_steps(places: np.ndarray, powers: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places whose distance is one of the powers, as numbers of the later and the earlier place, in order
+    of the later one."""
+    known = np.full(int(places[-1]) + 1, -1, np.int32)
+    known[places] = np.arange(len(places), dtype=np.int32)
+    later, earlier = [], []
+    for power in powers:
+        skipped = int(np.searchsorted(places, power))
+        before = known[places[skipped:] - power]
+        hit = np.flatnonzero(before >= 0)
+        later.append(hit + skipped)
+        earlier.append(before[hit])
+    order = np.argsort(both := np.concatenate(later), kind="stable")
+    return both[order], np.concatenate(earlier)[order]
 
 
 def best_cuts(places: np.ndarray, cost: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """The cuts of least total cost, the last place included."""
     n = len(places)
     powers = [1 << bit for bit in range(length.bit_length()) if length // FEWEST <= 1 << bit <= length]
-    back = [places_before(places, power).tolist() for power in powers]
-    at, price = places.tolist(), cost.tolist()
+    later, earlier = exact_steps(places, powers)
+    later, earlier = [*later.tolist(), n], earlier.tolist()
+    at = places.tolist()
     best, key, came = [0] * n, [0] * n, [0] * n
-    queue, head = [0], 0
-    for j in range(1, n):
-        place = at[j]
-        low = place - length
-        while at[queue[head]] < low:
+    queue, head, step = [0], 0, 0
+    following, reach = later[0], at[0] + length
+    for j, (place, price) in enumerate(zip(at, (cost + EACH).tolist())):
+        if not j:
+            continue
+        while reach < place:
             head += 1
+            reach = at[queue[head]] + length
         i = queue[head]
         least = key[i] + length - place
-        for before in back:
-            other = before[j]
-            if other >= 0 and best[other] < least:
-                least, i = best[other], other
-        least += price[j] + EACH
-        best[j], came[j] = least, i
-        own = least + place
-        key[j] = own
-        while len(queue) > head and key[queue[-1]] >= own:
+        while following == j:
+            other = earlier[step]
+            if best[other] < least:
+                i = other
+                least = best[i]
+            step += 1
+            following = later[step]
+        least += price
+        best[j] = least
+        came[j] = i
+        key[j] = own = least + place
+        while key[queue[-1]] >= own:
             queue.pop()
+            if len(queue) == head:
+                reach = place + length
+                break
         queue.append(j)
     cuts = []
     j = n - 1

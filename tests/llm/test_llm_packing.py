@@ -114,3 +114,21 @@ def test_cuts_are_optimal(seed, monkeypatch):
     options = ([p for p, used in zip(inner, mask) if used] + [int(places[-1])] for mask in product([0, 1], repeat=len(inner)))
     best = min(c for option in options if (c := brute_cost(places, cost, 16, option)) is not None)
     assert brute_cost(places, cost, 16, cuts.tolist()) == best
+
+
+def test_every_sentence_end_and_power_is_sought():
+    doc_ends, stops = np.array([900, 1600, 2500]), np.arange(3, 2500, 5)
+    places, cost = packing.cut_places(doc_ends, stops, 1024)
+    price = dict(zip(places.tolist(), cost.tolist()))
+    assert all(price.get(stop) == (0 if stop in doc_ends else packing.SENTENCE) for stop in stops.tolist())
+    assert all(price[end] == 0 for end in doc_ends.tolist())
+    for power in (1 << bit for bit in range(11)):
+        assert packing.best_cuts(np.array([0, 1024, 1024 + power]), np.array([0, 0, 0])).tolist() == [1024, 1024 + power]
+        assert packing.best_cuts(np.array([0, power, power + 1024]), np.array([0, 0, 0])).tolist() == [power, power + 1024]
+
+
+def test_small_powers_save_padding():
+    """1032 ids: 1024 and 8, the last without padding, where the sentence end allows it."""
+    places, cost = packing.cut_places(np.array([1032]), np.array([8, 520]), 1024)
+    cuts = packing.best_cuts(places, cost).tolist()
+    assert cuts == [8, 1032]
