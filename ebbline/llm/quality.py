@@ -1,7 +1,8 @@
 """Quality rules: a hashed n-gram log-likelihood ratio of trusted target against raw corpus.
 
 Words are maximal runs other than space and 0x09-0x0D, case kept.  Single words and pairs of neighbouring words are
-hashed into a fixed number of buckets.  Two multinomials over the buckets are counted: one over *every* text (raw),
+hashed into buckets, whose number follows that of the distinct ones, so that a bucket mixes no more of them in a large
+corpus than in a small one.  Two multinomials over the buckets are counted: one over *every* text (raw),
 one over the texts trusted by their labels (target).  A text's score is the mean over its n-grams of
 
     log((target + a) / (raw * target_total / raw_total + a))
@@ -26,9 +27,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbline.llm.common import WordBlock, blocks, codes_of, collected, per_text, row_struct
+from ebbline.llm.common import WordBlock, blocks, codes_of, collected, per_text, row_struct, stored
 
+#: At least so many buckets (as a power of two), and more where they would hold more distinct n-grams than this on average.
 BUCKET_BITS = 18
+NGRAMS_PER_BUCKET = 10
+#: Distinct n-grams are counted in a slice of their hashes, one part in this power of two.
+SLICE_BITS = 10
+#: Buckets summed together (as a power of two), buckets a task holds before it passes them on, and shards fetched at once.
+SHARD_BITS = 16
+HELD_BUCKETS = 2_000_000
+FETCHED_SHARDS = 64
 #: At most so many labelled rows fit the target, those with the smallest hash of the id.  The raw side has no bound.
 TRUSTED_ROWS = 100_000
 SMOOTHING = 4.0
@@ -46,18 +55,20 @@ SIGNALS = T.StructType(
 )
 
 
-def ngram_buckets(words: WordBlock, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and text of every word and of every pair of neighbours within a text."""
+def ngram_hashes(words: WordBlock) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of every word and of every pair of neighbours within a text."""
     hashes = np.fromiter((xxhash.xxh64_intdigest(word, 7) for word in words.distinct), np.uint64, len(words.distinct))
     own = hashes[words.codes] if len(words.codes) else np.zeros(0, np.uint64)
     pair = words.doc[1:] == words.doc[:-1]
-    shift = np.uint64(64 - bits)
     two = own[:-1][pair] * np.uint64(0x9E3779B97F4A7C15) + (own[1:][pair] ^ np.uint64(0x2545F4914F6CDD1D))
     two *= np.uint64(0xC2B2AE3D27D4EB4F)
-    return (
-        np.concatenate([own >> shift, two >> shift]).astype(np.int64),
-        np.concatenate([words.doc, words.doc[:-1][pair]]),
-    )
+    return np.concatenate([own, two]), np.concatenate([words.doc, words.doc[:-1][pair]])
+
+
+def ngram_buckets(words: WordBlock, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and text of every word and of every pair of neighbours within a text."""
+    hashes, docs = ngram_hashes(words)
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64), docs
 
 
 def repeated_window_words(words: WordBlock, window: int = WINDOW) -> np.ndarray:
@@ -130,39 +141,105 @@ def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.Struc
     return pa.StructArray.from_arrays([pa.array(values) for values in columns], SIGNALS.names)
 
 
+def bits_for(docs: DataFrame) -> int:
+    """The number of buckets for the n-grams of column ``text``, as a power of two."""
+
+    def sliced(batches):
+        for _, texts in blocks(batches, "text"):
+            hashes, _ = ngram_hashes(WordBlock(texts))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes[hashes >> np.uint64(64 - SLICE_BITS) == 0]).view(np.int64))], ["gram"])
+
+    found = docs.select("text").mapInArrow(sliced, "gram long").agg(F.count_distinct("gram")).first()[0]
+    buckets = max(1, -(-(found << SLICE_BITS) // NGRAMS_PER_BUCKET))
+    return max(BUCKET_BITS, (buckets - 1).bit_length())
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct buckets with the sums of both counts."""
+    buckets, *counts = (np.concatenate(own) for own in zip(*parts))
+    codes, distinct = codes_of(buckets)
+    return distinct, *(np.bincount(codes, weights=n, minlength=len(distinct)).astype(np.int64) for n in counts)
+
+
+def in_shards(buckets: np.ndarray, raw: np.ndarray, target: np.ndarray, bits: int) -> pa.RecordBatch:
+    """One row per shard of ``2**bits`` buckets: the places in the shard and both counts, each as bytes."""
+    order = np.argsort(buckets)
+    shards, starts = np.unique(buckets[order] >> bits, return_index=True)
+    ends = np.append(starts, len(buckets))
+
+    def packed(values: np.ndarray, kind: str) -> pa.Array:
+        values = values[order].astype(kind)
+        offsets = (ends * values.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(shards), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+    columns = [pa.array(shards.astype(np.int32)), packed(buckets & ((1 << bits) - 1), "<u2"), packed(raw, "<i8"), packed(target, "<i8")]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "place", "raw", "target"])
+
+
+def count_ngrams(rows: DataFrame, bits: int) -> DataFrame:
+    """Of the texts in ``rows``, for each shard of buckets that occurs: its counts, those of texts marked ``trusted``, and
+    both totals.  Each task sums its buckets before they are shuffled."""
+
+    def count(batches):
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for batch, texts in blocks(batches, "text"):
+            buckets, of = ngram_buckets(WordBlock(texts), bits)
+            trusted = batch.column("trusted").to_numpy(zero_copy_only=False)
+            held.append(summed([(buckets, np.ones(len(buckets)), trusted[of])]))
+            if sum(len(own) for own, _, _ in held) > HELD_BUCKETS:
+                held = [summed(held)]
+                if len(held[0][0]) > HELD_BUCKETS // 2:
+                    yield in_shards(*held.pop(), SHARD_BITS)
+        if held:
+            yield in_shards(*summed(held), SHARD_BITS)
+
+    def add(part: pa.Table) -> pa.Table:
+        sums = np.zeros((2, 1 << min(bits, SHARD_BITS)), np.int64)
+        for place, *counts in zip(*(part.column(name).to_pylist() for name in ("place", "raw", "target"))):
+            sums[:, np.frombuffer(place, "<u2")] += [np.frombuffer(own, "<i8") for own in counts]
+        values = [part.column("shard")[0].as_py(), sums[0].tobytes(), sums[1].tobytes(), int(sums[0].sum()), int(sums[1].sum())]
+        return pa.table({field.name: pa.array([value], field.type) for field, value in zip(kinds, values)})
+
+    kinds = pa.schema([("shard", pa.int32()), ("raw", pa.binary()), ("target", pa.binary()), ("n_raw", pa.int64()), ("n_target", pa.int64())])
+    counted = rows.mapInArrow(count, "shard int, place binary, raw binary, target binary")
+    return counted.groupBy("shard").applyInArrow(add, "shard int, raw binary, target binary, n_raw long, n_target long")
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
-    bits: int = BUCKET_BITS,
+    bits: int | None = None,
     smoothing: float = SMOOTHING,
     trusted_rows: int = TRUSTED_ROWS,
     min_score: float = MIN_SCORE,
 ) -> QualityModel:
-    """Count both multinomials.  Each task sums its buckets before they are shuffled; the driver gets ``2**bits``
-    rows."""
+    """Count both multinomials.  ``bits`` follows the number of distinct n-grams if it is not given.  The counts stay in
+    Spark; the driver gets four bytes for each bucket, a few shards at a time."""
+    bits = bits_for(docs) if bits is None else bits
     ids = F.broadcast(trusted_ids(labels, trusted_rows))
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
     rows = rows.join(ids, F.col("id") == F.col("trusted_id"), "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
-
-    def count(batches):
-        raw = np.zeros(1 << bits, np.int64)
-        target = np.zeros(1 << bits, np.int64)
-        for batch, texts in blocks(batches, "text"):
-            buckets, of = ngram_buckets(WordBlock(texts), bits)
-            raw += np.bincount(buckets, minlength=1 << bits)
-            trusted = batch.column("trusted").to_numpy(zero_copy_only=False)
-            target += np.bincount(buckets[trusted[of]], minlength=1 << bits)
-        hit = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(raw[hit]), pa.array(target[hit])], ["bucket", "raw", "target"])
-
-    counted = rows.mapInArrow(count, "bucket int, raw long, target long")
-    sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    got = collected(sums)
-    raw, target = np.zeros(1 << bits), np.zeros(1 << bits)
-    raw[got["bucket"]], target[got["bucket"]] = got["raw"], got["target"]
-    share = target.sum() / max(raw.sum(), 1)
-    ratios = np.log((target + smoothing) / (raw * share + smoothing)) if target.any() else np.zeros(1 << bits)
-    return QualityModel(ratios.astype(np.float32), min_score)
+    sums = stored(count_ngrams(rows, bits), "ngrams")
+    total = sums.agg(F.coalesce(F.sum("n_raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("target")).first()
+    ratios = np.zeros(1 << bits, np.float32)
+    if not total.target:
+        return QualityModel(ratios, min_score)
+    share = total.target / total.raw
+
+    def divide(batches):
+        for batch in batches:
+            counts = zip(*(batch.column(name).to_pylist() for name in ("raw", "target")))
+            raw_target = ((np.frombuffer(raw, "<i8"), np.frombuffer(target, "<i8")) for raw, target in counts)
+            logs = [np.log((target + smoothing) / (raw * share + smoothing)).astype("<f4").tobytes() for raw, target in raw_target]
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(logs, pa.binary())], ["shard", "ratios"])
+
+    width = 1 << min(bits, SHARD_BITS)
+    for first in range(0, len(ratios) // width, FETCHED_SHARDS):
+        wanted = sums.where(F.col("shard").between(first, first + FETCHED_SHARDS - 1))
+        got = collected(wanted.select("shard", "raw", "target").mapInArrow(divide, "shard int, ratios binary"))
+        for shard, own in zip(got["shard"].tolist(), got["ratios"]):
+            ratios[shard * width : (shard + 1) * width] = np.frombuffer(own, "<f4")
+    return QualityModel(ratios, min_score)
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:

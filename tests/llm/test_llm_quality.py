@@ -89,3 +89,23 @@ def test_accepted_keeps_all_columns(spark):
     found = quality.accepted(docs, labels(spark))
     assert same_columns(found, docs)
     assert all(row.text and len(WORD.findall(row.text)) >= 10 for row in found.collect())
+
+
+def test_buckets_follow_the_distinct_ngrams(spark, monkeypatch):
+    """As many buckets as keep the load, whatever was held or fetched at once, and the sums of plain counting."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    marks = spark.read.parquet(f"{SMALL}/labels.parquet")
+    texts = {row.doc_id: (row.text or "").encode() for row in docs.collect()}
+    hashes, of = quality.ngram_hashes(WordBlock(list(texts.values())))
+    for name, value in (("BUCKET_BITS", 4), ("SLICE_BITS", 3), ("SHARD_BITS", 6), ("HELD_BUCKETS", 500), ("FETCHED_SHARDS", 3)):
+        monkeypatch.setattr(quality, name, value)
+    model = quality.fit_quality(docs, marks)
+    bits = int(np.log2(len(model.ratios)))
+    assert len(np.unique(hashes)) / len(model.ratios) < 1.2 * quality.NGRAMS_PER_BUCKET < 3 * len(np.unique(hashes)) / len(model.ratios)
+    good = {row[0] for row in quality.trusted_ids(marks).collect()}
+    trusted = np.array([doc_id in good for doc_id in texts])
+    buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    raw = np.bincount(buckets, minlength=1 << bits)
+    target = np.bincount(buckets[trusted[of]], minlength=1 << bits)
+    want = np.log((target + quality.SMOOTHING) / (raw * (target.sum() / raw.sum()) + quality.SMOOTHING))
+    assert np.allclose(model.ratios, want, atol=1e-5)
