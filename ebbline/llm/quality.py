@@ -8,8 +8,10 @@ one over the texts trusted by their labels (target).  A text's score is the mean
     log((target + a) / (raw * target_total / raw_total + a))
 
 that is, both multinomials with ``a`` added at the size of the target, so that n-grams hardly seen say nothing.  A
-text is kept where the score reaches ``min_score``; this decision is a function of the text and the counted model
-alone.
+text is kept where the score reaches ``min_score`` and fewer than ``BAD_NGRAMS`` of its n-grams have a log ratio below
+``MIN_RATIO``: a few abusive words do not move the mean.  With the smoothing this needs an n-gram of which the target
+should hold ``a * (exp(-MIN_RATIO) - 1)`` (25) or more and holds far fewer, so that small inputs judge by the mean alone.
+This decision is a function of the text and the counted model alone.
 
 Defined results: a null text counts as empty; an empty text has score 0 and fails the base rules; repeated rows are
 judged alike; labels with nulls are not trusted, and an id with several label rows is trusted only if all agree;
@@ -42,6 +44,8 @@ FETCHED_SHARDS = 64
 TRUSTED_ROWS = 100_000
 SMOOTHING = 4.0
 MIN_SCORE = -0.25
+MIN_RATIO = -2.0
+BAD_NGRAMS = 3
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -124,7 +128,9 @@ def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.Struc
     words = WordBlock(texts)
     buckets, docs = ngram_buckets(words, int(np.log2(len(ratios))))
     grams = np.bincount(docs, minlength=len(texts))
-    score = np.bincount(docs, weights=ratios[buckets], minlength=len(texts)) / np.maximum(grams, 1)
+    own = ratios[buckets]
+    score = np.bincount(docs, weights=own, minlength=len(texts)) / np.maximum(grams, 1)
+    bad = np.bincount(docs[own < MIN_RATIO], minlength=len(texts))
     lines = [[line for line in text.split(b"\n") if line.strip()] for text in texts]
     repeats = repeated_window_words(words)
     failed = (words.counts < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * words.counts)
@@ -136,7 +142,7 @@ def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.Struc
         repeats,
         failed,
         score,
-        ~failed & (score >= min_score),
+        ~failed & (score >= min_score) & (bad < BAD_NGRAMS),
     ]
     return pa.StructArray.from_arrays([pa.array(values) for values in columns], SIGNALS.names)
 

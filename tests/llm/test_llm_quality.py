@@ -109,3 +109,15 @@ def test_buckets_follow_the_distinct_ngrams(spark, monkeypatch):
     target = np.bincount(buckets[trusted[of]], minlength=1 << bits)
     want = np.log((target + quality.SMOOTHING) / (raw * (target.sum() / raw.sum()) + quality.SMOOTHING))
     assert np.allclose(model.ratios, want, atol=1e-5)
+
+
+def test_a_few_abusive_words_are_enough(spark):
+    """Good prose, and the same prose with three words that trusted texts never hold; rows not used to fit."""
+    rng = np.random.default_rng(3)
+    prose = lambda: " ".join(f"w{n}" for n in rng.integers(0, 300, 200))
+    rows = [(n, prose() + (" idiot" * 3 if n % 10 == 0 else "")) for n in range(1000)]
+    marks = labels(spark, [(n, 1, int(n % 10 == 0)) for n in range(800)])
+    judged = quality.judge_documents(odd_documents(spark, rows), marks).where("doc_id >= 800 AND NOT base_failed").collect()
+    assert all(row.score > quality.MIN_SCORE for row in judged)
+    toxic, good = ([row.kept for row in judged if (row.doc_id % 10 == 0) == kind] for kind in (True, False))
+    assert len(toxic) == 20 and not any(toxic) and np.mean(good) > 0.98
