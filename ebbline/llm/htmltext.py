@@ -31,12 +31,13 @@ from ebbline.llm.common import per_text
 
 PAD_TO = 40
 
+#: A quote opens a value only directly behind "="; elsewhere it is a letter like others.  A quote never closed opens none.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])[^\s>]++|(?=>)|\Z))?)*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|(?![\"'])([^\s>]++)))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 

@@ -81,3 +81,27 @@ def test_odd_rows(spark):
     found = htmltext.extract_text(spark.createDataFrame(rows, schema)).collect()
     assert sorted(((row.page_id, row.text) for row in found), key=str) == sorted([(1, ""), (2, ""), (3, "x"), (3, "x"), (None, "y")], key=str)
     assert htmltext.extract_text(spark.createDataFrame([], schema)).count() == 0
+
+
+QUOTES = {
+    "quote inside an unquoted value": ("<p title=Bob's>Hello don't stop</p>", "Hello don't stop"),
+    "quote at the end of an unquoted value": ("<a x=5'>text", "text"),
+    "quote behind a name": ('<p a"b>one</p><p>say "two"</p>', 'one\n\nsay "two"'),
+    "quote never closed": ('<a title="x>text', "text"),
+    "spaces around the sign": ("<a title = 'x>y' href= \"u>v\">z</a>", "z"),
+    "no value": ("<a title=>z</a>", "z"),
+    "values side by side": ("<p a='1>'b=\"2>\"c=3>z", "z"),
+    "slashes": ("<a href=/x/y'z/>it's</a><br/>b", "it's\nb"),
+    "hidden behind an unquoted value": ("<p title=Bob's hidden>no</p>it's", "it's"),
+}
+
+
+@pytest.mark.parametrize("name", QUOTES)
+def test_quotes_in_tags(name):
+    page, want = QUOTES[name]
+    assert rendered(page) == want
+
+
+@pytest.mark.parametrize("page", ["<a " + "b=c' " * 60_000, "<a b='" * 60_001 + "x", "<a b=c" + "=" * 60_000 + '"', "<a" + " " * 60_000 + "'"])
+def test_long_tags_end(page):
+    assert len(rendered(page)) < 1_000_000
