@@ -20,19 +20,18 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import blocks
+from ebbline.llm.token_ids import Encoder, encoder_of
+
+__all__ = ["Encoder", "best_cuts", "cut_places", "pack"]
 
 LENGTH = 1024
 END_ID = 0
@@ -42,121 +41,6 @@ EACH = 8
 #: A full sequence's length divided by the smallest power of two that is sought as a sequence's size; beyond any length,
 #: so that every power is.
 FEWEST = 1 << 62
-#: Encoded words held during a task, and those left when there are more or when the task ends: the first ones met, among
-#: which are the frequent ones.
-CACHED_WORDS = 700_000
-KEPT_WORDS = 400_000
-#: Letters beyond ASCII that lie in unbroken ranges.
-PLAIN_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-#: Where the two regex libraries' Unicode versions differ in what is a letter or number (found by trying every code point), widened
-#: to whole ranges.
-NEWER_LETTERS = r"[\u0530-\u058f\u0880-\u088f\u0c5c\u0cdc\u2080-\u209f\ua7c0-\ua7ff\uab60-\uab6f\U00010000-\U0010ffff]"
-
-
-def packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
-
-
-def plain_pattern(pattern: str) -> str:
-    """The splitting rule for texts of ASCII and ``PLAIN_LETTERS`` alone, without Unicode classes: twice as fast."""
-    letters, digits = (r"\p{L}", PLAIN_LETTERS + "A-Za-z"), (r"\p{N}", "0-9")
-    inside = re.sub(r"\[[^\]]*\]", lambda found: found[0].replace(*letters).replace(*digits), pattern)
-    return inside.replace(letters[0], f"[{letters[1]}]").replace(digits[0], f"[{digits[1]}]")
-
-
-class Encoder:
-    """Ids of texts as ``tokenizers`` gives them, found once per distinct word of a block.
-
-    The words are those of the tokenizer's own splitting rule; byte-pair merges never cross them, so the ids of a
-    text are those of its words one after another.  Texts that hold a special token or a character which the two
-    regex libraries class differently are encoded whole.
-    """
-
-    def __init__(self, path: str, pattern: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(pattern).findall
-        self.split_plain = re.compile(plain_pattern(pattern)).findall
-        self.not_plain = re.compile(rf"[^\x00-\x1b\x20-\x7f{PLAIN_LETTERS}]").search
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = regex.compile("|".join([*map(regex.escape, self.special), NEWER_LETTERS])).search
-        self.known: dict[str, bytes] = {}
-        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[str]):
-        """Add the ids of words.  Many are encoded as one text, set apart by line breaks, which are words of their
-        own."""
-        solid = [word for word in words if not word.isspace()]
-        groups = [solid[at : at + 1000] for at in range(0, len(solid), 1000)]
-        for group, ids in zip(groups, self.ids(["\n".join(group) for group in groups])):
-            ids = np.array(ids, np.int64)
-            ends = np.append(np.flatnonzero(ids == self.line_break), len(ids))
-            if len(ends) != len(group):
-                self.learn_each(group)
-                continue
-            flat, start = ids.astype("<u4").tobytes(), 0
-            for word, end in zip(group, (4 * ends).tolist()):
-                self.known[word] = flat[start:end]
-                start = end + 4
-        self.learn_each([word for word in words if word.isspace()])
-
-    def learn_each(self, words: list[str]):
-        self.known.update((word, packed(ids)) for word, ids in zip(words, self.ids(words)))
-
-    def trim(self):
-        if len(self.known) > KEPT_WORDS:
-            self.known = dict(islice(self.known.items(), KEPT_WORDS))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts with their end ids, the number of ids of each text, and the places behind sentence ends."""
-        words: list[str] = []
-        sizes = []
-        for text in texts:
-            if not any(mark in text for mark in self.special) and not self.not_plain(text):
-                own = self.split_plain(text)
-            elif self.whole(text):
-                own = [text] if text else []
-            else:
-                own = self.split(text)
-            words += own
-            words.append("")
-            sizes.append(len(own) + 1)
-        place: dict[str, int] = {}
-        firsts = np.fromiter(map(place.setdefault, words, count()), np.int64, len(words))
-        distinct = list(place)
-        number = np.zeros(len(words), np.int64)
-        number[list(place.values())] = np.arange(len(place))
-        codes = number[firsts]
-        if len(self.known) > CACHED_WORDS:
-            self.trim()
-        self.learn([word for word in distinct if word and word not in self.known and len(word) < 64])
-        end_id = packed([END_ID])
-        coded = [self.known.get(word) or (packed(self.ids([word])[0]) if word else end_id) for word in distinct]
-        lengths = np.array([len(own) >> 2 for own in coded], np.int64)
-        pool = np.frombuffer(b"".join(coded), "<u4")
-        starts = np.cumsum(lengths) - lengths
-        per_word = lengths[codes]
-        ends = np.cumsum(per_word)
-        ids = pool[np.repeat(starts[codes] - (ends - per_word), per_word) + np.arange(ends[-1] if len(ends) else 0)]
-        stops = np.array([bool(word) and (word[-1] in ".!?" or "\n" in word) for word in distinct], bool)
-        last = np.cumsum(sizes)
-        totals = np.diff(np.concatenate([[0], ends[last - 1]])) if len(last) else np.zeros(0, np.int64)
-        return ids, totals, ends[stops[codes]] if len(codes) else ends
-
-
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
-def encoder_of(path: str, pattern: str) -> Encoder:
-    """The encoder of a Python worker, kept with its cache from task to task."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
 
 
 def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,7 +131,7 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGT
         encoder = encoder_of(tokenizer_path, pattern)
         sequence = TaskContext.get().partitionId() << 33
         for batch, raw in blocks(batches, "text"):
-            ids, totals, stops = encoder.encode([text.decode() for text in raw])
+            ids, totals, stops = encoder.encode_utf8(raw, END_ID)
             doc_ends = np.cumsum(totals)
             cuts = best_cuts(*cut_places(doc_ends, stops, length), length)
             ends = np.union1d(doc_ends, cuts)
