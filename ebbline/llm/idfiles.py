@@ -45,7 +45,7 @@ BLOCK = 4096
 #: A segment is closed when it has so many ids; its last document may go beyond.
 SEGMENT_IDS = 1024 * BLOCK
 SEGMENTS_PER_FILE = 16
-TABLE_BITS = 12
+TABLE_BITS = 11
 
 # Fixed values of the format.
 MAGIC = b"IDS1"
@@ -57,13 +57,13 @@ _A, _B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 _HASH_SHIFT = np.uint32(32 - TABLE_BITS)
 _STEPS = np.arange(16, dtype=np.int32)
 _TOTAL = 1 << 16
-#: Adaptive part of a cumulative table; every choice has one count of 65,536 besides.
-_FREE = _TOTAL - 16
 _RATE = 5
-#: For each choice, what the entries of a table move to.
-_TARGETS = np.where(_STEPS[None, :] > _STEPS[:, None], _FREE, 0).astype(np.int32)
+#: For each choice, what the entries of a cumulative table move to: all but one count for each other choice.
+_TARGETS = (np.where(_STEPS[None, :] > _STEPS[:, None], _TOTAL - 16, 0) + _STEPS).astype(np.int32)
 #: Entries of the id tables are id << 2 | confidence; this one holds no id and no confidence.
 _NONE = -4
+#: How confidence changes, by confidence behind a miss and behind a hit.
+_CHANGES = np.array([0, 0, -1, -1, 1, 1, 1, 0], np.int32)
 _LOW = np.uint64(32)
 _SMALL = np.uint64(1 << 32)
 
@@ -79,132 +79,347 @@ class Lanes:
         table = 1 << TABLE_BITS
         self.second = np.full(lanes * table, _NONE, np.int32)
         self.first = np.full(lanes * table, _NONE, np.int32)
-        self.tables = np.tile(_STEPS * (_FREE // 16), (lanes * 32, 1))
-        self.base = np.arange(lanes, dtype=np.uint32) * np.uint32(table)
-        self.contexts = np.arange(lanes, dtype=np.int32) * 32
-        self.flat = np.arange(lanes, dtype=np.int32) * 16
-        self.before = np.zeros((2, lanes), np.uint32)
+        self.tables = np.tile(_STEPS * (_TOTAL // 16), (lanes * 32, 1))
+        self.whole_rows = self.tables.view("V64").ravel()
+        self.base = np.arange(lanes) * table
+        self.contexts = np.arange(lanes) * 32
+        self.flat = np.arange(lanes) * 16
+        self.last, self.hashed = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
 
     def halt(self):
         """Leave out the last lane, whose block has ended."""
-        for name in ("base", "contexts", "flat"):
+        for name in ("base", "contexts", "flat", "last", "hashed"):
             setattr(self, name, getattr(self, name)[:-1])
-        self.before = self.before[:, :-1].copy()
 
     def predict(self):
         """The ids that order 2 and order 1 expect, and the tables of the choice."""
-        last = self.before[0] * _A
-        self.at_second = ((last ^ self.before[1] * _B) >> _HASH_SHIFT) + self.base
-        self.at_first = (last >> _HASH_SHIFT) + self.base
-        self.entry_second = second = self.second.take(self.at_second)
-        self.entry_first = first = self.first.take(self.at_first)
-        self.expected_second, self.expected_first = second >> 2, first >> 2
-        state = (second & 3) << 3
-        state |= (first & 3) << 1
-        state |= self.expected_second == self.expected_first
-        state += self.contexts
-        self.state = state
-        self.rows = self.tables.take(state, axis=0)
-        return self.expected_second, self.expected_first
+        own = self.last * _A
+        self.at_second = self.base + ((own ^ self.hashed) >> _HASH_SHIFT)
+        self.at_first = self.base + (own >> _HASH_SHIFT)
+        self.entry_second, self.entry_first = self.second[self.at_second], self.first[self.at_first]
+        self.sure_second, self.sure_first = self.entry_second & 3, self.entry_first & 3
+        expected_second, expected_first = self.entry_second >> 2, self.entry_first >> 2
+        state = self.sure_second << 2
+        state += self.sure_first
+        state <<= 1
+        state += expected_second == expected_first
+        self.state = self.contexts + state
+        self.rows = self.tables.take(self.state, axis=0, mode="clip")
+        return expected_second, expected_first
 
     def bounds(self, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of each lane's choice among 65,536."""
+        """Start and width of each lane's choice among 65,536.  Every table starts with 0, which modulo 65,536 is also
+        the end of the one before."""
         at = self.flat + choice
         rows = self.rows.ravel()
-        start = rows.take(at)
-        end = rows.take(at + 1, mode="clip")
-        end[choice == 15] = _FREE
-        width = end - start
-        width += 1
-        start += choice
+        start = rows[at]
+        at += 1
+        width = rows.take(at, mode="wrap")
+        width -= start
+        width &= _TOTAL - 1
         return start.astype(np.uint64), width.astype(np.uint64)
 
     def learn(self, ids: np.ndarray, choice: np.ndarray, hit_second: np.ndarray, hit_first: np.ndarray):
-        move = _TARGETS.take(choice, axis=0)
+        move = _TARGETS.take(choice, axis=0, mode="clip")
         move -= self.rows
         move >>= _RATE
         move += self.rows
-        self.tables[self.state] = move
+        self.whole_rows[self.state] = move.view("V64").ravel()
         fresh = ids << 2
         fresh |= 1
-        for table, at, entry, hit in (
-            (self.second, self.at_second, self.entry_second, hit_second),
-            (self.first, self.at_first, self.entry_first, hit_first),
+        for table, at, entry, sure, hit in (
+            (self.second, self.at_second, self.entry_second, self.sure_second, hit_second),
+            (self.first, self.at_first, self.entry_first, self.sure_first, hit_first),
         ):
-            sure = entry & 3
-            table[at] = np.where(hit, entry + (sure != 3), np.where(sure > 1, entry - 1, fresh))
-        self.before[1] = self.before[0]
-        self.before[0] = ids
+            change = _CHANGES[sure + (hit << 2)]
+            change += entry
+            table[at] = np.where(hit | (sure > 1), change, fresh)
+        self.hashed = self.last * _B
+        self.last = ids.astype(np.uint32)
 
 
 def class_of(ranks: np.ndarray) -> np.ndarray:
     """The number of places in a rank's class, as a power of two, which is also the choice that stands for it."""
-    return np.frexp((ranks + 4).astype(np.float32))[1].astype(np.int32) - 1
+    return np.frexp((ranks + 4).astype(np.float32))[1].astype(np.int64) - 1
 
 
-def lanes_at(step: int, lanes: int, ids: int) -> int:
-    """How many blocks have more than ``step`` ids."""
-    return lanes if step < ids - (lanes - 1) * BLOCK else lanes - 1
+#: Bits of the place in the class of each choice.
+_PLACE_BITS = np.array([0, 0, *range(2, 16)], np.uint64)
 
 
-def encode_blocks(ranks: np.ndarray, extra: int) -> list[bytes]:
-    """The code of each block.  ``ranks`` are all ids of the segment as ranks; their lowest ``extra`` bits are written
-    as they are."""
-    count = len(ranks)
+def active_lanes(count: int) -> Iterator[int]:
+    """For each step, how many blocks have an id left; only the last block can be shorter."""
     lanes = -(-count // BLOCK)
-    steps = min(count, BLOCK)
-    grid = np.zeros((steps, lanes), np.int32)
-    full = count // BLOCK
-    if full:
-        grid[:, :full] = ranks[: full * BLOCK].reshape(full, BLOCK).T
-    if full < lanes:
-        grid[: count - full * BLOCK, -1] = ranks[full * BLOCK :]
-    low = np.zeros(lanes, np.uint64)
-    width = np.full(lanes, (1 << 64) - 1, np.uint64)
-    words = np.zeros((lanes, 2 * steps + 2), np.uint64)
+    for step in range(min(count, BLOCK)):
+        yield lanes if step < count - (lanes - 1) * BLOCK else lanes - 1
+
+
+def grid_of(ranks: np.ndarray) -> np.ndarray:
+    """The segment's ids with a column per block."""
+    lanes = -(-len(ranks) // BLOCK)
+    grid = np.zeros(lanes * BLOCK, np.int32)
+    grid[: len(ranks)] = ranks
+    return np.ascontiguousarray(grid.reshape(lanes, BLOCK).T[: len(ranks)])
+
+
+def encode_blocks(ranks: np.ndarray, extra: int) -> list[bytes]:
+    """The code of each block.  The lowest ``extra`` bits of a rank are written as they are."""
+    grid = grid_of(ranks)
+    steps, lanes = grid.shape
+    high = grid >> extra
+    classes = class_of(high)
+    places = (high + 4 - (1 << classes)).astype(np.uint64)
+    rests = (grid & ((1 << extra) - 1)).astype(np.uint32) if extra else None
+    low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+    words = np.zeros((lanes, steps * (1 + bool(extra)) + 4), np.uint64)
     used = np.zeros(lanes, np.int64)
     state = Lanes(lanes)
-    every = np.arange(lanes)
 
-    def settle(carried: np.ndarray, low: np.ndarray, width: np.ndarray):
-        if carried.any():
+    def narrow(low, width, add, part):
+        """Move to the chosen part of each lane's interval and write the words that are settled."""
+        low += add
+        width[:] = part
+        if (carried := low < add).any():
             over = np.flatnonzero(carried)
             words[over, used[over] - 1] += np.uint64(1)
-        out = np.flatnonzero(width < _SMALL)
+        out = np.flatnonzero(part < _SMALL)
         words[out, used[out]] = low[out] >> _LOW
         used[out] += 1
         low[out] <<= _LOW
         width[out] <<= _LOW
 
-    active = lanes
-    for step in range(steps):
-        if lanes_at(step, lanes, count) < active:
-            active -= 1
-            low, width = low[:active], width[:active]
-            ended = (low_ended, width_ended)
+    for step, active in enumerate(active_lanes(len(ranks))):
+        if active < len(state.base):
             state.halt()
         ids = grid[step, :active]
         second, first = state.predict()
         hit_second, hit_first = ids == second, ids == first
-        high = ids >> extra if extra else ids
-        bits = class_of(high)
-        choice = np.where(hit_second, 0, np.where(hit_first, 1, bits)).astype(np.int32)
-        raw = np.where(choice < 2, 0, bits)
-        place = np.where(choice < 2, 0, high + 4 - (1 << bits)).astype(np.uint64)
+        choice = np.where(hit_second, 0, np.where(hit_first, 1, classes[step, :active]))
         start, share = state.bounds(choice)
-        unit = width >> np.uint64(16)
-        part = unit * share >> raw.astype(np.uint64)
-        add = unit * start + part * place
-        low += add
-        width[:] = part
-        settle(low < add, low, width)
+        unit = width[:active] >> np.uint64(16)
+        part = unit * share >> _PLACE_BITS.take(choice)
+        spread = choice > 1
+        narrow(low[:active], width[:active], unit * start + part * (places[step, :active] * spread), part)
         if extra:
-            rest = np.where(choice < 2, 0, extra).astype(np.uint64)
-            part = width >> rest
-            add = part * (ids & ((1 << extra) - 1)).astype(np.uint64) * (choice >= 2)
-            low += add
-            width[:] = part
-            settle(low < add, low, width)
+            part = width[:active] >> (spread * np.uint64(extra))
+            narrow(low[:active], width[:active], part * (rests[step, :active] * spread), part)
         state.learn(ids, choice, hit_second, hit_first)
-        low_ended, width_ended = low, width
-    return []
+    # One word that lies in the interval, whatever follows it.
+    last = low + (_SMALL - np.uint64(1))
+    over = np.flatnonzero(last < low)
+    words[over, used[over] - 1] += np.uint64(1)
+    words[np.arange(lanes), used] = last >> _LOW
+    used += 1
+    for at in range(int(used.max()) - 1, 0, -1):
+        words[:, at - 1] += words[:, at] >> _LOW
+    flat = words.astype("<u4")
+    return [flat[lane, :size].tobytes() for lane, size in enumerate(used.tolist())]
+
+
+def decode_blocks(codes: list[bytes], count: int, extra: int) -> np.ndarray:
+    """The ranks that ``encode_blocks`` was given."""
+    lanes, steps = len(codes), min(count, BLOCK)
+    longest = max(map(len, codes)) // 4
+    words = np.zeros((lanes, longest + 3), np.uint64)
+    for lane, code in enumerate(codes):
+        words[lane, : len(code) // 4] = np.frombuffer(code, "<u4")
+    used = np.full(lanes, 2)
+    inside, width = words[:, 0] << _LOW | words[:, 1], np.full(lanes, (1 << 64) - 1, np.uint64)
+    grid = np.zeros((steps, lanes), np.int32)
+    state = Lanes(lanes)
+
+    def narrow(inside, width, skipped, part):
+        inside -= skipped
+        width[:] = part
+
+    def refill(inside, width):
+        more = np.flatnonzero(width < _SMALL)
+        inside[more] = inside[more] << _LOW | words[more, np.minimum(used[more], longest + 2)]
+        used[more] += 1
+        width[more] <<= _LOW
+
+    for step, active in enumerate(active_lanes(count)):
+        if active < len(state.base):
+            state.halt()
+        own, size = inside[:active], width[:active]
+        second, first = state.predict()
+        unit = size >> np.uint64(16)
+        at = np.minimum(own // unit, np.uint64(_TOTAL - 1)).astype(np.int32)
+        below = np.bitwise_count((state.rows <= at[:, None]).view(np.uint64))
+        choice = np.add(below[:, 0], below[:, 1], dtype=np.int64)
+        choice -= 1
+        start, share = state.bounds(choice)
+        bits = _PLACE_BITS.take(choice)
+        part = unit * share >> bits
+        narrow(own, size, unit * start, part)
+        many = np.uint64(1) << bits
+        place = np.minimum(own // part, many - np.uint64(1))
+        own -= part * place
+        refill(own, size)
+        ids = (many + place).astype(np.int32) - np.int32(4)
+        if extra:
+            rest_bits = (choice > 1) * np.uint64(extra)
+            part = size >> rest_bits
+            rest = np.minimum(own // part, (np.uint64(1) << rest_bits) - np.uint64(1))
+            narrow(own, size, part * rest, part)
+            refill(own, size)
+            ids = ids << extra | rest.astype(np.int32)
+        hit_second, hit_first = choice == 0, choice == 1
+        ids = np.where(hit_second, second, np.where(hit_first, first, ids))
+        grid[step, :active] = ids
+        # An order-2 id that is also the order-1 id counts as a hit of both, as in the encoder.
+        state.learn(ids, choice, hit_second, ids == first)
+    return np.ascontiguousarray(grid.T).ravel()[:count] if steps == BLOCK else grid[:, 0].copy()
+
+
+def segment_bytes(part: int, number: int, doc_ids: list[str | None], totals: np.ndarray, ids: np.ndarray) -> bytes:
+    """A segment of whole documents: their ids one after another."""
+    counts = np.bincount(ids)
+    alphabet = np.flatnonzero(counts)
+    alphabet = alphabet[np.argsort(-counts[alphabet], kind="stable")]
+    rank_of = np.zeros(len(counts), np.int32)
+    rank_of[alphabet] = np.arange(len(alphabet), dtype=np.int32)
+    extra = max(0, (len(alphabet) + 3).bit_length() - 16)
+    codes = encode_blocks(rank_of[ids], extra)
+    little = ids.astype("<u4", copy=False)
+    sums = [zlib.crc32(little[at : at + BLOCK]) for at in range(0, len(ids), BLOCK)]
+    parts = [json.dumps(doc_ids).encode(), totals.astype("<i8").tobytes(), alphabet.astype("<u4").tobytes()]
+    parts += [packed32(map(len, codes)), packed32(sums)]
+    body = zlib.compress(b"".join(struct.pack("<q", len(own)) + own for own in parts), 1)
+    fields = (MAGIC, VERSION, part, number, len(doc_ids), len(ids), len(body))
+    check = zlib.crc32(body, zlib.crc32(HEAD.pack(*fields, 0)))
+    return b"".join([HEAD.pack(*fields, check), body, *codes])
+
+
+def packed32(values) -> bytes:
+    return np.fromiter(values, "<u4").tobytes()
+
+
+class Segment:
+    """A segment read from ``content`` at ``at``; the head is checked at once, the ids by ``ids``."""
+
+    def __init__(self, content: memoryview, at: int):
+        if len(content) < at + HEAD.size:
+            raise BadFile("a head is cut off")
+        magic, version, self.part, self.number, documents, self.count, size, check = fields = HEAD.unpack_from(content, at)
+        if magic != MAGIC or version != VERSION:
+            raise BadFile("not a segment of this version")
+        at += HEAD.size
+        body = bytes(content[at : at + size])
+        if zlib.crc32(body, zlib.crc32(HEAD.pack(*fields[:-1], 0))) != check or len(body) != size:
+            raise BadFile("the head does not fit its checksum")
+        raw, parts = zlib.decompress(body), []
+        while raw:
+            (length,) = struct.unpack_from("<q", raw)
+            parts.append(raw[8 : 8 + length])
+            raw = raw[8 + length :]
+        self.doc_ids = json.loads(parts[0])
+        self.totals = np.frombuffer(parts[1], "<i8")
+        self.alphabet = np.frombuffer(parts[2], "<u4")
+        sizes, self.sums = np.frombuffer(parts[3], "<u4"), np.frombuffer(parts[4], "<u4")
+        at += size
+        ends = at + np.cumsum(sizes, dtype=np.int64)
+        self.end = int(ends[-1]) if len(ends) else at
+        if self.end > len(content):
+            raise BadFile("a block is cut off")
+        if len(self.totals) != documents or len(self.doc_ids) != documents or int(self.totals.sum()) != self.count:
+            raise BadFile("documents and ids do not agree in number")
+        self.codes = [bytes(content[a:b]) for a, b in zip([at, *ends.tolist()], ends.tolist())]
+
+    def ids(self) -> np.ndarray:
+        extra = max(0, (len(self.alphabet) + 3).bit_length() - 16)
+        with np.errstate(all="ignore"):
+            ranks = decode_blocks(self.codes, self.count, extra)
+        if ranks.min() < 0 or ranks.max() >= len(self.alphabet):
+            raise BadFile("a block holds an id that the head does not name")
+        ids = self.alphabet[ranks]
+        if [zlib.crc32(ids[at : at + BLOCK]) for at in range(0, len(ids), BLOCK)] != self.sums.tolist():
+            raise BadFile("a block does not fit its checksum")
+        return ids
+
+
+def segments(content: bytes) -> Iterator[Segment]:
+    view, at, filler = memoryview(content), 0, FILLER.encode()
+    while at < len(view):
+        segment = Segment(view, at)
+        at = segment.end + len(filler)
+        if bytes(view[segment.end : at]) != filler:
+            raise BadFile("no filler behind a segment")
+        yield segment
+
+
+def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id: int = END_ID):
+    """Write the ids of every text, each followed by ``end_id``, to files below ``folder`` in ascending ``doc_id``."""
+
+    def encode(batches):
+        encoder = encoder_of(tokenizer_path, pattern)
+        part, number = TaskContext.get().partitionId(), 0
+        doc_ids: list[str | None] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def closed():
+            totals, ids = (np.concatenate(own) for own in zip(*held))
+            row = segment_bytes(part, number, doc_ids, totals, ids)
+            return pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["value"])
+
+        for batch, texts in blocks(batches, "text"):
+            ids, totals, _ = encoder.encode_utf8(texts, end_id)
+            doc_ids += batch.column("doc_id").to_pylist()
+            held.append((totals, ids))
+            if sum(len(own) for _, own in held) >= SEGMENT_IDS:
+                yield closed()
+                doc_ids, held, number = [], [], number + 1
+        if held:
+            yield closed()
+        encoder.trim()
+
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("spread"))
+    # In a frame's order a null id comes first; the hash lets rows that share an id go to several partitions.
+    ordered = rows.repartitionByRange("doc_id", "spread").sortWithinPartitions("doc_id", "spread", "text")
+    coded = ordered.select(F.col("doc_id").cast("string"), "text").mapInArrow(encode, "value binary")
+    writer = coded.select(F.col("value").cast("string")).write.option("lineSep", FILLER)
+    writer.option("maxRecordsPerFile", SEGMENTS_PER_FILE).text(folder)
+
+
+def read_ids(spark: SparkSession, folder: str, id_type: str = "long", ids: bool = True) -> DataFrame:
+    """One row per document of the files below ``folder``: ``doc_id``, ``start`` (ids of all documents before it),
+    ``n_tokens``, ``ids_crc32`` of its ids as little-endian unsigned 32-bit integers, and the ids themselves as
+    ``ids``.  A file that fails a check ends the job with its name."""
+
+    def each(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                try:
+                    yield from segments(content.as_py())
+                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as error:
+                    raise BadFile(f"{path}: {error}") from error
+
+    def heads(batches):
+        for segment in each(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([own]) for own in (segment.part, segment.number, segment.count)], ["part", "segment", "n_ids"])
+
+    def decode(batches):
+        for segment in each(batches):
+            found = segment.ids()
+            ends = np.cumsum(segment.totals)
+            begins = ends - segment.totals
+            view = memoryview(np.ascontiguousarray(found, "<u4")).cast("B")
+            sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist())]
+            place = [pa.array(np.full(len(ends), own)) for own in (segment.part, segment.number)]
+            rows = [pa.array(segment.doc_ids, pa.string()), *place, pa.array(begins), pa.array(segment.totals), pa.array(sums, pa.int64())]
+            if ids:
+                rows.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(found.astype(np.int64))))
+            yield pa.RecordBatch.from_arrays(rows, names)
+
+    names = ["doc_id", "part", "segment", "begin", "n_tokens", "ids_crc32", "ids"][: 7 if ids else 6]
+    files = spark.read.format("binaryFile").load(folder).select("path", "content")
+    found = files.mapInArrow(decode, ", ".join(f"{name} {dict(doc_id='string', ids='array<long>').get(name, 'long')}" for name in names))
+    # A row per segment; only the totals of the parts, a row per task that wrote, meet in one task.
+    heads_of = files.mapInArrow(heads, "part long, segment long, n_ids long")
+    parts = heads_of.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
+    earlier = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = F.sum("n_ids").over(Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
+    places = heads_of.join(parts.select("part", earlier.alias("earlier")), "part")
+    places = places.select("part", "segment", (F.col("earlier") + F.coalesce(inner, F.lit(0))).alias("offset"))
+    columns = [F.col("doc_id").cast(id_type), (F.col("offset") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32"]
+    return found.join(places, ["part", "segment"]).select(*columns, *(["ids"] if ids else []))

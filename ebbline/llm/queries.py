@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import chat, decontaminate, htmltext, licences, mixing, packing, quality, simhash, urlfilter, warc
+from ebbline.llm import chat, decontaminate, htmltext, idfiles, licences, mixing, packing, quality, simhash, urlfilter, warc
 from ebbline.llm.common import table
 from ebbline.llm.oracles import ORACLES
 from ebbline.sources import scratch_path
@@ -77,6 +77,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = scratch_path(spark, "ids")
+    idfiles.write_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return idfiles.read_ids(spark, folder, docs.schema["doc_id"].dataType.simpleString(), ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -88,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
+    "op12_idfiles": op12_idfiles,
 }

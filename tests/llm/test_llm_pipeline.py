@@ -13,7 +13,7 @@ def test_stages_and_registration():
     assert [name for name, _ in pipeline.STAGES] == ["quality_rules", "near_duplicates", "benchmark_decontamination", "packing"]
     assert entry.queries()["pipeline"] is pipeline.run
     numbers = {name.split("_")[0] for name in entry.queries() if name.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
 
 
 def test_run_equals_brute_force(spark):
