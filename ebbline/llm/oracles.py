@@ -55,4 +55,40 @@ SELECT conv_id, count(*) AS n_turns,
     ELSE 23 + {_ESCAPED.format("role")} END) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id"""
 
-ORACLES: dict[str, str] = {"op3_warc": WARC, "op4_urls": URLS, "op9_chat": CHAT}
+# CRC-32 of the decimal digits: a step per digit (its code) and eight per bit (-1).
+_CRC32 = """xor(4294967295, list_reduce([4294967295] || flatten(list_transform(range(1, length(name) + 1),
+  lambda i: [ord(name[i]), -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END))"""
+
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS name FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS own, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= c.h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h),
+strings AS (
+  SELECT conv_id, coalesce(list(length(role) || ':' || role || text ORDER BY own, place) FILTER (WHERE text IS NOT NULL), []) AS keys,
+    coalesce(list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY own, place) FILTER (WHERE text IS NOT NULL), []) AS words
+  FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+prefixes AS (
+  SELECT conv_id, depth, len(keys) = depth AS ends, keys[1:depth] AS key, coalesce(words[depth], 0) AS words
+  FROM strings, LATERAL (SELECT unnest(range(0, len(keys) + 1)) AS depth)),
+nodes AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY key, depth),
+children AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+linked AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (key)),
+subtrees AS (
+  SELECT key[1:above] AS key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+  FROM linked, LATERAL (SELECT unnest(range(0, depth + 1)) AS above) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM linked n JOIN subtrees s ON s.key = n.key LEFT JOIN nodes p ON n.depth > 0 AND p.key = n.key[1:n.depth - 1] AND p.depth = n.depth - 1"""
+
+ORACLES: dict[str, str] = {"op3_warc": WARC, "op4_urls": URLS, "op9_chat": CHAT, "op13_prefixtrie": TRIE}

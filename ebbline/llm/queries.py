@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import chat, decontaminate, htmltext, idfiles, licences, mixing, packing, quality, simhash, urlfilter, warc
-from ebbline.llm.common import table
+from ebbline.llm import chat, decontaminate, htmltext, idfiles, licences, mixing, packing, prefixtrie, quality, simhash, urlfilter, warc
+from ebbline.llm.common import stored, table
 from ebbline.llm.oracles import ORACLES
 from ebbline.sources import scratch_path
 
@@ -84,6 +84,11 @@ def op12_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read_ids(spark, folder, docs.schema["doc_id"].dataType.simpleString(), ids=False)
 
 
+def op13_prefixtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(prefixtrie.turn_rows(table(spark, sf_dir, "conversations")), "turns")
+    return prefixtrie.prefix_trie(*prefixtrie.rebuilt(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -96,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
     "op12_idfiles": op12_idfiles,
+    "op13_prefixtrie": op13_prefixtrie,
 }
