@@ -91,4 +91,38 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
   CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM linked n JOIN subtrees s ON s.key = n.key LEFT JOIN nodes p ON n.depth > 0 AND p.key = n.key[1:n.depth - 1] AND p.depth = n.depth - 1"""
 
-ORACLES: dict[str, str] = {"op3_warc": WARC, "op4_urls": URLS, "op9_chat": CHAT, "op13_prefixtrie": TRIE}
+_SCORE = "(1000000::HUGEINT * a * a) // ({0}::HUGEINT * {1})"
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f1 AS (SELECT lang, w1, count(*) AS f FROM (SELECT lang, unnest(w) AS w1 FROM pieces) GROUP BY ALL),
+f2 AS (
+  SELECT lang, w1, w2, count(*) AS a
+  FROM (SELECT lang, w[i] AS w1, w[i + 1] AS w2 FROM pieces, LATERAL (SELECT unnest(range(1, len(w))) AS i)) GROUP BY ALL HAVING a >= 10),
+f3 AS (
+  SELECT lang, w1, w2, w3, count(*) AS a
+  FROM (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM pieces, LATERAL (SELECT unnest(range(1, len(w) - 1)) AS i))
+  GROUP BY ALL HAVING a >= 10),
+inside AS (
+  SELECT lang, w1, w2, max(a) AS longest
+  FROM (SELECT lang, w1, w2, a FROM f3 UNION ALL SELECT lang, w2, w3, a FROM f3) GROUP BY ALL),
+found AS (
+  SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, a, x.f AS l, y.f AS r, {_SCORE.format("x.f", "y.f")} AS score
+  FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.w1 = p.w1 JOIN f1 y ON y.lang = p.lang AND y.w1 = p.w2
+    LEFT JOIN inside i ON i.lang = p.lang AND i.w1 = p.w1 AND i.w2 = p.w2
+  WHERE longest IS NULL OR 100 * longest < 50 * a
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s2 < s1 THEN l2 ELSE l1 END, CASE WHEN s2 < s1 THEN r2 ELSE r1 END, least(s1, s2)
+  FROM (
+    SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.a, x.f AS l1, q.a AS r1, p.a AS l2, z.f AS r2,
+      {_SCORE.replace("a * a", "t.a * t.a").format("x.f", "q.a")} AS s1, {_SCORE.replace("a * a", "t.a * t.a").format("p.a", "z.f")} AS s2
+    FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.w1 = t.w1 JOIN f1 z ON z.lang = t.lang AND z.w1 = t.w3
+      JOIN f2 p ON p.lang = t.lang AND p.w1 = t.w1 AND p.w2 = t.w2 JOIN f2 q ON q.lang = t.lang AND q.w1 = t.w2 AND q.w2 = t.w3)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM found)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000"""
+
+ORACLES: dict[str, str] = {"op3_warc": WARC, "op4_urls": URLS, "op9_chat": CHAT, "op11_collocations": COLLOCATIONS, "op13_prefixtrie": TRIE}

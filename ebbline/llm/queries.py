@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import chat, decontaminate, htmltext, idfiles, licences, mixing, packing, prefixtrie, quality, simhash, urlfilter, warc
+from ebbline.llm import chat, collocations, decontaminate, htmltext, idfiles, licences, mixing, packing, prefixtrie, quality, simhash, urlfilter, warc
 from ebbline.llm.common import stored, table
 from ebbline.llm.oracles import ORACLES
 from ebbline.sources import scratch_path
@@ -77,6 +77,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.best(collocations.mine(table(spark, sf_dir, "documents")))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def op12_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = scratch_path(spark, "ids")
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
     "op12_idfiles": op12_idfiles,
     "op13_prefixtrie": op13_prefixtrie,
 }

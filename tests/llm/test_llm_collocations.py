@@ -1,0 +1,100 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from cases import lower, no_documents, odd_documents, odd_rows
+from ebbline.llm import collocations
+
+FIELDS = "doc_id long, text string, lang string, piece long, until int, w1 string, hash long, n long, word string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(at, *row, 1, 2, "w", 3, 4, "x") for at, row in enumerate(rows)], FIELDS)
+
+
+def brute(rows, min_count, max_words=3, absorbed=50):
+    counts, total = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            for size in range(1, max_words + 1):
+                for at in range(len(words) - size + 1):
+                    counts[lang, tuple(words[at : at + size])] += 1
+    found = []
+    candidates = {key: a for key, a in counts.items() if len(key[1]) > 1 and a >= min_count}
+    for (lang, words), a in candidates.items():
+        size = len(words)
+        holders = [f for (other, more), f in candidates.items() if other == lang and len(more) > size and any(more[at : at + size] == words for at in range(len(more)))]
+        if any(100 * f >= absorbed * a for f in holders):
+            continue
+        cuts = []
+        for k in range(1, size):
+            left, right = counts[lang, words[:k]], counts[lang, words[k:]]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        found.append((lang, " ".join(words), a, left, right, total[lang], score))
+    return sorted(found, key=lambda row: (row[0], -row[-1], -row[2], row[1].encode()))
+
+
+def found(spark, docs, **more):
+    rows = collocations.best(collocations.mine(docs, **more), 10**6).collect()
+    rows.sort(key=lambda row: (row.lang, row.rank))
+    for lang in {row.lang for row in rows}:
+        assert [row["rank"] for row in rows if row.lang == lang] == list(range(1, sum(row.lang == lang for row in rows) + 1))
+    return [(row.lang, row.phrase, row.a, row.l, row.r, row.n, row.score) for row in rows]
+
+
+def test_words_and_pieces():
+    own = collocations.Occurrences([b"The cat. the\tCAT sat", b"", b"a,b\r\nc \xc3\x84\x0b"])
+    assert [own.distinct[code.item()].as_py() for code in own.codes] == [b"the", b"cat", b"the", b"cat", b"sat", b"a", b"b", b"c", b"\xc3\x84"]
+    assert own.position.tolist() == [0, 1, 0, 1, 2, 0, 0, 0, 1] and len(set(own.piece.tolist())) == 5
+    assert len(collocations.Occurrences([b"", b" "]).codes) == 0
+
+
+@pytest.mark.parametrize("max_words, filter_bits", [(3, 27), (4, 16), (2, 27)])
+def test_equals_brute_force(spark, max_words, filter_bits):
+    rng = random.Random(max_words)
+    text = lambda: "".join(rng.choice(["a ", "B ", "c ", "a b ", "new york city ", "é ", ". ", "\n"]) for _ in range(rng.randint(0, 60)))
+    rows = [(text(), rng.choice(["en", "en", "fr", None])) for _ in range(120)] + [(None, "en"), ("", None), ("a b", "xx")]
+    got = found(spark, frame(spark, rows), min_count=3, max_words=max_words, filter_bits=filter_bits)
+    assert got == brute(rows, 3, max_words) and len(got) > 30
+
+
+def test_long_pieces_are_not_cut(spark):
+    """A piece without an end, longer than several stretches, and one whose words repeat at the seams."""
+    rng = random.Random(1)
+    words = [f"w{rng.randint(0, 25)}" for _ in range(3000)]
+    rows = [(" ".join(words), "en"), (" ".join(["x", "y", "z"] * 700), "en"), ("q " * (collocations.STRETCH + 1), "en")]
+    assert found(spark, frame(spark, rows), min_count=4) == brute(rows, 4)
+
+
+def test_odd_rows(spark):
+    rows = [(text, "en") for _, text in odd_rows()]
+    assert found(spark, odd_documents(spark), min_count=2) == brute(rows, 2)
+
+
+def test_empty_table(spark):
+    assert found(spark, no_documents(spark)) == []
+
+
+def test_words_that_share_a_hash_get_another_seed(spark, monkeypatch):
+    table = collocations.word_table
+
+    def clashing(texts, salt):
+        words = table(texts, salt)
+        return words.withColumn("hash", words.hash * 0) if salt == 0 else words
+
+    monkeypatch.setattr(collocations, "word_table", clashing)
+    words, salt = collocations.words_without_clash(frame(spark, [("a b", "en")]).select("lang", "text"))
+    assert salt == 1 and words.count() == 2
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    big = 3_037_000_499
+    rows = spark.createDataFrame([(big, big + 1, big + 7), (10**12, 10**12, 10**12 + 1)], "a long, l long, r long")
+    got = rows.select(collocations.exact_score("l", "r").alias("s"), "a", "l", "r").collect()
+    assert [row.s for row in got] == [1_000_000 * row.a**2 // (row.l * row.r) for row in got]
