@@ -73,6 +73,10 @@ def per_text(judge: Callable[[list[bytes]], pa.Array], returns: DataType | str)
     return F.arrow_udf(judged, returns).asNondeterministic()
 
 
+_SPACES = np.zeros(256, bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+
+
 class WordBlock:
     """The words of several texts: maximal runs of bytes other than space and 0x09-0x0D.
 
@@ -81,17 +85,19 @@ class WordBlock:
     """
 
     def __init__(self, texts: list[bytes]):
-        words: list[bytes] = []
-        counts = np.zeros(len(texts), np.int64)
-        for at, text in enumerate(texts):
-            own = text.split()
-            counts[at] = len(own)
-            words += own
-        flat = np.empty(len(words), object)
-        flat[:] = words
-        self.counts = counts
-        self.codes, self.distinct = codes_of(flat)
-        self.doc = np.repeat(np.arange(len(texts)), counts)
+        data = np.frombuffer(b" ".join(texts), np.uint8)
+        inside = np.concatenate([[False], ~_SPACES[data], [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(ends - starts)]), pa.int64())
+        letters = pa.py_buffer(np.ascontiguousarray(data[inside[1:-1]]))
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets.buffers()[1], letters]).dictionary_encode()
+        self.codes = words.indices.to_numpy().astype(np.int64)
+        self.distinct = np.empty(len(words.dictionary), object)
+        self.distinct[:] = words.dictionary.to_pylist()
+        text_ends = np.cumsum([len(text) + 1 for text in texts], dtype=np.int64)
+        self.doc = np.searchsorted(text_ends, starts, side="right")
+        self.counts = np.bincount(self.doc, minlength=len(texts))
 
     def sums(self, values: np.ndarray, kind=np.float64) -> np.ndarray:
         """Sums of per-word values by text."""

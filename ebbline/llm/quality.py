@@ -1,21 +1,22 @@
 """Quality rules: a hashed n-gram log-likelihood ratio of trusted target against raw corpus.
 
 Words are maximal runs other than space and 0x09-0x0D, case kept.  Single words and pairs of neighbouring words are
-hashed into buckets, whose number follows that of the distinct ones, so that a bucket mixes no more of them in a large
-corpus than in a small one.  Two multinomials over the buckets are counted: one over *every* text (raw),
-one over the texts trusted by their labels (target).  A text's score is the mean over its n-grams of
+hashed into 2**``BITS`` buckets, a fixed number, so the model has one size (16 MB) whatever the corpus.  Two multinomials
+over the buckets are counted: one over *every* text (raw), one over the texts trusted by their labels (target).  An
+n-gram's log ratio is
 
     log((target + a) / (raw * target_total / raw_total + a))
 
 that is, both multinomials with ``a`` added at the size of the target, so that n-grams hardly seen say nothing.  A
-text is kept where the score reaches ``min_score`` and fewer than ``BAD_NGRAMS`` of its n-grams have a log ratio below
-``MIN_RATIO``: a few abusive words do not move the mean.  With the smoothing this needs an n-gram of which the target
-should hold ``a * (exp(-MIN_RATIO) - 1)`` (25) or more and holds far fewer, so that small inputs judge by the mean alone.
-This decision is a function of the text and the counted model alone.
-
-Defined results: a null text counts as empty; an empty text has score 0 and fails the base rules; repeated rows are
-judged alike; labels with nulls are not trusted, and an id with several label rows is trusted only if all agree;
-without trusted texts every score is 0; other columns are never read.
+text's score is the mean over its n-grams; its worst passage is the lowest mean over ``PASSAGE`` words in a row, a word
+counting with the pair it begins.  Both are normalised for length: the first by that of the text, the second by a
+fixed one, because a few abusive words do not move the mean of a long text.  A text is kept where both reach
+``min_score``.  This decision is a function of the text and the counted model alone.
+
+Defined results: a null text counts as empty; an empty text has score 0 and fails the base rules; a text of fewer words
+than a passage is one passage, filled up with zeros; a very long text is judged as a whole, by all of its passages;
+repeated rows are judged alike; labels with nulls are not trusted, and an id with several label rows is trusted only if
+all agree; without trusted texts every score is 0; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -31,21 +32,15 @@ from pyspark.sql import types as T
 
 from ebbline.llm.common import WordBlock, blocks, codes_of, collected, per_text, row_struct, stored
 
-#: At least so many buckets (as a power of two), and more where they would hold more distinct n-grams than this on average.
-BUCKET_BITS = 18
-NGRAMS_PER_BUCKET = 10
-#: Distinct n-grams are counted in a slice of their hashes, one part in this power of two.
-SLICE_BITS = 10
-#: Buckets summed together (as a power of two), buckets a task holds before it passes them on, and shards fetched at once.
-SHARD_BITS = 16
-HELD_BUCKETS = 2_000_000
-FETCHED_SHARDS = 64
+#: Buckets, as a power of two.
+BITS = 22
+#: Rows in which a task hands on its counts.
+ROWS_OUT = 200_000
 #: At most so many labelled rows fit the target, those with the smallest hash of the id.  The raw side has no bound.
 TRUSTED_ROWS = 100_000
 SMOOTHING = 4.0
 MIN_SCORE = -0.25
-MIN_RATIO = -2.0
-BAD_NGRAMS = 3
+PASSAGE = 16
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -55,7 +50,7 @@ _NOT_A_CODE_POINT = bytes(range(0x80, 0xC0)) + _SPACE
 
 SIGNALS = T.StructType(
     [T.StructField(name, T.LongType()) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    + [T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())]
+    + [T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("worst", T.DoubleType()), T.StructField("kept", T.BooleanType())]
 )
 
 
@@ -69,7 +64,7 @@ def ngram_hashes(words: WordBlock) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([own, two]), np.concatenate([words.doc, words.doc[:-1][pair]])
 
 
-def ngram_buckets(words: WordBlock, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
+def ngram_buckets(words: WordBlock, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and text of every word and of every pair of neighbours within a text."""
     hashes, docs = ngram_hashes(words)
     return (hashes >> np.uint64(64 - bits)).astype(np.int64), docs
@@ -123,6 +118,25 @@ class QualityModel:
         return per_text(lambda texts: judged(texts, shared.value, min_score), SIGNALS)(text)
 
 
+def worst_passages(words: WordBlock, ratios: np.ndarray) -> np.ndarray:
+    """Per text, the lowest mean of ``PASSAGE`` words in a row, given the ratios of all words and then of all pairs."""
+    n = len(words.codes)
+    worst = np.zeros(len(words.counts))
+    if not n:
+        return worst
+    values = ratios[:n].astype(np.float64)
+    values[:-1][words.doc[1:] == words.doc[:-1]] += ratios[n:]
+    upto = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(words.counts)
+    starts = ends - words.counts
+    # Passages that would reach beyond their text start earlier, at the text's start at the earliest.
+    first = np.maximum(np.minimum(np.arange(n), ends[words.doc] - PASSAGE), starts[words.doc])
+    means = (upto[np.minimum(first + PASSAGE, ends[words.doc])] - upto[first]) / PASSAGE
+    some = words.counts > 0
+    worst[some] = np.minimum.reduceat(means, starts[some])
+    return worst
+
+
 def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.StructArray:
     """One row of signals per text."""
     words = WordBlock(texts)
@@ -130,7 +144,7 @@ def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.Struc
     grams = np.bincount(docs, minlength=len(texts))
     own = ratios[buckets]
     score = np.bincount(docs, weights=own, minlength=len(texts)) / np.maximum(grams, 1)
-    bad = np.bincount(docs[own < MIN_RATIO], minlength=len(texts))
+    worst = worst_passages(words, own)
     lines = [[line for line in text.split(b"\n") if line.strip()] for text in texts]
     repeats = repeated_window_words(words)
     failed = (words.counts < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * words.counts)
@@ -142,109 +156,52 @@ def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.Struc
         repeats,
         failed,
         score,
-        ~failed & (score >= min_score) & (bad < BAD_NGRAMS),
+        worst,
+        ~failed & (score >= min_score) & (worst >= min_score),
     ]
     return pa.StructArray.from_arrays([pa.array(values) for values in columns], SIGNALS.names)
 
 
-def bits_for(docs: DataFrame) -> int:
-    """The number of buckets for the n-grams of column ``text``, as a power of two."""
-
-    def sliced(batches):
-        for _, texts in blocks(batches, "text"):
-            hashes, _ = ngram_hashes(WordBlock(texts))
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes[hashes >> np.uint64(64 - SLICE_BITS) == 0]).view(np.int64))], ["gram"])
-
-    found = docs.select("text").mapInArrow(sliced, "gram long").agg(F.count_distinct("gram")).first()[0]
-    buckets = max(1, -(-(found << SLICE_BITS) // NGRAMS_PER_BUCKET))
-    return max(BUCKET_BITS, (buckets - 1).bit_length())
-
-
-def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct buckets with the sums of both counts."""
-    buckets, *counts = (np.concatenate(own) for own in zip(*parts))
-    codes, distinct = codes_of(buckets)
-    return distinct, *(np.bincount(codes, weights=n, minlength=len(distinct)).astype(np.int64) for n in counts)
-
-
-def in_shards(buckets: np.ndarray, raw: np.ndarray, target: np.ndarray, bits: int) -> pa.RecordBatch:
-    """One row per shard of ``2**bits`` buckets: the places in the shard and both counts, each as bytes."""
-    order = np.argsort(buckets)
-    shards, starts = np.unique(buckets[order] >> bits, return_index=True)
-    ends = np.append(starts, len(buckets))
-
-    def packed(values: np.ndarray, kind: str) -> pa.Array:
-        values = values[order].astype(kind)
-        offsets = (ends * values.itemsize).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(shards), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
-
-    columns = [pa.array(shards.astype(np.int32)), packed(buckets & ((1 << bits) - 1), "<u2"), packed(raw, "<i8"), packed(target, "<i8")]
-    return pa.RecordBatch.from_arrays(columns, ["shard", "place", "raw", "target"])
-
-
 def count_ngrams(rows: DataFrame, bits: int) -> DataFrame:
-    """Of the texts in ``rows``, for each shard of buckets that occurs: its counts, those of texts marked ``trusted``, and
-    both totals.  Each task sums its buckets before they are shuffled."""
+    """``bucket``, ``raw`` and ``target``: the n-grams of all texts in ``rows`` and of those marked ``trusted``.  A task holds
+    two arrays of one number a bucket and hands on what is not zero; Spark adds the tasks up."""
 
     def count(batches):
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        sums = np.zeros((2, 1 << bits), np.int64)
         for batch, texts in blocks(batches, "text"):
             buckets, of = ngram_buckets(WordBlock(texts), bits)
-            trusted = batch.column("trusted").to_numpy(zero_copy_only=False)
-            held.append(summed([(buckets, np.ones(len(buckets)), trusted[of])]))
-            if sum(len(own) for own, _, _ in held) > HELD_BUCKETS:
-                held = [summed(held)]
-                if len(held[0][0]) > HELD_BUCKETS // 2:
-                    yield in_shards(*held.pop(), SHARD_BITS)
-        if held:
-            yield in_shards(*summed(held), SHARD_BITS)
-
-    def add(part: pa.Table) -> pa.Table:
-        sums = np.zeros((2, 1 << min(bits, SHARD_BITS)), np.int64)
-        for place, *counts in zip(*(part.column(name).to_pylist() for name in ("place", "raw", "target"))):
-            sums[:, np.frombuffer(place, "<u2")] += [np.frombuffer(own, "<i8") for own in counts]
-        values = [part.column("shard")[0].as_py(), sums[0].tobytes(), sums[1].tobytes(), int(sums[0].sum()), int(sums[1].sum())]
-        return pa.table({field.name: pa.array([value], field.type) for field, value in zip(kinds, values)})
-
-    kinds = pa.schema([("shard", pa.int32()), ("raw", pa.binary()), ("target", pa.binary()), ("n_raw", pa.int64()), ("n_target", pa.int64())])
-    counted = rows.mapInArrow(count, "shard int, place binary, raw binary, target binary")
-    return counted.groupBy("shard").applyInArrow(add, "shard int, raw binary, target binary, n_raw long, n_target long")
+            trusted = batch.column("trusted").to_numpy(zero_copy_only=False)[of]
+            for own, found in zip(sums, (buckets, buckets[trusted])):
+                own += np.bincount(found, minlength=len(own))
+        used = np.flatnonzero(sums[0])
+        for at in range(0, len(used), ROWS_OUT):
+            part = used[at : at + ROWS_OUT]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *(pa.array(own[part]) for own in sums)], ["bucket", "raw", "target"])
+
+    counted = rows.mapInArrow(count, "bucket int, raw long, target long")
+    return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
-    bits: int | None = None,
+    bits: int = BITS,
     smoothing: float = SMOOTHING,
     trusted_rows: int = TRUSTED_ROWS,
     min_score: float = MIN_SCORE,
 ) -> QualityModel:
-    """Count both multinomials.  ``bits`` follows the number of distinct n-grams if it is not given.  The counts stay in
-    Spark; the driver gets four bytes for each bucket, a few shards at a time."""
-    bits = bits_for(docs) if bits is None else bits
+    """Count both multinomials in one pass over the texts.  The driver gets one number for each bucket at most."""
     ids = F.broadcast(trusted_ids(labels, trusted_rows))
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
     rows = rows.join(ids, F.col("id") == F.col("trusted_id"), "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
     sums = stored(count_ngrams(rows, bits), "ngrams")
-    total = sums.agg(F.coalesce(F.sum("n_raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("target")).first()
+    total = sums.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
     ratios = np.zeros(1 << bits, np.float32)
-    if not total.target:
-        return QualityModel(ratios, min_score)
-    share = total.target / total.raw
-
-    def divide(batches):
-        for batch in batches:
-            counts = zip(*(batch.column(name).to_pylist() for name in ("raw", "target")))
-            raw_target = ((np.frombuffer(raw, "<i8"), np.frombuffer(target, "<i8")) for raw, target in counts)
-            logs = [np.log((target + smoothing) / (raw * share + smoothing)).astype("<f4").tobytes() for raw, target in raw_target]
-            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(logs, pa.binary())], ["shard", "ratios"])
-
-    width = 1 << min(bits, SHARD_BITS)
-    for first in range(0, len(ratios) // width, FETCHED_SHARDS):
-        wanted = sums.where(F.col("shard").between(first, first + FETCHED_SHARDS - 1))
-        got = collected(wanted.select("shard", "raw", "target").mapInArrow(divide, "shard int, ratios binary"))
-        for shard, own in zip(got["shard"].tolist(), got["ratios"]):
-            ratios[shard * width : (shard + 1) * width] = np.frombuffer(own, "<f4")
+    if total.target:
+        expected = F.col("raw") * (total.target / total.raw)
+        ratio = F.log((F.col("target") + smoothing) / (expected + smoothing)).cast("float")
+        found = collected(sums.select("bucket", ratio.alias("ratio")))
+        ratios[found["bucket"]] = found["ratio"]
     return QualityModel(ratios, min_score)
 
 

@@ -78,7 +78,7 @@ def test_only_agreeing_labels_are_trusted(spark):
 def test_labelled_junk_is_rejected_and_good_text_kept(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     marks = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    judged = quality.judge_documents(docs, marks).join(marks, "doc_id").where("NOT base_failed")
+    judged = quality.judge_documents(docs, marks).join(marks, "doc_id").where("NOT base_failed AND toxic = 0")
     shares = judged.selectExpr("quality", "int(kept) AS kept").groupBy("quality").agg(F.avg("kept").alias("share"))
     share = {row.quality: row.share for row in shares.collect()}
     assert share[1] > 0.98 and share.get(0, 0) < 0.2
@@ -91,24 +91,52 @@ def test_accepted_keeps_all_columns(spark):
     assert all(row.text and len(WORD.findall(row.text)) >= 10 for row in found.collect())
 
 
-def test_buckets_follow_the_distinct_ngrams(spark, monkeypatch):
-    """As many buckets as keep the load, whatever was held or fetched at once, and the sums of plain counting."""
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+@pytest.mark.parametrize("rows_out", [quality.ROWS_OUT, 100])
+def test_counts_equal_plain_counting(spark, monkeypatch, rows_out):
+    monkeypatch.setattr(quality, "ROWS_OUT", rows_out)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").repartition(5)
     marks = spark.read.parquet(f"{SMALL}/labels.parquet")
     texts = {row.doc_id: (row.text or "").encode() for row in docs.collect()}
-    hashes, of = quality.ngram_hashes(WordBlock(list(texts.values())))
-    for name, value in (("BUCKET_BITS", 4), ("SLICE_BITS", 3), ("SHARD_BITS", 6), ("HELD_BUCKETS", 500), ("FETCHED_SHARDS", 3)):
-        monkeypatch.setattr(quality, name, value)
-    model = quality.fit_quality(docs, marks)
-    bits = int(np.log2(len(model.ratios)))
-    assert len(np.unique(hashes)) / len(model.ratios) < 1.2 * quality.NGRAMS_PER_BUCKET < 3 * len(np.unique(hashes)) / len(model.ratios)
+    buckets, of = quality.ngram_buckets(WordBlock(list(texts.values())), 14)
     good = {row[0] for row in quality.trusted_ids(marks).collect()}
     trusted = np.array([doc_id in good for doc_id in texts])
-    buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    raw = np.bincount(buckets, minlength=1 << bits)
-    target = np.bincount(buckets[trusted[of]], minlength=1 << bits)
+    raw = np.bincount(buckets, minlength=1 << 14)
+    target = np.bincount(buckets[trusted[of]], minlength=1 << 14)
     want = np.log((target + quality.SMOOTHING) / (raw * (target.sum() / raw.sum()) + quality.SMOOTHING))
-    assert np.allclose(model.ratios, want, atol=1e-5)
+    assert np.allclose(quality.fit_quality(docs, marks, bits=14).ratios, want, atol=1e-5)
+
+
+def test_the_model_has_one_size(spark):
+    small = quality.fit_quality(no_documents(spark), labels(spark))
+    assert small.ratios.nbytes == 4 << quality.BITS == 16 << 20
+
+
+def test_worst_passage_equals_brute_force():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 9, size)).encode() for size in (0, 1, 5, 15, 16, 17, 60, 0, 33, 0)]
+    words = WordBlock(texts)
+    buckets, _ = quality.ngram_buckets(words, 10)
+    table = rng.normal(size=1 << 10).astype(np.float32)
+    found = quality.worst_passages(words, table[buckets])
+    for text, got in zip(texts, found):
+        own = WordBlock([text])
+        numbers, _ = quality.ngram_buckets(own, 10)
+        values = table[numbers[: len(own.codes)]].astype(float)
+        values[:-1] += table[numbers[len(own.codes) :]]
+        starts = range(max(1, len(values) - quality.PASSAGE + 1))
+        assert got == pytest.approx(min(values[at : at + quality.PASSAGE].sum() / quality.PASSAGE for at in starts) if len(values) else 0)
+
+
+def test_verdict_does_not_depend_on_length(spark):
+    """The same passage decides alike in a short text and in one that is fifty times as long."""
+    rng = np.random.default_rng(8)
+    prose = lambda n: " ".join(f"w{n}" for n in rng.integers(0, 300, n))
+    abuse = " idiot scum idiot scum idiot scum "
+    rows = [(n, prose(200) + (abuse if n % 10 == 0 else "")) for n in range(1000)]
+    rows += [(2000, prose(40) + abuse + prose(40)), (2001, prose(2000) + abuse + prose(2000)), (2002, prose(4000)), (2003, prose(40))]
+    marks = labels(spark, [(n, 1, int(n % 10 == 0)) for n in range(1000)])
+    kept = {row.doc_id: row.kept for row in quality.judge_documents(odd_documents(spark, rows), marks).where("doc_id >= 2000").collect()}
+    assert kept == {2000: False, 2001: False, 2002: True, 2003: True}
 
 
 def test_a_few_abusive_words_are_enough(spark):
