@@ -34,8 +34,8 @@ from ebbline.llm.common import WordBlock, blocks, codes_of, collected, per_text,
 
 #: Buckets, as a power of two.
 BITS = 22
-#: Rows in which a task hands on its counts.
-ROWS_OUT = 200_000
+#: Buckets whose counts travel as one row, as a power of two.
+SHARD_BITS = 12
 #: At most so many labelled rows fit the target, those with the smallest hash of the id.  The raw side has no bound.
 TRUSTED_ROWS = 100_000
 SMOOTHING = 4.0
@@ -162,24 +162,54 @@ def judged(texts: list[bytes], ratios: np.ndarray, min_score: float) -> pa.Struc
     return pa.StructArray.from_arrays([pa.array(values) for values in columns], SIGNALS.names)
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each: 1, 2, 4 or 8, which the length tells."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def wide(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64)
+
+
 def count_ngrams(rows: DataFrame, bits: int) -> DataFrame:
-    """``bucket``, ``raw`` and ``target``: the n-grams of all texts in ``rows`` and of those marked ``trusted``.  A task holds
-    two arrays of one number a bucket and hands on what is not zero; Spark adds the tasks up."""
+    """``shard``, ``raw`` and ``target``, arrays as bytes: the n-grams of all texts in ``rows`` and of those marked
+    ``trusted``, for 2**``SHARD_BITS`` buckets a row.
+
+    A task holds one number a bucket.  The parts of a shard, one per task, are added one after another from sorted
+    rows, so that memory does not follow the number of tasks.
+    """
+    width = 1 << min(bits, SHARD_BITS)
+
+    def batch(shards: list[int], arrays: list) -> pa.RecordBatch:
+        parts = [pa.array([narrow(pair[side]) for pair in arrays], pa.binary()) for side in (0, 1)]
+        return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), *parts], ["shard", "raw", "target"])
 
     def count(batches):
         sums = np.zeros((2, 1 << bits), np.int64)
-        for batch, texts in blocks(batches, "text"):
+        for own, texts in blocks(batches, "text"):
             buckets, of = ngram_buckets(WordBlock(texts), bits)
-            trusted = batch.column("trusted").to_numpy(zero_copy_only=False)[of]
-            for own, found in zip(sums, (buckets, buckets[trusted])):
-                own += np.bincount(found, minlength=len(own))
-        used = np.flatnonzero(sums[0])
-        for at in range(0, len(used), ROWS_OUT):
-            part = used[at : at + ROWS_OUT]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *(pa.array(own[part]) for own in sums)], ["bucket", "raw", "target"])
-
-    counted = rows.mapInArrow(count, "bucket int, raw long, target long")
-    return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+            trusted = own.column("trusted").to_numpy(zero_copy_only=False)[of]
+            for side, found in zip(sums, (buckets, buckets[trusted])):
+                side += np.bincount(found, minlength=len(side))
+        used = [at for at in range(0, 1 << bits, width) if sums[0, at : at + width].any()]
+        for at in range(0, len(used), 256):
+            part = used[at : at + 256]
+            yield batch([first // width for first in part], [sums[:, first : first + width] for first in part])
+
+    def add(batches):
+        shard, sums = None, None
+        for own in batches:
+            for key, *pair in zip(*(own.column(name).to_pylist() for name in ("shard", "raw", "target"))):
+                if key != shard:
+                    if shard is not None:
+                        yield batch([shard], [sums])
+                    shard, sums = key, np.zeros((2, width), np.int64)
+                sums += [wide(data, width) for data in pair]
+        if shard is not None:
+            yield batch([shard], [sums])
+
+    fields = "shard int, raw binary, target binary"
+    return rows.mapInArrow(count, fields).repartition("shard").sortWithinPartitions("shard").mapInArrow(add, fields)
 
 
 def fit_quality(
@@ -195,13 +225,30 @@ def fit_quality(
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
     rows = rows.join(ids, F.col("id") == F.col("trusted_id"), "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
     sums = stored(count_ngrams(rows, bits), "ngrams")
-    total = sums.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
+    width = 1 << min(bits, SHARD_BITS)
+
+    def totals(batches):
+        for own in batches:
+            sides = (sum(int(wide(data, width).sum()) for data in own.column(name).to_pylist()) for name in ("raw", "target"))
+            yield pa.RecordBatch.from_arrays([pa.array([side], pa.int64()) for side in sides], ["raw", "target"])
+
+    found = sums.mapInArrow(totals, "raw long, target long")
+    total = found.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
     ratios = np.zeros(1 << bits, np.float32)
-    if total.target:
-        expected = F.col("raw") * (total.target / total.raw)
-        ratio = F.log((F.col("target") + smoothing) / (expected + smoothing)).cast("float")
-        found = collected(sums.select("bucket", ratio.alias("ratio")))
-        ratios[found["bucket"]] = found["ratio"]
+    if not total.target:
+        return QualityModel(ratios, min_score)
+    share = total.target / total.raw
+
+    def divide(batches):
+        for own in batches:
+            pairs = zip(*(own.column(name).to_pylist() for name in ("raw", "target")))
+            counts = ((wide(raw, width), wide(target, width)) for raw, target in pairs)
+            logs = [np.log((target + smoothing) / (raw * share + smoothing)).astype("<f4").tobytes() for raw, target in counts]
+            yield pa.RecordBatch.from_arrays([own.column("shard"), pa.array(logs, pa.binary())], ["shard", "ratios"])
+
+    found = collected(sums.mapInArrow(divide, "shard int, ratios binary"))
+    for shard, own in zip(found["shard"].tolist(), found["ratios"]):
+        ratios[shard * width : (shard + 1) * width] = np.frombuffer(own, "<f4")
     return QualityModel(ratios, min_score)
 
 

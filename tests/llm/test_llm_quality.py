@@ -91,9 +91,16 @@ def test_accepted_keeps_all_columns(spark):
     assert all(row.text and len(WORD.findall(row.text)) >= 10 for row in found.collect())
 
 
-@pytest.mark.parametrize("rows_out", [quality.ROWS_OUT, 100])
-def test_counts_equal_plain_counting(spark, monkeypatch, rows_out):
-    monkeypatch.setattr(quality, "ROWS_OUT", rows_out)
+def test_counts_travel_in_few_bytes():
+    for most, size in ((0, 1), (255, 1), (256, 2), (70_000, 4), (1 << 40, 8)):
+        counts = np.array([0, most, most // 2, 0])
+        data = quality.narrow(counts)
+        assert len(data) == 4 * size and quality.wide(data, 4).tolist() == counts.tolist()
+
+
+@pytest.mark.parametrize("shard_bits", [quality.SHARD_BITS, 6])
+def test_counts_equal_plain_counting(spark, monkeypatch, shard_bits):
+    monkeypatch.setattr(quality, "SHARD_BITS", shard_bits)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").repartition(5)
     marks = spark.read.parquet(f"{SMALL}/labels.parquet")
     texts = {row.doc_id: (row.text or "").encode() for row in docs.collect()}
