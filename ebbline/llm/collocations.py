@@ -7,10 +7,10 @@ rows of a piece lie together and in order, so the join neither shuffles nor sort
 and only phrases that are frequent stay in it (a semi-join) before the next length is made.
 
 Words are known by a 64-bit hash that depends on the language; the table of words is checked for two words with one
-hash, and another seed is taken where that happens, so nothing rests on chance.  Groups are counted in two steps.
-First by a hash of the phrase, pre-aggregated in each task; the hashes with enough rows are marked in a bit map of
-bounded size (``FILTER_BITS``), which is broadcast for the semi-join.  It may let rare phrases pass, more of them if the
-bounded map gets crowded; the second count is by the words themselves and decides exactly.
+hash, and another seed is taken where that happens, so nothing rests on chance.  Groups are counted by all their words,
+in each task first and then by Spark.  The frequent ones are marked in a bit map of bounded size (``FILTER_BITS``), which
+is broadcast for the semi-join, so that places are not shuffled.  It may let rare phrases pass, more of them if the
+bounded map gets crowded; that costs time, but no count depends on it.
 
 Counts and scores are exact: products are decimals of 38 digits.
 
@@ -204,21 +204,10 @@ def extended(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray,
     return row[at], position[at], [*(word[at] for word in words), words[-1][at + 1]]
 
 
-def phrases(batches, size: int, longer: bool, marks: Marks | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """The places of phrases in the batches of a relation of length ``size``, or of one word more."""
-    for batch in batches:
-        row, position, words = extended(batch, size) if longer else places_in(batch, size)
-        if marks:
-            kept = marks.holds(mixed(words))
-            row, position, words = row[kept], position[kept], [word[kept] for word in words]
-        yield batch, row, position, words
-
-
-def owned(found) -> Iterator[list[np.ndarray]]:
+def owned(batch: pa.RecordBatch, row: np.ndarray, position: np.ndarray, words: list[np.ndarray]) -> list[np.ndarray]:
     """The words of the phrases that count in their row."""
-    for batch, row, position, words in found:
-        counted = position < batch.column("until").to_numpy()[row]
-        yield [word[counted] for word in words]
+    counted = position < batch.column("until").to_numpy()[row]
+    return [word[counted] for word in words]
 
 
 def in_portions(parts: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
@@ -233,47 +222,46 @@ def in_portions(parts: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]
         yield [np.concatenate(own) for own in zip(*held)]
 
 
-def hashed_counts(relation: DataFrame, size: int, min_count: int) -> DataFrame:
-    """Hashes of phrases of ``size`` + 1 words with at least ``min_count`` places."""
-
-    def tally(batches):
-        for words in in_portions(owned(phrases(batches, size, True, None))):
-            hashes, n = np.unique(mixed(words), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
-
-    rows = relation.mapInArrow(tally, "hash long, n long")
-    return rows.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("hash")
-
-
 def frequent_places(relation: DataFrame, size: int, marks: Marks, max_words: int) -> DataFrame:
     """The relation of one word more, without phrases that cannot be frequent."""
 
     def places(batches):
-        for batch, row, position, words in phrases(batches, size, True, marks):
+        for batch in batches:
+            row, position, words = extended(batch, size)
             until = batch.column("until").to_numpy()
-            needed = position < until[row] + (max_words - size - 1)
+            needed = marks.holds(mixed(words)) & (position < until[row] + (max_words - size - 1))
             yield batch_of(batch.column("piece").to_numpy(), until, row[needed], position[needed], [word[needed] for word in words])
 
     return relation.mapInArrow(places, fields_of(size + 1))
 
 
-def exact_counts(relation: DataFrame, size: int, min_count: int, marks: Marks | None = None) -> DataFrame:
-    """``w1``, ``w2``, ... and ``f`` of the phrases of the relation, or with ``marks`` of one word more, that have at least
-    ``min_count`` places."""
-    length = size + bool(marks)
+def frequent_phrases(relation: DataFrame, size: int, min_count: int) -> DataFrame:
+    """``w1``, ``w2``, ... and ``f`` of the phrases one word longer than the relation's that have at least ``min_count``
+    places."""
+    names = names_of(size + 1)
 
     def tally(batches):
-        for words in in_portions(owned(phrases(batches, size, bool(marks), marks))):
+        for words in in_portions(owned(batch, *extended(batch, size)) for batch in batches):
             order = np.argsort(mixed(words))
             words = [word[order] for word in words]
             new = np.ones(len(order), bool)
             new[1:] = np.any([word[1:] != word[:-1] for word in words], axis=0)
             first = np.flatnonzero(new)
             n = np.diff(np.append(first, len(order)))
-            yield pa.RecordBatch.from_arrays([*(pa.array(word[first]) for word in words), pa.array(n)], [*names_of(length), "n"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(word[first]) for word in words), pa.array(n)], [*names, "n"])
+
+    rows = relation.mapInArrow(tally, ", ".join(f"{name} long" for name in [*names, "n"]))
+    return rows.groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+
+
+def phrase_hashes(table: DataFrame, size: int) -> DataFrame:
+    names = names_of(size)
+
+    def hashed(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(mixed([batch.column(name).to_numpy() for name in names]).view(np.int64))], ["hash"])
 
-    rows = relation.mapInArrow(tally, ", ".join(f"{name} long" for name in [*names_of(length), "n"]))
-    return rows.groupBy(*names_of(length)).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    return table.select(*names).mapInArrow(hashed, "hash long")
 
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, absorbed: int = ABSORBED, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -286,12 +274,10 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
     relation = persisted(word_places(texts, salt, marks, max_words), 1)
     tables = {1: frequent.select(F.col("hash").alias("w1"), "f")}
     for size in range(1, max_words):
-        marks = Marks(stored(hashed_counts(relation, size, min_count), "frequent"), filter_bits)
+        tables[size + 1] = stored(frequent_phrases(relation, size, min_count), "phrases")
         if size + 1 < max_words:
+            marks = Marks(phrase_hashes(tables[size + 1], size + 1), filter_bits)
             relation = persisted(frequent_places(relation, size, marks, max_words), size + 1)
-            tables[size + 1] = stored(exact_counts(relation, size + 1, min_count), "phrases")
-        else:
-            tables[size + 1] = stored(exact_counts(relation, size, min_count, marks), "phrases")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     found = [scored(tables, size, absorbed, frequent) for size in range(2, max_words + 1)]
     return reduce(DataFrame.unionByName, found).join(totals, "lang")
