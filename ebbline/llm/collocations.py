@@ -45,7 +45,9 @@ FILTER_BITS = 27
 #: Words of a piece that lie in one row.
 STRETCH = 512
 #: Places that a task counts together.
-HELD = 4_000_000
+HELD = 2_000_000
+#: Rows that a task hands on together.
+ROWS_OUT = 50_000
 
 # Classes of bytes: what parts words, what ends a piece, and the rest.
 _BLANK, _END, _WORD = range(3)
@@ -248,7 +250,9 @@ def frequent_phrases(relation: DataFrame, size: int, min_count: int) -> DataFram
             new[1:] = np.any([word[1:] != word[:-1] for word in words], axis=0)
             first = np.flatnonzero(new)
             n = np.diff(np.append(first, len(order)))
-            yield pa.RecordBatch.from_arrays([*(pa.array(word[first]) for word in words), pa.array(n)], [*names, "n"])
+            for at in range(0, len(first), ROWS_OUT):
+                part = slice(at, at + ROWS_OUT)
+                yield pa.RecordBatch.from_arrays([*(pa.array(word[first[part]]) for word in words), pa.array(n[part])], [*names, "n"])
 
     rows = relation.mapInArrow(tally, ", ".join(f"{name} long" for name in [*names, "n"]))
     return rows.groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
