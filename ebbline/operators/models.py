@@ -31,6 +31,8 @@ MAX_ITERATIONS = 1000
 
 LABEL = "label"
 WEIGHT = "weight"
+#: Fewer rows than this are not worth a task of their own in the many passes of a fit.
+ROWS_PER_TASK = 2_000
 
 
 class PriorClassifier(Estimator):
@@ -66,6 +68,32 @@ def with_balanced_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.withColumn(WEIGHT, weight.cast("double"))
 
 
+def in_tasks_of_size(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` in no more tasks than its ``rows`` keep busy; a frame in fewer tasks is left as it is."""
+    return df.coalesce(max(1, -(-rows // rows_per_task)))
+
+
+def bounded_training_rows(
+    train: DataFrame, max_rows: int | None, label: str = LABEL, id_column: str = ID_COLUMN, seed: int = SEED
+) -> DataFrame:
+    """At most ``max_rows`` rows of ``train``, the classes in their shares, chosen by the hash of the id.
+
+    A forest is fitted on all rows unless the caller states this bound.
+    """
+    rows = train.count() if max_rows is not None else 0
+    if max_rows is None or rows <= max_rows:
+        return train
+    chosen = stratified_split(train, label, id_column, max_rows / rows, seed + 1)
+    return chosen.where("is_test").drop("is_test")
+
+
+def forest_sizes(model) -> DataFrame:
+    """``tree, nodes, depth`` of a fitted forest.  A forest lives on the driver: this is what it holds there."""
+    spark = SparkSession.getActiveSession()
+    sizes = [(number, tree.numNodes, tree.depth) for number, tree in enumerate(model.trees)]
+    return spark.createDataFrame(sizes, "tree int, nodes long, depth int")
+
+
 def training_frame(gold: DataFrame, id_column: str = ID_COLUMN, label: str = TARGET_COLUMN) -> DataFrame:
     """Id, aligned features and a double label."""
     labelled = gold.withColumn(LABEL, F.col(label).cast("double"))
@@ -179,6 +207,12 @@ def evaluate_once(scored: DataFrame, label: str = LABEL) -> dict[str, float]:
         kept.unpersist()
 
 
+def prepared_rows(preprocessor: PipelineModel, rows: DataFrame, size: int) -> DataFrame:
+    """Label, balanced weight and features of training rows."""
+    ready = with_balanced_weight(preprocessor.transform(rows)).select(LABEL, WEIGHT, "features")
+    return in_tasks_of_size(ready, size)
+
+
 def train_models(
     gold: DataFrame,
     only: list[str] | None = None,
@@ -187,23 +221,29 @@ def train_models(
     test_size: float = TEST_SIZE,
     seed: int = SEED,
     threshold: float = 0.5,
+    forest_rows: int | None = None,
 ) -> TrainedModels:
     """Fit each candidate on the train part and evaluate it on the test part.
 
     Pass a stored table: validation, split and fitting each read it.  The preprocessor is fitted once and
-    shared, since it does not depend on the model.
+    shared, since it does not depend on the model.  ``forest_rows`` bounds the rows that fit the forest.
     """
     train, test = split_training_data(gold, id_column, label, test_size, seed)
     train.persist(StorageLevel.MEMORY_AND_DISK)
     preprocessor = build_preprocessor(train.select(FEATURE_COLUMNS)).fit(train)
-    prepared = with_balanced_weight(preprocessor.transform(train)).select(LABEL, WEIGHT, "features")
-    prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.count()
+    prepared = prepared_rows(preprocessor, train, rows).persist(StorageLevel.MEMORY_AND_DISK)
+    fewer = prepared
+    if forest_rows is not None and forest_rows < rows:
+        sample = bounded_training_rows(train, forest_rows, LABEL, id_column, seed)
+        fewer = prepared_rows(preprocessor, sample, forest_rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        candidates = candidate_models(prepared.count(), seed)
+        candidates = candidate_models(rows, seed)
         models, scored, rows = {}, {}, []
         for name in only or candidates:
             started = dt.datetime.now()
-            fitted = PipelineModel([*preprocessor.stages, candidates[name].fit(prepared)])
+            fit_on = fewer if isinstance(candidates[name], RandomForestClassifier) else prepared
+            fitted = PipelineModel([*preprocessor.stages, candidates[name].fit(fit_on)])
             result = score(fitted, test, keep=(id_column, LABEL), threshold=threshold)
             metrics = evaluate_once(result)
             # The names of recorded parameters.
@@ -217,6 +257,7 @@ def train_models(
             models[name], scored[name] = fitted, result
             rows.append(run_row(name, metrics, params, started))
     finally:
+        fewer.unpersist()
         prepared.unpersist()
         train.unpersist()
     return TrainedModels(models, scored, runs_frame(gold.sparkSession, rows))

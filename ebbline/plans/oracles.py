@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ebbline.columns import FEATURE_COLUMNS, NON_NEGATIVE_FEATURES, NUMERIC_FEATURES, STRING_FEATURES
+from ebbline.operators.tuning import SEARCH_SPACE, sample_settings
 
 PARSE = "strptime({0}, '%m-%d-%Y %H:%M:%S')"
 
@@ -257,6 +258,20 @@ ranked AS (
 sizes AS (SELECT churn, n - CAST(floor(share) AS BIGINT) - CASE WHEN pos <= spare THEN 1 ELSE 0 END AS test_n
   FROM ranked)"""
 
+# Folds of the train part: the first two thirds of what remains of a class in hash order, and so on.
+TRAIN_FOLDS = """
+trained AS (
+  SELECT churn, ntile(3) OVER (PARTITION BY churn ORDER BY h, user_id) - 1 AS fold
+  FROM placed JOIN sizes USING (churn) WHERE place > test_n),
+fits AS (
+  SELECT CAST(f AS INT) AS fold, count(*) AS fit_rows, CAST(sum(churn) AS BIGINT) AS fit_ones
+  FROM trained JOIN (VALUES (0), (1), (2)) folds(f) ON fold <> f GROUP BY f)"""
+
+_SETTINGS = ", ".join(
+    "(" + ", ".join([str(number), *(f"'{value}'" for value in setting.values())]) + ")"
+    for number, setting in enumerate(sample_settings())
+)
+
 BINARY_SCORES = """
 scored AS (SELECT quality AS label, floor(n_chars / 200) AS score FROM labels JOIN documents USING (doc_id)),
 by_score AS (SELECT score, count(*) FILTER (WHERE label = 1) AS p, count(*) AS n FROM scored GROUP BY score),
@@ -455,6 +470,43 @@ ORACLES: dict[str, str] = {
         HASH_ORDER,
         SPLIT_SIZES,
     ),
+    "tuning_results_check": _query(
+        GOLD,
+        "SELECT CAST(20 AS BIGINT) AS settings, CAST(0 AS BIGINT) AS wrong_means, CAST(0 AS BIGINT) AS impossible_scores,"
+        " CAST(0 AS BIGINT) AS below_chance, CAST(0 AS BIGINT) AS wrong_ranks, CAST(20 AS BIGINT) AS distinct_settings"
+        " FROM gold HAVING count(*) > 0",
+    ),
+    "sampled_settings": _query(
+        GOLD,
+        f"SELECT setting, {', '.join(f'param_{name}' for name in SEARCH_SPACE)}, fold, fit_rows, fit_ones"
+        f" FROM (VALUES {_SETTINGS}) s(setting, {', '.join(f'param_{name}' for name in SEARCH_SPACE)}) CROSS JOIN fits",
+        HASH_ORDER,
+        SPLIT_SIZES,
+        TRAIN_FOLDS,
+    ),
+    "forest_check": _query(
+        GOLD,
+        "SELECT CAST(250 AS BIGINT) AS trees, CAST(0 AS BIGINT) AS too_deep, CAST(0 AS BIGINT) AS not_binary,"
+        " count(*) AS train_rows, CAST(sum(churn) AS BIGINT) AS train_ones, true AS beats_chance"
+        " FROM placed JOIN sizes USING (churn) WHERE place > test_n",
+        HASH_ORDER,
+        SPLIT_SIZES,
+    ),
+    "bounded_forest_check": _query(
+        GOLD,
+        "SELECT CAST(sum(n) // 2 AS BIGINT) AS forest_rows, CAST(round(sum(ones) * 0.5) AS BIGINT) AS forest_ones"
+        " FROM (SELECT count(*) AS n, sum(churn) AS ones FROM placed JOIN sizes USING (churn) WHERE place > test_n)",
+        HASH_ORDER,
+        SPLIT_SIZES,
+    ),
+    "model_runs_check": _query(
+        GOLD,
+        "SELECT run_name, 'FINISHED' AS status, test_rows, test_ones, 0 AS wrong_metrics FROM"
+        " (SELECT count(*) AS test_rows, CAST(sum(churn) AS BIGINT) AS test_ones FROM placed JOIN sizes USING (churn) WHERE place <= test_n)"
+        " CROSS JOIN (VALUES ('dummy'), ('logistic_regression'), ('random_forest')) r(run_name)",
+        HASH_ORDER,
+        SPLIT_SIZES,
+    ),
     "scoring_outcomes": _query(
         GOLD,
         "SELECT CASE WHEN reasons = '' THEN 'success' ELSE 'failed' END AS status,"
@@ -492,6 +544,17 @@ ORACLES: dict[str, str] = {
     "missing_profile": _query(
         RAW, _union([_missing(dataset, column) for dataset, names in RAW_COLUMNS.items() for column in names])
     ),
+    "missing_profile_numbers": _query(
+        GOLD,
+        'SELECT "column", missing_count, round(missing_count / CAST(n AS DOUBLE), 4) AS missing_share FROM ('
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS \"column\", count(*) FILTER (WHERE {name} IS NULL"
+            + (" OR CAST(user_id AS BIGINT) % 7 = 3" if name == "avg_order_amount" else "")
+            + ") AS missing_count, count(*) AS n FROM gold"
+            for name in NUMERIC_FEATURES
+        )
+        + ")",
+    ),
     "quality_rules": _query(GOLD, QUALITY),
     "scoring_rows_rejected": _query(
         GOLD, "SELECT user_id, order_count, reasons FROM checked WHERE reasons <> ''", SCORING_ROWS

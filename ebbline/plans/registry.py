@@ -187,6 +187,13 @@ def missing_profile(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def missing_profile_numbers(spark, sf_dir):
+    """The numeric features, where null and NaN are both missing and zero is not."""
+    table = gold_table(spark, sf_dir).select("user_id", *NUMERIC_FEATURES)
+    nan = F.when(F.col("user_id").cast("long") % 7 == 3, F.lit(float("nan"))).otherwise(F.col("avg_order_amount"))
+    return missing.get_missing_values(table.withColumn("avg_order_amount", nan).drop("user_id"))
+
+
 def quality_rules(spark, sf_dir):
     return quality.training_data_rules(gold_table(spark, sf_dir))
 
@@ -383,8 +390,88 @@ def ranked_settings(spark, sf_dir):
     return tuning.rank_results(scores)
 
 
+_searched: dict[tuple[str, str], DataFrame] = {}
+
+
 def tuning_results(spark, sf_dir):
-    return tuning.search_forest(gold_table(spark, sf_dir)).cv_results
+    """All settings on all folds; the search is run once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _searched:
+        _searched[key] = tuning.search_forest(gold_table(spark, sf_dir)).cv_results
+    return _searched[key]
+
+
+def tuning_results_check(spark, sf_dir):
+    """Of the search's records: their number, the settings, ranks and means computed again, and that scores are
+    possible and better than chance."""
+    rows = tuning_results(spark, sf_dir)
+    folds = [f"split{fold}" for fold in range(tuning.FOLDS)]
+    tests, trains = ([F.col(f"{fold}_{part}_score") for fold in folds] for part in ("test", "train"))
+    mean = sum(tests[1:], tests[0]) / len(tests)
+    spread = F.sqrt(sum(((score - mean) ** 2 for score in tests[1:]), (tests[0] - mean) ** 2) / len(tests))
+    positives = gold_table(spark, sf_dir).agg(F.avg("churn").alias("base_rate"))
+    again = rows.join(F.broadcast(positives)).join(F.broadcast(rows.agg(F.max("mean_test_score").alias("best"))))
+    possible = [score.between(0, 1) for score in tests + trains]
+    names = [name for name in rows.columns if name.startswith("param_")]
+    return again.agg(
+        F.count(F.lit(1)).alias("settings"),
+        F.count_if((F.abs(F.col("mean_test_score") - mean) > 1e-9) | (F.abs(F.col("std_test_score") - spread) > 1e-9)).alias("wrong_means"),
+        F.count_if(~F.reduce(F.array(*possible), F.lit(True), lambda a, b: a & b)).alias("impossible_scores"),
+        F.count_if(F.greatest(*trains) < F.col("base_rate")).alias("below_chance"),
+        F.count_if((F.col("rank_test_score") == 1) != (F.col("mean_test_score") == F.col("best"))).alias("wrong_ranks"),
+        F.count_distinct(F.struct(*[F.col(name) for name in names])).alias("distinct_settings"),
+    )
+
+
+def sampled_settings(spark, sf_dir):
+    """The settings of the search with the rows and churners that each fold fits them on."""
+    train, _ = models.split_training_data(gold_table(spark, sf_dir))
+    folded = splits.stratified_folds(train, models.LABEL, models.ID_COLUMN, tuning.FOLDS, models.SEED)
+    held = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("held_rows"), F.sum(models.LABEL).alias("held_ones"))
+    totals = held.agg(F.sum("held_rows").alias("n"), F.sum("held_ones").alias("ones"))
+    fitted = held.join(F.broadcast(totals)).select(
+        "fold", (F.col("n") - F.col("held_rows")).alias("fit_rows"), (F.col("ones") - F.col("held_ones")).cast("long").alias("fit_ones")
+    )
+    settings = tuning.settings_frame(spark, tuning.sample_settings())
+    return fitted.join(F.broadcast(settings)).select("setting", *[f"param_{name}" for name in tuning.SEARCH_SPACE], "fold", "fit_rows", "fit_ones")
+
+
+def forest_check(spark, sf_dir):
+    """The forest's form, the rows that fitted it, and that it tells the classes apart better than chance."""
+    table = gold_table(spark, sf_dir)
+    trained = models.train_models(table, only=["random_forest"])
+    sizes = models.forest_sizes(trained.models["random_forest"].stages[-1]).agg(
+        F.count(F.lit(1)).alias("trees"),
+        F.count_if(F.col("depth") > models.FOREST_DEPTH).alias("too_deep"),
+        F.count_if(F.col("nodes") % 2 == 0).alias("not_binary"),
+    )
+    train, _ = models.split_training_data(table)
+    fitted = train.agg(F.count(F.lit(1)).alias("train_rows"), F.sum(models.LABEL).cast("long").alias("train_ones"))
+    scored = scoring.score(trained.models["random_forest"], train, keep=(models.ID_COLUMN, models.LABEL))
+    quality_of = ranking.ranking_metrics(scored, models.LABEL, "churn_probability").select((F.col("roc_auc") > 0.5).alias("beats_chance"))
+    return sizes.join(F.broadcast(fitted)).join(F.broadcast(quality_of))
+
+
+def bounded_forest_check(spark, sf_dir):
+    """The rows and churners that are left when a forest may be fitted on half of the train part at most."""
+    train, _ = models.split_training_data(gold_table(spark, sf_dir))
+    bound = train.count() // 2
+    return models.bounded_training_rows(train, bound).agg(
+        F.count(F.lit(1)).alias("forest_rows"), F.sum(models.LABEL).cast("long").alias("forest_ones")
+    )
+
+
+def model_runs_check(spark, sf_dir):
+    """Each run's six recorded metrics against those computed again from its scored rows by ranks over single rows."""
+    trained = models.train_models(gold_table(spark, sf_dir))
+    checks = []
+    for name, scored in trained.scored.items():
+        recorded = trained.runs.where(F.col("run_name") == name)
+        again = ranking.metrics_by_ranks(scored, models.LABEL)
+        differs = [~(F.abs(F.col(f"`metrics.{metric}`") - F.col(metric)) < 1e-9) for metric in ranking.METRICS]
+        wrong = sum((F.coalesce(one.cast("int"), F.lit(1)) for one in differs[1:]), F.coalesce(differs[0].cast("int"), F.lit(1)))
+        checks.append(recorded.join(F.broadcast(again)).select("run_name", "status", "test_rows", "test_ones", wrong.alias("wrong_metrics")))
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
 
 # Runs
@@ -493,6 +580,7 @@ QUERIES: dict[str, Query] = {
             event_key_profile,
             users_like,
             missing_profile,
+            missing_profile_numbers,
             quality_rules,
             scoring_rows_rejected,
             aligned_input,
@@ -517,6 +605,11 @@ QUERIES: dict[str, Query] = {
             logistic_optimality,
             scoring_outcomes,
             tuning_results,
+            tuning_results_check,
+            sampled_settings,
+            forest_check,
+            bounded_forest_check,
+            model_runs_check,
             ranked_settings,
             latest_runs,
             run_comparison,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,16 +28,51 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", bucket_by: tupl
     """Replace a table, its schema included.
 
     ``bucket_by=(n, column)`` lays files out so that later aggregates and joins on that column need no
-    shuffle.
+    shuffle.  The new table is written beside the old one, read once, and then takes its name, so that a write that
+    fails leaves the old table as it was.  Delta replaces a table by a commit of its own.
     """
-    writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
+        _save(df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true"), table, bucket_by)
+        return
+    spark, staged, retired = df.sparkSession, _beside(table, "__staged"), _beside(table, "__retired")
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(retired):
+        _rename(spark, retired, table)  # a swap that was cut off
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    _save(df.write.format(fmt).mode("errorifexists"), staged, bucket_by)
+    spark.table(staged).agg(F.count(F.lit(1))).collect()
+    _swap(spark, table, staged, retired)
+
+
+def _beside(table: str, suffix: str) -> str:
+    return f"{table[:-1]}{suffix}`" if table.endswith("`") else f"{table}{suffix}"
+
+
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    """A new name is given without its catalog, which stays."""
+    spark.sql(f"ALTER TABLE {table} RENAME TO {'.'.join(name.split('.')[-2:])}")
+
+
+def _save(writer: DataFrameWriter, table: str, bucket_by: tuple[int, str] | None) -> None:
     if bucket_by:
         writer = writer.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])
     writer.saveAsTable(table)
 
 
+def _swap(spark: SparkSession, table: str, staged: str, retired: str) -> None:
+    """Give ``staged`` the name of ``table``; the old table keeps its rows until then and returns if that fails."""
+    spark.sql(f"DROP TABLE IF EXISTS {retired}")
+    replaced = spark.catalog.tableExists(table)
+    if replaced:
+        _rename(spark, table, retired)
+    try:
+        _rename(spark, staged, table)
+    except Exception:
+        if replaced:
+            _rename(spark, retired, table)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {retired}")
+
+
 def write_tables(
     spark: SparkSession,
     frames: dict[str, DataFrame],

@@ -107,6 +107,26 @@ def test_inferred_schema_is_an_option(spark, tmp_path):
     assert users.count() == 150 and orders.count() == explicit[1].count()
 
 
+def test_a_failing_write_leaves_the_old_table(spark):
+    write_table(spark.range(5), "t_staged")
+    broken = spark.range(10).select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("stop"))).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        write_table(broken, "t_staged")
+    assert spark.table("t_staged").count() == 5
+    write_table(spark.table("t_staged").where("id < 3"), "t_staged")  # from itself
+    assert sorted(row.id for row in spark.table("t_staged").collect()) == [0, 1, 2]
+    assert not spark.catalog.tableExists("t_staged__staged") and not spark.catalog.tableExists("t_staged__retired")
+
+
+def test_a_swap_that_was_cut_off_is_taken_back(spark, monkeypatch):
+    write_table(spark.range(4), "t_cut")
+    spark.sql("ALTER TABLE t_cut RENAME TO t_cut__retired")  # crashed before the new table got its name
+    broken = spark.range(2).select(F.raise_error(F.lit("stop")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        write_table(broken, "t_cut")
+    assert spark.table("t_cut").count() == 4
+
+
 def test_overwrite_replaces_the_schema_and_buckets_avoid_a_shuffle(spark):
     write_table(spark.range(5), "t_overwrite")
     write_table(spark.createDataFrame([("a", 1)], "k string, v int"), "t_overwrite", bucket_by=(4, "k"))

@@ -102,6 +102,62 @@ def test_search_ranks_settings_and_refits_the_best(training):
     assert tuned.model.transform(scoring.prepare_input(training)).count() == 200
 
 
+def test_grouped_average_precision_equals_single_groups(spark):
+    rows = [(n % 3, "a" if n % 2 else "b", float(n % 7 < 3), (n * 37 % 11) / 11) for n in range(300)] + [(9, "a", 0.0, 0.5)]
+    scored = spark.createDataFrame(rows, "setting int, part string, label double, score double")
+    found = ranking.grouped_average_precision(scored, ["setting", "part"]).collect()
+    assert len(found) == 7
+    for row in found:
+        own = scored.where((F.col("setting") == row["setting"]) & (F.col("part") == row["part"]))
+        one = ranking.ranking_metrics(own).first()
+        assert row["pr_auc"] == pytest.approx(one["pr_auc"]) and row["positives"] == one["positives"] and row["entries"] == own.count()
+    assert ranking.grouped_average_precision(scored.limit(0), ["setting"]).count() == 0
+    with pytest.raises(Exception, match="must be 0 or 1"):
+        ranking.grouped_average_precision(scored.withColumn("label", F.lit(2.0)), ["setting"]).collect()
+
+
+def test_search_scores_equal_single_evaluations(training):
+    space = {"n_estimators": [3], "max_depth": [2, 4], "min_samples_leaf": [1], "max_features": ["sqrt"], "class_weight": [None]}
+    tuned = tuning.search_forest(training, iterations=2, folds=2, space=space)
+    train, _ = models.split_training_data(training)
+    folded = tuning.stratified_folds(train, models.LABEL, ID_COLUMN, 2, models.SEED)
+    fit_part, held_out = folded.where("fold <> 0"), folded.where("fold = 0")
+    preprocessor = tuning.build_preprocessor(fit_part.select(FEATURE_COLUMNS)).fit(fit_part)
+    prepared = models.prepared_rows(preprocessor, fit_part, fit_part.count())
+    evaluator = tuning.AveragePrecisionEvaluator()
+    for row in tuned.cv_results.collect():
+        model = tuning.forest_for(tuning.sample_settings(2, space=space)[row["setting"]]).fit(prepared)
+        assert row["split0_train_score"] == pytest.approx(evaluator.evaluate(model.transform(prepared)))
+        assert row["split0_test_score"] == pytest.approx(evaluator.evaluate(model.transform(preprocessor.transform(held_out))))
+
+
+def test_forest_rows_are_bounded_in_class_shares(training):
+    train, _ = models.split_training_data(training)
+    rows, ones = train.count(), train.agg(F.sum("label")).first()[0]
+    fewer = models.bounded_training_rows(train, 40)
+    assert fewer.count() == 40 and fewer.columns == train.columns
+    assert fewer.agg(F.sum("label")).first()[0] == pytest.approx(40 * ones / rows, abs=1)
+    assert sorted(map(str, fewer.collect())) == sorted(map(str, models.bounded_training_rows(train, 40).collect()))
+    assert models.bounded_training_rows(train, None) is train and models.bounded_training_rows(train, rows).count() == rows
+    tuned = tuning.search_forest(training, iterations=1, folds=2, space={"n_estimators": [3], "max_depth": [2], "min_samples_leaf": [1], "max_features": ["sqrt"], "class_weight": ["balanced"]}, forest_rows=60)
+    sizes = models.forest_sizes(tuned.model.stages[-1]).collect()
+    assert len(sizes) == 3 and all(row["depth"] <= 2 and row["nodes"] <= 7 and row["nodes"] % 2 for row in sizes)
+
+
+def test_small_frames_use_few_tasks(spark):
+    assert models.in_tasks_of_size(spark.range(0, 5000, 1, 8), 5000).select(F.spark_partition_id()).distinct().count() == 3
+    assert models.in_tasks_of_size(spark.range(0, 5000, 1, 2), 10**6).select(F.spark_partition_id()).distinct().count() == 2
+
+
+def test_metrics_by_ranks_equal_the_scalable_ones(spark):
+    rows = [(float(n % 5 < 2), int(n % 3 == 0), (n * 29 % 13) / 13) for n in range(200)]
+    scored = spark.createDataFrame(rows, "label double, prediction int, churn_probability double")
+    other = ranking.evaluate(scored, "label").first().asDict()
+    again = ranking.metrics_by_ranks(scored, "label").first().asDict()
+    assert (again["test_rows"], again["test_ones"]) == (200, 80)
+    assert all(again[name] == pytest.approx(other[name]) for name in ranking.METRICS)
+
+
 def test_settings_are_seeded_and_distinct():
     first = tuning.sample_settings(20, 42)
     assert first == tuning.sample_settings(20, 42) and first != tuning.sample_settings(20, 1)

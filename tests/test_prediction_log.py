@@ -1,10 +1,12 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ebbline.operators import prediction_log
 from ebbline.streaming import read_totals, run_available, stream_prediction_metrics
+from ebbline.streaming.prediction_metrics import complete_batches, retire_batches
 
 SCHEMA = (
     "request_id string, status string, latency_ms double, churn_probability double, prediction int,"
@@ -109,6 +111,32 @@ def test_stream_equals_batch_and_goes_on_after_a_stop(spark, tmp_path):
     assert sum(row["total_requests"] for row in totals) == 26
 
 
+def test_a_long_stream_leaves_two_folders(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "totals")
+    rows = log(spark, ok("a", 0.5))
+
+    def write(batch):
+        rows.repartition(1).write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+    for batch in range(50):
+        write(batch)
+        retire_batches(spark, target, batch)
+    assert complete_batches(spark, target) == [48, 49]
+    # A crash between write and removal: nothing is lost, and the next batch removes what was left.
+    write(50)
+    assert complete_batches(spark, target) == [48, 49, 50] and read_totals(spark, target).count() == 1
+    write(50)
+    retire_batches(spark, target, 50)
+    retire_batches(spark, target, 50)
+    assert complete_batches(spark, target) == [49, 50]
+    # A write that was cut off has no mark: readers do not see it and it does not retire anything.
+    (tmp_path / "totals" / "batch=51").mkdir()
+    retire_batches(spark, target, 51)
+    assert complete_batches(spark, target) == [49, 50] and read_totals(spark, target).count() == 1
+    with pytest.raises(ValueError, match="no complete totals"):
+        read_totals(spark, str(tmp_path / "nowhere"))
+
+
 def test_log_lines_keep_microseconds(spark):
     row = ("a", "success", 1.0, 0.5, 1, None, dt.datetime(2024, 1, 1, 12, 0, 0, 123456), "churn", "1")
     lines = prediction_log.to_log_lines(log(spark, row))
