@@ -187,13 +187,21 @@ def component_of_fingerprints(rows: DataFrame, bits: int = BITS) -> DataFrame:
 def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """The documents with the smallest id of each component, in the columns of ``docs``.
 
-    An id names one document: of rows that repeat it one stays.  Rows without an id stay only where their component
-    has no id at all, one of each such component.
+    Of rows that repeat an id, one of each component that the id stands for stays, whatever texts the id names.  Rows
+    without an id stay only where their component has no id at all, one of each such component.
     """
     rows = stored(docs.select(F.col("doc_id"), fingerprint(F.col("text"), words).alias("fp")), "fingerprints")
     classes = component_of_fingerprints(rows, bits)
     first = classes.where("component_id IS NOT NULL").select(F.col("component_id").alias("kept_id")).distinct()
-    named = docs.join(first, docs["doc_id"] == first["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    counts = rows.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("again_id")).count()
+    again = stored(counts.where("count > 1").select("again_id"), "repeated")
+    kept = docs.join(first, docs["doc_id"] == first["kept_id"], "left_semi")
+    single = kept.join(again, kept["doc_id"] == again["again_id"], "left_anti")
+    # An id on several rows: each row counts for the component of its own text.
+    several = kept.join(again, kept["doc_id"] == again["again_id"], "left_semi")
+    several = row_struct(several, F.col("doc_id").alias("own_id"), fingerprint(F.col("text"), words).alias("fp"))
+    own = several.join(classes, "fp").where("component_id = own_id").dropDuplicates(["own_id", "fp_root"])
+    named = single.unionByName(own.select("row.*"))
     bare = row_struct(docs.where("doc_id IS NULL"), fingerprint(F.col("text"), words).alias("fp"))
     alone = bare.join(classes.where("component_id IS NULL"), "fp").dropDuplicates(["fp_root"]).select("row.*")
     return named.unionByName(alone)

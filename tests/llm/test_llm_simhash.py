@@ -96,3 +96,19 @@ def test_one_document_of_each_component_stays(spark):
     rows = kept.collect()
     assert sorted(row.doc_id for row in rows if row.doc_id is not None) == sorted(named)
     assert [row.text for row in rows if row.doc_id is None] == ["alone without an id but with several words"]
+
+
+@pytest.mark.parametrize(
+    "rows, want",
+    [
+        ([(1, "a"), (1, "b"), (2, "b")], [(1, "a"), (1, "b")]),
+        ([(1, "b"), (2, "b"), (2, "a")], [(1, "b"), (2, "a")]),
+        ([(1, "a"), (1, "a"), (3, "a")], [(1, "a")]),
+        ([(4, "a"), (4, "b"), (4, "b"), (5, "c")], [(4, "a"), (4, "b"), (5, "c")]),
+    ],
+)
+def test_ids_that_stand_on_several_texts_lose_none(spark, rows, want):
+    texts = {"a": "one two three four five six seven", "b": "another text of quite different words here", "c": "third of them which is no copy"}
+    kept = simhash.one_of_each(odd_documents(spark, [(doc_id, texts[name]) for doc_id, name in rows]))
+    names = {text: name for name, text in texts.items()}
+    assert sorted((row.doc_id, names[row.text]) for row in kept.collect()) == want
