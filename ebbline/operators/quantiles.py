@@ -4,12 +4,15 @@ Three passes, none of which shuffles rows: a sketch for split points; a count pe
 few buckets that hold a wanted rank, a count per value.  Only split points, bucket counts and the wanted values
 reach the driver, and their number depends on columns, buckets and ranks, not on rows.  The sketch decides how
 evenly work is spread, never the result.  A value held by a third of all rows is combined before it is
-exchanged.
+exchanged.  A hit bucket with more rows than ``MOST_SORTED`` is split again in the same way, with a bucket of its own
+for every value that is a split point, so that no task sorts more values than that; each such level costs the same
+three passes, for all columns together, and shrinks the hit buckets some hundred times.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from bisect import bisect_right
 from itertools import accumulate
 
@@ -22,12 +25,13 @@ from ebbline.functions.values import as_double
 
 DEFAULT_BUCKETS = 512
 SKETCH_GROUPS = 128
+MOST_SORTED = 1_000_000  # rows of one bucket whose distinct values are sorted in one task
 
 
 def clean_double(column: str) -> Column:
-    """The column as a number; null for text that is no number and for NaN."""
+    """The column as a number, with one zero; null for text that is no number and for NaN."""
     value = as_double(F.col(f"`{column}`"))
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value), value + F.lit(0.0))
 
 
 def split_points(df: DataFrame, columns: list[str], buckets: int = DEFAULT_BUCKETS) -> dict[str, list[float]]:
@@ -84,13 +88,25 @@ def count_buckets(bucketed: DataFrame, outputs: dict[str, str]) -> DataFrame:
 class ValueHistogram:
     """Bucket counts of numeric columns, from which exact order statistics are looked up.
 
-    The frame is read once per pass, so pass a stored table rather than a long plan.
+    The frame is read once per pass, so pass a stored table rather than a long plan.  With ``own_buckets`` every split
+    point has a bucket that holds no other value.
     """
 
-    def __init__(self, df: DataFrame, columns: list[str], buckets: int = DEFAULT_BUCKETS) -> None:
+    def __init__(
+        self,
+        df: DataFrame,
+        columns: list[str],
+        buckets: int = DEFAULT_BUCKETS,
+        most_sorted: int = MOST_SORTED,
+        own_buckets: bool = False,
+    ) -> None:
+        self._buckets, self._most_sorted = buckets, most_sorted
         self.columns = list(columns)
         self._values = df.select([clean_double(column).alias(column) for column in self.columns])
         splits = split_points(self._values, self.columns, buckets)
+        if own_buckets:
+            splits = {column: _with_own_buckets(points) for column, points in splits.items()}
+        self._splits = splits
         self._filled = [column for column in self.columns if splits[column]]
         self._counts: dict[str, dict[int, int]] = {column: {} for column in self.columns}
         if not self._filled:
@@ -162,12 +178,15 @@ class ValueHistogram:
                 at = bisect_right(upto, rank)
                 before = upto[at - 1] if at else 0
                 targets.append((column, buckets[at], rank, rank - before, before))
+        crowded = sorted({target[:2] for target in targets if self._is_crowded(*target[:2])})
+        found = self._split_again(crowded, [target for target in targets if target[:2] in crowded])
+        targets = [target for target in targets if target[:2] not in crowded]
         if not targets:
-            return {}
+            return found
         spark = self._values.sparkSession
         target_rows = spark.createDataFrame(targets, "feature string, bucket int, rank long, place long, before long")
         entries = []
-        for column in ranks:
+        for column in sorted({target[0] for target in targets}):
             bucket = F.col(f"`{self._bucket_of[column]}`").cast("int")
             hit = bucket.isin(sorted({at for feature, at, *_ in targets if feature == column}))
             entry = F.struct(
@@ -185,13 +204,51 @@ class ValueHistogram:
         matched = spans.join(F.broadcast(target_rows), ["feature", "bucket"]).where(
             "place < upto AND place >= upto - copies"
         )
-        return {
+        return found | {
             (row["feature"], row["rank"]): (row["value"], row["before"] + row["upto"]) for row in matched.collect()
         }
 
+    def _is_crowded(self, column: str, bucket: int) -> bool:
+        """Whether a bucket has too many rows and could hold more than one value."""
+        low, high = self._splits[column][bucket : bucket + 2]
+        return self._counts[column][bucket] > self._most_sorted and math.nextafter(low, math.inf) < high
+
+    def _split_again(self, crowded: list[tuple[str, int]], targets: list[tuple]) -> dict[tuple[str, int], tuple]:
+        """Values and counts for the targets, found in a histogram with a column per crowded bucket."""
+        if not crowded:
+            return {}
+        names = {hit: f"part {at}" for at, hit in enumerate(crowded)}
+        parts = [
+            F.when(F.col(f"`{self._bucket_of[column]}`") == bucket, F.col(f"`{column}`")).alias(name)
+            for (column, bucket), name in names.items()
+        ]
+        inner = ValueHistogram(
+            self._bucketed.select(parts), list(names.values()), self._buckets, self._most_sorted, own_buckets=True
+        )
+        places: dict[str, list[int]] = {}
+        for column, bucket, _, place, _ in targets:
+            places.setdefault(names[column, bucket], []).append(place)
+        found = inner._order_statistics(places)
+        return {
+            (column, rank): (value, before + upto)
+            for column, bucket, rank, place, before in targets
+            for value, upto in [found[names[column, bucket], place]]
+        }
+
+
+def _with_own_buckets(points: list[float]) -> list[float]:
+    """Split points, each of them followed by the next larger number, and the ends of the finite numbers."""
+    inner = {bound for point in points[1:-1] for bound in (point, math.nextafter(point, math.inf))}
+    inner |= {-sys.float_info.max, sys.float_info.max}
+    return [points[0], *sorted(bound for bound in inner if math.isfinite(bound)), points[-1]] if points else []
+
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], buckets: int = DEFAULT_BUCKETS
+    df: DataFrame,
+    columns: list[str],
+    probabilities: list[float],
+    buckets: int = DEFAULT_BUCKETS,
+    most_sorted: int = MOST_SORTED,
 ) -> dict[str, list[float | None]]:
-    histogram = ValueHistogram(df, columns, buckets)
+    histogram = ValueHistogram(df, columns, buckets, most_sorted)
     return histogram.quantiles({column: probabilities for column in columns})

@@ -1,21 +1,25 @@
 """Reproducible stratified split and folds.
 
 Rows of a class are ordered by ``md5(seed:id)``.  A split needs only the key at a few ranks of that order, so
-no class is ever sorted: counts per hash prefix find the prefix that holds each wanted rank, the rows of that
-prefix alone are ranked, and every row is then compared with the cut keys in a narrow projection.
+no class is ever sorted: counts per hash prefix find the prefix that holds each wanted rank; as long as that
+prefix holds many rows, it is counted again by more digits; the few ids that are left are ranked, and every row is
+then compared with the cut keys in a narrow projection.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_left
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PREFIX_DIGITS = 3  # 4,096 prefixes: the counts that reach the driver are bounded by twice that
+PREFIX_DIGITS = 3  # 4,096 prefixes: the counts that reach the driver are bounded by twice that, or that for each cut
+HASH_DIGITS = 32
+MOST_RANKED = 100_000  # rows of one prefix that are ranked at once
 CLASSES = (0, 1)
 
 
@@ -32,11 +36,39 @@ def _checked_label(label_column: str) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class PrefixGroup:
+    """The rows of a class whose hash starts with a prefix, and the wanted places among them with their ranks."""
+
+    label: int
+    prefix: str
+    rows: int
+    places: dict[int, int]
+
+
+def _narrowed(label: int, counts: dict[str, int], places: dict[int, int]) -> list[PrefixGroup]:
+    """The prefixes that hold the wanted places, counted from 1, with the places inside them."""
+    prefixes = sorted(counts)
+    upto = list(accumulate(counts[prefix] for prefix in prefixes))
+    inside: dict[int, dict[int, int]] = {}
+    for place, rank in places.items():
+        at = bisect_left(upto, place)
+        inside.setdefault(at, {})[place - (upto[at - 1] if at else 0)] = rank
+    return [PrefixGroup(label, prefixes[at], counts[prefixes[at]], found) for at, found in inside.items()]
+
+
 class HashOrder:
-    """Class sizes and cut keys of the hash order of a frame."""
+    """Class sizes and cut keys of the hash order of a frame.
+
+    No task ranks more than ``most_ranked`` ids.  Rows that repeat an id are one row with a count there, and they lie
+    on the same side of every cut.
+    """
 
-    def __init__(self, df: DataFrame, label_column: str, id_column: str, seed: int) -> None:
+    def __init__(
+        self, df: DataFrame, label_column: str, id_column: str, seed: int, most_ranked: int = MOST_RANKED
+    ) -> None:
         self.id_column, self.label_column, self.seed = id_column, label_column, seed
+        self._most_ranked = most_ranked
         key = hash_key(id_column, seed)
         self._rows = df.select(
             _checked_label(label_column).alias("label"),
@@ -71,32 +103,51 @@ class HashOrder:
         return hashed.withColumn(name, passed).drop("hash of the id")
 
     def _cut_keys(self, cuts: dict[int, list[int]]) -> dict[tuple[int, int], tuple]:
+        """The hash and id at each rank that lies inside its class."""
         sizes = self.class_sizes()
-        places: dict[tuple[int, str], dict[int, int]] = {}
+        groups: list[PrefixGroup] = []
         for label, ranks in cuts.items():
-            prefixes = sorted(self._counts[label])
-            upto = list(accumulate(self._counts[label][prefix] for prefix in prefixes))
-            for rank in ranks:
-                if 0 < rank < sizes[label]:
-                    at = bisect_left(upto, rank)
-                    before = upto[at - 1] if at else 0
-                    places.setdefault((label, prefixes[at]), {})[rank - before] = rank
-        if not places:
+            inside = {rank: rank for rank in ranks if 0 < rank < sizes[label]}
+            groups += _narrowed(label, self._counts[label], inside)
+        done: list[PrefixGroup] = []
+        for digits in range(2 * PREFIX_DIGITS, HASH_DIGITS + PREFIX_DIGITS, PREFIX_DIGITS):
+            done += [group for group in groups if group.rows <= self._most_ranked]
+            crowded = [group for group in groups if group.rows > self._most_ranked]
+            if not crowded:
+                groups = []
+                break
+            groups = self._split(crowded, digits)
+        return self._ranked(done + groups)
+
+    def _numbered(self, groups: list[PrefixGroup]) -> DataFrame:
+        """The rows of the groups, with the number of their group."""
+        number = F.lit(None).cast("int")
+        for at, group in enumerate(groups):
+            belongs = (F.col("label") == group.label) & F.col("hash").startswith(group.prefix)
+            number = F.when(belongs, at).otherwise(number)
+        return self._rows.withColumn("group", number).where("group IS NOT NULL")
+
+    def _split(self, groups: list[PrefixGroup], digits: int) -> list[PrefixGroup]:
+        """The parts of the groups, by more digits, that hold a wanted place."""
+        counts: list[dict[str, int]] = [{} for _ in groups]
+        longer = F.substring("hash", 1, digits).alias("longer")
+        for row in self._numbered(groups).groupBy("group", longer).agg(F.count(F.lit(1)).alias("rows")).collect():
+            counts[row["group"]][row["longer"]] = row["rows"]
+        return [
+            part for group, counted in zip(groups, counts) for part in _narrowed(group.label, counted, group.places)
+        ]
+
+    def _ranked(self, groups: list[PrefixGroup]) -> dict[tuple[int, int], tuple]:
+        if not groups:
             return {}
-        is_wanted = F.lit(False)
-        for (label, prefix), inside in places.items():
-            is_wanted = is_wanted | (
-                (F.col("label") == label) & (F.col("prefix") == prefix) & F.col("place").isin(list(inside))
-            )
-        in_prefix = F.lit(False)
-        for label, prefix in places:
-            in_prefix = in_prefix | ((F.col("label") == label) & (F.col("prefix") == prefix))
-        place = F.row_number().over(W.partitionBy("label", "prefix").orderBy("hash", "id"))
-        hits = self._rows.where(in_prefix).withColumn("place", place).where(is_wanted)
-        return {
-            (row["label"], places[row["label"], row["prefix"]][row["place"]]): (row["hash"], row["id"])
-            for row in hits.collect()
-        }
+        spark = self._rows.sparkSession
+        places = [(at, place, rank) for at, group in enumerate(groups) for place, rank in group.places.items()]
+        wanted = spark.createDataFrame(places, "group int, place long, rank long")  # a row per cut
+        copies = self._numbered(groups).groupBy("group", "label", "hash", "id").agg(F.count(F.lit(1)).alias("copies"))
+        upto = F.sum("copies").over(W.partitionBy("group").orderBy("hash", "id"))
+        hits = copies.withColumn("upto", upto).join(F.broadcast(wanted), "group")
+        found = hits.where("place <= upto AND place > upto - copies").collect()
+        return {(row["label"], row["rank"]): (row["hash"], row["id"]) for row in found}
 
 
 def split_sizes(class_sizes: dict[int, int], test_size: float) -> dict[int, int]:
@@ -119,9 +170,10 @@ def stratified_split(
     id_column: str,
     test_size: float = 0.2,
     seed: int = 42,
+    most_ranked: int = MOST_RANKED,
 ) -> DataFrame:
     """Add ``is_test``.  The same seed gives the same rows; class shares are kept."""
-    order = HashOrder(df, label_column, id_column, seed)
+    order = HashOrder(df, label_column, id_column, seed, most_ranked)
     cuts = {label: [size] for label, size in split_sizes(order.class_sizes(), test_size).items()}
     return order.with_cuts_passed(df, cuts, "is_test").withColumn("is_test", F.col("is_test") == 0)
 
@@ -132,9 +184,10 @@ def stratified_folds(
     id_column: str,
     folds: int = 3,
     seed: int = 42,
+    most_ranked: int = MOST_RANKED,
 ) -> DataFrame:
     """Add ``fold``, 0 to ``folds - 1``: equal consecutive parts of each class's hash order."""
-    order = HashOrder(df, label_column, id_column, seed)
+    order = HashOrder(df, label_column, id_column, seed, most_ranked)
     cuts = {}
     for label, size in order.class_sizes().items():
         sizes = [size // folds + (fold < size % folds) for fold in range(folds)]

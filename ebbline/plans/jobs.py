@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbline.columns import FEATURE_COLUMNS, ID_COLUMN, NUMERIC_FEATURES
 from ebbline.functions.values import STRICT
+from ebbline.operators.artifacts import Identity, load_artifact, save_artifact
 from ebbline.operators.clean import clean_events, clean_orders, clean_users
 from ebbline.operators.drift import drift_report
 from ebbline.operators.features import build_customer_features
@@ -53,6 +54,8 @@ from ebbline.sources import (
     write_tables,
 )
 
+THRESHOLD = 0.5  # fixed value
+
 
 @dataclass(frozen=True)
 class Names:
@@ -119,8 +122,10 @@ def gold_job(
 def training_job(spark: SparkSession, names: Names, model_path: str, **options) -> DataFrame:
     """Train the candidates, store each pipeline and add their runs to the run table."""
     trained = train_models(spark.table(names.table(names.gold)), **options)
+    run_ids = {row["run_name"]: row["run_id"] for row in trained.runs.select("run_name", "run_id").collect()}
+    threshold = options.get("threshold", THRESHOLD)
     for name, model in trained.models.items():
-        model.write().overwrite().save(f"{model_path}/{name}")
+        save_artifact(spark, model, f"{model_path}/{name}", Identity(name, run_ids[name], threshold))
     _record(trained.runs, names, model_path)
     return trained.runs
 
@@ -128,7 +133,8 @@ def training_job(spark: SparkSession, names: Names, model_path: str, **options)
 def tuning_job(spark: SparkSession, names: Names, model_path: str, **options) -> DataFrame:
     """Search forest settings, store the best pipeline, its run and the ranked settings."""
     tuned = search_forest(spark.table(names.table(names.gold)), **options)
-    tuned.model.write().overwrite().save(f"{model_path}/random_forest_tuned")
+    identity = Identity(TUNED, tuned.runs.first()["run_id"], options.get("threshold", THRESHOLD))
+    save_artifact(spark, tuned.model, f"{model_path}/{TUNED}", identity)
     write_report_csv(tuned.cv_results, f"{model_path}/cv_results")
     _record(tuned.runs, names, model_path)
     return tuned.cv_results
@@ -178,11 +184,16 @@ def selection_job(spark: SparkSession, names: Names, report_path: str, metric: s
     return stored
 
 
-def load_selected_model(spark: SparkSession, names: Names) -> PipelineModel:
-    """The stored pipeline of the run the latest selection chose."""
+def load_selected_artifact(spark: SparkSession, names: Names) -> tuple[PipelineModel, Identity]:
+    """The stored pipeline of the run the latest selection chose, and its identity; fails if a later run has been
+    stored in its place."""
     run_id = get_selected_run_id(read_records(spark, names, names.runs))
     artifact = get_logged_model(read_records(spark, names, names.artifacts), run_id)
-    return PipelineModel.load(artifact.first()["model_id"])
+    return load_artifact(spark, artifact.first()["model_id"], run_id)
+
+
+def load_selected_model(spark: SparkSession, names: Names) -> PipelineModel:
+    return load_selected_artifact(spark, names)[0]
 
 
 def scoring_job(
@@ -193,12 +204,11 @@ def scoring_job(
     Rows with negative measures are set aside with their reasons; the others are scored and checked.  Scored and
     refused rows are tables, and each row adds a line to the prediction log.  Returns the written row counts.
     """
-    run_id = get_selected_run_id(read_records(spark, names, names.runs))
-    model = load_selected_model(spark, names)
-    info = {"model_name": model_name, "model_version": run_id}
+    model, identity = load_selected_artifact(spark, names)
+    info = {"model_name": model_name, "model_version": identity.run_id}
     accepted, refused = split_scoring_rows(spark.table(names.table(names.gold)))
     written = {
-        names.table(names.scored): score(model, accepted, model_info=info),
+        names.table(names.scored): score(model, accepted, threshold=identity.threshold, model_info=info),
         names.table(names.refused): refused.select(ID_COLUMN, "reasons"),
     }
     counts = write_tables(spark, written, fmt)
@@ -223,25 +233,37 @@ def validation_job(
     model_path: str,
     sample_size: int = SAMPLE_SIZE,
     report_path: str | None = None,
+    identity: Identity = Identity("unnamed", "unrecorded"),
 ) -> tuple[DataFrame, DataFrame]:
     """Store and reload a pipeline, score the same sample with both, and require equal classes.
 
-    Returns the scored sample and its summary, and writes both when given a report folder.
+    Returns the scored sample and its summary, and writes both when given a report folder.  The summary names the
+    model as the stored identity does.
     """
-    fitted.write().overwrite().save(model_path)
-    loaded = PipelineModel.load(model_path)
+    spark = gold.sparkSession
+    save_artifact(spark, fitted, model_path, identity)
+    loaded, known = load_artifact(spark, model_path, identity.run_id)
     # Everything below reads the sample, which is at most ``sample_size`` rows: it is looked up once.
     sample = top_sample(gold.select(ID_COLUMN, *FEATURE_COLUMNS), ID_COLUMN, sample_size)
-    sample = gold.sparkSession.createDataFrame(sample.collect(), sample.schema)
+    sample = spark.createDataFrame(sample.collect(), sample.schema)
     keep = (ID_COLUMN, "sample_row")
-    first, second = score(fitted, sample, keep), score(loaded, sample, keep)
+    first = score(fitted, sample, keep, identity.threshold)
+    second = score(loaded, sample, keep, known.threshold)
     if first.isEmpty():
         raise ValueError("the gold table has no rows")
     validate_predictions(first)
     agreed = agreement(first, second).first()
     if agreed["prediction_agreement"] != 1.0 or agreed["unmatched_rows"] or agreed["repeated_ids"]:
         raise ValueError("the fitted and the loaded pipeline disagree")
-    summary = score_summary(first).withColumn("prediction_agreement", F.lit(agreed["prediction_agreement"]))
+    summary = score_summary(first).withColumns(
+        {
+            "prediction_agreement": F.lit(agreed["prediction_agreement"]),
+            "model_name": F.lit(known.model_name),
+            "model_version": F.lit(known.run_id),
+            "model_uri": F.lit(model_path),
+            "threshold": F.lit(known.threshold),
+        }
+    )
     rows = first.orderBy("sample_row")
     if report_path:
         write_report_csv(

@@ -463,6 +463,11 @@ ORACLES: dict[str, str] = {
     "validated_sample_check": _query(
         GOLD, "SELECT least(100, count(*)) AS sample_size, CAST(1 AS DOUBLE) AS prediction_agreement FROM gold"
     ),
+    "validated_model_identity": _query(
+        GOLD,
+        "SELECT 'logistic_regression' AS model_name, true AS is_recorded_run, CAST(0.5 AS DOUBLE) AS threshold,"
+        " least(100, count(*)) AS sample_size FROM gold",
+    ),
     "logistic_optimality": _query(
         GOLD,
         "SELECT count(*) AS train_rows, CAST(sum(churn) AS BIGINT) AS positives, CAST(0 AS DOUBLE) AS largest_mean_gradient"

@@ -14,6 +14,7 @@ from ebbline.columns import FEATURE_COLUMNS, NUMERIC_FEATURES, STRING_FEATURES
 from ebbline.functions.values import PERMISSIVE
 from ebbline.operators import clean, drift, features, missing, models, prediction_log, profile, quality
 from ebbline.operators import preprocess, ranking, runs, scoring, splits, tuning
+from ebbline.operators.artifacts import Identity
 from ebbline.plans import driver_tables as given
 from ebbline.plans import jobs
 from ebbline.sources import list_tables, load_raw_data, read_snapshot, scratch_path
@@ -333,11 +334,29 @@ def batch_scores_check(spark, sf_dir):
     )
 
 
+def _validated(spark, sf_dir):
+    """The summary of a validated model, and the run id that its training recorded."""
+    table, name = gold_table(spark, sf_dir), "logistic_regression"
+    trained = models.train_models(table, only=[name])
+    run_id = trained.runs.first()["run_id"]
+    identity = Identity(name, run_id)
+    _, summary = jobs.validation_job(table, trained.models[name], scratch_path(spark, "model"), identity=identity)
+    return summary, run_id
+
+
 def validated_sample(spark, sf_dir):
-    table = gold_table(spark, sf_dir)
-    trained = models.train_models(table, only=["logistic_regression"])
-    model = trained.models["logistic_regression"]
-    return jobs.validation_job(table, model, scratch_path(spark, "model"))[1]
+    return _validated(spark, sf_dir)[0]
+
+
+def validated_model_identity(spark, sf_dir):
+    """What the summary says of the model, read back from beside the stored pipeline."""
+    summary, run_id = _validated(spark, sf_dir)
+    return summary.select(
+        "model_name",
+        (F.col("model_version") == run_id).alias("is_recorded_run"),
+        "threshold",
+        "sample_size",
+    )
 
 
 def validated_sample_check(spark, sf_dir):
@@ -602,6 +621,7 @@ QUERIES: dict[str, Query] = {
             batch_scores_check,
             validated_sample,
             validated_sample_check,
+            validated_model_identity,
             logistic_optimality,
             scoring_outcomes,
             tuning_results,

@@ -127,3 +127,26 @@ def test_approximate_edges_are_near_the_exact_ones(spark):
     exact = {row["feature"]: row["psi"] for row in drift.psi_table(reference, current).collect()}
     near = {row["feature"]: row["psi"] for row in drift.psi_table(reference, current, approximate=True).collect()}
     assert near["a"] == pytest.approx(exact["a"], rel=0.1) and near["one"] in (None, 0.0)
+
+
+@pytest.mark.parametrize("most_sorted", [1, 20])
+def test_crowded_buckets_are_split_again(spark, most_sorted):
+    rng = random.Random(11)
+    columns = {
+        "spread": [rng.gauss(0, 1) for _ in range(3000)],
+        "hot": [7.0] * 2000 + [7.0 + rng.random() / 1000 for _ in range(900)] + [None] * 100,
+        "same": [3.0] * 3000,
+        "ends": [-math.inf, math.inf, -0.0, 0.0] * 500 + [float(n) for n in range(1000)],
+    }
+    schema = ", ".join(f"{name} double" for name in columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), schema).repartition(4).cache()
+    steps = [0.0, 0.01, 0.25, 0.5, 0.7, 0.9, 1.0]
+    found = ValueHistogram(df, list(columns), 4, most_sorted).ranked({name: steps for name in columns})
+    plain = ValueHistogram(df, list(columns)).ranked({name: steps for name in columns})
+    assert repr(found) == repr(plain)
+    for name in ("spread", "hot", "same"):
+        values = [value for value in columns[name] if value is not None]
+        assert [value for value, _ in found[name]] == pytest.approx(list(np.quantile(values, steps)), abs=1e-12)
+        assert [count for _, count in found[name]] == [
+            sum(x <= value for x in values) for value, _ in found[name]
+        ]

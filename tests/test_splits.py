@@ -75,3 +75,27 @@ def test_null_ids_are_refused(spark, split):
     df = spark.createDataFrame([("a", 0), (None, 0), ("b", 1)], "id string, label int")
     with pytest.raises(Exception, match="id must not be null"):
         split(df, "label", "id").collect()
+
+
+@pytest.mark.parametrize("most_ranked", [1, 7])
+def test_crowded_prefixes_are_split_by_more_digits(spark, monkeypatch, most_ranked):
+    monkeypatch.setattr(splits, "PREFIX_DIGITS", 1)
+    df = labelled(spark, 700, 150)
+    rows = splits.stratified_folds(df, "churn", "user_id", 4, most_ranked=most_ranked).collect()
+    assert sorted(rows) == sorted(splits.stratified_folds(df, "churn", "user_id", 4).collect())
+    order = splits.HashOrder(df, "churn", "user_id", 42, most_ranked)
+    ranked = []
+    monkeypatch.setattr(order, "_ranked", lambda groups: ranked.extend(groups) or {})
+    order._cut_keys({0: [100, 500], 1: [30]})
+    assert len(ranked) == 3 and all(group.rows <= most_ranked for group in ranked)
+
+
+def test_an_id_with_a_third_of_the_rows_lies_on_one_side(spark):
+    rows = [("hot", 0)] * 200 + [(f"id{n}", 0) for n in range(400)]
+    df = spark.createDataFrame(rows, "id string, label int").repartition(3)
+    at = sorted(rows, key=lambda r: hashlib.md5(f"42:{r[0]}".encode()).hexdigest())
+    for size in (0.1, 0.5, 0.9):
+        found = splits.stratified_split(df, "label", "id", size, most_ranked=5).where("is_test").collect()
+        cut = at[math.ceil(600 * size) - 1][0]
+        last = max(n for n, row in enumerate(at) if row[0] == cut)
+        assert sorted(row["id"] for row in found) == sorted(row[0] for row in at[: last + 1])
