@@ -1,16 +1,19 @@
 """HTML extraction by layout-aware rendering.
 
 ``tree_events`` reads a page as a browser's tree builder would, in short: elements that HTML closes by implication
-(paragraphs, list items, table parts, options) are closed, void elements have no content, end tags without an open
+(the head by anything that does not belong there, paragraphs, list items, table parts, options) are closed, void elements have no content, end tags without an open
 element are ignored, raw text is not read as markup, and whatever is open at the end is closed.  ``Renderer`` turns
 the elements into text: all that is visible and nothing else.  Blocks start on new lines, paragraphs, headings,
 lists and tables are set off by a blank line, list items carry a dash or their number and are indented by depth,
 preformatted text keeps its spaces, table columns are padded to the same width (cells wider than ``PAD_TO`` are not
 padded to, so that a long cell does not blow up its column).
 
-Not visible: head, script, style, template, noscript, comments, elements with ``hidden``, ``display:none`` or
-``visibility:hidden``, hidden inputs, closed details but for their summary, closed dialogs, and fallback content of
-media.  Both steps keep a stack, never recursion, so depth is not limited.
+Not visible: head, script, style, template, noscript, comments, elements with ``display:none`` or with ``hidden`` and
+no other display, what is ``visibility:hidden`` but for parts inside that are ``visibility:visible`` again, closed
+details but for their summary, closed dialogs, and fallback content of media.  Of inputs the value is shown where a
+browser writes it out (not of passwords, boxes, files, ranges, colours and hidden ones), of option groups the label.
+Alternatives of images and placeholders are not text of the page.  Cells outside a table are set apart by a space, their
+rows by lines; cells that span rows keep their column free in the rows below.  Both steps keep a stack, never recursion, so depth is not limited.
 
 Defined results: a null or empty page has empty text; repeated rows are rendered alike; broken markup is read as far
 as it goes; an empty table gives no rows; other columns are not read.
@@ -33,13 +36,13 @@ PAD_TO = 40
 
 #: A quote opens a value only directly behind "="; elsewhere it is a letter like others.  A quote never closed opens none.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?:[!?]|/(?=[^a-zA-Z]))[^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])[^\s>]++|(?=>)|\Z))?)*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|(?![\"'])([^\s>]++)))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_UNSEEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_STYLE = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
@@ -47,6 +50,10 @@ TEXT_ONLY = frozenset("textarea title".split())
 UNSEEN = frozenset(
     "head title script style template noscript iframe noembed noframes object video audio canvas datalist area base link meta".split()
 )
+#: What a head may hold; anything else ends it.
+HEAD_CONTENT = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Inputs whose value is not written out.
+UNWRITTEN_INPUTS = frozenset("hidden password checkbox radio file image range color".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SET_OFF = HEADINGS | frozenset("p ul ol dl table pre blockquote figure hr".split())
 BLOCKS = SET_OFF | frozenset(
@@ -113,16 +120,26 @@ def tree_events(page: str) -> Iterator[tuple[str, str, dict[str, str] | str | No
     """``("start", name, attributes)``, ``("end", name, None)`` and ``("text", "", text)`` of a well-formed tree."""
     tree = OpenElements()
     place, size = 0, len(page)
+    begun = False  # whether the head or the body has begun
     while place < size:
         token = _TOKEN.search(page, place)
+        upto = token.start() if token else size
+        if upto > place:
+            text = html.unescape(page[place:upto])
+            if text.strip(" \t\n\r\f"):
+                begun = True
+                if tree.names and tree.names[-1] == "head":
+                    yield from tree.end_from(len(tree.names) - 1)
+            yield "text", "", text
         if not token:
-            yield "text", "", html.unescape(page[place:])
             break
-        if token.start() > place:
-            yield "text", "", html.unescape(page[place : token.start()])
         place = token.end()
         name = (token[2] or "").lower()
         if not name:
+            if (tree.count["svg"] or tree.count["math"]) and page.startswith("<![CDATA[", upto):
+                end = page.find("]]>", upto)
+                end, place = (size, size) if end < 0 else (end, end + 3)
+                yield "text", "", page[upto + 9 : end]
             continue
         if token[1]:
             if name == "br" or name == "p" and not tree.count["p"]:
@@ -131,6 +148,12 @@ def tree_events(page: str) -> Iterator[tuple[str, str, dict[str, str] | str | No
             else:
                 yield from tree.end_tag(name)
             continue
+        if name == "head" and begun:
+            continue
+        if name != "html":
+            begun = True
+        if tree.names and tree.names[-1] == "head" and name not in HEAD_CONTENT:
+            yield from tree.end_from(len(tree.names) - 1)
         if name in CLOSES_PARAGRAPH:
             yield from tree.end_outermost(frozenset(["p"]), IN_TABLE | frozenset(["table", "button", "object"]))
         if name in HEADINGS and tree.names and tree.names[-1] in HEADINGS:
@@ -207,8 +230,9 @@ class Renderer:
         self.flow = Flow()
         self.unseen = 0
         self.pre = 0
-        #: Name, whether it hides its content, and whether it is a closed ``details`` for each open element.
-        self.open: list[tuple[str, bool, bool]] = []
+        #: For each open element: whether it hides its content, whether it is a closed ``details``, whether text in it is
+        #: visible by its style.
+        self.open: list[tuple[bool, bool, bool]] = []
         self.lists: list[int | None] = []
         self.tables: list[dict] = []
 
@@ -222,8 +246,11 @@ class Renderer:
                 self.end(name)
         return self.flow.text().strip("\n")
 
+    def _is_visible(self) -> bool:
+        return not self.open or self.open[-1][2]
+
     def write(self, text: str):
-        if self.unseen or self.open and self.open[-1][2]:
+        if self.unseen or self.open and self.open[-1][1] or not self._is_visible():
             return
         if self.tables and self.tables[-1]["cell"] is None and not text.strip():
             return
@@ -233,15 +260,18 @@ class Renderer:
             self.flow.words(text)
 
     def start(self, name: str, attributes: dict[str, str]):
+        # The last declaration of a property counts.
+        style = {key.lower(): value.lower() for key, value in _STYLE.findall(attributes.get("style", ""))}
+        display = style.get("display", "none" if "hidden" in attributes else "")
         hides = (
             name in UNSEEN
-            or "hidden" in attributes
-            or bool(_UNSEEN_STYLE.search(attributes.get("style", "")))
+            or display == "none"
             or name == "dialog" and "open" not in attributes
-            or name == "input" and attributes.get("type", "").lower() == "hidden"
-            or name != "summary" and bool(self.open) and self.open[-1][2]
+            or name != "summary" and bool(self.open) and self.open[-1][1]
         )
-        self.open.append((name, hides, name == "details" and "open" not in attributes))
+        visibility = style.get("visibility", "inherit")
+        visible = visibility not in ("hidden", "collapse") and (visibility in ("visible", "initial") or self._is_visible())
+        self.open.append((hides, name == "details" and "open" not in attributes, visible))
         self.unseen += hides
         if self.unseen:
             return
@@ -265,15 +295,21 @@ class Renderer:
         elif name == "pre":
             self.pre += 1
         elif name == "table":
-            self.tables.append({"rows": [], "row": None, "cell": None, "outer": self.flow, "lists": self.lists})
+            self.tables.append({"rows": [], "row": None, "taken": set(), "spans": {}, "cell": None, "outer": self.flow, "lists": self.lists})
             self.lists = []
         elif name == "tr" and self.tables:
-            self.tables[-1]["row"] = []
-            self.tables[-1]["rows"].append(self.tables[-1]["row"])
+            self._new_row()
+        elif name == "tr":
+            self.flow.end_line()
+        elif name in ("td", "th") and not self.tables:
+            self.flow.words(" ")
         elif name in IN_TABLE and self.tables:
             self._cell(name, attributes)
-        elif name == "input" and attributes.get("type", "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel"):
+        elif name == "input" and visible and attributes.get("type", "").lower() not in UNWRITTEN_INPUTS:
             self.flow.words(attributes.get("value", ""))
+        elif name == "optgroup" and visible:
+            self.flow.words(attributes.get("label", ""))
+            self.flow.end_line()
 
     def _item(self, attributes: dict[str, str]):
         depth = max(0, len(self.lists) - 1)
@@ -282,19 +318,30 @@ class Renderer:
             value = attributes.get("value", "")
             number = int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else self.lists[-1]
             mark, self.lists[-1] = f"{number}.", number + 1
-        self.flow.parts.append(f"{'  ' * depth}{mark} ")
+        if self._is_visible():
+            self.flow.parts.append(f"{'  ' * depth}{mark} ")
 
     def _cell(self, name: str, attributes: dict[str, str]):
         table = self.tables[-1]
         if name != "caption" and table["row"] is None:
-            table["row"] = []
-            table["rows"].append(table["row"])
-        span = attributes.get("colspan", "1")
-        table["cell"] = (name, int(span) if re.fullmatch(r"[1-9][0-9]{0,2}", span) else 1)
+            self._new_row()
+        wide, high = (
+            int(span) if re.fullmatch(r"[1-9][0-9]{0,2}", span) else 1
+            for span in (attributes.get("colspan", ""), attributes.get("rowspan", ""))
+        )
+        table["cell"] = (name, wide, high)
         self.flow = Flow()
 
+    def _new_row(self):
+        """A row in which the columns of cells from above that span it are taken."""
+        table = self.tables[-1]
+        table["row"] = []
+        table["rows"].append(table["row"])
+        table["taken"] = set(table["spans"])
+        table["spans"] = {column: left - 1 for column, left in table["spans"].items() if left > 1}
+
     def end(self, name: str):
-        _, hides, _ = self.open.pop()
+        hides, _, _ = self.open.pop()
         self.unseen -= hides
         if self.unseen or hides:
             return
@@ -318,14 +365,19 @@ class Renderer:
 
     def _end_cell(self):
         table = self.tables[-1]
-        (name, span), inner = table["cell"], self.flow.text()
+        (name, wide, high), inner = table["cell"], self.flow.text()
         table["cell"], self.flow = None, table["outer"]
         text = " ".join(inner.split("\n")).strip()
         if name == "caption":
             self.flow.words(text)
             self.flow.end_line()
         else:
-            table["row"] += [text] + [""] * (span - 1)
+            row = table["row"]
+            while len(row) in table["taken"]:
+                row.append("")
+            if high > 1:
+                table["spans"] |= dict.fromkeys(range(len(row), len(row) + wide), high - 1)
+            row += [text] + [""] * (wide - 1)
 
     def _end_table(self):
         table = self.tables.pop()

@@ -36,6 +36,23 @@ CASES = {
     "unfinished script": ("a<script>b", "a"),
     "textarea": ("<textarea><b>x</b></textarea>", "<b>x</b>"),
     "end tag of a cell's outside": ("<div><table><tr><td>a</div>b</table></div>", "ab"),
+    "head ended by body content": ("<html><head><title>t</title><p>Hello</p>", "Hello"),
+    "head ended by text": ("<head><meta charset=x><script>s</script> \n Hello <b>you</b>", "Hello you"),
+    "a later head is no head": ("<p>a<head>b</head>c", "abc"),
+    "noscript in a head": ("<head><noscript><img><p>n</noscript><title>t</title></head>a", "a"),
+    "empty comments": ("a<!-->b<!--->c", "abc"),
+    "comment ended by --!>": ("a<!--x--!>b", "ab"),
+    "CDATA is a comment up to >": ("a<![CDATA[x>b", "ab"),
+    "CDATA in SVG is text": ("a<svg><text><![CDATA[x>y]]></text></svg>b", "ax>yb"),
+    "end tag of no name": ("a</3 x>b</>c</", "abc</"),
+    "visible inside hidden": ("a<div style='visibility: hidden'>b<ul><li>l</ul><i style='Visibility:VISIBLE'>c</i>d</div>e", "a\n\nc\ne"),
+    "not shown inside display none": ("<div style='display:none'><i style='visibility:visible'>c</i></div>e", "e"),
+    "last declaration counts": ("<i style='display:none;display:inline'>a</i><i hidden style='display:block'>b</i>", "ab"),
+    "cells outside a table": ("<td>a<td>b<tr><td>c", "a b\nc"),
+    "inputs": ("<input type=number value=7> <input type=date value=2024-02-01> <input type=password value=s><input type=checkbox value=on>", "7 2024-02-01"),
+    "option groups": ("<select><optgroup label=Fruit><option>fig<option>pear</select>", "Fruit\nfig\npear"),
+    "row spans": ("<table><tr><td rowspan=2>ab<td>c<tr><td>d<tr><td>e<td>f</table>", "ab  c\n    d\ne   f"),
+    "row and column spans": ("<table><tr><td>a<td rowspan=2 colspan=2>bb<td>c<tr><td>d<td>e</table>", "a  bb    c\nd        e"),
     "empty": ("", ""),
 }
 
