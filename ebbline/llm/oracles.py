@@ -43,17 +43,31 @@ FROM ruled"""
 
 _ESCAPED = r"length({0}) + length(regexp_replace({0}, '[^\[<\\]', '', 'g'))"
 
+_ESCAPE = r"regexp_replace({}, '([\[<\\])', '\1\\', 'g')"
+
 CHAT = f"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '{HOSTILE}' UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}')
+  UNION ALL SELECT -1, 0, 'user', '{HOSTILE}' UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}'),
+formatted AS (
+  SELECT *, CASE role WHEN 'user' THEN '[INST] ' || {_ESCAPE.format("text")} || ' [/INST]'
+    WHEN 'assistant' THEN '<s>' || {_ESCAPE.format("text")} || '</s>'
+    ELSE '[ROLE] ' || {_ESCAPE.format("role")} || ' [TEXT] ' || {_ESCAPE.format("text")} || ' [/ROLE]' END AS segment
+  FROM turns),
+streams AS (
+  SELECT *, coalesce(string_agg(segment, '') OVER (PARTITION BY conv_id ORDER BY turn, role, text
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS context FROM formatted)
 SELECT conv_id, count(*) AS n_turns,
+  count(*) FILTER (WHERE role = 'assistant') AS n_examples,
+  CAST(coalesce(sum(length(context)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS context_chars,
+  sha256(coalesce(string_agg(sha256(context) || chr(10), '' ORDER BY turn, role, text, length(context))
+    FILTER (WHERE role = 'assistant'), '')) AS contexts_sha256,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum({_ESCAPED.format("text")} + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7
     ELSE 23 + {_ESCAPED.format("role")} END) AS BIGINT) AS formatted_chars
-FROM turns GROUP BY conv_id"""
+FROM streams GROUP BY conv_id"""
 
 # CRC-32 of the decimal digits: a step per digit (its code) and eight per bit (-1).
 _CRC32 = """xor(4294967295, list_reduce([4294967295] || flatten(list_transform(range(1, length(name) + 1),
