@@ -2,12 +2,15 @@
 
 Words are maximal runs of ASCII letters and digits and of any non-ASCII characters, lower-cased (A-Z).  Every
 licence template is a short notice with key phrases that must occur.  How many documents hold each template word is
-counted over the whole corpus; a template's ``ANCHORS`` words of highest inverse document frequency enter the index
-as (template, position). A file's words are looked up there: each hit says at which word the notice would start.
-Hits of one template whose starts agree within ``SLACK`` words are intersected; where at least two different anchors
-agree (one, if the template has one), the words around are compared with the template and the key phrases are
-searched, word by word.  A notice counts if all its key phrases stand there and at least ``COVERAGE`` of its words
-do.
+counted over the whole corpus; a template's words of highest inverse document frequency enter the index as (template,
+position).  A file's words are looked up there: each hit says at which word the notice would start.  Hits of one
+template whose starts agree are intersected; where enough different anchors agree, the words around are compared with
+the template and the key phrases are searched, word by word.  A notice counts if all its key phrases stand there and
+at least ``COVERAGE`` of its words do.
+
+The index finds every notice that words were taken out of.  At most ``lost`` words can be gone of one that counts, so
+``lost + AGREEING`` anchors leave ``AGREEING`` of them standing, or ``lost`` less than all where a template has fewer
+different words; and their starts differ by ``lost`` at most, to which ``SLACK`` adds room for words put in.
 
 Base labels are independent of this: every place where the words of a base phrase stand one after another.  A file's
 score is the best share of template words found in a notice that counts, at least ``BASE_SCORE`` where a base phrase
@@ -93,6 +96,19 @@ TEMPLATES = [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
         ["mozilla public license v 2 0"],
     ),
+    ("mpl-2.0", "Mozilla Public License Version 2.0", ["mozilla public license version 2 0"]),
+    ("gpl-3.0", "GNU General Public License Version 3, 29 June 2007", ["gnu general public license version 3"]),
+    ("gpl-2.0", "GNU General Public License Version 2, June 1991", ["gnu general public license version 2"]),
+    ("lgpl", "GNU Lesser General Public License Version 2.1, February 1999", ["gnu lesser general public license version"]),
+    ("agpl", "GNU Affero General Public License Version 3, 19 November 2007", ["gnu affero general public license version 3"]),
+    ("apache-2.0", "Apache License Version 2.0, January 2004", ["apache license version 2 0"]),
+    ("epl", "Eclipse Public License v 2.0", ["eclipse public license"]),
+    ("bsl-1.0", "Boost Software License Version 1.0", ["boost software license"]),
+    ("mit", "SPDX-License-Identifier: MIT", ["spdx license identifier mit"]),
+    ("apache-2.0", "SPDX-License-Identifier: Apache-2.0", ["spdx license identifier apache 2 0"]),
+    ("gpl-2.0", "SPDX-License-Identifier: GPL-2.0", ["spdx license identifier gpl 2 0"]),
+    ("gpl-3.0", "SPDX-License-Identifier: GPL-3.0", ["spdx license identifier gpl 3 0"]),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause", ["spdx license identifier bsd"]),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0", ["cc by nc"]),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0", ["cc by sa"]),
     ("cc-by-nd", "Licensed under CC BY-ND 4.0", ["cc by nd"]),
@@ -108,7 +124,7 @@ TEMPLATES = [
     ),
 ]
 
-ANCHORS = 4
+AGREEING = 4
 SLACK = 3
 COVERAGE = 0.6
 BASE_SCORE = 0.5
@@ -152,10 +168,13 @@ class Index:
         self.known = known
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         self.needed: list[int] = []
+        self.slack: list[int] = []
         for number, template in enumerate(known):
             rank = sorted(set(template.words), key=lambda word: (-math.log((documents + 1) / (held_by.get(word, 0) + 1)), word))
-            anchors = set(rank[:ANCHORS])
-            self.needed.append(min(2, len(anchors)))
+            lost = len(template.words) - math.ceil(COVERAGE * len(template.words))
+            anchors = set(rank[: lost + AGREEING])
+            self.needed.append(max(1, len(anchors) - lost))
+            self.slack.append(lost + SLACK)
             for place, word in enumerate(template.words):
                 if word in anchors:
                     self.postings.setdefault(word, []).append((number, place))
@@ -163,28 +182,41 @@ class Index:
 
     def notices(self, words: list[bytes]) -> dict[str, float]:
         """Labels of the notices in a file, with the best share of template words found."""
+        held: Counter[int] = Counter()
+        for word in self.anchors.intersection(words):
+            held.update({number for number, _ in self.postings[word]})
+        likely = {number for number, count in held.items() if count >= self.needed[number]}
+        if not likely:
+            return {}
+        joined = b" " + b" ".join(words) + b" "
+        likely = {number for number in likely if all(b" " + phrase + b" " in joined for phrase in self.known[number].phrases)}
+        postings = {
+            word: own
+            for word in self.anchors
+            if (own := [posting for posting in self.postings[word] if posting[0] in likely])
+        }
         starts: dict[int, list[tuple[int, bytes]]] = {}
-        for at, word in enumerate(words):
-            if word in self.anchors:
-                for number, place in self.postings[word]:
+        for at, word in enumerate(words) if postings else ():
+            if word in postings:
+                for number, place in postings[word]:
                     starts.setdefault(number, []).append((at - place, word))
         out: dict[str, float] = {}
         for number, hits in starts.items():
             template = self.known[number]
-            for low, high in self._agreeing(sorted(hits), self.needed[number]):
+            for low, high in self._agreeing(sorted(hits), self.needed[number], self.slack[number]):
                 share = self._share(template, words[max(0, low) : high + len(template.words)])
                 if share >= COVERAGE:
                     out[template.label] = max(share, out.get(template.label, 0.0))
         return out
 
     @staticmethod
-    def _agreeing(hits: list[tuple[int, bytes]], needed: int) -> set[tuple[int, int]]:
-        """Ranges of starts, at most ``SLACK`` wide, on which enough different anchors agree."""
+    def _agreeing(hits: list[tuple[int, bytes]], needed: int, slack: int) -> set[tuple[int, int]]:
+        """Ranges of starts, at most ``slack`` wide, on which enough different anchors agree."""
         found, left = set(), 0
         inside: Counter[bytes] = Counter()
         for start, word in hits:
             inside[word] += 1
-            while hits[left][0] < start - SLACK:
+            while hits[left][0] < start - slack:
                 gone = hits[left][1]
                 inside[gone] -= 1
                 if not inside[gone]:

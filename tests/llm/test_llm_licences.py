@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -71,3 +72,42 @@ def test_small_changes_pass_but_key_phrases_must_stand(spark):
 def test_a_base_phrase_alone_has_the_base_score(spark):
     ((labels, score),) = scan(spark, ["my cc by is not yours and the apache license is not mine"])
     assert labels == [] and score == licences.BASE_SCORE
+
+
+def is_notice(template, words):
+    """By every window of words, whether it holds the key phrases and enough of the template's words."""
+    for at in range(len(words)):
+        near = words[at : at + len(template.words)]
+        joined = b" " + b" ".join(near) + b" "
+        have, want = Counter(near), Counter(template.words)
+        share = sum(min(have[word], n) for word, n in want.items()) / len(template.words)
+        if share >= licences.COVERAGE and all(b" " + phrase + b" " in joined for phrase in template.phrases):
+            return True
+    return False
+
+
+def test_every_notice_that_words_were_taken_out_of_is_found():
+    rng = random.Random(8)
+    known = licences.templates()
+    every = {word for template in known for word in template.words}
+    index = licences.Index(known, {word: rng.randrange(1, 900) for word in sorted(every)}, 1000)
+    filler = [b"lorem", b"the", b"of", b"software", b"to", b"license", b"x"]
+    tried = Counter()
+    for template in known * 60:
+        kept = [word for word in template.words if rng.random() > 0.3]
+        around = [rng.choice(filler) for _ in range(80)]
+        words = around[:40] + kept + around[40:]
+        if is_notice(template, words):
+            tried[template.label] += 1
+            assert template.label in index.notices(words), (template.label, b" ".join(kept))
+    assert {label for label, n in tried.items() if n >= 5} >= {"mit", "bsd", "gpl", "agpl", "isc", "cc-by"}
+
+
+def test_titles_and_identifiers_are_notices(spark):
+    texts = [
+        "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright", "Mozilla Public License Version 2.0\n====",
+        "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", "Eclipse Public License - v 2.0",
+        "Boost Software License - Version 1.0 - August 17th, 2003", "// SPDX-License-Identifier: Apache-2.0\nint x;",
+    ]
+    labels = [own for own, _ in scan(spark, texts)]
+    assert labels == [["gpl-3.0"], ["mpl-2.0"], ["lgpl"], ["epl"], ["bsl-1.0"], ["apache-2.0"]]
