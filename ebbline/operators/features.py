@@ -58,25 +58,31 @@ def build_customer_features(
     events: DataFrame,
     as_of: dt.date | Column,
     treat_unknown_as_null: bool = False,
+    unique_users: bool = False,
 ) -> DataFrame:
     """Join the aggregates to every user row and derive recency in whole days up to ``as_of``.
 
+    ``unique_users`` states that user ids are neither null nor repeated.  Users are then joined by the id alone, and
+    users in a table that is bucketed by it are not exchanged: only the aggregates, a short row per active user, come
+    to them.  A user with a third of the orders or events is one such row.
+
     Pass ``F.current_date()`` for a table that moves with the calendar.  Recency stays null for users
     without orders or events: null means "never".
     """
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    # Only rows with a user can meet a user.  Both aggregates are partitioned alike, so this join needs no
-    # further exchange.
-    activity = (
-        aggregate_orders(orders.where("user_id IS NOT NULL"))
-        .join(aggregate_events(events.where("user_id IS NOT NULL"), treat_unknown_as_null), "user_id", "full")
-        .withColumn("user_hash", F.xxhash64("user_id"))
-    )
-    # The hash in the join key makes Spark exchange both sides right below this join.  Only there can
-    # adaptive execution split a partition, so a null or repeated user id that holds many user rows does
-    # not end up in one task.  The extra exchange moves one short row per active user.
-    keyed_users = users.withColumn("user_hash", F.xxhash64("user_id"))
-    joined = keyed_users.join(activity, ["user_hash", "user_id"], "left")
+    # Only rows with a user can meet a user.
+    ordered = aggregate_orders(orders.where("user_id IS NOT NULL"))
+    seen = aggregate_events(events.where("user_id IS NOT NULL"), treat_unknown_as_null)
+    if unique_users:
+        joined = users.join(ordered, "user_id", "left").join(seen, "user_id", "left")
+    else:
+        # Both aggregates are partitioned alike, so their join needs no further exchange.
+        activity = ordered.join(seen, "user_id", "full").withColumn("user_hash", F.xxhash64("user_id"))
+        # The hash in the join key makes Spark exchange both sides right below this join.  Only there can
+        # adaptive execution split a partition, so a null or repeated user id that holds many user rows does
+        # not end up in one task.  The extra exchange moves one short row per active user.
+        keyed_users = users.withColumn("user_hash", F.xxhash64("user_id"))
+        joined = keyed_users.join(activity, ["user_hash", "user_id"], "left")
 
     recency = {
         "days_since_creation": "creation_date",

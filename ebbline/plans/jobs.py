@@ -90,7 +90,9 @@ def silver_job(
 ) -> DataFrame:
     """Raw files to the three silver tables; returns the written row counts.
 
-    With ``buckets`` the tables are laid out by user, so that the gold job joins users and orders without a shuffle.
+    With ``buckets``, at least as many as ``spark.sql.shuffle.partitions``, the users are laid out by id, so that the
+    gold job does not exchange them.  Orders and events are not: a user who holds many of them would be one task there,
+    while their aggregates combine in every task before one short row per user moves.
     """
     ensure_schema(spark, names.catalog, names.schema, location)
     users, orders, events = load_raw_data(spark, users_path, orders_path, events_path, mode=mode)
@@ -99,24 +101,34 @@ def silver_job(
         names.table(names.orders): clean_orders(orders, mode),
         names.table(names.events): clean_events(events, mode),
     }
-    return write_tables(spark, silver, fmt, (buckets, ID_COLUMN) if buckets else None)
+    laid_out = {names.table(names.users): (buckets, ID_COLUMN)} if buckets else {}
+    return write_tables(spark, silver, fmt, laid_out)
 
 
 def gold_job(
     spark: SparkSession, names: Names, as_of: dt.date | Column, fmt: str = "parquet", check_ids: bool = True
 ) -> DataFrame:
     """Silver tables to the gold table.  Null or repeated user ids are refused before the join unless asked not to."""
+    gold = gold_frame(spark, names, as_of, check_ids)
+    return write_tables(spark, {names.table(names.gold): gold}, fmt)
+
+
+def gold_frame(spark: SparkSession, names: Names, as_of: dt.date | Column, check_ids: bool = True) -> DataFrame:
     users = spark.table(names.table(names.users))
     if check_ids:
         found = {row["rule"]: row["violations"] for row in training_data_rules(users).collect()}
         if found["id_not_null"] or found["id_unique"]:
             raise ValueError(f"{ID_COLUMN} of the users is not unique: {found['id_not_null']} null, {found['id_unique']} repeated")
     gold = build_customer_features(
-        users, spark.table(names.table(names.orders)), spark.table(names.table(names.events)), as_of
+        users,
+        spark.table(names.table(names.orders)),
+        spark.table(names.table(names.events)),
+        as_of,
+        unique_users=check_ids,
     )
     if direct_identifiers(gold):
         raise ValueError(f"direct identifiers in the gold table: {direct_identifiers(gold)}")
-    return write_tables(spark, {names.table(names.gold): gold}, fmt)
+    return gold
 
 
 def training_job(spark: SparkSession, names: Names, model_path: str, **options) -> DataFrame:

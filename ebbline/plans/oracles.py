@@ -311,6 +311,26 @@ CATEGORIES = {
 }
 
 
+def _dictionary() -> str:
+    """The number of each text feature's category, nulls being the most frequent one."""
+    numbered = ", ".join(
+        f"numbers_{name} AS (SELECT {name}, row_number() OVER (ORDER BY {name}) - 1 AS number, count(*) AS entries"
+        f" FROM gold WHERE {name} IS NOT NULL GROUP BY {name})"
+        for name in STRING_FEATURES
+    )
+    values = ", ".join(
+        f"{name}.number AS index_{name}, {name}.number AS one_of_{name}" for name in STRING_FEATURES
+    )
+    joins = " ".join(
+        f"LEFT JOIN numbers_{name} {name} ON {name}.{name} = coalesce(gold.{name},"
+        f" (SELECT {name} FROM numbers_{name} ORDER BY entries DESC, {name} LIMIT 1))"
+        for name in STRING_FEATURES
+    )
+    return f"""
+{numbered}
+SELECT user_id, {values} FROM gold {joins}"""
+
+
 def _one_hot() -> str:
     modes = ", ".join(
         f"(SELECT {name} FROM gold WHERE {name} IS NOT NULL GROUP BY {name} ORDER BY count(*) DESC, {name} LIMIT 1)"
@@ -596,6 +616,7 @@ ORACLES: dict[str, str] = {
     "impute_scale_stats": _query(GOLD, STATISTICS),
     "category_modes": _query(GOLD, MODES),
     "one_hot_features": f"WITH {GOLD},{_one_hot()}",
+    "one_hot_dictionary": f"WITH {GOLD},{_dictionary()}",
     "prior_baseline": _query(
         GOLD,
         "SELECT user_id, CAST(avg(churn) OVER () > 0.5 AS INT) AS prediction,"

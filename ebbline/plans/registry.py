@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ebbline.columns import FEATURE_COLUMNS, NUMERIC_FEATURES, STRING_FEATURES
 from ebbline.functions.values import PERMISSIVE
-from ebbline.operators import clean, drift, features, missing, models, prediction_log, profile, quality
+from ebbline.operators import clean, dictionary, drift, features, missing, models, prediction_log, profile, quality
 from ebbline.operators import preprocess, ranking, runs, scoring, splits, tuning
 from ebbline.operators.artifacts import Identity
 from ebbline.plans import driver_tables as given
@@ -283,6 +283,16 @@ def one_hot_features(spark, sf_dir):
     return values.select("user_id", *named)
 
 
+def one_hot_dictionary(spark, sf_dir):
+    """The text features encoded by a stored dictionary: numbers, and where the vectors hold their one."""
+    table, path = gold_table(spark, sf_dir), scratch_path(spark, "dictionary")
+    dictionary.write_dictionary(table, STRING_FEATURES, path)
+    stored = dictionary.CategoryDictionary(spark, path)
+    encoded = stored.with_vectors(stored.with_indexes(table.select("user_id", *STRING_FEATURES)))
+    ones = {f"one_of_{name}": F.array_position(vector_to_array(f"one_hot_{name}"), 1.0) - 1 for name in stored.sizes}
+    return encoded.withColumns(ones).select("user_id", *[f"index_{name}" for name in stored.sizes], *ones)
+
+
 # Models
 
 
@@ -613,6 +623,7 @@ QUERIES: dict[str, Query] = {
             impute_scale_stats,
             category_modes,
             one_hot_features,
+            one_hot_dictionary,
             prior_baseline,
             model_runs,
             logistic_scores,

@@ -77,14 +77,14 @@ def write_tables(
     spark: SparkSession,
     frames: dict[str, DataFrame],
     fmt: str = "parquet",
-    bucket_by: tuple[int, str] | None = None,
+    bucket_by: dict[str, tuple[int, str]] | None = None,
 ) -> DataFrame:
-    """Write each frame and report the row counts of the written tables.
+    """Write each frame, by the layout that ``bucket_by`` has for its table, and report the row counts of the tables.
 
     Counting the table reads file footers; counting the frame would run its plan a second time.
     """
     for table, df in frames.items():
-        write_table(df, table, fmt, bucket_by)
+        write_table(df, table, fmt, (bucket_by or {}).get(table))
     counts = [
         spark.table(table).agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         for table in frames

@@ -197,3 +197,32 @@ def test_run_frames_may_have_different_parameters(spark):
     rows = [models.run_row("a", metrics, {"x": 1}, now), models.run_row("b", metrics, {"y": None}, now)]
     frame = models.runs_frame(spark, rows)
     assert [(row["params.x"], row["params.y"]) for row in frame.collect()] == [("1", None), (None, "None")]
+
+
+def test_gold_job_does_not_exchange_bucketed_users(spark, tmp_path):
+    names = jobs.Names(schema="bucketed")
+    paths = write_raw(spark, str(tmp_path / "raw"))
+    jobs.silver_job(spark, names, *paths, buckets=8)
+    users = names.table(names.users)
+    assert "Num Buckets" in {row[0] for row in spark.sql(f"DESCRIBE EXTENDED {users}").collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        gold = jobs.gold_frame(spark, names, AS_OF)
+        plan = gold._jdf.queryExecution().executedPlan().toString()
+        rows = gold.collect()
+        other = jobs.gold_frame(spark, names, AS_OF, check_ids=False).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    scan = next(n for n, line in enumerate(lines) if "FileScan" in line and "silver_users" in line)
+    depth = lines[scan].index("FileScan")
+    above = []  # what the users pass through: the lines up the tree, each further left than the last
+    for line in reversed(lines[:scan]):
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            above.append(line)
+            depth = at
+    assert any("Join" in line for line in above) and not any("Exchange" in line for line in above), plan
+    assert sorted(map(str, rows)) == sorted(map(str, other))
+    spark.sql(f"DROP SCHEMA {names.catalog}.{names.schema} CASCADE")
