@@ -3,30 +3,35 @@
 A lower-cased text is a sequence of bytes and one end symbol.  Each symbol is coded as the path to its leaf in a
 Huffman tree of the training symbols, so that a symbol takes about four binary decisions; the probabilities of all
 symbols sum to one. For every decision six predictors, one for each context of the last 0 to 5 symbols, look up how
-often the training texts went either way, in tables addressed by a hash of context and tree node.  A counter that
-moves by 1/n at its n-th update holds just that share, whatever the order of updates; this is why its updates may be
-summed over a cluster.  The predictions, as log-odds, are combined by weights; a gate chooses the set of weights by
-the longest context seen before, how often, and the place in the word. Weights learn online: every task passes over
-its share block by block and moves the weights by an online Newton step after each; tasks merge by precision.  Last,
-an adaptive probability map corrects the result by node, context length and predicted odds from what happened in
-training.  In learning, an occurrence is left out of the counts that predict it.
-
-What is gathered: the distinct runs of six symbols of all training texts with their counts (Spark combines them in
-each task, then by a shuffle), and from these the tables.  The tables have fixed sizes (``SLOT_BITS``), about 12
-million slots of three bytes; they alone are broadcast.  Scoring evaluates each distinct run of a block once.
+often the training texts went either way, in slots addressed by a 64-bit hash of context and tree node.  A counter
+that moves by 1/n at its n-th update holds just that share, whatever the order of updates; this is why its updates
+may be summed over a cluster.  The predictions, as log-odds, are combined by weights; a gate chooses the set of
+weights by the longest context seen before, how often, and the place in the word. Weights learn online: every task
+passes over its share block by block and moves the weights by an online Newton step after each; tasks merge by
+precision.  Last, an adaptive probability map corrects the result by node, context length and predicted odds from
+what happened in training.  In learning, an occurrence is left out of the counts that predict it.
+
+What is gathered grows with the texts and is exact: a stored table of all distinct runs of six symbols with their
+counts in training (Spark combines them in each task, then by a shuffle).  The runs with the same last three symbols
+before their own are one row of it.  All runs that touch a slot of order 3 or higher stand in one such row, so these
+slots are counted where they are used and never travel; a row holds at most 257 ** 3 runs, whatever the corpus.  The
+slots of orders 0 to 2 follow from the counts of three symbols, at most 257 ** 3 of them, and are broadcast.
+
+The bits of every distinct run form another table.  Those of about ``HOT_RUNS`` most frequent runs are broadcast,
+others are looked up by a join on the runs of each text, so that no model has to fit anywhere.
 
 The base score is a unigram model with add-one smoothing over words.  Counts of the ``HOT_WORDS`` most frequent
-words are broadcast, other words are looked up by a join on the words of each text, so that no vocabulary has to fit
-anywhere.
+words are broadcast, other words are looked up by a join on the words of each text.
 
 Defined results: a null or empty text is the end alone; a null id counts as the empty text for the choice of
-held-out rows; repeated rows count again and are scored alike; without training texts every decision has even odds;
-an empty table gives no rows; other columns are not read.
+held-out rows; a very long text is a block of its own, scored whole; repeated rows count again and are scored alike;
+without training texts every decision has even odds; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,12 +44,12 @@ from pyspark.sql import functions as F
 from ebbline.llm.common import WordBlock, blocks, codes_of, collected, stored
 
 ORDERS = 6
-SLOT_BITS = (9, 17, 20, 21, 22, 22)
-OFFSETS = np.concatenate([[0], np.cumsum([1 << bits for bits in SLOT_BITS])])
-SLOTS = int(OFFSETS[-1])
+#: Orders whose slots are broadcast; runs are kept together by as many symbols before the last.
+LOW_ORDERS = 3
 SYMBOLS = 257
 END = 256
 SYMBOL_BITS = 9
+LOW_PLACES = np.cumsum([0] + [1 << SYMBOL_BITS * order for order in range(LOW_ORDERS)])
 SPACES = (0x20, 0x0A, END)
 GATES = ORDERS * ORDERS * 4
 ODDS_STEPS = 33
@@ -53,12 +58,13 @@ PRIOR = 0.4
 MAP_PRIOR = 30.0
 ROUNDS = 2
 HOT_WORDS = 200_000
+HOT_RUNS = 1_000_000
 TEXT_BYTES = 5 << 20
 #: Distinct runs a task holds before it passes them on.
 HELD_RUNS = 3_000_000
+#: Runs that are evaluated at once, besides the rest of the last row.
+SLICE_RUNS = 30_000
 MODULUS, HELD_OUT = 7, 2
-_MOST = 32_767
-FETCHES = 6
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -85,8 +91,9 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return runs[real], sizes
 
 
-def count_runs(texts: DataFrame) -> DataFrame:
-    """``run`` and ``n`` of all distinct runs of the lower-cased column ``text``."""
+def count_runs(rows: DataFrame) -> DataFrame:
+    """``runs`` (``run``, ``n``; sorted) of each context of three symbols in the lower-cased column ``text``; ``n``
+    counts the rows that are not ``held_out``."""
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         codes, runs = codes_of(np.concatenate([own for own, _ in parts]))
@@ -94,9 +101,12 @@ def count_runs(texts: DataFrame) -> DataFrame:
 
     def count(batches):
         parts: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, raw in blocks(batches, "text", TEXT_BYTES):
-            codes, runs = codes_of(runs_of([text.lower() for text in raw])[0])
-            parts.append((runs, np.bincount(codes, minlength=len(runs))))
+        for batch, raw in blocks(batches, "text", TEXT_BYTES):
+            every, sizes = runs_of([text.lower() for text in raw])
+            codes, runs = codes_of(every)
+            learnt = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            n = np.bincount(codes, weights=np.repeat(learnt, sizes), minlength=len(runs))
+            parts.append((runs, n.astype(np.int64)))
             if sum(len(own) for own, _ in parts) > HELD_RUNS:
                 parts = [merged(parts)]
                 if len(parts[0][0]) > HELD_RUNS // 2:
@@ -109,7 +119,24 @@ def count_runs(texts: DataFrame) -> DataFrame:
             part = slice(start, start + 100_000)
             yield pa.RecordBatch.from_arrays([pa.array(runs[part]), pa.array(n[part])], ["run", "n"])
 
-    return texts.mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+    context = F.expr(f"shiftright(run, {SYMBOL_BITS}) & {(1 << LOW_ORDERS * SYMBOL_BITS) - 1}").alias("context")
+    counted = rows.select("text", "held_out").mapInArrow(count, "run long, n long")
+    together = counted.select(context, "run", "n").repartition("context")
+    sums = together.groupBy("context", "run").agg(F.sum("n").alias("n"))
+    # In a fixed order, so that learning takes the same steps whenever it is repeated.
+    runs = F.sort_array(F.collect_list(F.struct("run", "n"))).alias("runs")
+    return sums.groupBy("context").agg(runs).sortWithinPartitions(F.xxhash64("context"))
+
+
+def whole_contexts(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs and their counts in slices that hold every run of each of their contexts."""
+    for batch in batches:
+        lists = batch.column("runs")
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        cuts = np.flatnonzero(np.diff(ends // SLICE_RUNS)) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(lists)]):
+            run, n = lists.slice(start, end - start).flatten().flatten()
+            yield run.to_numpy(), n.to_numpy()
 
 
 class Compressed:
@@ -173,50 +200,53 @@ class Code:
         return run, self.nodes[symbols[run], step], self.ways[symbols[run], step]
 
 
-def slots_of(runs: np.ndarray, run: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Slots of all decisions, one row for each order."""
-    before = runs.view(np.uint64) >> np.uint64(SYMBOL_BITS)
+def slots_of(runs: np.ndarray, run: np.ndarray, node: np.ndarray, order: int) -> np.ndarray:
+    """The slots of all decisions in the context of ``order`` symbols."""
+    context = (runs >> SYMBOL_BITS).view(np.uint64) & np.uint64((1 << SYMBOL_BITS * order) - 1)
+    context = (context + np.uint64(order + 1)) * np.uint64(0xD6E8FEB86659FD93)
+    context ^= context >> np.uint64(32)
     mixed_node = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    out = np.empty((ORDERS, len(run)), np.int32)
-    for order, bits in enumerate(SLOT_BITS):
-        context = before & np.uint64((1 << SYMBOL_BITS * order) - 1)
-        context = (context + np.uint64(order + 1)) * np.uint64(0xD6E8FEB86659FD93)
-        context ^= context >> np.uint64(32)
-        hashed = (context[run] ^ mixed_node) * np.uint64(0xC2B2AE3D27D4EB4F)
-        out[order] = (hashed >> np.uint64(64 - bits)).astype(np.int32) + np.int32(OFFSETS[order])
-    return out
+    return ((context[run] ^ mixed_node) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
 
-def count_slots(runs: DataFrame, code: Code) -> np.ndarray:
-    """How often each slot's decision went either way, as two numbers in the halves of one; both are halved until
-    they fit."""
+@dataclass
+class Counts(Compressed):
+    """The tree, and how often each decision of the low orders went either way: ``rows`` gives the row of a context
+    in ``low`` (row 0: never seen), which has two numbers for every node."""
 
-    def count(batches):
-        for batch in batches:
-            own = batch.column("run").to_numpy()
-            run, node, way = code.decisions(own)
-            n = batch.column("n").to_numpy()[run].astype(np.float64)
-            for slots in slots_of(own, run, node):
-                codes, distinct = codes_of(slots)
-                one = np.bincount(codes, weights=n * way, minlength=len(distinct))
-                both = np.bincount(codes, weights=n, minlength=len(distinct))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(distinct), pa.array((both - one).astype(np.int64)), pa.array(one.astype(np.int64))], ["slot", "n0", "n1"]
-                )
-
-    # Runs with the same last three symbols meet in a task, so that most slots leave it as one row.
-    together = runs.repartition(F.expr(f"shiftright(run, {SYMBOL_BITS}) & {(1 << 3 * SYMBOL_BITS) - 1}"))
-    counted = together.mapInArrow(count, "slot int, n0 long, n1 long")
-    sums = counted.groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    scale = F.greatest(F.lit(1.0), F.greatest("n0", "n1") / F.lit(float(_MOST)))
-    part = lambda name: F.ceil(F.col(name) / scale).cast("int")
-    both = part("n0") + F.shiftleft(part("n1"), 16)
-    sums = stored(sums.select("slot", both.alias("both")), "slots")
-    table = np.zeros(SLOTS, np.uint32)
-    for start in range(0, SLOTS, SLOTS // FETCHES + 1):  # so that the driver never holds more than a part besides the table
-        got = collected(sums.where(F.col("slot").between(start, start + SLOTS // FETCHES)))
-        table[got["slot"]] = got["both"].view(np.uint32)
-    return table
+    code: Code
+    rows: np.ndarray
+    low: np.ndarray
+
+    @classmethod
+    def of(cls, code: Code, trigrams: np.ndarray, n: np.ndarray) -> Counts:
+        before = trigrams >> SYMBOL_BITS
+        places = [LOW_PLACES[order] + (before & ((1 << SYMBOL_BITS * order) - 1)) for order in range(LOW_ORDERS)]
+        seen = np.unique(np.concatenate(places))
+        rows = np.zeros(LOW_PLACES[-1], np.int32)
+        rows[seen] = np.arange(1, len(seen) + 1)
+        low = np.zeros((len(seen) + 1) * 512)
+        for start in range(0, len(trigrams), 1_000_000):
+            own = slice(start, start + 1_000_000)
+            run, node, way = code.decisions(trigrams[own])
+            for place in places:
+                cells = (rows[place[own]][run].astype(np.int64) * 256 + node) * 2 + way
+                low += np.bincount(cells, weights=n[own][run], minlength=len(low))
+        return cls(code, rows, low.astype(np.float32).reshape(-1, 2))
+
+    def low_counts(self, runs: np.ndarray, run: np.ndarray, node: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+        context = (runs >> SYMBOL_BITS) & ((1 << SYMBOL_BITS * order) - 1)
+        pair = self.low[self.rows[LOW_PLACES[order] + context][run].astype(np.int64) * 256 + node]
+        return pair[:, 0], pair[:, 1]
+
+
+def fit_counts(runs: DataFrame) -> Counts:
+    """The tree and the low orders from the stored runs."""
+    flat = runs.select(F.inline("runs")).where("n > 0")
+    last = F.expr(f"run & {(1 << LOW_ORDERS * SYMBOL_BITS) - 1}").alias("trigram")
+    got = collected(flat.groupBy(last).agg(F.sum("n").alias("n")))
+    trigrams, n = got["trigram"].astype(np.int64), got["n"].astype(np.float64)
+    return Counts.of(Code.of(np.bincount(trigrams & 511, weights=n, minlength=SYMBOLS)), trigrams, n)
 
 
 def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -260,27 +290,31 @@ def map_cells(odds: np.ndarray, node: np.ndarray, gate: np.ndarray) -> np.ndarra
 MAP_CELLS = ORDERS * 256 * ODDS_STEPS
 
 
-class Learner:
-    """Decisions of a block of runs as the mixer sees them in learning: each occurrence left out of its own counts."""
-
-    def __init__(self, code: Code, table: np.ndarray, runs: np.ndarray, n: np.ndarray):
-        run, self.node, way = code.decisions(runs)
-        both = table[slots_of(runs, run, self.node)]
-        n0 = np.maximum((both & 0xFFFF).astype(np.float32) - (way == 0), 0)
-        n1 = np.maximum((both >> 16).astype(np.float32) - (way == 1), 0)
-        self.odds = log_odds(n0, n1)
-        self.gate = gates_of(seen_class(n0 + n1), word_places(runs)[run])
-        self.way = way.astype(np.float64)
-        self.n = n[run].astype(np.float64)
-
-
-@dataclass
-class Counts(Compressed):
-    code: Code
-    table: np.ndarray
-
-
-def learn_weights(runs: DataFrame, shared: Broadcast, rounds: int = ROUNDS, block: int = 512) -> np.ndarray:
+class Decisions:
+    """All decisions of the runs of whole contexts as the mixer sees them.  In learning, each occurrence is left out
+    of its own counts."""
+
+    def __init__(self, counts: Counts, runs: np.ndarray, n: np.ndarray, learning: bool):
+        self.run, self.node, way = counts.code.decisions(runs)
+        self.way, self.n = way.astype(np.float64), n[self.run].astype(np.float64)
+        self.odds = np.empty((ORDERS, len(way)), np.float32)
+        seen = np.empty((ORDERS, len(way)), np.int8)
+        ones = self.n * way
+        for order in range(ORDERS):
+            if order < LOW_ORDERS:
+                n0, n1 = counts.low_counts(runs, self.run, self.node, order)
+            else:
+                slots = codes_of(slots_of(runs, self.run, self.node, order))[0]
+                one = np.bincount(slots, weights=ones)
+                n0, n1 = (np.bincount(slots, weights=self.n) - one)[slots], one[slots]
+            if learning:
+                n0, n1 = np.maximum(n0 - (way == 0), 0), np.maximum(n1 - (way == 1), 0)
+            self.odds[order] = log_odds(n0, n1)
+            seen[order] = seen_class(n0 + n1)
+        self.gate = gates_of(seen, word_places(runs)[self.run])
+
+
+def learn_weights(runs: DataFrame, shared: Broadcast, rounds: int = ROUNDS, block: int = 2048) -> np.ndarray:
     """Weights by gate.  Tasks step online from the merged weights of the round before; merging weighs by precision."""
     weights = np.full((GATES, ORDERS), 0.3)
     precision = np.tile(np.eye(ORDERS) * 50.0, (GATES, 1, 1))
@@ -291,23 +325,24 @@ def learn_weights(runs: DataFrame, shared: Broadcast, rounds: int = ROUNDS, bloc
         start = context.broadcast((weights, precision))
 
         def learn(batches):
-            code, table = shared.value.code, shared.value.table
             w, a = (part.copy() for part in start.value)
             moved = np.zeros_like(a)
-            for batch in batches:
-                all_runs, all_n = batch.column("run").to_numpy(), batch.column("n").to_numpy()
-                order = np.random.default_rng(batch.num_rows).permutation(len(all_runs))
+            for own, n in whole_contexts(batches):
+                known = n > 0
+                seen = Decisions(shared.value, own[known], n[known], learning=True)
+                order = np.random.default_rng(len(own)).permutation(len(seen.run))
                 for at in range(0, len(order), block):
                     pick = order[at : at + block]
-                    seen = Learner(code, table, all_runs[pick], all_n[pick])
-                    p = logistic(np.einsum("kd,dk->d", seen.odds, w[seen.gate]))
-                    for gate in np.unique(seen.gate):
-                        mine = seen.gate == gate
-                        x, n = seen.odds[:, mine].astype(np.float64), seen.n[mine]
-                        h = (x * (n * p[mine] * (1 - p[mine]))) @ x.T
+                    gates, odds = seen.gate[pick], seen.odds[:, pick].astype(np.float64)
+                    p = logistic(np.einsum("kd,dk->d", odds, w[gates]))
+                    times, error = seen.n[pick], seen.way[pick] - p
+                    for gate in np.unique(gates):
+                        mine = gates == gate
+                        x, weight = odds[:, mine], times[mine]
+                        h = (x * (weight * p[mine] * (1 - p[mine]))) @ x.T
                         a[gate] += h
                         moved[gate] += h
-                        w[gate] += np.linalg.solve(a[gate], x @ (n * (seen.way[mine] - p[mine])))
+                        w[gate] += np.linalg.solve(a[gate], x @ (weight * error[mine]))
             rows = np.concatenate([moved.reshape(GATES, -1), np.einsum("gij,gj->gi", moved, w)], axis=1).ravel()
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(rows)], ["at", "value"])
 
@@ -326,16 +361,14 @@ def learn_map(runs: DataFrame, shared: Broadcast, w: np.ndarray) -> np.ndarray:
     """The corrected probability of each cell of the adaptive map, given the weights."""
 
     def learn(batches):
-        code, table = shared.value.code, shared.value.table
         sums = np.zeros((3, MAP_CELLS))
-        for batch in batches:
-            for start in range(0, batch.num_rows, 20_000):
-                part = batch.slice(start, 20_000)
-                seen = Learner(code, table, part.column("run").to_numpy(), part.column("n").to_numpy())
-                odds = np.einsum("kd,dk->d", seen.odds, w[seen.gate])
-                cells = map_cells(odds, seen.node, seen.gate)
-                for row, value in enumerate((seen.n, seen.n * seen.way, seen.n * logistic(odds))):
-                    sums[row] += np.bincount(cells, weights=value, minlength=MAP_CELLS)
+        for own, n in whole_contexts(batches):
+            known = n > 0
+            seen = Decisions(shared.value, own[known], n[known], learning=True)
+            odds = np.einsum("kd,dk->d", seen.odds, w[seen.gate])
+            cells = map_cells(odds, seen.node, seen.gate)
+            for row, value in enumerate((seen.n, seen.n * seen.way, seen.n * logistic(odds))):
+                sums[row] += np.bincount(cells, weights=value, minlength=MAP_CELLS)
         hit = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), *(pa.array(own[hit]) for own in sums)], ["cell", "n", "ones", "expected"])
 
@@ -352,51 +385,75 @@ def learn_map(runs: DataFrame, shared: Broadcast, w: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model(Compressed):
-    code: Code
-    odds: np.ndarray
-    seen: np.ndarray
+    counts: Counts
     weights: np.ndarray
     corrected: np.ndarray
 
-    def bits(self, runs: np.ndarray) -> np.ndarray:
-        """The cost in bits of the last symbol of each run."""
-        out = np.empty(len(runs))
-        for start in range(0, len(runs), 30_000):
-            own = runs[start : start + 30_000]
-            run, node, way = self.code.decisions(own)
-            slots = slots_of(own, run, node)
-            gate = gates_of(self.seen[slots], word_places(own)[run])
-            w = self.weights[gate]
-            odds = np.zeros(len(run), np.float32)
-            for order in range(ORDERS):
-                odds += self.odds[slots[order]] * w[:, order]
-            p = (logistic(odds) + self.corrected[map_cells(odds, node, gate)]) / 2
-            taken = np.clip(np.where(way == 1, p, 1 - p), 1e-7, 1.0)
-            out[start : start + len(own)] = -np.bincount(run, weights=np.log2(taken), minlength=len(own))
-        return out
-
-    def text_bits(self, texts: list[bytes]) -> np.ndarray:
-        runs, sizes = runs_of(texts)
-        codes, distinct = codes_of(runs)
-        return np.add.reduceat(self.bits(distinct)[codes], np.cumsum(sizes) - sizes) if len(texts) else np.zeros(0)
-
-
-def fit(texts: DataFrame) -> Model:
-    """Learn from all rows of column ``text``."""
-    # In order, so that learning takes the same steps whenever it is repeated.
-    runs = stored(count_runs(texts.select("text")).sortWithinPartitions("run"), "runs")
-    got = collected(runs.groupBy((F.col("run") % 512).alias("symbol")).agg(F.sum("n").alias("n")))
-    counts = np.zeros(SYMBOLS, np.int64)
-    counts[got["symbol"]] = got["n"]
-    code = Code.of(counts)
-    table = count_slots(runs, code)
-    shared = texts.sparkSession.sparkContext.broadcast(Counts(code, table))
+    def bits(self, runs: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The cost in bits of the last symbol of each run; ``runs`` are all runs of their contexts."""
+        seen = Decisions(self.counts, runs, n, learning=False)
+        odds = np.einsum("kd,dk->d", seen.odds, self.weights[seen.gate])
+        p = (logistic(odds) + self.corrected[map_cells(odds, seen.node, seen.gate)]) / 2
+        taken = np.clip(np.where(seen.way == 1, p, 1 - p), 1e-7, 1.0)
+        return -np.bincount(seen.run, weights=np.log2(taken), minlength=len(runs))
+
+
+def fit(runs: DataFrame) -> Model:
+    """Learn from the stored result of ``count_runs``."""
+    counts = fit_counts(runs)
+    shared = runs.sparkSession.sparkContext.broadcast(counts)
     weights = learn_weights(runs, shared)
     corrected = learn_map(runs, shared, weights)
     shared.destroy()
-    n0, n1 = (table & 0xFFFF).astype(np.float32), (table >> 16).astype(np.float32)
-    odds, seen = log_odds(n0, n1).astype(np.float16), seen_class(n0 + n1)
-    return Model(code, odds, seen, weights.astype(np.float32), corrected.astype(np.float32))
+    return Model(counts, weights, corrected)
+
+
+def run_bits(runs: DataFrame, model: Model) -> DataFrame:
+    """``run``, ``n`` and ``bits`` of every distinct run."""
+    shared = runs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(batches):
+        for own, n in whole_contexts(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n), pa.array(shared.value.bits(own, n))], ["run", "n", "bits"])
+
+    return runs.mapInArrow(judge, "run long, n long, bits double")
+
+
+@dataclass
+class HotRuns(Compressed):
+    """The bits of frequent runs, sorted by run."""
+
+    runs: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, bits: DataFrame, most: int) -> HotRuns:
+        """Runs from the lowest count on, in steps of an eighth of a doubling, from which at most ``most`` are found."""
+        step = F.floor(F.log2("n") * 8)
+        learnt = bits.where("n > 0")
+        steps = sorted(((row["step"], row["n"]) for row in learnt.groupBy(step.alias("step")).agg(F.count("n").alias("n")).collect()), reverse=True)
+        totals = np.cumsum([n for _, n in steps])
+        wanted = [at for (at, _), total in zip(steps, totals) if total <= most]
+        if not wanted:
+            return cls(np.zeros(1, np.int64) - 1, np.zeros(1))
+        got = collected(learnt.where(step >= wanted[-1]).select("run", "bits"))
+        order = np.argsort(got["run"])
+        return cls(got["run"][order], got["bits"][order])
+
+    def find(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each run is among them, and its bits (else 0)."""
+        at = np.minimum(np.searchsorted(self.runs, runs), len(self.runs) - 1)
+        found = self.runs[at] == runs
+        return found, np.where(found, self.values[at], 0.0)
+
+
+def lists_where(chosen: np.ndarray, doc: np.ndarray, codes: np.ndarray, values: pa.Array, docs: int, name: str) -> pa.ListArray:
+    """For each of ``docs`` texts the distinct values at its chosen places, with how often they stand there."""
+    kinds = max(1, len(values))
+    keys, times = np.unique(doc[chosen] * kinds + codes[chosen], return_counts=True)
+    offsets = np.searchsorted(keys // kinds, np.arange(docs + 1))
+    entries = pa.StructArray.from_arrays([values.take(pa.array(keys % kinds)), pa.array(times.astype(np.int64))], [name, "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), entries)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -413,17 +470,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def words_where(block: WordBlock, chosen: np.ndarray) -> pa.ListArray:
-    """For each text the distinct chosen words with how often they occur in it."""
-    kinds = max(1, len(block.distinct))
-    keys, times = np.unique(block.doc[chosen] * kinds + block.codes[chosen], return_counts=True)
-    words = block.distinct[keys % kinds].tolist() if len(keys) else []
-    offsets = np.searchsorted(keys // kinds, np.arange(len(block.counts) + 1))
-    entries = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times.astype(np.int64))], ["word", "n"])
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), entries)
-
-
-def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
+def score(docs: DataFrame, hot_words: int = HOT_WORDS, hot_runs: int = HOT_RUNS) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10),
     ``n_bytes`` and ``bits_per_byte`` of every row, learning from the rows that are not held out."""
     rows = docs.select("doc_id", "text", held_out("doc_id").alias("held_out"))
@@ -433,7 +480,9 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
     most = collected(words.orderBy(F.desc("n"), "word").limit(hot_words))
     hot = dict(zip(most["word"].tolist(), most["n"].tolist()))
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(fit(training))
+    runs = stored(count_runs(rows), "runs")
+    bits = stored(run_bits(runs, fit(runs)), "run_bits")
+    shared = context.broadcast(HotRuns.of(bits, hot_runs))
     known = context.broadcast(hot)
 
     def judge(batches):
@@ -445,6 +494,10 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
             counts = np.array([known.value.get(word, -1) for word in block.distinct], np.int64)
             found = counts[block.codes] if len(block.codes) else np.zeros(0, np.int64)
             logs = np.log10(np.maximum(found, 0) + 1.0)
+            every, sizes = runs_of(texts)
+            codes, distinct = codes_of(every)
+            is_hot, hot_bits = shared.value.find(distinct)
+            doc = np.repeat(np.arange(len(texts)), sizes)
             columns = {
                 "row_key": pa.array(key + np.arange(len(texts))),
                 "doc_id": batch.column("doc_id"),
@@ -452,8 +505,9 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
                 "n_tokens": pa.array(block.counts + 1),
                 "hot_known": pa.array(block.sums(found > 0, np.int64) + int(end > 0)),
                 "hot_sum": pa.array(block.sums(logs) + np.log10(end + 1.0)),
-                "rare": words_where(block, found < 0),
-                "bits": pa.array(shared.value.text_bits(texts)),
+                "rare": lists_where(found < 0, block.doc, block.codes, pa.array(block.distinct, pa.binary()), len(texts), "word"),
+                "hot_bits": pa.array(np.bincount(doc, weights=hot_bits[codes], minlength=len(texts))),
+                "rare_runs": lists_where(~is_hot[codes], doc, codes, pa.array(distinct), len(texts), "run"),
                 "n_bytes": pa.array(np.array([len(text) for text in raw], np.int64)),
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
@@ -462,7 +516,7 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = (
         f"row_key long, doc_id {kind}, held_out boolean, n_tokens long, hot_known long, hot_sum double,"
-        " rare array<struct<word:binary,n:long>>, bits double, n_bytes long"
+        " rare array<struct<word:binary,n:long>>, hot_bits double, rare_runs array<struct<run:long,n:long>>, n_bytes long"
     )
     judged = stored(rows.mapInArrow(judge, fields), "scored")
     asked = judged.select("row_key", F.explode("rare").alias("r")).select("row_key", "r.word", F.col("r.n").alias("times"))
@@ -472,7 +526,10 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
         .agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("log_sum"))
     )
     smoothing = F.log10(F.lit(float(total["n"] + total["v"] + 1)))
-    joined = judged.drop("rare").join(rare, "row_key", "left")
+    asked_runs = judged.select("row_key", F.explode("rare_runs").alias("r")).select("row_key", "r.run", F.col("r.n").alias("times"))
+    rare_bits = asked_runs.join(bits, "run").groupBy("row_key").agg(F.sum(F.col("times") * F.col("bits")).alias("rare_bits"))
+    joined = judged.drop("rare", "rare_runs").join(rare, "row_key", "left").join(rare_bits, "row_key", "left")
+    joined = joined.withColumn("bits", F.col("hot_bits") + F.coalesce("rare_bits", F.lit(0.0)))
     return joined.select(
         "doc_id",
         "held_out",

@@ -74,13 +74,87 @@ def test_empty_and_no_training(spark):
     assert (row.n_known, row.train_tokens, row.base_score) == (0, 0, 0)
 
 
+def counted(docs):
+    rows = docs.select("text", mixing.held_out("doc_id").alias("held_out"))
+    return mixing.count_runs(rows).cache()
+
+
 def test_probabilities_of_all_symbols_sum_to_one(documents):
-    model = mixing.fit(documents.limit(200))
+    runs = counted(documents.limit(200))
+    model = mixing.fit(runs)
     for before in (b"", b"the ", "é une ".encode(), b"\x00\xff"):
-        context = [mixing.END] * 5 + list(before)
-        run = sum(symbol << (mixing.SYMBOL_BITS * (back + 1)) for back, symbol in enumerate(context[::-1][:5]))
-        bits = model.bits(np.array([run | symbol for symbol in range(mixing.SYMBOLS)], np.int64))
-        assert np.exp2(-bits).sum() == pytest.approx(1.0, abs=1e-4)
+        symbols = [mixing.END] * 5 + list(before)
+        run = sum(symbol << (mixing.SYMBOL_BITS * (back + 1)) for back, symbol in enumerate(symbols[::-1][:5]))
+        context = (run >> mixing.SYMBOL_BITS) & ((1 << 3 * mixing.SYMBOL_BITS) - 1)
+        known = {row.run: row.n for group in runs.where(f"context = {context}").collect() for row in group.runs}
+        asked = [run | symbol for symbol in range(mixing.SYMBOLS)]
+        own = np.array(sorted(known.keys() | set(asked)), np.int64)
+        bits = dict(zip(own.tolist(), model.bits(own, np.array([known.get(int(one), 0) for one in own]))))
+        assert sum(2 ** -bits[one] for one in asked) == pytest.approx(1.0, abs=1e-4)
+
+
+def scalar_bits(texts, learnt, model):
+    """The bits of texts by counting every context of every decision in a dictionary."""
+    code = model.counts.code
+    path = [
+        [(int(code.nodes[s, step]), int(code.ways[s, step])) for step in range(code.lengths[s])] for s in range(mixing.SYMBOLS)
+    ]
+
+    def steps(text):
+        symbols = [mixing.END] * 5 + list(text) + [mixing.END]
+        for at in range(5, len(symbols)):
+            for node, way in path[symbols[at]]:
+                yield symbols, at, node, way
+
+    counts = Counter()
+    for text in learnt:
+        for symbols, at, node, way in steps(text):
+            counts.update((tuple(symbols[at - order : at]), node, way) for order in range(6))
+    out = []
+    for text in texts:
+        bits = 0.0
+        for symbols, at, node, way in steps(text):
+            place = 0
+            while place < 5 and symbols[at - place - 1] not in mixing.SPACES:
+                place += 1
+            odds, gate = [], 0
+            for order in range(6):
+                n0, n1 = (counts[tuple(symbols[at - order : at]), node, one] for one in (0, 1))
+                odds.append(math.log((n1 + mixing.PRIOR) / (n0 + mixing.PRIOR)))
+                if n0 + n1:
+                    gate = order * 4 + sum(n0 + n1 >= least for least in (1, 2, 4, 8)) - 1
+            gate += place * 24
+            mixed = sum(a * b for a, b in zip(odds, model.weights[gate]))
+            step = round((min(max(mixed, -12.0), 12.0) + 12.0) / 0.75)
+            cell = ((gate // 4) % 6 * 256 + node) * 33 + step
+            p = (1 / (1 + math.exp(-mixed)) + model.corrected[cell]) / 2
+            bits -= math.log2(p if way else 1 - p)
+        out.append(bits)
+    return out
+
+
+def test_bits_equal_brute_force(documents, monkeypatch):
+    """With runs held back and evaluated in small portions, and with most runs looked up by the join."""
+    monkeypatch.setattr(mixing, "HELD_RUNS", 2000)
+    monkeypatch.setattr(mixing, "SLICE_RUNS", 500)
+    fitted = []
+    fit = mixing.fit
+    monkeypatch.setattr(mixing, "fit", lambda runs: fitted.append(fit(runs)) or fitted[0])
+    docs = documents.where("n_chars < 600").orderBy("doc_id").limit(40)
+    texts = {row.doc_id: (row.text or "").encode().lower() for row in docs.collect()}
+    found = {row.doc_id: row.score for row in mixing.score(docs, hot_words=10, hot_runs=300).collect()}
+    want = scalar_bits(texts.values(), [text for doc_id, text in texts.items() if not is_held_out(doc_id)], fitted[0])
+    assert any(map(is_held_out, texts))
+    for doc_id, bits in zip(texts, want):
+        assert found[doc_id] == pytest.approx(-bits * math.log10(2), rel=1e-3)
+
+
+def test_hot_runs_are_the_most_frequent(spark):
+    bits = spark.createDataFrame([(run, n, run / 8) for run, n in ((5, 9), (3, 100), (8, 0), (1, 1), (2, 1))], "run long, n long, bits double")
+    assert mixing.HotRuns.of(bits, 3).runs.tolist() == [3, 5]
+    found, values = mixing.HotRuns.of(bits, 4).find(np.array([1, 3, 8]))
+    assert found.tolist() == [True, True, False] and values.tolist() == [1 / 8, 3 / 8, 0]
+    assert not mixing.HotRuns.of(bits, 0).find(np.array([1, 3]))[0].any()
 
 
 def test_runs_hold_the_last_symbols():
@@ -93,10 +167,24 @@ def test_runs_hold_the_last_symbols():
 
 def test_run_counts_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(mixing, "HELD_RUNS", 50)
-    texts = ["abracadabra abra", "abra", None, "ABRA", "x" * 300]
-    want = Counter(int(run) for text in texts for run in mixing.runs_of([(text or "").lower().encode()])[0])
-    found = mixing.count_runs(odd_documents(spark, list(enumerate(texts))).select("text")).collect()
-    assert {row.run: row.n for row in found} == want
+    texts = ["abracadabra abra", "abra", None, "ABRA", "x" * 300, "abraham"]
+    want = Counter()
+    for at, text in enumerate(texts):
+        runs = mixing.runs_of([(text or "").lower().encode()])[0].tolist()
+        want.update({run: 0 for run in runs} if is_held_out(at) else runs)
+    groups = counted(odd_documents(spark, list(enumerate(texts)))).collect()
+    assert {row.run: row.n for group in groups for row in group.runs} == dict(want)
+    assert len({group.context for group in groups}) == len(groups)
+    assert all((row.run >> 9) & (1 << 27) - 1 == group.context for group in groups for row in group.runs)
+    assert any(map(is_held_out, range(len(texts))))
+
+
+def test_many_repeats_are_counted_exactly(spark):
+    """Far more occurrences in one context than 16 bits hold."""
+    groups = counted(odd_documents(spark, [(at, "a" * 50_000) for at in (0, 1, 3)])).collect()
+    run = sum(97 << 9 * back for back in range(6))
+    held = sum(is_held_out(at) for at in (0, 1, 3))
+    assert {row.run: row.n for group in groups for row in group.runs}[run] == (3 - held) * 49_995
 
 
 def test_code_is_a_prefix_code():
