@@ -9,23 +9,29 @@ filters.
 Levels hash with seeds of their own, so that keys which collide in one level part in the next.  Keys are dealt into
 shards of about ``SHARD_KEYS`` listed keys; filters are built by ``bit_or`` per 64-bit word and come to the driver
 shard group by shard group, at most ``GROUP_KEYS`` listed keys or about ``GROUP_KEYS * BITS_PER_KEY / 8`` bytes at
-once.  Every group is broadcast by itself and asked in one narrow pass, so a list of any length is answered exactly.
+once; a group's filters leave the driver's memory as they are broadcast.  With several groups the asked rows are
+written apart by group, and each group is asked by tasks of its own: no task holds the filters of two groups.
 
 Defined results: a null key or one outside the universe may be answered either way, as a Bloom filter does; no
-listed keys block nothing; repeated keys count once.  A null url, or one without ``://``, has an empty host and
-path.
+listed keys block nothing; repeated keys count once; an empty table gives no rows; a very long key or url is hashed
+whole; further columns are not read.  A null url, or one without ``://``, has an empty host and path.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ebbline.llm.common import collected, stored
+from ebbline.llm.common import collected, row_struct, stored
+from ebbline.sources import scratch_path
 
 SHARD_KEYS = 1_000_000
 GROUP_KEYS = 32_000_000
@@ -105,9 +111,8 @@ def build_level(keys: DataFrame, level: int) -> Level:
     return out
 
 
-def _asked(levels: list[Level], key: Column, shard: Column, first: int = 1) -> Column:
-    """On how many levels in a row a key passes."""
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(levels)
+def _asked(shared: Broadcast, levels: int, key: Column, shard: Column, first: int = 1) -> Column:
+    """On how many of the broadcast ``levels`` in a row a key passes."""
 
     def ask(shards: pa.Array, *hashes: pa.Array) -> pa.Array:
         at = shards.to_numpy(zero_copy_only=False)
@@ -118,7 +123,20 @@ def _asked(levels: list[Level], key: Column, shard: Column, first: int = 1) -> C
         return pa.array(passed)
 
     ask.__annotations__ = {"shards": pa.Array, "hashes": pa.Array, "return": pa.Array}
-    return F.arrow_udf(ask, "int").asNondeterministic()(shard, *[_hashes(key, first + at) for at in range(len(levels))])
+    return F.arrow_udf(ask, "int").asNondeterministic()(shard, *[_hashes(key, first + at) for at in range(levels)])
+
+
+@dataclass
+class Group:
+    """A run of shards with the broadcast filters of its levels."""
+
+    shards: range
+    levels: int
+    filters: Broadcast
+
+    def contains(self, key: Column, shard: Column) -> Column:
+        passed = _asked(self.filters, self.levels, key, shard)
+        return F.when(passed == self.levels, F.lit(self.levels % 2 == 1)).otherwise(passed % 2 == 1)
 
 
 class Cascade:
@@ -127,13 +145,15 @@ class Cascade:
     def __init__(self, universe: DataFrame, shard_keys: int = SHARD_KEYS, group_keys: int = GROUP_KEYS):
         listed = universe.where("listed").count()
         self.shards = max(1, math.ceil(listed / shard_keys))
-        per_group = max(1, group_keys // shard_keys)
-        self.groups: list[tuple[range, list[Level]]] = []
+        self.groups: list[Group] = []
+        self.per_group = max(1, group_keys // shard_keys)
         dealt = universe.select("key", "listed", self.shard(F.col("key")).alias("shard"))
-        for first in range(0, self.shards, per_group):
-            group = range(first, min(first + per_group, self.shards))
-            mine = dealt.where(F.col("shard").between(group.start, group.stop - 1))
-            self.groups.append((group, self._levels(mine.where("listed"), mine.where("NOT listed"))))
+        context = universe.sparkSession.sparkContext
+        for first in range(0, self.shards, self.per_group):
+            shards = range(first, min(first + self.per_group, self.shards))
+            mine = dealt.where(F.col("shard").between(shards.start, shards.stop - 1))
+            levels = self._levels(mine.where("listed"), mine.where("NOT listed"))
+            self.groups.append(Group(shards, len(levels), context.broadcast(levels)))
 
     def shard(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(self.shards)).cast("int")
@@ -143,20 +163,28 @@ class Cascade:
         levels: list[Level] = []
         while True:
             levels.append(build_level(encode, len(levels) + 1))
-            wrong = _asked(levels[-1:], F.col("key"), F.col("shard"), len(levels)) == 1
+            shared = encode.sparkSession.sparkContext.broadcast(levels[-1:])
+            wrong = _asked(shared, 1, F.col("key"), F.col("shard"), len(levels)) == 1
             left = stored(exclude.where(wrong), "passed")
+            shared.destroy()
             if left.isEmpty():
                 return levels
             encode, exclude = left, encode
 
-    def contains(self, key: Column) -> Column:
-        shard = self.shard(key)
-        answers = []
-        for group, levels in self.groups:
-            passed = _asked(levels, key, shard)
-            inside = F.when(passed == len(levels), F.lit(len(levels) % 2 == 1)).otherwise(passed % 2 == 1)
-            answers.append(F.when(shard.between(group.start, group.stop - 1), inside))
-        return F.coalesce(*answers)
+    def ask(self, rows: DataFrame, key: Column, name: str) -> DataFrame:
+        """``rows`` with a boolean column ``name``: whether ``key`` is listed."""
+        if len(self.groups) == 1:
+            return rows.select("*", self.groups[0].contains(key, self.shard(key)).alias(name))
+        path = scratch_path(rows.sparkSession, "asked")
+        asked = row_struct(rows, key.alias("key"), self.shard(key).alias("shard"))
+        group = F.floor(F.col("shard") / self.per_group).cast("int")
+        asked.withColumn("group", group).write.partitionBy("group").parquet(path)
+        parted = rows.sparkSession.read.schema(T.StructType([*asked.schema, T.StructField("group", T.IntegerType())])).parquet(path)
+        parts = [
+            parted.where(F.col("group") == at).select("row.*", one.contains(F.col("key"), F.col("shard")).alias(name))
+            for at, one in enumerate(self.groups)
+        ]
+        return functools.reduce(DataFrame.unionAll, parts)
 
 
 def tracking_hosts(pages: DataFrame) -> DataFrame:
@@ -166,12 +194,15 @@ def tracking_hosts(pages: DataFrame) -> DataFrame:
     return hosts.select("key", (F.col("asking") * 2 >= F.col("n")).alias("listed"))
 
 
-def judge_urls(pages: DataFrame, universe: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, universe: DataFrame, rules: list[tuple[str, str, str]] = RULES, **cascade_sizes: int
+) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` and ``listed`` of every row: the rule's verdict, else
     block for listed hosts and allow for others."""
-    cascade = Cascade(stored(universe, "universe"))
+    cascade = Cascade(stored(universe, "universe"), **cascade_sizes)
     parts = pages.select("page_id", host_of("url").alias("host"), path_of("url").alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    rows = parts.select("*", rule.alias("rule"), verdict.alias("said"), cascade.contains(F.col("host")).alias("listed"))
+    said = parts.select("*", rule.alias("rule"), verdict.alias("said"))
+    rows = cascade.ask(said, F.col("host"), "listed")
     method = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     return rows.select("page_id", "host", "path", "rule", F.coalesce("said", method).alias("verdict"), "listed")

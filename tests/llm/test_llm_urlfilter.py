@@ -68,8 +68,18 @@ def test_cascade_is_exact_on_its_universe(spark, listed, sizes, monkeypatch):
     keys = spark.range(6000).select(F.concat(F.lit("key"), "id").alias("key"), (F.col("id") < listed).alias("listed")).cache()
     cascade = urlfilter.Cascade(keys, *sizes)
     if listed >= 300:
-        assert max(len(levels) for _, levels in cascade.groups) > 2
+        assert max(group.levels for group in cascade.groups) > 2
     if sizes[0] < 1000 and listed > 300:
         assert len(cascade.groups) > 1
-    asked = keys.select("listed", cascade.contains(F.col("key")).alias("found"))
+    asked = cascade.ask(keys, F.col("key"), "found")
+    assert asked.count() == 6000
     assert asked.where("NOT (listed <=> found)").count() == 0
+
+
+def test_many_groups_judge_as_one(spark):
+    """Every host in a group of its own or with few others; the rows are asked group by group."""
+    urls = [f"http://h{at % 97}.com/{'?' if at % 97 % 3 == 0 else ''}" for at in range(400)] + [None, "", "x://net/"]
+    given = pages(spark, urls)
+    rows = urlfilter.judge_urls(given, urlfilter.tracking_hosts(given), shard_keys=4, group_keys=8)
+    assert sorted(map(tuple, rows.collect())) == brute(urls)
+    assert len(urlfilter.Cascade(urlfilter.tracking_hosts(given), 4, 8).groups) > 3
