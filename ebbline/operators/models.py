@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -33,6 +34,8 @@ LABEL = "label"
 WEIGHT = "weight"
 #: Fewer rows than this are not worth a task of their own in the many passes of a fit.
 ROWS_PER_TASK = 2_000
+#: A task of a fit takes no more rows than this where the frame has the tasks for it.
+MOST_ROWS_PER_TASK = 250_000
 
 
 class PriorClassifier(Estimator):
@@ -68,9 +71,16 @@ def with_balanced_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.withColumn(WEIGHT, weight.cast("double"))
 
 
-def in_tasks_of_size(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``df`` in no more tasks than its ``rows`` keep busy; a frame in fewer tasks is left as it is."""
-    return df.coalesce(max(1, -(-rows // rows_per_task)))
+def in_tasks_of_size(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_TASK, busy: int | None = None) -> DataFrame:
+    """``df`` in no more tasks than its ``rows`` keep busy; a frame in fewer tasks is left as it is.
+
+    In each pass of a fit every task sends the statistics of all nodes, and every task that scores is sent the whole
+    model.  So there are no more than ``busy`` tasks, by default as many as run at once, unless these would have more
+    than ``MOST_ROWS_PER_TASK`` rows each.
+    """
+    busy = busy or df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(-(-rows // rows_per_task), max(busy, -(-rows // MOST_ROWS_PER_TASK)))
+    return df.coalesce(max(1, tasks))
 
 
 def bounded_training_rows(
@@ -207,10 +217,10 @@ def evaluate_once(scored: DataFrame, label: str = LABEL) -> dict[str, float]:
         kept.unpersist()
 
 
-def prepared_rows(preprocessor: PipelineModel, rows: DataFrame, size: int) -> DataFrame:
+def prepared_rows(preprocessor: PipelineModel, rows: DataFrame, size: int, busy: int | None = None) -> DataFrame:
     """Label, balanced weight and features of training rows."""
     ready = with_balanced_weight(preprocessor.transform(rows)).select(LABEL, WEIGHT, "features")
-    return in_tasks_of_size(ready, size)
+    return in_tasks_of_size(ready, size, busy=busy)
 
 
 def train_models(
@@ -233,6 +243,8 @@ def train_models(
     preprocessor = build_preprocessor(train.select(FEATURE_COLUMNS)).fit(train)
     rows = train.count()
     prepared = prepared_rows(preprocessor, train, rows).persist(StorageLevel.MEMORY_AND_DISK)
+    # The test part is to the train part as their shares; the count only says how many tasks score it.
+    test = in_tasks_of_size(test, math.ceil(rows * test_size / (1 - test_size)))
     fewer = prepared
     if forest_rows is not None and forest_rows < rows:
         sample = bounded_training_rows(train, forest_rows, LABEL, id_column, seed)

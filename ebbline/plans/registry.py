@@ -319,8 +319,9 @@ def logistic_scores(spark, sf_dir):
 
 
 def forest_scores(spark, sf_dir):
-    trained = models.train_models(gold_table(spark, sf_dir), only=["random_forest"])
-    return scoring.score(trained.models["random_forest"], gold_table(spark, sf_dir))
+    table = gold_table(spark, sf_dir)
+    trained = models.train_models(table, only=["random_forest"])
+    return scoring.score(trained.models["random_forest"], models.in_tasks_of_size(table, table.count()))
 
 
 def batch_scores(spark, sf_dir):
@@ -475,6 +476,7 @@ def forest_check(spark, sf_dir):
         F.count_if(F.col("nodes") % 2 == 0).alias("not_binary"),
     )
     train, _ = models.split_training_data(table)
+    train = models.in_tasks_of_size(train, train.count())
     fitted = train.agg(F.count(F.lit(1)).alias("train_rows"), F.sum(models.LABEL).cast("long").alias("train_ones"))
     scored = scoring.score(trained.models["random_forest"], train, keep=(models.ID_COLUMN, models.LABEL))
     quality_of = ranking.ranking_metrics(scored, models.LABEL, "churn_probability").select((F.col("roc_auc") > 0.5).alias("beats_chance"))

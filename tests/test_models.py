@@ -149,6 +149,15 @@ def test_small_frames_use_few_tasks(spark):
     assert models.in_tasks_of_size(spark.range(0, 5000, 1, 2), 10**6).select(F.spark_partition_id()).distinct().count() == 2
 
 
+def test_large_frames_use_no_more_tasks_than_run_at_once(spark, monkeypatch):
+    many = spark.range(0, 5000, 1, 40)
+    tasks = lambda rows, busy=None: models.in_tasks_of_size(many, rows, busy=busy).rdd.getNumPartitions()
+    assert tasks(10**6) == spark.sparkContext.defaultParallelism == 8
+    assert tasks(5000, busy=1) == 1
+    monkeypatch.setattr(models, "MOST_ROWS_PER_TASK", 100_000)
+    assert tasks(10**6) == 10 and tasks(10**9) == 40
+
+
 def test_metrics_by_ranks_equal_the_scalable_ones(spark):
     rows = [(float(n % 5 < 2), int(n % 3 == 0), (n * 29 % 13) / 13) for n in range(200)]
     scored = spark.createDataFrame(rows, "label double, prediction int, churn_probability double")
