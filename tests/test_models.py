@@ -158,6 +158,21 @@ def test_large_frames_use_no_more_tasks_than_run_at_once(spark, monkeypatch):
     assert tasks(10**6) == 10 and tasks(10**9) == 40
 
 
+def test_search_scores_with_one_model_at_a_time(training, monkeypatch):
+    """Each plan that scores holds the trees of one forest; scores meet as stored rows."""
+    space = {"n_estimators": [3], "max_depth": [2, 3], "min_samples_leaf": [1], "max_features": ["sqrt"], "class_weight": [None]}
+    read = []
+
+    def evaluated(scored, groups, *columns):
+        read.append((scored.inputFiles(), scored.groupBy(groups).count().count()))
+        return ranking.grouped_average_precision(scored, groups, *columns)
+
+    monkeypatch.setattr(tuning, "grouped_average_precision", evaluated)
+    assert tuning.search_forest(training, iterations=2, folds=2, space=space).cv_results.count() == 2
+    ((files, groups),) = read
+    assert groups == 2 * 2 * 2 and {name.split("setting=")[1].split("/")[0] for name in files} == {"0", "1"}
+
+
 def test_metrics_by_ranks_equal_the_scalable_ones(spark):
     rows = [(float(n % 5 < 2), int(n % 3 == 0), (n * 29 % 13) / 13) for n in range(200)]
     scored = spark.createDataFrame(rows, "label double, prediction int, churn_probability double")
