@@ -88,3 +88,57 @@ def test_contexts_are_read_out_of_the_stream(spark):
     assert (got[2].n_examples, got[2].context_chars, got[2].contexts_sha256) == (0, 0, sha(""))
     with pytest.raises(PySparkException, match="a context of"):
         chat.read_back(expanded.withColumn("context_chars", expanded.context_chars + 1)).collect()
+
+
+def test_examples_are_whole_sequences(spark, tmp_path):
+    rows = [(1, 0, "system", "be [kind]"), (1, 1, "user", "hi"), (1, 2, "assistant", "a<b"), (1, 3, "user", "é"), (1, 4, "assistant", "end"), (1, 5, "user", "bye"), (2, 0, "user", "q"), (3, 0, "assistant", "")]
+    expanded = chat.expand(turns(spark, rows))
+    by = {}
+    for row in expanded.orderBy("position").collect():
+        by.setdefault(row.conv_id, []).append(row.formatted)
+    made = chat.examples(expanded)
+    got = {(row.conv_id, row.example): row for row in made.collect()}
+    want = {(1, 0): by[1][:3], (1, 1): by[1][:5], (1, 2): by[1], (2, 0): by[2], (3, 0): by[3]}
+    assert {key: row.text for key, row in got.items()} == {key: "".join(own) for key, own in want.items()}
+    masked = {key: row.loss_from is not None and chat.unescaped(row.text[row.loss_from : row.loss_to]) for key, row in got.items()}
+    assert masked == {(1, 0): "a<b", (1, 1): "end", (1, 2): False, (2, 0): False, (3, 0): ""}
+    # What is read back comes from these sequences alone, also when they were stored.
+    direct = sorted(chat.read_back(expanded).collect())
+    made.write.parquet(f"{tmp_path}/examples")
+    stored = spark.read.parquet(f"{tmp_path}/examples")
+    assert sorted(chat.digests(chat.gathered(stored)).collect()) == direct
+    assert [row.n_examples for row in direct] == [2, 0, 1]
+    other = "if(example = 1, replace(text, 'hi', 'ho'), text) AS text"
+    with pytest.raises(PySparkException, match="does not start with the one before it"):
+        chat.digests(chat.gathered(stored.selectExpr("conv_id", "example", "part", "parts", other, "loss_from", "loss_to"))).collect()
+    with pytest.raises(PySparkException, match="is awaited"):
+        chat.digests(chat.gathered(stored.where("example > 0"))).collect()
+
+
+def test_long_streams_go_in_parts(monkeypatch):
+    monkeypatch.setattr(chat, "PART_BYTES", 100)
+    monkeypatch.setattr(chat, "HELD_BYTES", 300)
+    rng, rows, stream, given = random.Random(8), [], 0, []
+    for number in range(60):
+        role, text = rng.choice(["user", "assistant"]), "é" * rng.randrange(90)
+        start, end = chat.USER if role == "user" else chat.ASSISTANT
+        formatted, target = start + text + end, role == "assistant"
+        span = (len(start), len(formatted) - len(end)) if target else (None, None)
+        rows.append((7, formatted, *span, stream, target))
+        given.append((role, text))
+        stream += len(formatted)
+    made = list(chat.sequences(iter(rows)))
+    reader, whole = chat.Reader(), {}
+    for conv, *part in made:
+        reader.part(*part)
+        whole[part[0]] = whole.get(part[0], "") + part[3]
+        assert len(part[3].encode()) < 100 + 2 * 200
+    ends = [n + 1 for n, row in enumerate(rows) if row[-1]]
+    want = ["".join(row[1] for row in rows[:end]) for end in (ends if ends[-1] == 60 else [*ends, 60])]
+    assert list(whole.values()) == want and max(part[2] for part in made) > 20
+    assert reader.row()[:4] == brute(given) and reader.row()[4] == stream
+    cut = chat.Reader()
+    for _, *part in made[:-1]:
+        cut.part(*part)
+    with pytest.raises(ValueError, match="cut off"):
+        cut.row()
