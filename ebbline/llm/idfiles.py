@@ -29,6 +29,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,29 +43,31 @@ from ebbline.llm.token_ids import encoder_of
 END_ID = 2
 #: Ids of a block.
 BLOCK = 4096
-#: A segment is closed when it has so many ids; its last document may go beyond.
-SEGMENT_IDS = 1024 * BLOCK
-SEGMENTS_PER_FILE = 16
-TABLE_BITS = 11
+#: About the number of ids of a segment, of whole documents.  What is left at the end of a task makes one segment of up to
+#: one and a half times as many or two equal ones, as a segment of few blocks takes almost the time of a large one.
+SEGMENT_IDS = 1536 * BLOCK
+SEGMENTS_PER_FILE = 4
+#: Steps of all blocks that are prepared, modelled and coded at a time.
+STEPS = 64
+TABLE_BITS = 9
 
 # Fixed values of the format.
 MAGIC = b"IDS1"
 FILLER = "IDS-"
-#: Magic, version of the model, part, segment, documents, ids, length and CRC-32 of what follows in the head.
-HEAD = struct.Struct("<4sIqqqqqI")
-VERSION = 1
+#: Magic, version of the model, part, segment, documents, ids, length of all codes, length and CRC-32 of what follows in
+#: the head.
+HEAD = struct.Struct("<4sIqqqqqqI")
+VERSION = 2
 _A, _B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 _HASH_SHIFT = np.uint32(32 - TABLE_BITS)
-_STEPS = np.arange(16, dtype=np.int32)
-_TOTAL = 1 << 16
+_STEPS = np.arange(16, dtype=np.int16)
+_TOTAL = 1 << 15
 _RATE = 5
 #: For each choice, what the entries of a cumulative table move to: all but one count for each other choice.
-_TARGETS = (np.where(_STEPS[None, :] > _STEPS[:, None], _TOTAL - 16, 0) + _STEPS).astype(np.int32)
+_TARGETS = (np.where(_STEPS[None, :] > _STEPS[:, None], _TOTAL - 16, 0) + _STEPS).astype(np.int16)
 #: Entries of the id tables are id << 2 | confidence; this one holds no id and no confidence.
 _NONE = -4
-#: How confidence changes, by confidence behind a miss and behind a hit.
-_CHANGES = np.array([0, 0, -1, -1, 1, 1, 1, 0], np.int32)
-_LOW = np.uint64(32)
+_LOW, _TOTAL_BITS = np.uint64(32), np.uint64(15)
 _SMALL = np.uint64(1 << 32)
 
 
@@ -73,208 +76,276 @@ class BadFile(ValueError):
 
 
 class Lanes:
-    """The model's state for several blocks, one array entry each."""
+    """The model's state for several blocks, one array entry each.  What order 2 and order 1 hold lies in one table, order
+    2 first, so that both are looked up and kept by the same array operations."""
 
     def __init__(self, lanes: int):
         table = 1 << TABLE_BITS
-        self.second = np.full(lanes * table, _NONE, np.int32)
-        self.first = np.full(lanes * table, _NONE, np.int32)
+        self.entries = np.full(2 * lanes * table, _NONE, np.int32)
+        self.base = np.arange(2 * lanes).reshape(2, lanes) * table
         self.tables = np.tile(_STEPS * (_TOTAL // 16), (lanes * 32, 1))
-        self.whole_rows = self.tables.view("V64").ravel()
-        self.base = np.arange(lanes) * table
+        self.whole_rows = self.tables.view("V32").ravel()
         self.contexts = np.arange(lanes) * 32
         self.flat = np.arange(lanes) * 16
-        self.last, self.hashed = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-
-    def halt(self):
-        """Leave out the last lane, whose block has ended."""
-        for name in ("base", "contexts", "flat", "last", "hashed"):
-            setattr(self, name, getattr(self, name)[:-1])
-
-    def predict(self):
-        """The ids that order 2 and order 1 expect, and the tables of the choice."""
-        own = self.last * _A
-        self.at_second = self.base + ((own ^ self.hashed) >> _HASH_SHIFT)
-        self.at_first = self.base + (own >> _HASH_SHIFT)
-        self.entry_second, self.entry_first = self.second[self.at_second], self.first[self.at_first]
-        self.sure_second, self.sure_first = self.entry_second & 3, self.entry_first & 3
-        expected_second, expected_first = self.entry_second >> 2, self.entry_first >> 2
-        state = self.sure_second << 2
-        state += self.sure_first
+        #: The rows in use, one behind another, and a 0 behind the last.
+        self.rows = np.zeros(lanes * 16 + 1, np.int16)
+
+    def keep(self, lanes: int):
+        """Leave out the lanes from ``lanes`` on, whose blocks have ended."""
+        if lanes < len(self.flat):
+            self.base, self.contexts, self.flat = self.base[:, :lanes], self.contexts[:lanes], self.flat[:lanes]
+            self.rows = np.zeros(lanes * 16 + 1, np.int16)
+
+    def slots(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Where order 2 and order 1 look, by the last id and the one before, for one step or many."""
+        at = np.empty((*last.shape[:-1], 2, last.shape[-1]), np.int64)
+        own = last * _A
+        at[..., 1, :] = own >> _HASH_SHIFT
+        own ^= before * _B
+        own >>= _HASH_SHIFT
+        at[..., 0, :] = own
+        at += self.base
+        return at
+
+    def predict(self, at: np.ndarray) -> np.ndarray:
+        """The ids that order 2 and order 1 expect; the tables of the choice are in ``rows``."""
+        self.at, self.entry = at, self.entries.take(at)
+        self.sure = self.entry & 3
+        expected = self.entry >> 2
+        state = self.sure[0] << 2
+        state += self.sure[1]
         state <<= 1
-        state += expected_second == expected_first
+        state += expected[0] == expected[1]
         self.state = self.contexts + state
-        self.rows = self.tables.take(self.state, axis=0, mode="clip")
-        return expected_second, expected_first
+        self.tables.take(self.state, axis=0, out=self.rows[:-1].reshape(-1, 16), mode="clip")
+        return expected
 
     def bounds(self, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of each lane's choice among 65,536.  Every table starts with 0, which modulo 65,536 is also
+        """Start and width of each lane's choice among 32,768.  Every table starts with 0, which modulo 32,768 is also
         the end of the one before."""
         at = self.flat + choice
-        rows = self.rows.ravel()
-        start = rows[at]
+        start = self.rows.take(at)
         at += 1
-        width = rows.take(at, mode="wrap")
+        width = self.rows.take(at)
         width -= start
         width &= _TOTAL - 1
-        return start.astype(np.uint64), width.astype(np.uint64)
+        return start, width
 
-    def learn(self, ids: np.ndarray, choice: np.ndarray, hit_second: np.ndarray, hit_first: np.ndarray):
+    def learn(self, fresh: np.ndarray, choice: np.ndarray, hit: np.ndarray):
+        """``fresh`` are the entries of the ids that came."""
+        rows = self.rows[:-1].reshape(-1, 16)
         move = _TARGETS.take(choice, axis=0, mode="clip")
-        move -= self.rows
+        move -= rows
         move >>= _RATE
-        move += self.rows
-        self.whole_rows[self.state] = move.view("V64").ravel()
-        fresh = ids << 2
-        fresh |= 1
-        for table, at, entry, sure, hit in (
-            (self.second, self.at_second, self.entry_second, self.sure_second, hit_second),
-            (self.first, self.at_first, self.entry_first, self.sure_first, hit_first),
-        ):
-            change = _CHANGES[sure + (hit << 2)]
-            change += entry
-            table[at] = np.where(hit | (sure > 1), change, fresh)
-        self.hashed = self.last * _B
-        self.last = ids.astype(np.uint32)
-
-
-def class_of(ranks: np.ndarray) -> np.ndarray:
-    """The number of places in a rank's class, as a power of two, which is also the choice that stands for it."""
-    return np.frexp((ranks + 4).astype(np.float32))[1].astype(np.int64) - 1
+        move += rows
+        self.whole_rows[self.state] = move.view("V32").ravel()
+        # A hit adds confidence up to 3; a miss takes one away, or the id's place where there is little.
+        missed = np.where(self.sure > 1, self.entry - 1, fresh)
+        self.entries[self.at] = np.where(hit, self.entry + (self.sure < 3), missed)
 
 
 #: Bits of the place in the class of each choice.
 _PLACE_BITS = np.array([0, 0, *range(2, 16)], np.uint64)
+_PLACES = np.uint64(1) << _PLACE_BITS
 
 
-def active_lanes(count: int) -> Iterator[int]:
-    """For each step, how many blocks have an id left; only the last block can be shorter."""
-    lanes = -(-count // BLOCK)
-    for step in range(min(count, BLOCK)):
-        yield lanes if step < count - (lanes - 1) * BLOCK else lanes - 1
+def classes_to(rank: int) -> np.ndarray:
+    """For ranks up to ``rank``, the number of places in a rank's class, as a power of two, which is also the choice
+    that stands for it."""
+    return np.frexp(np.arange(4, rank + 5).astype(np.float32))[1].astype(np.int64) - 1
 
 
-def grid_of(ranks: np.ndarray) -> np.ndarray:
-    """The segment's ids with a column per block."""
-    lanes = -(-len(ranks) // BLOCK)
-    grid = np.zeros(lanes * BLOCK, np.int32)
-    grid[: len(ranks)] = ranks
-    return np.ascontiguousarray(grid.reshape(lanes, BLOCK).T[: len(ranks)])
+def spans(count: int) -> Iterator[tuple[int, int, int]]:
+    """Runs of steps and how many blocks have ids in them; only the last block can be shorter."""
+    lanes = -(-count // BLOCK)
+    short = count - (lanes - 1) * BLOCK
+    for first, last, own in ((0, short, lanes), (short, BLOCK, lanes - 1)):
+        for begin in range(first, last if own else first, STEPS):
+            yield begin, min(begin + STEPS, last), own
+
+
+#: Rows of a grid lie so many places apart: a power of two would put a column into few sets of the processor's cache.
+_PITCH = BLOCK + 16
+
+
+def grid_of(lanes: int, ranks: np.ndarray | None = None) -> np.ndarray:
+    """A row for each block, with the segment's ids."""
+    grid = np.zeros((lanes, _PITCH), np.int32)[:, :BLOCK]
+    if ranks is not None:
+        full = len(ranks) // BLOCK
+        grid[:full] = ranks[: full * BLOCK].reshape(full, BLOCK)
+        grid[full:, : len(ranks) - full * BLOCK] = ranks[full * BLOCK :]
+    return grid
+
+
+class Words:
+    """The words of 32 bits that each lane's code consists of."""
+
+    def __init__(self, lanes: int, most: int):
+        self.most, self.used = most, np.zeros(lanes, np.int64)
+        self.flat = np.zeros(lanes * most, np.uint32)
+        self.first = np.arange(lanes) * most
+
+    def add(self, lows: np.ndarray, settled: np.ndarray, carried: np.ndarray):
+        """For each step and lane: the interval's start, of which the upper half is a word where ``settled``, and
+        whether that start had run over 64 bits, which adds one to the lane's word before."""
+        steps, lanes = settled.shape
+        # Lane by lane, so that a lane's words follow one another.
+        words = np.flatnonzero(np.ascontiguousarray(settled.T))
+        bounds = np.searchsorted(words, np.arange(lanes + 1) * steps)
+        many = np.diff(bounds)
+        shift = self.first[:lanes] + self.used[:lanes] - bounds[:-1]
+        lane = np.repeat(np.arange(lanes), many)
+        self.flat[shift[lane] + np.arange(len(words))] = lows[words - lane * steps, lane] >> _LOW
+        step, lane = np.nonzero(carried)
+        self.carry(shift[lane] + np.searchsorted(words, lane * steps + step) - 1)
+        self.used[:lanes] += many
+
+    def carry(self, at: np.ndarray):
+        while len(at):
+            np.add.at(self.flat, at, np.uint32(1))
+            at = at[self.flat[at] == 0] - 1
+
+    def close(self, low: np.ndarray) -> list[bytes]:
+        """Each lane's code, with one last word that lies in the interval if zeros follow it."""
+        last = low + (_SMALL - np.uint64(1))
+        at = self.first + self.used
+        self.carry(at[last < low] - 1)
+        self.flat[at] = last >> _LOW
+        little = self.flat.astype("<u4", copy=False)
+        return [little[begin : end + 1].tobytes() for begin, end in zip(self.first.tolist(), at.tolist())]
 
 
 def encode_blocks(ranks: np.ndarray, extra: int) -> list[bytes]:
-    """The code of each block.  The lowest ``extra`` bits of a rank are written as they are."""
-    grid = grid_of(ranks)
-    steps, lanes = grid.shape
-    high = grid >> extra
-    classes = class_of(high)
-    places = (high + 4 - (1 << classes)).astype(np.uint64)
-    rests = (grid & ((1 << extra) - 1)).astype(np.uint32) if extra else None
+    """The code of each block.  The lowest ``extra`` bits of a rank are written as they are.
+
+    Runs of steps are coded at a time: what follows from the ids alone is found for the whole run, then the model goes
+    through it, then the coder."""
+    steps, lanes = min(len(ranks), BLOCK), -(-len(ranks) // BLOCK)
+    grid = grid_of(lanes, ranks)
+    every = 1 + bool(extra)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    words = np.zeros((lanes, steps * (1 + bool(extra)) + 4), np.uint64)
-    used = np.zeros(lanes, np.int64)
+    words = Words(lanes, steps * every + 1)
     state = Lanes(lanes)
-
-    def narrow(low, width, add, part):
-        """Move to the chosen part of each lane's interval and write the words that are settled."""
-        low += add
-        width[:] = part
-        if (carried := low < add).any():
-            over = np.flatnonzero(carried)
-            words[over, used[over] - 1] += np.uint64(1)
-        out = np.flatnonzero(part < _SMALL)
-        words[out, used[out]] = low[out] >> _LOW
-        used[out] += 1
-        low[out] <<= _LOW
-        width[out] <<= _LOW
-
-    for step, active in enumerate(active_lanes(len(ranks))):
-        if active < len(state.base):
-            state.halt()
-        ids = grid[step, :active]
-        second, first = state.predict()
-        hit_second, hit_first = ids == second, ids == first
-        choice = np.where(hit_second, 0, np.where(hit_first, 1, classes[step, :active]))
-        start, share = state.bounds(choice)
-        unit = width[:active] >> np.uint64(16)
-        part = unit * share >> _PLACE_BITS.take(choice)
-        spread = choice > 1
-        narrow(low[:active], width[:active], unit * start + part * (places[step, :active] * spread), part)
+    class_of = classes_to(int(ranks.max()) >> extra)
+    place_of = (np.arange(4, len(class_of) + 4) - (1 << class_of)).astype(np.uint64)
+    ids = np.zeros((2, lanes), np.int32)
+    for begin, end, active in spans(len(ranks)):
+        state.keep(active)
+        size = end - begin
+        # The run's ids, with the two before them in front.
+        ids = np.concatenate([ids[-2:, :active], grid[:active, begin:end].T])
+        high = ids[2:] >> extra
+        choices = class_of.take(high)
+        fresh = ids[2:] << 2 | 1
+        own_low, own_width = low[:active], width[:active]
+        slots = state.slots(ids[1:-1].view(np.uint32), ids[:-2].view(np.uint32))
+        starts, shares = np.empty((2, size, active), np.uint64)
+        for step in range(size):
+            hit = state.predict(slots[step]) == ids[step + 2]
+            choice = choices[step]
+            np.copyto(choice, 1, where=hit[1])
+            np.copyto(choice, 0, where=hit[0])
+            starts[step], shares[step] = state.bounds(choice)
+            state.learn(fresh[step], choice, hit)
+        spread = choices > 1
+        bits = _PLACE_BITS.take(choices)
+        places = place_of.take(high) * spread
         if extra:
-            part = width[:active] >> (spread * np.uint64(extra))
-            narrow(low[:active], width[:active], part * (rests[step, :active] * spread), part)
-        state.learn(ids, choice, hit_second, hit_first)
-    # One word that lies in the interval, whatever follows it.
-    last = low + (_SMALL - np.uint64(1))
-    over = np.flatnonzero(last < low)
-    words[over, used[over] - 1] += np.uint64(1)
-    words[np.arange(lanes), used] = last >> _LOW
-    used += 1
-    for at in range(int(used.max()) - 1, 0, -1):
-        words[:, at - 1] += words[:, at] >> _LOW
-    flat = words.astype("<u4")
-    return [flat[lane, :size].tobytes() for lane, size in enumerate(used.tolist())]
+            rests = (ids[2:] & ((1 << extra) - 1)).astype(np.uint64) * spread
+            rest_bits = spread * np.uint64(extra)
+        lows = np.empty((size * every, active), np.uint64)
+        settled, carried = np.empty((2, size * every, active), bool)
+
+        def narrow(row, add, part):
+            """Move to the chosen part of each lane's interval; a word is settled where that part is small."""
+            np.add(own_low, add, out=own_low)
+            np.less(own_low, add, out=carried[row])
+            np.less(part, _SMALL, out=settled[row])
+            lows[row] = own_low
+            shift = settled[row] * _LOW
+            np.left_shift(own_low, shift, out=own_low)
+            np.left_shift(part, shift, out=own_width)
+
+        for step in range(size):
+            unit = own_width >> _TOTAL_BITS
+            part = unit * shares[step]
+            part >>= bits[step]
+            unit *= starts[step]
+            unit += part * places[step]
+            narrow(step * every, unit, part)
+            if extra:
+                part = own_width >> rest_bits[step]
+                narrow(step * every + 1, part * rests[step], part)
+        words.add(lows, settled, carried)
+    return words.close(low)
 
 
 def decode_blocks(codes: list[bytes], count: int, extra: int) -> np.ndarray:
     """The ranks that ``encode_blocks`` was given."""
-    lanes, steps = len(codes), min(count, BLOCK)
-    longest = max(map(len, codes)) // 4
-    words = np.zeros((lanes, longest + 3), np.uint64)
-    for lane, code in enumerate(codes):
-        words[lane, : len(code) // 4] = np.frombuffer(code, "<u4")
-    used = np.full(lanes, 2)
-    inside, width = words[:, 0] << _LOW | words[:, 1], np.full(lanes, (1 << 64) - 1, np.uint64)
-    grid = np.zeros((steps, lanes), np.int32)
+    lanes = len(codes)
+    # A lane's decoder reads a word more than was written, which must be 0.
+    words = np.frombuffer(b"".join(code + bytes(8) for code in codes), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, codes), np.int64, lanes) // 4 + 2
+    at = np.cumsum(sizes) - sizes
+    inside, width = words[at] << _LOW | words[at + 1], np.full(lanes, (1 << 64) - 1, np.uint64)
+    at += 2
+    grid = grid_of(lanes)
+    found_ids = np.empty((STEPS, lanes), np.int32)
     state = Lanes(lanes)
-
-    def narrow(inside, width, skipped, part):
-        inside -= skipped
-        width[:] = part
-
-    def refill(inside, width):
-        more = np.flatnonzero(width < _SMALL)
-        inside[more] = inside[more] << _LOW | words[more, np.minimum(used[more], longest + 2)]
-        used[more] += 1
-        width[more] <<= _LOW
-
-    for step, active in enumerate(active_lanes(count)):
-        if active < len(state.base):
-            state.halt()
-        own, size = inside[:active], width[:active]
-        second, first = state.predict()
-        unit = size >> np.uint64(16)
-        at = np.minimum(own // unit, np.uint64(_TOTAL - 1)).astype(np.int32)
-        below = np.bitwise_count((state.rows <= at[:, None]).view(np.uint64))
-        choice = np.add(below[:, 0], below[:, 1], dtype=np.int64)
-        choice -= 1
-        start, share = state.bounds(choice)
-        bits = _PLACE_BITS.take(choice)
-        part = unit * share >> bits
-        narrow(own, size, unit * start, part)
-        many = np.uint64(1) << bits
-        place = np.minimum(own // part, many - np.uint64(1))
-        own -= part * place
-        refill(own, size)
-        ids = (many + place).astype(np.int32) - np.int32(4)
-        if extra:
-            rest_bits = (choice > 1) * np.uint64(extra)
-            part = size >> rest_bits
-            rest = np.minimum(own // part, (np.uint64(1) << rest_bits) - np.uint64(1))
-            narrow(own, size, part * rest, part)
-            refill(own, size)
-            ids = ids << extra | rest.astype(np.int32)
-        hit_second, hit_first = choice == 0, choice == 1
-        ids = np.where(hit_second, second, np.where(hit_first, first, ids))
-        grid[step, :active] = ids
-        # An order-2 id that is also the order-1 id counts as a hit of both, as in the encoder.
-        state.learn(ids, choice, hit_second, ids == first)
-    return np.ascontiguousarray(grid.T).ravel()[:count] if steps == BLOCK else grid[:, 0].copy()
+    last = before = np.zeros(lanes, np.uint32)
+
+    def refill(own, size, part, at):
+        """Take the next word where the part is small."""
+        small = part < _SMALL
+        shift = small * _LOW
+        np.left_shift(part, shift, out=size)
+        np.left_shift(own, shift, out=own)
+        np.bitwise_or(own, words.take(at, mode="clip") * small, out=own)
+        np.add(at, small, out=at)
+
+    for begin, end, active in spans(count):
+        state.keep(active)
+        own, size, own_at = inside[:active], width[:active], at[:active]
+        last, before = last[:active], before[:active]
+        for step in range(begin, end):
+            expected = state.predict(state.slots(last, before))
+            unit = size >> _TOTAL_BITS
+            found = np.minimum(own // unit, np.uint64(_TOTAL - 1)).astype(np.int16)
+            below = np.bitwise_count((state.rows[:-1].reshape(-1, 16) <= found[:, None]).view(np.uint64))
+            choice = np.add(below[:, 0], below[:, 1], dtype=np.int64)
+            choice -= 1
+            start, share = state.bounds(choice)
+            many = _PLACES.take(choice)
+            part = unit * share.astype(np.uint64)
+            part >>= _PLACE_BITS.take(choice)
+            unit *= start.astype(np.uint64)
+            own -= unit
+            place = np.minimum(own // part, many - np.uint64(1))
+            own -= part * place
+            refill(own, size, part, own_at)
+            place += many
+            ids = place.astype(np.int32)
+            ids -= 4
+            if extra:
+                rest_bits = (choice > 1) * np.uint64(extra)
+                part = size >> rest_bits
+                rest = np.minimum(own // part, (np.uint64(1) << rest_bits) - np.uint64(1))
+                own -= part * rest
+                refill(own, size, part, own_at)
+                ids = ids << extra | rest.astype(np.int32)
+            ids = np.where(choice == 0, expected[0], np.where(choice == 1, expected[1], ids))
+            found_ids[step - begin, :active] = ids
+            # An order-2 id that is also the order-1 id counts as a hit of both, as in the encoder.
+            state.learn(ids << 2 | 1, choice, expected == ids)
+            last, before = ids.view(np.uint32), last
+        grid[:active, begin:end] = found_ids[: end - begin, :active].T
+    return grid.ravel()[:count]
 
 
 def segment_bytes(part: int, number: int, doc_ids: list[str | None], totals: np.ndarray, ids: np.ndarray) -> bytes:
     """A segment of whole documents: their ids one after another."""
-    counts = np.bincount(ids)
+    counts = sum(np.bincount(own, minlength=int(ids.max()) + 1) for own in np.array_split(ids, len(ids) // SEGMENT_IDS * 8 + 8))
     alphabet = np.flatnonzero(counts)
     alphabet = alphabet[np.argsort(-counts[alphabet], kind="stable")]
     rank_of = np.zeros(len(counts), np.int32)
@@ -286,7 +357,7 @@ def segment_bytes(part: int, number: int, doc_ids: list[str | None], totals: np.
     parts = [json.dumps(doc_ids).encode(), totals.astype("<i8").tobytes(), alphabet.astype("<u4").tobytes()]
     parts += [packed32(map(len, codes)), packed32(sums)]
     body = zlib.compress(b"".join(struct.pack("<q", len(own)) + own for own in parts), 1)
-    fields = (MAGIC, VERSION, part, number, len(doc_ids), len(ids), len(body))
+    fields = (MAGIC, VERSION, part, number, len(doc_ids), len(ids), sum(map(len, codes)), len(body))
     check = zlib.crc32(body, zlib.crc32(HEAD.pack(*fields, 0)))
     return b"".join([HEAD.pack(*fields, check), body, *codes])
 
@@ -296,37 +367,43 @@ def packed32(values) -> bytes:
 
 
 class Segment:
-    """A segment read from ``content`` at ``at``; the head is checked at once, the ids by ``ids``."""
+    """A segment in ``content`` at ``at``; the head is checked at once, and read with the ids by ``ids``."""
 
     def __init__(self, content: memoryview, at: int):
         if len(content) < at + HEAD.size:
             raise BadFile("a head is cut off")
-        magic, version, self.part, self.number, documents, self.count, size, check = fields = HEAD.unpack_from(content, at)
+        magic, version, self.part, self.number, self.documents, self.count, self.coded, self.size, check = fields = HEAD.unpack_from(content, at)
         if magic != MAGIC or version != VERSION:
             raise BadFile("not a segment of this version")
-        at += HEAD.size
-        body = bytes(content[at : at + size])
-        if zlib.crc32(body, zlib.crc32(HEAD.pack(*fields[:-1], 0))) != check or len(body) != size:
+        if min(self.size, self.coded) < 0:
+            raise BadFile("a length below 0")
+        self.content, self.begin = content, at + HEAD.size
+        self.end = self.begin + self.size + self.coded
+        if self.end > len(content):
+            raise BadFile("a segment is cut off")
+        self.body = content[self.begin : self.begin + self.size]
+        if zlib.crc32(self.body, zlib.crc32(HEAD.pack(*fields[:-1], 0))) != check:
             raise BadFile("the head does not fit its checksum")
-        raw, parts = zlib.decompress(body), []
+
+    def read(self):
+        raw, parts = memoryview(zlib.decompress(self.body)), []
         while raw:
             (length,) = struct.unpack_from("<q", raw)
             parts.append(raw[8 : 8 + length])
             raw = raw[8 + length :]
-        self.doc_ids = json.loads(parts[0])
+        self.doc_ids = json.loads(bytes(parts[0]))
         self.totals = np.frombuffer(parts[1], "<i8")
         self.alphabet = np.frombuffer(parts[2], "<u4")
         sizes, self.sums = np.frombuffer(parts[3], "<u4"), np.frombuffer(parts[4], "<u4")
-        at += size
-        ends = at + np.cumsum(sizes, dtype=np.int64)
-        self.end = int(ends[-1]) if len(ends) else at
-        if self.end > len(content):
-            raise BadFile("a block is cut off")
-        if len(self.totals) != documents or len(self.doc_ids) != documents or int(self.totals.sum()) != self.count:
+        ends = self.begin + self.size + np.cumsum(sizes, dtype=np.int64)
+        if len(self.totals) != self.documents or len(self.doc_ids) != self.documents or int(self.totals.sum()) != self.count:
             raise BadFile("documents and ids do not agree in number")
-        self.codes = [bytes(content[a:b]) for a, b in zip([at, *ends.tolist()], ends.tolist())]
+        if int(sizes.sum(dtype=np.int64)) != self.coded:
+            raise BadFile("the blocks do not fill the segment")
+        self.codes = [bytes(self.content[a:b]) for a, b in zip([self.begin + self.size, *ends.tolist()], ends.tolist())]
 
     def ids(self) -> np.ndarray:
+        self.read()
         extra = max(0, (len(self.alphabet) + 3).bit_length() - 16)
         with np.errstate(all="ignore"):
             ranks = decode_blocks(self.codes, self.count, extra)
@@ -338,7 +415,7 @@ class Segment:
         return ids
 
 
-def segments(content: bytes) -> Iterator[Segment]:
+def segments(content: bytes | pa.Buffer) -> Iterator[Segment]:
     view, at, filler = memoryview(content), 0, FILLER.encode()
     while at < len(view):
         segment = Segment(view, at)
@@ -354,24 +431,32 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, pattern: str, e
     def encode(batches):
         encoder = encoder_of(tokenizer_path, pattern)
         part, number = TaskContext.get().partitionId(), 0
-        doc_ids: list[str | None] = []
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def closed():
-            totals, ids = (np.concatenate(own) for own in zip(*held))
-            row = segment_bytes(part, number, doc_ids, totals, ids)
+        held: list[tuple[list[str | None], np.ndarray, np.ndarray]] = []
+
+        def closed(least):
+            """A segment of the first blocks held that have ``least`` ids together."""
+            nonlocal number
+            many = next((n for n in range(1, len(held)) if ids_of(held[:n]) >= least), len(held))
+            doc_ids, totals, ids = zip(*held[:many])
+            del held[:many]
+            # The parts go as the whole is made.
+            ids = np.concatenate(ids)
+            row = segment_bytes(part, number, [*chain(*doc_ids)], np.concatenate(totals), ids)
+            number += 1
             return pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["value"])
 
         for batch, texts in blocks(batches, "text"):
-            ids, totals, _ = encoder.encode_utf8(texts, end_id)
-            doc_ids += batch.column("doc_id").to_pylist()
-            held.append((totals, ids))
-            if sum(len(own) for _, own in held) >= SEGMENT_IDS:
-                yield closed()
-                doc_ids, held, number = [], [], number + 1
-        if held:
-            yield closed()
+            ids, totals, _ = encoder.encode_utf8(texts, end_id, stops=False)
+            held.append((batch.column("doc_id").to_pylist(), totals, ids))
+            while ids_of(held) >= 2 * SEGMENT_IDS:
+                yield closed(SEGMENT_IDS)
         encoder.trim()
+        while held:
+            left = ids_of(held)
+            yield closed(left if left <= SEGMENT_IDS * 3 // 2 else left // 2)
+
+    def ids_of(held):
+        return sum(len(ids) for _, _, ids in held)
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("spread"))
     # In a frame's order a null id comes first; the hash lets rows that share an id go to several partitions.
@@ -390,7 +475,7 @@ def read_ids(spark: SparkSession, folder: str, id_type: str = "long", ids: bool
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 try:
-                    yield from segments(content.as_py())
+                    yield from segments(content.as_buffer())
                 except (ValueError, KeyError, IndexError, struct.error, zlib.error) as error:
                     raise BadFile(f"{path}: {error}") from error
 
@@ -414,12 +499,12 @@ def read_ids(spark: SparkSession, folder: str, id_type: str = "long", ids: bool
     names = ["doc_id", "part", "segment", "begin", "n_tokens", "ids_crc32", "ids"][: 7 if ids else 6]
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
     found = files.mapInArrow(decode, ", ".join(f"{name} {dict(doc_id='string', ids='array<long>').get(name, 'long')}" for name in names))
-    # A row per segment; only the totals of the parts, a row per task that wrote, meet in one task.
-    heads_of = files.mapInArrow(heads, "part long, segment long, n_ids long")
-    parts = heads_of.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
-    earlier = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inner = F.sum("n_ids").over(Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
-    places = heads_of.join(parts.select("part", earlier.alias("earlier")), "part")
-    places = places.select("part", "segment", (F.col("earlier") + F.coalesce(inner, F.lit(0))).alias("offset"))
+    # A row per part, which is a task that wrote, with the sizes of its segments; these rows meet in one task.
+    heads_of = files.mapInArrow(heads, "part long, segment long, n_ids long").groupBy("part")
+    parts = heads_of.agg(F.sum("n_ids").alias("n_ids"), F.collect_list(F.struct("segment", "n_ids")).alias("own"))
+    before = lambda window, name: F.coalesce(F.sum(name).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = parts.withColumn("earlier", before(Window.orderBy("part"), "n_ids")).select("part", "earlier", F.inline("own"))
+    inner = before(Window.partitionBy("part").orderBy("segment"), "n_ids")
+    places = places.select("part", "segment", (F.col("earlier") + inner).alias("offset"))
     columns = [F.col("doc_id").cast(id_type), (F.col("offset") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32"]
     return found.join(places, ["part", "segment"]).select(*columns, *(["ids"] if ids else []))

@@ -19,8 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Encoded words held by a worker: two generations of at most this many, of which the older is dropped when the younger
-#: is full.  A word met again moves to the younger one, so the frequent ones stay.
+#: When a worker holds twice so many encoded words, those not met again since they came, or since the last time, are
+#: dropped; at most so many stay.
 GENERATION = 120_000
 #: Longer words are encoded each time and not held.
 HELD_BYTES = 64
@@ -43,10 +43,6 @@ _SIGNS = (0x97, 0xB7)
 _TWO_LETTERS = [int.from_bytes(two, "little") for two in (b"re", b"ve", b"ll")]
 
 
-def packed(ids) -> bytes:
-    return np.array(ids, "<u4").tobytes()
-
-
 def byte_letters() -> str:
     """The character that stands for each byte in the vocabularies of byte-level tokenizers: printable Latin-1
     characters for themselves, the others by the code points from 256 on."""
@@ -88,6 +84,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Tokenizer.from_file(path)
         self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        # Words come here once: a cache of the library's own would only be filled.
+        self.merges.model._resize_cache(0)
         self.sizes = np.zeros(self.merges.get_vocab_size(), np.int64)
         for word, number in self.merges.get_vocab().items():
             self.sizes[number] = len(word)
@@ -98,50 +96,65 @@ class Encoder:
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks = [token.encode() for token in self.special]
         self.whole = regex.compile("|".join([*map(regex.escape, self.special), NEWER_LETTERS])).search
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        #: Held words with their numbers of ids, all their ids, and whether they were met again.
+        self.known = pa.array([], pa.large_binary())
+        self.known_sizes, self.known_ids = np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.met = np.zeros(0, bool)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def merged(self, words: list[bytes]) -> list[bytes]:
-        """The ids of words, each of which is one word of the splitting rule.  Ids are told apart by their bytes."""
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, each of which is one word of the splitting rule, and each word's number of ids.  Ids are told
+        apart by their bytes."""
         texts = [codecs.charmap_decode(b"\xff".join(words[at : at + GROUP]), "strict", self.letters)[0] for at in range(0, len(words), GROUP)]
         ids = np.concatenate([np.array(found.ids, "<u4") for found in self.merges.encode_batch_fast(texts, add_special_tokens=False)])
         word_ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        ends = 4 * (np.searchsorted(np.cumsum(self.sizes[ids]), word_ends) + 1)
-        flat = ids.tobytes()
-        return [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
-
-    def coded(self, words: list[bytes], whole: set[bytes]) -> list[bytes]:
-        """The ids of distinct words, from the cache where it has them; those of ``whole`` texts by the full rule."""
-        if len(self.known) > GENERATION:
-            self.known, self.older = {}, self.known
-        found = list(map(self.known.get, words))
-        missing = []
-        for at, ids in enumerate(found):
-            if ids is None:
-                if (ids := self.older.get(word := words[at])) is not None:
-                    found[at] = self.known[word] = ids
-                else:
-                    missing.append(at)
-        fresh = [at for at in missing if words[at] not in whole]
-        if fresh:
-            for at, ids in zip(fresh, self.merged([words[at] for at in fresh])):
-                found[at] = ids
-                if len(words[at]) < HELD_BYTES:
-                    self.known[words[at]] = ids
-        for at in missing:
-            if words[at] in whole:
-                found[at] = packed(self.ids([words[at].decode()])[0])
-        return found
+        return ids, np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), word_ends) + 1, prepend=0)
+
+    def coded(self, words: pa.Array, whole: set[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct words, where each word's ids begin, its number of ids, and all ids.  Held words are looked up,
+        those of ``whole`` texts encoded by the full rule."""
+        if len(self.known) > 2 * GENERATION:
+            self.drop()
+        at = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy()
+        held, missing = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        self.met[at[held]] = True
+        sizes, begins = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        sizes[held] = self.known_sizes[at[held]]
+        begins[held] = (np.cumsum(self.known_sizes) - self.known_sizes)[at[held]]
+        fresh = words.take(pa.array(missing))
+        texts, parts = fresh.to_pylist(), [self.known_ids]
+        apart = np.fromiter((text in whole for text in texts), bool, len(texts)) if whole else np.zeros(len(texts), bool)
+        plain = np.flatnonzero(~apart)
+        if len(plain):
+            ids, own = self.merged([texts[n] for n in plain] if len(plain) < len(texts) else texts)
+            parts.append(ids)
+            sizes[missing[plain]] = own
+            begins[missing[plain]] = len(self.known_ids) + np.cumsum(own) - own
+            short = np.fromiter(map(len, texts), np.int64, len(texts))[plain] < HELD_BYTES
+            self.known = pa.concat_arrays([self.known, fresh.take(pa.array(plain[short]))])
+            self.known_sizes = np.append(self.known_sizes, own[short])
+            self.known_ids = np.append(self.known_ids, ids[np.repeat(short, own)])
+            self.met = np.append(self.met, np.zeros(int(short.sum()), bool))
+        total = sum(map(len, parts))
+        for n in np.flatnonzero(apart).tolist():
+            parts.append(np.array(self.ids([texts[n].decode()])[0], "<u4"))
+            sizes[missing[n]], begins[missing[n]] = len(parts[-1]), total
+            total += len(parts[-1])
+        return begins, sizes, np.concatenate(parts)
+
+    def drop(self):
+        """Keep the held words that were met again, at most a generation."""
+        kept = self.met & (np.cumsum(self.met) <= GENERATION)
+        self.known_ids = self.known_ids[np.repeat(kept, self.known_sizes)]
+        self.known, self.known_sizes = self.known.filter(pa.array(kept)), self.known_sizes[kept]
+        self.met = np.zeros(len(self.known), bool)
 
     def trim(self):
         """At the end of a task: one generation stays."""
-        if len(self.known) > GENERATION // 2:
-            self.known, self.older = {}, self.known
-        elif len(self.older) + len(self.known) > GENERATION:
-            self.older = {}
+        if len(self.known) > GENERATION:
+            self.drop()
 
     def cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, set[bytes]]:
         """The texts' bytes, where their words start, and the texts that must be encoded whole."""
@@ -173,29 +186,31 @@ class Encoder:
     def encode(self, texts: list[str], end_id: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.encode_utf8([text.encode() for text in texts], end_id)
 
-    def encode_utf8(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts with their end ids, the number of ids of each text, and the places behind sentence ends."""
+    def encode_utf8(self, texts: list[bytes], end_id: int, stops: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts with their end ids, the number of ids of each text, and the places behind sentence ends (none
+        without ``stops``)."""
         data, starts, whole = self.cut(texts)
         offsets = pa.array(np.append(starts, len(data)), pa.int64())
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets.buffers()[1], pa.py_buffer(data)])
         numbered = words.dictionary_encode()
         codes, distinct = numbered.indices.to_numpy(), numbered.dictionary
-        coded = self.coded(distinct.to_pylist(), whole)
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
-        pool = np.append(np.frombuffer(b"".join(coded), "<u4"), np.uint32(end_id)).astype("<u4")
+        begins, lengths, pool = self.coded(distinct, whole)
+        begins, pool = np.append(begins, len(pool)), np.append(pool, np.uint32(end_id)).astype("<u4", copy=False)
         # Texts end with a word of their own, the end id, numbered behind the others.
         word_ends = np.searchsorted(starts, np.fromiter(accumulate(map(len, texts)), np.int64, len(texts)))
         codes = np.insert(codes.astype(np.int64), word_ends, len(lengths))
         lengths = np.append(lengths, 1)
         per_word = lengths[codes]
         ends = np.cumsum(per_word)
-        shifts = ((np.cumsum(lengths) - lengths)[codes] - (ends - per_word)).astype(np.int32)
+        shifts = (begins[codes] - (ends - per_word)).astype(np.int32)
         ids = pool[np.repeat(shifts, per_word) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
-        stops = pc.or_(pc.match_substring(distinct, "\n"), pc.match_substring_regex(distinct, r"[.!?]\z"))
-        stops = np.append(stops.to_numpy(zero_copy_only=False).astype(bool), False)
         last = word_ends + np.arange(len(texts))
         totals = np.diff(ends[last], prepend=0)
-        return ids, totals, ends[stops[codes]]
+        if not stops:
+            return ids, totals, np.zeros(0, np.int64)
+        marks = pc.or_(pc.match_substring(distinct, "\n"), pc.match_substring_regex(distinct, r"[.!?]\z"))
+        marks = np.append(marks.to_numpy(zero_copy_only=False).astype(bool), False)
+        return ids, totals, ends[marks[codes]]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}

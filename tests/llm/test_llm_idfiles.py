@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ from cases import no_documents, odd_documents, odd_rows
 from conftest import SMALL
 from ebbline.llm import idfiles
 from ebbline.llm.queries import QUERIES
+from ebbline.llm.token_ids import Encoder
 from ebbline.sources import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -122,3 +124,46 @@ def test_file_name_is_given(spark, tmp_path):
     (tmp_path / "part-0.txt").write_bytes(b"no segment")
     with pytest.raises(Exception, match="part-0.txt"):
         idfiles.read_ids(spark, str(tmp_path)).collect()
+
+
+def test_coding_holds_few_bytes_an_id():
+    ids = (np.random.default_rng(1).zipf(1.2, 1 << 20) % 30_000).astype(np.uint32)
+    tracemalloc.start()
+    data = idfiles.segment_bytes(0, 0, ["x"], np.array([len(ids)]), ids)
+    written = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    assert np.array_equal(idfiles.Segment(memoryview(data), 0).ids(), ids)
+    read = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert written < 24 * len(ids) and read < 24 * len(ids)
+
+
+def test_segments_of_a_task_are_even(spark, tokenizer):
+    """What is left behind the last full segment makes no segment of its own."""
+    blocks = [f"w{n % 50} " * (idfiles.SEGMENT_IDS // 8) for n in range(9)]
+    docs = spark.createDataFrame(list(enumerate(blocks)), "doc_id long, text string").coalesce(1)
+    folder = scratch_path(spark, "ids")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        idfiles.write_ids(docs, folder, PATH, public_tokenizers.PATTERN)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    files = spark.read.format("binaryFile").load(folder).select("content").collect()
+    counts = [segment.count for row in files for segment in idfiles.segments(bytes(row.content))]
+    assert sum(counts) > idfiles.SEGMENT_IDS and min(counts) > idfiles.SEGMENT_IDS / 2
+    got = [(row.doc_id, row.start, row.n_tokens, row.ids_crc32) for row in idfiles.read_ids(spark, folder, ids=False).collect()]
+    assert sorted(got) == want_of(tokenizer, enumerate(blocks))
+
+
+def test_held_words_are_dropped(monkeypatch, tokenizer):
+    """Words met again stay, the others go; ids are the same with and without them."""
+    monkeypatch.setattr("ebbline.llm.token_ids.GENERATION", 20)
+    encoder = Encoder(PATH, public_tokenizers.PATTERN)
+    for n in range(12):
+        texts = [f"often seen {' '.join(f'x{n}y{m}' for m in range(9))}", "", "a <|endoftext|> b \u0531", "often " + "long" * 30]
+        ids, totals, _ = encoder.encode(texts, 2)
+        want = [tokenizer.encode(text, add_special_tokens=False).ids + [2] for text in texts]
+        assert ids.tolist() == sum(want, []) and totals.tolist() == [len(own) for own in want]
+        assert len(encoder.known) < 80 and len(encoder.known_ids) == encoder.known_sizes.sum()
+    assert b"often" in encoder.known.to_pylist()
