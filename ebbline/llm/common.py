@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -52,6 +53,14 @@ def _utf8(texts: pa.Array) -> list[bytes]:
     return [text or b"" for text in texts.cast(pa.binary()).to_pylist()]
 
 
+def give_back():
+    """Return memory that Arrow and the C library hold unused to the system: a Python worker keeps what its task left while
+    it waits for another, beside the workers that are at work."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def codes_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Dense numbers for equal keys in order of appearance, and the distinct keys."""
     if not len(keys):

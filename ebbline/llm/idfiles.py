@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import blocks
+from ebbline.llm.common import blocks, give_back
 from ebbline.llm.token_ids import encoder_of
 
 END_ID = 2
@@ -48,7 +48,7 @@ BLOCK = 4096
 SEGMENT_IDS = 1536 * BLOCK
 SEGMENTS_PER_FILE = 4
 #: Steps of all blocks that are prepared, modelled and coded at a time.
-STEPS = 64
+STEPS = 32
 TABLE_BITS = 9
 
 # Fixed values of the format.
@@ -285,7 +285,7 @@ def decode_blocks(codes: list[bytes], count: int, extra: int) -> np.ndarray:
     """The ranks that ``encode_blocks`` was given."""
     lanes = len(codes)
     # A lane's decoder reads a word more than was written, which must be 0.
-    words = np.frombuffer(b"".join(code + bytes(8) for code in codes), "<u4").astype(np.uint64)
+    words = np.frombuffer(b"".join(code + bytes(8) for code in codes), "<u4")
     sizes = np.fromiter(map(len, codes), np.int64, lanes) // 4 + 2
     at = np.cumsum(sizes) - sizes
     inside, width = words[at] << _LOW | words[at + 1], np.full(lanes, (1 << 64) - 1, np.uint64)
@@ -439,8 +439,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, pattern: str, e
             many = next((n for n in range(1, len(held)) if ids_of(held[:n]) >= least), len(held))
             doc_ids, totals, ids = zip(*held[:many])
             del held[:many]
-            # The parts go as the whole is made.
+            # The parts go as the whole is made, and what is no longer used before it is coded.
             ids = np.concatenate(ids)
+            give_back()
             row = segment_bytes(part, number, [*chain(*doc_ids)], np.concatenate(totals), ids)
             number += 1
             return pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["value"])
@@ -495,6 +496,7 @@ def read_ids(spark: SparkSession, folder: str, id_type: str = "long", ids: bool
             if ids:
                 rows.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(found.astype(np.int64))))
             yield pa.RecordBatch.from_arrays(rows, names)
+        give_back()
 
     names = ["doc_id", "part", "segment", "begin", "n_tokens", "ids_crc32", "ids"][: 7 if ids else 6]
     files = spark.read.format("binaryFile").load(folder).select("path", "content")

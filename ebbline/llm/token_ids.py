@@ -19,6 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from ebbline.llm.common import give_back
+
 #: When a worker holds twice so many encoded words, those not met again since they came, or since the last time, are
 #: dropped; at most so many stay.
 GENERATION = 120_000
@@ -152,9 +154,10 @@ class Encoder:
         self.met = np.zeros(len(self.known), bool)
 
     def trim(self):
-        """At the end of a task: one generation stays."""
+        """At the end of a task: one generation stays, as workers may wait long for the next task."""
         if len(self.known) > GENERATION:
             self.drop()
+        give_back()
 
     def cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, set[bytes]]:
         """The texts' bytes, where their words start, and the texts that must be encoded whole."""
