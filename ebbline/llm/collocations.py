@@ -1,16 +1,18 @@
 """Phrase collocations by SETM relational mining.
 
 A text is cut into pieces at ``. , ; : ! ?`` and line ends, a piece into words at blanks and tabs.  The relation of
-length k holds the places of phrases of k words: piece, position and the words, sorted by piece and position and
-persisted as a table.  That of length k + 1 is its merge-join with itself on equal piece and adjacent position: the
-rows of a piece lie together and in order, so the join neither shuffles nor sorts.  Every relation is group-counted,
-and only phrases that are frequent stay in it (a semi-join) before the next length is made.
+length k holds the places of phrases of k words: piece, position and the words, sorted by piece and position.  That of
+length k + 1 is its merge-join with itself on equal piece and adjacent position: the rows of a piece lie together and
+in order, so the join neither shuffles nor sorts.  Every relation is group-counted, and only phrases that are frequent
+stay in it (a semi-join) before the next length is made.  A task makes the relations anew from the texts it reads, a
+block at a time: they are larger than the texts, and writing them costs more than making them.
 
 Words are known by a 64-bit hash that depends on the language; the table of words is checked for two words with one
 hash, and another seed is taken where that happens, so nothing rests on chance.  Groups are counted by all their words,
-in each task first and then by Spark.  The frequent ones are marked in a bit map of bounded size (``FILTER_BITS``), which
-is broadcast for the semi-join, so that places are not shuffled.  It may let rare phrases pass, more of them if the
-bounded map gets crowded; that costs time, but no count depends on it.
+in each task first; the counts of phrases are then shuffled as arrays, one for each bucket of hashes, and added bucket
+by bucket.  The frequent ones are marked in a bit map of bounded size (``FILTER_BITS``), which is broadcast for the
+semi-join, so that places are not shuffled.  It may let rare phrases pass, more of them if the bounded map gets crowded;
+that costs time, but no count depends on it.
 
 Counts and scores are exact: products are decimals of 38 digits.
 
@@ -28,12 +30,11 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import blocks, collected, stored
-from ebbline.sources import scratch_path
+from ebbline.llm.common import blocks, collected, give_back
 
 MIN_COUNT = 10
 MAX_WORDS = 3
@@ -42,12 +43,18 @@ ABSORBED = 50
 TOP = 2000
 #: The bit map of a semi-join has 16 bits a frequent phrase, and at most 2**FILTER_BITS (16 MB).
 FILTER_BITS = 27
+#: Texts are cut into words in blocks of about this many bytes.
+BLOCK_BYTES = 2 << 20
 #: Words of a piece that lie in one row.
 STRETCH = 512
 #: Places that a task counts together.
-HELD = 2_000_000
+HELD = 500_000
+#: Places whose phrases share a bucket, and the bits of the fewest buckets.
+BUCKET, LEAST_BITS = 1 << 19, 8
 #: Rows that a task hands on together.
 ROWS_OUT = 50_000
+#: Buckets that a task hands on together.
+BUCKETS_OUT = 64
 
 # Classes of bytes: what parts words, what ends a piece, and the rest.
 _BLANK, _END, _WORD = range(3)
@@ -83,7 +90,7 @@ class Occurrences:
 
 
 def by_language(batches) -> Iterator[tuple[str, Occurrences]]:
-    for batch, texts in blocks(batches, "text"):
+    for batch, texts in blocks(batches, "text", BLOCK_BYTES):
         langs = batch.column("lang").to_pylist()
         for lang in dict.fromkeys(langs):
             yield lang, Occurrences([text for text, own in zip(texts, langs) if own == lang])
@@ -99,7 +106,7 @@ def word_table(texts: DataFrame, salt: int) -> DataFrame:
             langs = pa.repeat(pa.scalar(lang), len(n))
             held.append(pa.table([langs, found.distinct.cast(pa.binary()), pa.array(found.hashes(lang, salt)), n], ["lang", "word", "hash", "n"]))
             size += len(n)
-            if size > HELD // 4:
+            if size > HELD:
                 yield from merged(held)
                 held, size = [], 0
         if held:
@@ -113,12 +120,18 @@ def word_table(texts: DataFrame, salt: int) -> DataFrame:
     return rows.groupBy("lang", F.col("word").cast("string").alias("word"), "hash").agg(F.sum("n").alias("f"))
 
 
+def on_disks(table: DataFrame) -> DataFrame:
+    """``table``, made once and kept on the executors' disks; what is lost with an executor is made again."""
+    return table.persist(StorageLevel.DISK_ONLY)
+
+
 def words_without_clash(texts: DataFrame) -> tuple[DataFrame, int]:
     """The table of words, and the salt under which no two of them share a hash."""
     for salt in count():
-        words = stored(word_table(texts, salt), "words")
+        words = on_disks(word_table(texts, salt))
         if words.groupBy("hash").count().where("count > 1").isEmpty():
             return words, salt
+        words.unpersist()
 
 
 def mixed(words: list[np.ndarray]) -> np.ndarray:
@@ -152,10 +165,6 @@ def names_of(size: int) -> list[str]:
     return [f"w{at}" for at in range(1, size + 1)]
 
 
-def fields_of(size: int) -> str:
-    return "piece long, until int, positions array<int>, " + ", ".join(f"{name} array<long>" for name in names_of(size))
-
-
 def batch_of(piece: np.ndarray, until: np.ndarray, row: np.ndarray, positions: np.ndarray, words: list[np.ndarray]) -> pa.RecordBatch:
     """Rows of a relation from places in order; ``row`` is the row of each, and rows without a place are left out."""
     used, first = np.unique(row, return_index=True)
@@ -164,32 +173,27 @@ def batch_of(piece: np.ndarray, until: np.ndarray, row: np.ndarray, positions: n
     return pa.RecordBatch.from_arrays([pa.array(piece[used]), pa.array(until[used], pa.int32()), *lists], ["piece", "until", "positions", *names_of(len(words))])
 
 
-def word_places(texts: DataFrame, salt: int, frequent: Marks, max_words: int) -> DataFrame:
+def word_places(batches, salt: int, frequent: Marks, max_words: int) -> Iterator[pa.RecordBatch]:
     """The relation of length 1: a row per stretch of a piece.  ``until`` ends the positions at which phrases of the row
     count; the words behind it belong to the next row too."""
-    beyond = max_words - 1
-
-    def places(batches):
-        base = TaskContext.get().partitionId() << 40
-        for lang, found in by_language(batches):
-            words = found.hashes(lang, salt)
-            kept = frequent.holds(words)[found.codes]
-            piece, position, word = found.piece[kept], found.position[kept], words[found.codes[kept]]
-            stretch = position // STRETCH
-            if len(more := np.flatnonzero((stretch > 0) & (position % STRETCH < beyond))):
-                piece, position, word = (np.append(own, own[more]) for own in (piece, position, word))
-                stretch = np.append(stretch, stretch[more] - 1)
-                order = np.lexsort((position, stretch, piece))
-                piece, position, word, stretch = piece[order], position[order], word[order], stretch[order]
-            new = np.diff(piece, prepend=-1) != 0
-            new |= np.diff(stretch, prepend=-1) != 0
-            row = np.cumsum(new) - 1
-            alone = np.bincount(row)[row] < 2
-            first = np.flatnonzero(new)
-            yield batch_of(base + piece[first], (stretch[first] + 1) * STRETCH, row[~alone], position[~alone], [word[~alone]])
-            base += int(found.piece[-1]) + 1 if len(found.piece) else 0
-
-    return texts.mapInArrow(places, fields_of(1))
+    beyond, base = max_words - 1, 0
+    for lang, found in by_language(batches):
+        words = found.hashes(lang, salt)
+        kept = frequent.holds(words)[found.codes]
+        piece, position, word = found.piece[kept], found.position[kept], words[found.codes[kept]]
+        stretch = position // STRETCH
+        if len(more := np.flatnonzero((stretch > 0) & (position % STRETCH < beyond))):
+            piece, position, word = (np.append(own, own[more]) for own in (piece, position, word))
+            stretch = np.append(stretch, stretch[more] - 1)
+            order = np.lexsort((position, stretch, piece))
+            piece, position, word, stretch = piece[order], position[order], word[order], stretch[order]
+        new = np.diff(piece, prepend=-1) != 0
+        new |= np.diff(stretch, prepend=-1) != 0
+        row = np.cumsum(new) - 1
+        alone = np.bincount(row)[row] < 2
+        first = np.flatnonzero(new)
+        yield batch_of(base + piece[first], (stretch[first] + 1) * STRETCH, row[~alone], position[~alone], [word[~alone]])
+        base += int(found.piece[-1]) + 1 if len(found.piece) else 0
 
 
 def places_in(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -224,38 +228,95 @@ def in_portions(parts: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]
         yield [np.concatenate(own) for own in zip(*held)]
 
 
-def frequent_places(relation: DataFrame, size: int, marks: Marks, max_words: int) -> DataFrame:
+def longer_places(batches: Iterator[pa.RecordBatch], size: int, marks: Marks, max_words: int) -> Iterator[pa.RecordBatch]:
     """The relation of one word more, without phrases that cannot be frequent."""
-
-    def places(batches):
-        for batch in batches:
-            row, position, words = extended(batch, size)
-            until = batch.column("until").to_numpy()
-            needed = marks.holds(mixed(words)) & (position < until[row] + (max_words - size - 1))
-            yield batch_of(batch.column("piece").to_numpy(), until, row[needed], position[needed], [word[needed] for word in words])
-
-    return relation.mapInArrow(places, fields_of(size + 1))
-
-
-def frequent_phrases(relation: DataFrame, size: int, min_count: int) -> DataFrame:
-    """``w1``, ``w2``, ... and ``f`` of the phrases one word longer than the relation's that have at least ``min_count``
-    places."""
+    for batch in batches:
+        row, position, words = extended(batch, size)
+        until = batch.column("until").to_numpy()
+        needed = marks.holds(mixed(words)) & (position < until[row] + (max_words - size - 1))
+        yield batch_of(batch.column("piece").to_numpy(), until, row[needed], position[needed], [word[needed] for word in words])
+
+
+def relation(batches, salt: int, marks: list[Marks], max_words: int) -> Iterator[pa.RecordBatch]:
+    """The relation of as many words as there are ``marks``, made in the task from its texts."""
+    places = word_places(batches, salt, marks[0], max_words)
+    for size, own in enumerate(marks[1:], 1):
+        places = longer_places(places, size, own, max_words)
+    return places
+
+
+def counted(words: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The distinct phrases in the order of their hashes: hashes, words and sums of ``n``."""
+    keys = mixed(words)
+    order = np.argsort(keys)
+    new, clash = _runs(keys, words, order)
+    if clash:
+        order = np.lexsort((*words, keys))
+        new, _ = _runs(keys, words, order)
+    first = np.flatnonzero(new)
+    sums = np.add.reduceat(n[order], first) if len(first) else n
+    return keys[order[first]], [word[order[first]] for word in words], sums
+
+
+def _runs(keys: np.ndarray, words: list[np.ndarray], order: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Where another phrase begins, and whether two have one hash."""
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for word in words:
+        word = word[order]
+        new[1:] |= word[1:] != word[:-1]
+    keys = keys[order]
+    return new, bool((new[1:] & (keys[1:] == keys[:-1])).any())
+
+
+def frequent_phrases(texts: DataFrame, salt: int, marks: list[Marks], min_count: int, max_words: int, places: int) -> DataFrame:
+    """``w1``, ``w2``, ... and ``f`` of the phrases one word longer than there are ``marks`` that have at least ``min_count``
+    places.  ``places``: those of the relation that is extended; it only sets the number of buckets.
+
+    A task counts the places it holds and deals its phrases out by the leading bits of their hashes, an array for each
+    bucket; what all tasks have for a bucket is added together.  So a phrase is no row of its own before it is known to
+    be frequent, and no hash table of all phrases stands in an executor's heap."""
+    size = len(marks)
     names = names_of(size + 1)
+    shift = np.uint64(64 - max(LEAST_BITS, (places // BUCKET).bit_length()))
 
     def tally(batches):
-        for words in in_portions(owned(batch, *extended(batch, size)) for batch in batches):
-            order = np.argsort(mixed(words))
-            words = [word[order] for word in words]
-            new = np.ones(len(order), bool)
-            new[1:] = np.any([word[1:] != word[:-1] for word in words], axis=0)
-            first = np.flatnonzero(new)
-            n = np.diff(np.append(first, len(order)))
-            for at in range(0, len(first), ROWS_OUT):
-                part = slice(at, at + ROWS_OUT)
-                yield pa.RecordBatch.from_arrays([*(pa.array(word[first[part]]) for word in words), pa.array(n[part])], [*names, "n"])
+        for words in in_portions(owned(batch, *extended(batch, size)) for batch in relation(batches, salt, marks, max_words)):
+            keys, words, n = counted(words, np.ones(len(words[0]), np.int64))
+            bucket, first = np.unique(keys >> shift, return_index=True)
+            ends = pa.array(8 * np.append(first, len(keys)), pa.int32()).buffers()[1]
+            arrays = [pa.Array.from_buffers(pa.binary(), len(first), [None, ends, pa.py_buffer(values)]) for values in (*words, n)]
+            rows = pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), *arrays], ["bucket", *names, "n"])
+            del keys, words, n, arrays
+            for at in range(0, len(rows), BUCKETS_OUT):
+                yield rows.slice(at, BUCKETS_OUT)
+        give_back()
+
+    def frequent(parts):
+        *words, n = (np.concatenate(own) for own in zip(*parts))
+        _, words, f = counted(words, n)
+        kept = f >= min_count
+        rows = pa.RecordBatch.from_arrays([pa.array(values[kept]) for values in (*words, f)], [*names, "f"])
+        for at in range(0, len(rows), ROWS_OUT):
+            yield rows.slice(at, ROWS_OUT)
+
+    def summed(batches):
+        held, current = [], None
+        for batch in batches:
+            columns = [batch.column(name) for name in (*names, "n")]
+            for at, bucket in enumerate(batch.column("bucket").to_pylist()):
+                if held and bucket != current:
+                    yield from frequent(held)
+                    held = []
+                current = bucket
+                held.append([np.frombuffer(column[at].as_buffer(), np.int64) for column in columns])
+        if held:
+            yield from frequent(held)
+        give_back()
 
-    rows = relation.mapInArrow(tally, ", ".join(f"{name} long" for name in [*names, "n"]))
-    return rows.groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    rows = texts.mapInArrow(tally, "bucket long, " + ", ".join(f"{name} binary" for name in [*names, "n"]))
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(summed, ", ".join(f"{name} long" for name in [*names, "f"]))
 
 
 def phrase_hashes(table: DataFrame, size: int) -> DataFrame:
@@ -274,26 +335,18 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
     texts = docs.select(lang.alias("lang"), "text")
     words, salt = words_without_clash(texts)
     frequent = words.where(F.col("f") >= min_count)
-    marks = Marks(frequent.select("hash"), filter_bits)
-    relation = persisted(word_places(texts, salt, marks, max_words), 1)
+    marks = [Marks(frequent.select("hash"), filter_bits)]
     tables = {1: frequent.select(F.col("hash").alias("w1"), "f")}
     for size in range(1, max_words):
-        tables[size + 1] = stored(frequent_phrases(relation, size, min_count), "phrases")
+        places = tables[size].agg(F.sum("f")).first()[0] or 0
+        tables[size + 1] = on_disks(frequent_phrases(texts, salt, marks, min_count, max_words, places))
         if size + 1 < max_words:
-            marks = Marks(phrase_hashes(tables[size + 1], size + 1), filter_bits)
-            relation = persisted(frequent_places(relation, size, marks, max_words), size + 1)
+            marks = [*marks, Marks(phrase_hashes(tables[size + 1], size + 1), filter_bits)]
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     found = [scored(tables, size, absorbed, frequent) for size in range(2, max_words + 1)]
     return reduce(DataFrame.unionByName, found).join(totals, "lang")
 
 
-def persisted(relation: DataFrame, size: int) -> DataFrame:
-    """A relation as a table whose pages hold all its words in one dictionary."""
-    spark, path = relation.sparkSession, scratch_path(relation.sparkSession, f"places_{size}")
-    relation.write.option("parquet.dictionary.page.size", 8 << 20).parquet(path)
-    return spark.read.schema(fields_of(size)).parquet(path)
-
-
 def part_counts(table: DataFrame, first: int, size: int, name: str) -> DataFrame:
     """The counts of phrases of ``size`` words, to be joined at the words from number ``first`` on."""
     columns = [F.col(own).alias(f"w{first + at}") for at, own in enumerate(names_of(size))]

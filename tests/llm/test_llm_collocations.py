@@ -1,7 +1,9 @@
+import os
 import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from cases import lower, no_documents, odd_documents, odd_rows
@@ -98,3 +100,36 @@ def test_scores_are_exact_beyond_64_bits(spark):
     rows = spark.createDataFrame([(big, big + 1, big + 7), (10**12, 10**12, 10**12 + 1)], "a long, l long, r long")
     got = rows.select(collocations.exact_score("l", "r").alias("s"), "a", "l", "r").collect()
     assert [row.s for row in got] == [1_000_000 * row.a**2 // (row.l * row.r) for row in got]
+
+
+def test_no_relation_is_written(spark):
+    """Each file that a task writes starts processes beside an executor's heap; phrases are no rows before they are frequent."""
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = sorted(os.listdir(folder))
+    rows = [(f"a b c d{at % 50} e", "en") for at in range(300)]
+    docs = frame(spark, rows).repartition(7)
+    assert found(spark, docs) == brute(rows, 10)
+    assert sorted(os.listdir(folder)) == before
+    texts = docs.select("lang", "text")
+    words, salt = collocations.words_without_clash(texts)
+    marks = [collocations.Marks(words.select("hash"), 16)]
+    pairs = collocations.frequent_phrases(texts, salt, marks, 10, 3, 1500)
+    assert "Aggregate" not in pairs._jdf.queryExecution().toString()
+    assert sorted(row.f for row in pairs.collect()) == [300, 300]
+    deep = collocations.frequent_phrases(texts, salt, marks, 10, 3, 1 << 31)
+    assert sorted(deep.collect()) == sorted(pairs.collect())
+
+
+def test_phrases_that_share_a_hash_are_counted_apart(monkeypatch):
+    rng = np.random.default_rng(1)
+    words = [rng.integers(0, 5, 2000), rng.integers(-3, 3, 2000)]
+    n = rng.integers(1, 9, 2000)
+    counts = Counter()
+    for a, b, times in zip(*words, n):
+        counts[int(a), int(b)] += int(times)
+    for mixed in (collocations.mixed, lambda words: words[0].view(np.uint64) & np.uint64(1)):
+        monkeypatch.setattr(collocations, "mixed", mixed)
+        keys, (a, b), sums = collocations.counted(words, n)
+        assert len(a) == len(counts) and dict(zip(zip(a.tolist(), b.tolist()), sums.tolist())) == counts
+        assert (keys == mixed([a, b])).all() and (np.diff(keys.astype(float)) >= 0).all()
+    assert [len(part) for part in (*collocations.counted([words[0][:0]] * 2, n[:0])[1], collocations.counted([words[0][:0]] * 2, n[:0])[2])] == [0, 0, 0]
