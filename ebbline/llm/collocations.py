@@ -50,11 +50,11 @@ STRETCH = 512
 #: Places that a task counts together.
 HELD = 500_000
 #: Places whose phrases share a bucket, and the bits of the fewest buckets.
-BUCKET, LEAST_BITS = 1 << 19, 8
+BUCKET, LEAST_BITS = 1 << 18, 10
 #: Rows that a task hands on together.
 ROWS_OUT = 50_000
 #: Buckets that a task hands on together.
-BUCKETS_OUT = 64
+BUCKETS_OUT = 256
 
 # Classes of bytes: what parts words, what ends a piece, and the rest.
 _BLANK, _END, _WORD = range(3)
