@@ -47,6 +47,8 @@ FILTER_BITS = 27
 BLOCK_BYTES = 2 << 20
 #: Words of a piece that lie in one row.
 STRETCH = 512
+#: Rows that are joined together.
+ROWS_JOINED = 2048
 #: Places that a task counts together.
 HELD = 500_000
 #: Places whose phrases share a bucket, and the bits of the fewest buckets.
@@ -192,7 +194,9 @@ def word_places(batches, salt: int, frequent: Marks, max_words: int) -> Iterator
         row = np.cumsum(new) - 1
         alone = np.bincount(row)[row] < 2
         first = np.flatnonzero(new)
-        yield batch_of(base + piece[first], (stretch[first] + 1) * STRETCH, row[~alone], position[~alone], [word[~alone]])
+        rows = batch_of(base + piece[first], (stretch[first] + 1) * STRETCH, row[~alone], position[~alone], [word[~alone]])
+        for at in range(0, len(rows), ROWS_JOINED):
+            yield rows.slice(at, ROWS_JOINED)
         base += int(found.piece[-1]) + 1 if len(found.piece) else 0
 
 
