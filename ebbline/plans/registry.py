@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ebbline.columns import FEATURE_COLUMNS, NUMERIC_FEATURES, STRING_FEATURES
 from ebbline.functions.values import PERMISSIVE
@@ -479,7 +480,13 @@ def forest_check(spark, sf_dir):
     train = models.in_tasks_of_size(train, train.count())
     fitted = train.agg(F.count(F.lit(1)).alias("train_rows"), F.sum(models.LABEL).cast("long").alias("train_ones"))
     scored = scoring.score(trained.models["random_forest"], train, keep=(models.ID_COLUMN, models.LABEL))
-    quality_of = ranking.ranking_metrics(scored, models.LABEL, "churn_probability").select((F.col("roc_auc") > 0.5).alias("beats_chance"))
+    # The metrics need several passes, so the narrow result is kept meanwhile rather than scored in each.
+    kept = scored.select(models.LABEL, "churn_probability").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        quality_of = ranking.ranking_metrics(kept, models.LABEL, "churn_probability").select((F.col("roc_auc") > 0.5).alias("beats_chance"))
+        quality_of = spark.createDataFrame(quality_of.collect(), quality_of.schema)
+    finally:
+        kept.unpersist()
     return sizes.join(F.broadcast(fitted)).join(F.broadcast(quality_of))
 
 

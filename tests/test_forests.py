@@ -5,7 +5,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ebbline.columns import FEATURE_COLUMNS, ID_COLUMN
-from ebbline.operators import forests, models, scoring
+from ebbline.operators import forests, models, ranking, scoring
+from ebbline.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +58,17 @@ def test_forests_of_other_splits_are_left_to_spark(spark):
     model = models.RandomForestClassifier(numTrees=2, seed=1).fit(nominal)
     assert forests.packed(model) is None
     assert forests.with_probability(PipelineModel([model]), nominal) is None
+
+
+def test_forest_check_scores_its_rows_once(spark, training, monkeypatch):
+    """The metrics read kept rows: a frame that is not kept is scored in each of their passes."""
+    kept = []
+
+    def measured(scored, *columns):
+        kept.append(scored.is_cached)
+        return ranking.ranking_metrics(scored, *columns)
+
+    monkeypatch.setattr(registry, "gold_table", lambda *_: training)
+    monkeypatch.setattr(registry, "ranking", type("Ranking", (), {"ranking_metrics": staticmethod(measured)}))
+    row = registry.forest_check(spark, "").first()
+    assert kept == [True] and row["beats_chance"] is True and row["train_rows"] == 160
