@@ -1,0 +1,157 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from ebbline.columns import FEATURE_COLUMNS
+from ebbline.operators import forests, growing, grown_forest, models, tuning
+
+SPACE = {"n_estimators": [4], "max_depth": [3, None], "min_samples_leaf": [2], "max_features": ["sqrt"], "class_weight": ["balanced"]}
+NAMES = ["label", "weight", "features"]
+
+
+@pytest.fixture(scope="module")
+def numbers():
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 25, (500, 3)).astype(float)
+    return values, (rng.random(500) < 0.2 + 0.6 * (values[:, 0] > 11) * (values[:, 1] < 15)).astype(np.uint8)
+
+
+def _coded(values, labels):
+    thresholds = [growing.thresholds_of(column, 31) for column in values.T]
+    return growing.CodedRows(forests.coded(values, thresholds), labels, thresholds)
+
+
+def _frame(spark, values, labels, weight=lambda label: 1.0):
+    rows = [(float(label), weight(label), Vectors.dense(row)) for row, label in zip(values.tolist(), labels)]
+    return spark.createDataFrame(rows, NAMES)
+
+
+def _probabilities(model, frame):
+    rows = model.transform(frame).select("features", "probability").collect()
+    return {tuple(row["features"]): row["probability"][1] for row in rows}
+
+
+@pytest.mark.parametrize("weights", [(1.0, 1.0), (0.75, 1.5)])
+def test_tree_equals_that_of_spark_on_the_drawn_rows(spark, numbers, weights):
+    values, labels = numbers
+    growth = growing.Growth(depth=3, min_leaf=1, features=3, weights=weights, seed=3)
+    tree = growing.grown(_coded(values, labels), growth, 7)
+    drawn = np.random.default_rng([3, 7]).poisson(1.0, len(labels))
+    rows = [(float(y), float(n) * weights[y], Vectors.dense(x)) for x, y, n in zip(values.tolist(), labels, drawn) if n]
+    frame = spark.createDataFrame(rows, NAMES)
+    model = DecisionTreeClassifier(maxDepth=3, weightCol="weight").fit(frame)
+    (found,) = forests.scored_by_trees([tree], weights, [_coded(values, labels).codes])
+    expected = _probabilities(model, frame)
+    seen = {tuple(row): value for row, value in zip(values.tolist(), found)}
+    assert model.depth == tree.depth >= 2 and model.numNodes == len(tree.child)
+    assert all(seen[key] == pytest.approx(value) for key, value in expected.items())
+
+
+def test_leaves_hold_the_least_number_of_drawn_rows(numbers):
+    tree = growing.grown(_coded(*numbers), growing.Growth(30, 9, 2, (1.0, 1.0), 1), 0)
+    leaves = tree.child < 0
+    assert tree.counts[leaves].sum(axis=1).min() >= 9 and tree.counts[leaves].sum() == tree.counts[0].sum() and leaves.sum() > 5
+    inner = tree.child[~leaves]
+    assert (tree.counts[inner] + tree.counts[inner + 1] == tree.counts[~leaves]).all()
+    pair = tree.counts[inner[leaves[inner] & leaves[inner + 1]]], tree.counts[inner[leaves[inner] & leaves[inner + 1]] + 1]
+    assert ((pair[0][:, 1] > pair[0][:, 0]) != (pair[1][:, 1] > pair[1][:, 0])).all()
+
+
+def test_blocks_of_nodes_and_rows_do_not_change_a_tree(numbers, monkeypatch):
+    rows, growth = _coded(*numbers), growing.Growth(30, 1, 2, (0.5, 2.0), 1)
+    whole = growing.grown(rows, growth, 4)
+    monkeypatch.setattr(growing, "_CELLS_AT_ONCE", 60)
+    monkeypatch.setattr(growing, "_ROWS_AT_ONCE", 7)
+    parts = growing.grown(rows, growth, 4)
+    assert all((a == b).all() for a, b in zip((whole.feature, whole.rank, whole.child), (parts.feature, parts.rank, parts.child)))
+
+
+def test_each_node_draws_different_features():
+    drawn = growing._drawn(np.random.default_rng(1), 6000, 5, 3)
+    assert all(len(set(row)) == 3 for row in drawn.tolist())
+    assert all(abs((drawn == at).sum() / 6000 - 3 / 5) < 0.04 for at in range(5))
+    assert growing._drawn(np.random.default_rng(1), 2, 4, 4).tolist() == [[0, 1, 2, 3]] * 2
+
+
+def test_thresholds_are_those_of_a_walk_over_the_values():
+    """Spark's rule: a border where the rows come nearest to the next multiple of an equal share."""
+    rng = np.random.default_rng(2)
+    for values in (rng.integers(0, 400, 3000), rng.integers(0, 60, 90) ** 3, np.repeat([1, 2, 3, 4, 5, 6, 7], [1, 1, 90, 1, 1, 1, 1])):
+        known, sizes = np.unique(values.astype(float), return_counts=True)
+        most, chosen = 5, []
+        stride, upto, wanted = len(values) / 6, sizes[0], len(values) / 6
+        for at in range(1, len(known)):
+            before, upto = upto, upto + sizes[at]
+            if abs(before - wanted) < abs(upto - wanted):
+                chosen.append((known[at - 1] + known[at]) / 2)
+                wanted += stride
+        assert growing.thresholds_of(values.astype(float), most).tolist() == chosen[:most]
+    assert growing.thresholds_of(np.array([1.0, 1.0]), 5).tolist() == []
+    assert growing.thresholds_of(np.array([1.0, 3.0, 4.0]), 5).tolist() == [2.0, 3.5]
+
+
+def test_forest_does_not_depend_on_the_order_of_the_rows(spark, numbers):
+    frame = _frame(spark, *numbers, weight=lambda label: 2.0 if label else 0.5)
+    forest = grown_forest.GrownForestClassifier(numTrees=5, maxDepth=30, seed=9, weightCol="weight", minInstancesPerNode=2)
+    model = forest.fit(frame)
+    again = forest.fit(frame.orderBy(F.rand(1)).repartition(5))
+    assert _probabilities(model, frame) == _probabilities(again, frame) and len(set(_probabilities(model, frame).values())) > 20
+    assert model.uid == forest.uid and model.getNumTrees == 5 and model.getMaxDepth() == 30 and model.getMinInstancesPerNode() == 2
+    assert sum(model.featureImportances.toArray()) == pytest.approx(1) and model.totalNumNodes == forests.packed(model).ends[-1]
+
+
+def test_what_cannot_be_grown_is_left_to_spark(spark, numbers, monkeypatch):
+    values, labels = numbers
+    frame = _frame(spark, values[:200], labels[:200])
+    spread = [(float(n % 3), 1.0, Vectors.dense([float(n % 7)])) for n in range(60)]
+    uneven = [(float(n % 2), 1.0 + n % 4, Vectors.dense([float(n % 7)])) for n in range(60)]
+    grown, plain = grown_forest.GrownForestClassifier, RandomForestClassifier
+    cases = [
+        (spark.createDataFrame(spread, NAMES), {}),
+        (spark.createDataFrame(uneven, NAMES), {"weightCol": "weight"}),
+        (frame, {"impurity": "entropy"}),
+        (frame, {"subsamplingRate": 0.5}),
+    ]
+    monkeypatch.setattr(grown, "_grown", None)
+    for case, params in cases:
+        both = [kind(numTrees=3, seed=1, **params).fit(case) for kind in (grown, plain)]
+        assert _probabilities(both[0], case) == _probabilities(both[1], case)
+    monkeypatch.setattr(grown_forest, "MOST_VALUES", 599)
+    both = [kind(numTrees=3, seed=1).fit(frame) for kind in (grown, plain)]
+    assert _probabilities(both[0], frame) == _probabilities(both[1], frame)
+
+
+def test_features_of_node_are_as_many_as_spark_takes():
+    of = grown_forest.features_of_node
+    assert [of(name, 23, 9) for name in ("sqrt", "log2", "0.5", "all", "onethird", "auto", "4", "40", "1.0")] == [5, 5, 12, 23, 8, 5, 4, 23, 23]
+    assert of("auto", 23, 1) == 23 and of("log2", 1, 9) == 1 and of("sqrt", 16, 9) == 4 == math.isqrt(16)
+
+
+def test_search_grows_its_forests_in_tasks(training, monkeypatch):
+    """No forest of a small frame is fitted by passes over its rows."""
+    monkeypatch.setattr(RandomForestClassifier, "_fit", None)
+    tuned = tuning.search_forest(training, iterations=2, folds=2, space=SPACE)
+    rows = tuned.cv_results.collect()
+    assert len(rows) == 2 and all(0 < row["split1_test_score"] <= row["split1_train_score"] <= 1 for row in rows)
+    sizes = models.forest_sizes(tuned.model.stages[-1]).collect()
+    assert len(sizes) == 4 and sum(row["nodes"] for row in sizes) == tuned.model.stages[-1].totalNumNodes
+
+
+def test_search_on_frames_beyond_a_task_fits_by_spark(training, monkeypatch):
+    """The same scores as fits and evaluations one by one."""
+    monkeypatch.setattr(grown_forest, "MOST_VALUES", 0)
+    monkeypatch.setattr(grown_forest.GrownForestClassifier, "_grown", None)
+    tuned = tuning.search_forest(training, iterations=2, folds=2, space=SPACE)
+    train, _ = models.split_training_data(training)
+    folded = tuning.stratified_folds(train, models.LABEL, models.ID_COLUMN, 2, models.SEED)
+    fit_part, held_out = folded.where("fold <> 0"), folded.where("fold = 0")
+    preprocessor = tuning.build_preprocessor(fit_part.select(FEATURE_COLUMNS)).fit(fit_part)
+    prepared = models.prepared_rows(preprocessor, fit_part, fit_part.count())
+    for row in tuned.cv_results.collect():
+        model = tuning.forest_for(tuning.sample_settings(2, space=SPACE)[row["setting"]]).fit(prepared)
+        found = tuning.AveragePrecisionEvaluator().evaluate(model.transform(preprocessor.transform(held_out)))
+        assert row["split0_test_score"] == pytest.approx(found)
