@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ebbline.columns import FEATURE_COLUMNS
 from ebbline.operators import forests, growing, grown_forest, models, tuning
+from ebbline.plans import registry
 
 SPACE = {"n_estimators": [4], "max_depth": [3, None], "min_samples_leaf": [2], "max_features": ["sqrt"], "class_weight": ["balanced"]}
 NAMES = ["label", "weight", "features"]
@@ -155,3 +156,13 @@ def test_search_on_frames_beyond_a_task_fits_by_spark(training, monkeypatch):
         model = tuning.forest_for(tuning.sample_settings(2, space=SPACE)[row["setting"]]).fit(prepared)
         found = tuning.AveragePrecisionEvaluator().evaluate(model.transform(preprocessor.transform(held_out)))
         assert row["split0_test_score"] == pytest.approx(found)
+
+
+def test_tuning_results_check_is_clean(spark, training, monkeypatch):
+    """The query's own check, on a search with fewer and smaller forests."""
+    table = training.withColumn("churn", F.col("churn").cast("int"))
+    monkeypatch.setattr(registry, "gold_table", lambda *_: table)
+    monkeypatch.setattr(RandomForestClassifier, "_fit", None)
+    monkeypatch.setattr(registry, "_searched", {(spark.sparkContext.applicationId, ""): tuning.search_forest(table, iterations=2, space=SPACE).cv_results})
+    row = registry.tuning_results_check(spark, "").first()
+    assert tuple(row) == (2, 0, 0, 0, 0, 2)
